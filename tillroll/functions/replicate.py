@@ -5,6 +5,8 @@ A count can be huge — a replayed batch may be a third of the table — so
 large counts are cut into fixed-size chunks and the chunks are spread over
 the cluster by a hash exchange before the final expansion: no task ever
 holds more than one chunk of one group, and no array grows with the data.
+
+With ``index_col`` every copy also gets its position ``1..count``.
 """
 
 from __future__ import annotations
@@ -14,21 +16,20 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_CHUNK = 4096
 
 
-def replicate_rows(df: DataFrame, count_col: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def replicate_rows(df: DataFrame, count_col: str, chunk: int = DEFAULT_CHUNK,
+                   index_col: str | None = None) -> DataFrame:
     cols = [c for c in df.columns if c != count_col]
-    n = F.col(count_col)
+    idx = index_col or "_i"
+    n = F.col(count_col).cast("long")
     small = (df.filter((n > 0) & (n <= chunk))
-               .select(*cols, F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("_i"))
-               .drop("_i"))
+               .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(idx)))
     big = (df.filter(n > chunk)
              .select(*cols, n.alias("_n"),
                      F.explode(F.sequence(F.lit(0).cast("long"),
                                           F.floor((n - 1) / chunk).cast("long"))).alias("_c"))
              .repartition(*cols, "_c")
              .select(*cols,
-                     F.explode(F.sequence(F.lit(1),
-                                          F.least(F.lit(chunk).cast("long"),
-                                                  F.col("_n") - F.col("_c") * chunk).cast("int"))
-                               ).alias("_i"))
-             .drop("_i"))
-    return small.unionByName(big)
+                     F.explode(F.sequence(F.col("_c") * chunk + 1,
+                                          F.least(F.col("_c") * chunk + chunk, F.col("_n")))).alias(idx)))
+    out = small.unionByName(big)
+    return out if index_col else out.drop(idx)

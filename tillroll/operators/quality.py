@@ -27,7 +27,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.functions import any_null, first_null_reason, replicate_rows, sort_key
+from tillroll.functions import any_null, first_null_reason, parse_ts, replicate_rows, sort_key
 
 # fixed values: columns every order must have (reference gate)
 REQUIRED_COLUMNS = [
@@ -148,6 +148,37 @@ def gate_summary(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key:
                  .filter(F.col("row_count") > 0))
 
 
+def rank_orders(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL,
+                tie_break: Sequence[str] | None = None, rank_col: str = "_row_num") -> DataFrame:
+    """Every input row with its rank inside its key, NULL key included.
+
+    Same order as the gate.  A dense rank of every row needs each key's rows
+    in order, which a plain window would do in one task per key.  Instead:
+    copies are collapsed with a count; the distinct rows are range-partitioned
+    on the sort order (sampling splits a hot key over many partitions);
+    ranks are counted inside each (range partition, key) piece; and each
+    piece is offset by the row counts of the same key in earlier range
+    partitions — a table of at most one row per (partition, key) piece.
+    """
+    cols = df.columns
+    ties = _ties(df, key, tie_break)
+    with_ts = df.withColumn("_ts", parse_ts(order_col) if order_col else F.lit(None))
+    within = [F.col("_ts").asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in ties]
+    versions = with_ts.groupBy(*cols, "_ts").agg(F.count(F.lit(1)).alias("_n"))
+    ordered = (versions.orderBy(F.col(key).asc_nulls_first(), *within)
+                       .withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy("_part", key).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+    local = ordered.withColumn("_local", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ordered.groupBy("_part", key).agg(F.sum("_n").alias("_t"))
+                      .withColumn("_off", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
+                      .select(F.col("_part").alias("_p2"), F.col(key).alias("_k2"), "_off"))
+    joined = local.join(offsets, (F.col("_part") == F.col("_p2")) & F.col(key).eqNullSafe(F.col("_k2")))
+    starts = joined.select(*cols, "_n", (F.col("_off") + F.col("_local")).alias("_start"))
+    copies = replicate_rows(starts, "_n", index_col="_i")
+    return copies.select(*cols, (F.col("_start") + F.col("_i")).cast("int").alias(rank_col))
+
+
 def split_orders(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine) with the input schema on both sides (reference form)."""
     tagged = tag_orders(df, **kw)

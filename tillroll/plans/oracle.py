@@ -252,7 +252,25 @@ enriched AS (
 
 WITH = "WITH " + CTES.strip() + "\n"
 
+_BRONZE = ("customers", "geolocation", "order_items", "order_payments", "order_reviews", "orders",
+           "products", "sellers", "category_translation")
+
+
+def _counts(label: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS {label}, count(*) AS row_count FROM b_{t}" for t in _BRONZE)
+
+
 SELECTS: dict[str, str] = {
+    "csv_explicit_scan": "SELECT * FROM b_orders",
+    "csv_inferred_scan": """
+SELECT cast(order_id AS INTEGER) AS order_id, payment_sequential, payment_type,
+       payment_installments, payment_value
+FROM b_order_payments""",
+    "parquet_overwrite_roundtrip": "SELECT * FROM items",
+    "bronze_ingest": _counts("bronze_table"),
+    "landing_manifest": _counts("dataset"),
+    "dq_ranked_orders": f"SELECT {ORDER_COLS}, cast(rn AS INTEGER) AS _row_num FROM o_ranked",
     "dq_null_violations": f"""
 SELECT {ORDER_COLS}, {NULL_REASON} AS dq_reason FROM b_orders WHERE NOT ({COMPLETE})""",
     "dq_gate_valid": "SELECT * FROM o_valid",

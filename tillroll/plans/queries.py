@@ -12,7 +12,15 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.operators import dims, facts, marts, quality
+from tillroll.paths import LayerPaths
+from tillroll.plans import pipeline
+from tillroll.schemas import DATASET_FILES
+from tillroll.session import scratch_path
+from tillroll.sinks.files import write_csv, write_parquet
+from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.driver_tables import DriverTables
+from tillroll.sources.landing import discover_csv, land_tables, snapshot_run
+from tillroll.sources.parquet import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +134,73 @@ def q_mart_order_status_daily(spark, d):
     return marts.mart_order_status_daily(Model(spark, d).enriched())
 
 
+def q_dq_ranked_orders(spark, d):
+    return quality.rank_orders(DriverTables(spark, d).table("orders"))
+
+
+# -- sources and sinks: write derived tables to a scratch folder in shared
+# storage (``spark.checkpoint.dir``), then read them back through the operator.
+
+def q_csv_explicit_scan(spark, d):
+    path = scratch_path(spark, "csv-explicit") + "/orders"
+    write_csv(DriverTables(spark, d).table("orders"), path)
+    return read_raw_csv(spark, path, "orders")
+
+
+def q_csv_inferred_scan(spark, d):
+    path = scratch_path(spark, "csv-inferred") + "/payments"
+    write_csv(DriverTables(spark, d).table("order_payments"), path)
+    return read_raw_csv(spark, path)
+
+
+def q_parquet_overwrite_roundtrip(spark, d):
+    t = DriverTables(spark, d)
+    path = scratch_path(spark, "parquet-roundtrip") + "/items"
+    write_parquet(t.table("order_items"), path)
+    write_parquet(facts.dedupe_items(t.table("order_items")), path)
+    return read_table(spark, path)
+
+
+def _landed(spark, d, name) -> tuple[LayerPaths, DriverTables]:
+    paths = LayerPaths.under(scratch_path(spark, name))
+    t = DriverTables(spark, d)
+    land_tables(t.bronze(), paths)
+    return paths, t
+
+
+def q_bronze_ingest(spark, d):
+    paths, _ = _landed(spark, d, "bronze-ingest")
+    tables = pipeline.bronze_ingest(spark, paths)
+    counts = [read_table(spark, paths.bronze(t)).select(F.lit(t).alias("bronze_table"))
+              for t in tables]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.groupBy("bronze_table").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_landing_manifest(spark, d):
+    paths = LayerPaths.under(scratch_path(spark, "landing"))
+    man = snapshot_run(spark, DriverTables(spark, d).bronze(), paths)
+    return man.groupBy("dataset").agg(F.sum("row_count").cast("long").alias("row_count"))
+
+
+def q_landing_discovery(spark, d):
+    paths, _ = _landed(spark, d, "discovery")
+    files = discover_csv(spark, paths.raw("", "latest").rstrip("/"))
+    folder = F.regexp_extract("path", r"/latest/([^/]+)/[^/]+$", 1)
+    return (files.groupBy(folder.alias("dataset_file"))
+                 .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+
+
 QUERIES: dict[str, Query] = {
+    "csv_explicit_scan": q_csv_explicit_scan,
+    "csv_inferred_scan": q_csv_inferred_scan,
+    "parquet_overwrite_roundtrip": q_parquet_overwrite_roundtrip,
+    "bronze_ingest": q_bronze_ingest,
+    "landing_manifest": q_landing_manifest,
+    "landing_discovery": q_landing_discovery,
+    "dq_ranked_orders": q_dq_ranked_orders,
     "dq_null_violations": q_dq_null_violations,
     "dq_gate_valid": q_dq_gate_valid,
     "dq_gate_quarantine": q_dq_gate_quarantine,
