@@ -21,6 +21,37 @@ from tillroll.schemas import column_names
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
+SPREAD_MIN_ROWS = 100_000
+
+# Schemas of the driver tables (TESTDATA.md): given explicitly so a read is a
+# file listing, not a footer-reading job per table.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+              "props STRING",
+}
+
+
+def _rows_per_group(path: str) -> tuple[int, int]:
+    """(row groups, rows) of a local Parquet file from its footer alone."""
+    try:
+        import pyarrow.parquet as pq
+        meta = pq.ParquetFile(path).metadata
+        return meta.num_row_groups, meta.num_rows
+    except Exception:  # remote storage or not a single file: leave the scan as is
+        return 1 << 30, 0
+
+
 def _text(ts: Column) -> Column:
     return F.date_format(ts, TS_TEXT)
 
@@ -37,7 +68,8 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-NULL_TEXT = F.lit(None).cast("string")
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 @dataclass
@@ -50,7 +82,20 @@ class DriverTables:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+            path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            df = reader.parquet(path)
+            want = self.spark.sparkContext.defaultParallelism
+            groups, rows = _rows_per_group(path)
+            if groups < want and rows >= SPREAD_MIN_ROWS:
+                # A Parquet file is split by row group; a one-group file is
+                # scanned by one task however many cores there are.  Spread it
+                # once by hash of its first (key) column — no sort, no skew
+                # from the key arithmetic below.
+                df = df.repartition(want, df.columns[0])
+            self._cache[name] = df
         return self._cache[name]
 
     # -- bronze views -------------------------------------------------------
@@ -65,7 +110,7 @@ class DriverTables:
         o = self.raw("orders")
         k = F.col("o_orderkey")
         d = F.col("o_orderdate")
-        customer = F.when(k % 97 == 0, NULL_TEXT).otherwise(_s(F.col("o_custkey")))
+        customer = F.when(k % 97 == 0, _null()).otherwise(_s(F.col("o_custkey")))
         pending = F.col("o_orderstatus") == "P"
         base = o.select(
             _s(k).alias("order_id"),
@@ -73,9 +118,9 @@ class DriverTables:
             F.col("o_orderstatus").alias("order_status"),
             F.when(k % 101 == 0, F.lit("junk")).otherwise(_text(d)).alias("order_purchase_timestamp"),
             _text(_hours(d, (k % 48).cast("int"))).alias("order_approved_at"),
-            F.when(pending, NULL_TEXT).otherwise(_text(_days(d, (k % 5 + 1).cast("int"))))
+            F.when(pending, _null()).otherwise(_text(_days(d, (k % 5 + 1).cast("int"))))
              .alias("order_delivered_carrier_date"),
-            F.when(pending, NULL_TEXT).otherwise(_text(_days(d, (k % 30).cast("int"))))
+            F.when(pending, _null()).otherwise(_text(_days(d, (k % 30).cast("int"))))
              .alias("order_delivered_customer_date"),
             _text(_days(d, 20)).alias("order_estimated_delivery_date"),
         )
@@ -83,11 +128,11 @@ class DriverTables:
             _s(k).alias("order_id"),
             customer.alias("customer_id"),
             F.col("o_orderstatus").alias("order_status"),
-            F.when(k % 3 == 0, NULL_TEXT).otherwise(_text(_days(d, 1))).alias("order_purchase_timestamp"),
-            NULL_TEXT.alias("order_approved_at"),
-            NULL_TEXT.alias("order_delivered_carrier_date"),
-            NULL_TEXT.alias("order_delivered_customer_date"),
-            NULL_TEXT.alias("order_estimated_delivery_date"),
+            F.when(k % 3 == 0, _null()).otherwise(_text(_days(d, 1))).alias("order_purchase_timestamp"),
+            _null().alias("order_approved_at"),
+            _null().alias("order_delivered_carrier_date"),
+            _null().alias("order_delivered_customer_date"),
+            _null().alias("order_estimated_delivery_date"),
         )
         return base.unionByName(again)
 
@@ -113,7 +158,7 @@ class DriverTables:
         return ev.select(
             _s(F.floor(e / 2)).alias("order_id"),
             e.cast("int").alias("payment_sequential"),
-            F.when(F.col("event_type") == "error", NULL_TEXT).otherwise(F.col("event_type"))
+            F.when(F.col("event_type") == "error", _null()).otherwise(F.col("event_type"))
              .alias("payment_type"),
             (e % 12 + 1).cast("int").alias("payment_installments"),
             F.col("value").alias("payment_value"),
@@ -127,7 +172,7 @@ class DriverTables:
             _s(e).alias("review_id"),
             _s(F.floor(e / 3)).alias("order_id"),
             (e % 5 + 1).cast("int").alias("review_score"),
-            NULL_TEXT.alias("review_comment_title"),
+            _null().alias("review_comment_title"),
             F.col("props").alias("review_comment_message"),
             _text(F.col("ts")).alias("review_creation_date"),
             _text(_days(F.col("ts"), 1)).alias("review_answer_timestamp"),
@@ -184,7 +229,7 @@ class DriverTables:
                 (size % 11).cast("double").alias("product_width_cm"),
             ]
 
-        base = p.select(*shape(F.when(k % 53 == 0, NULL_TEXT).otherwise(F.col("p_type"))))
+        base = p.select(*shape(F.when(k % 53 == 0, _null()).otherwise(F.col("p_type"))))
         again = p.filter(k % 40 == 0).select(*shape(F.lit("PROMO")))
         return base.unionByName(again)
 
