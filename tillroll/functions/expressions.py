@@ -52,15 +52,15 @@ def delay_flag(delivered: ColumnOrName, estimated: ColumnOrName) -> Column:
             .otherwise(F.lit(0)))
 
 
-def money_sum(c: ColumnOrName) -> Column:
-    """Exact sum of a money column, as double (A6-A9 ``gmv``).
+def money_sum(c: ColumnOrName, digits: int = 2) -> Column:
+    """``round(sum(c), digits)`` of a money column, exact, as double.
 
-    Each amount is taken as whole cents and summed as a long: exact,
-    independent of partitioning and row order, and a fixed-width aggregation
-    buffer (hash aggregation, unlike a wide decimal sum).
+    Amounts are summed as ``decimal(18,6)`` — exact for up to six decimals,
+    so the result does not depend on partitioning or row order, and a
+    ``decimal(28,6)`` sum cannot overflow on any realistic total — then
+    rounded half-up once, after the sum, like the original double sum.
     """
-    cents = F.round(_col(c) * 100).cast("long")
-    return F.sum(cents) / F.lit(100)
+    return F.round(F.sum(_col(c).cast("decimal(18,6)")), digits).cast("double")
 
 
 def exact_mean(c: ColumnOrName, scale: int = 6) -> Column:

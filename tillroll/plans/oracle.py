@@ -2,8 +2,8 @@
 
 The SQL deliberately follows the *reference* formulation — one row_number
 over every row of a key, joins in the original order — and not the
-skew-safe Spark plan, so the two are independent.  Money sums use whole
-cents; rounding of means uses integer half-up, which equals Spark's
+skew-safe Spark plan, so the two are independent.  Money sums are exact
+decimal sums rounded once; rounding of means uses integer half-up, which equals Spark's
 ``round(avg(x), n)`` on these inputs (DuckDB's own ``round`` breaks ties
 differently on binary doubles).
 """
@@ -26,7 +26,7 @@ COMPLETE = ("order_id IS NOT NULL AND customer_id IS NOT NULL AND order_status I
 
 
 def _cents(c: str) -> str:
-    return f"sum(cast(round({c} * 100) AS BIGINT)) / 100"
+    return f"cast(round(sum(cast({c} AS DECIMAL(18,6))), 2) AS DOUBLE)"
 
 
 def _half_up_mean(c: str, p: int) -> str:
