@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry_mod
-from tillroll.plans.queries import Model
+from tillroll.plans.queries import Model, model
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -68,7 +68,7 @@ def test_entry_flagship(spark, smoke_dir):
 
 def test_fixture_counts(spark, smoke_dir):
     """Smoke assertions on the adapter (FIXTURES.md section 5, sf0.001)."""
-    m = Model(spark, smoke_dir)
+    m = model(spark, smoke_dir)
     assert m.t.table("orders").count() == 1530
     assert m.fact().count() == 4599
 
@@ -84,7 +84,7 @@ def test_deterministic_under_repartitioning(spark, smoke_dir, n):
     enriched = marts.fct_enriched(fact, dims.dim_customers(parts("customers")),
                                   dims.dim_products(parts("products"), parts("category_translation")),
                                   dims.dim_sellers(parts("sellers")))
-    base = Model(spark, smoke_dir)
+    base = model(spark, smoke_dir)
     for got, want in ((fact, base.fact()),
                       (marts.mart_daily_sales(enriched), marts.mart_daily_sales(base.enriched())),
                       (marts.mart_state_performance(enriched), marts.mart_state_performance(base.enriched()))):
@@ -94,7 +94,7 @@ def test_deterministic_under_repartitioning(spark, smoke_dir, n):
 def test_invariants(spark, smoke_dir):
     from pyspark.sql import functions as F
     from tillroll.operators import marts, quality
-    m = Model(spark, smoke_dir)
+    m = model(spark, smoke_dir)
     orders = m.t.table("orders")
     valid, bad = quality.split_orders(orders)
     assert valid.count() + bad.count() == orders.count()

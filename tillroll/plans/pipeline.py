@@ -10,7 +10,8 @@ the three dimension joins run once and lineage is cut at a durable table.
 from __future__ import annotations
 
 import logging
-from typing import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -29,18 +30,41 @@ GOLD_MARTS = ("mart_daily_sales", "mart_state_performance", "mart_category_perfo
               "mart_order_status_daily")
 
 
+DEFAULT_CONCURRENT_JOBS = 4
+
+
+def write_all(writes: Mapping[str, Callable[[], None]], concurrent_jobs: int) -> list[str]:
+    """Run independent table writes as concurrent Spark jobs.
+
+    Each write is its own distributed job; submitting a few at once keeps
+    the executors busy while one job waits on its last stragglers.  The
+    first failure is raised once every submitted write has finished.
+    """
+    if concurrent_jobs <= 1:
+        for write in writes.values():
+            write()
+        return list(writes)
+    with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
+        futures = [pool.submit(write) for write in writes.values()]
+        for f in futures:
+            f.result()
+    return list(writes)
+
+
 def bronze_ingest(spark: SparkSession, paths: LayerPaths,
-                  datasets: Mapping[str, str] = DATASET_FILES) -> list[str]:
+                  datasets: Mapping[str, str] = DATASET_FILES,
+                  concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> list[str]:
     """Raw CSV -> bronze Parquet, one write per registered table."""
-    done = []
-    for table, filename in datasets.items():
-        log.info("ingesting %s from %s", table, paths.raw(filename))
-        write_parquet(read_raw_csv(spark, paths.raw(filename), table), paths.bronze(table))
-        done.append(table)
-    return done
+    def ingest(table: str, filename: str) -> Callable[[], None]:
+        def run() -> None:
+            log.info("ingesting %s from %s", table, paths.raw(filename))
+            write_parquet(read_raw_csv(spark, paths.raw(filename), table), paths.bronze(table))
+        return run
+    return write_all({t: ingest(t, f) for t, f in datasets.items()}, concurrent_jobs)
 
 
-def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
+def orders_gate(spark: SparkSession, paths: LayerPaths,
+                concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, int]:
     """Bronze orders -> ``stg_orders`` + ``stg_orders_quarantine`` (K2).
 
     Counts are observed during the two writes instead of by extra jobs.
@@ -50,8 +74,9 @@ def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
     ok, bad = Observation("valid"), Observation("quarantined")
     valid = quality.valid_orders(orders).observe(ok, F.count(F.lit(1)).alias("rows"))
     rejected = quality.quarantined_orders(orders).observe(bad, F.count(F.lit(1)).alias("rows"))
-    write_parquet(valid, paths.silver("stg_orders"))
-    write_parquet(rejected, paths.silver("stg_orders_quarantine"))
+    write_all({"stg_orders": lambda: write_parquet(valid, paths.silver("stg_orders")),
+               "stg_orders_quarantine": lambda: write_parquet(rejected, paths.silver("stg_orders_quarantine"))},
+              concurrent_jobs)
     counts = {"valid": ok.get["rows"], "quarantined": bad.get["rows"]}
     log.info("valid rows: %d | quarantined: %d", counts["valid"], counts["quarantined"])
     if counts["quarantined"]:
@@ -59,7 +84,8 @@ def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
     return counts
 
 
-def silver_model(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
+def silver_model(spark: SparkSession, paths: LayerPaths,
+                 concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, DataFrame]:
     """Bronze + ``stg_orders`` -> four dimensions and the fact (K3)."""
     b = {t: read_table(spark, paths.bronze(t)) for t in DATASET_FILES}
     stg = read_table(spark, paths.silver("stg_orders"))
@@ -71,12 +97,13 @@ def silver_model(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]
         "fct_order_items": facts.fct_order_items(b["order_items"], stg, b["order_payments"],
                                                  b["order_reviews"]),
     }
-    for name, df in out.items():
-        write_parquet(df, paths.silver(name))
+    write_all({name: (lambda df=df, name=name: write_parquet(df, paths.silver(name)))
+               for name, df in out.items()}, concurrent_jobs)
     return out
 
 
-def gold_marts(spark: SparkSession, paths: LayerPaths) -> list[str]:
+def gold_marts(spark: SparkSession, paths: LayerPaths,
+               concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> list[str]:
     """Silver -> wide analytics mart -> four aggregate marts (K4)."""
     s = {t: read_table(spark, paths.silver(t)) for t in SILVER_TABLES}
     enriched = marts.fct_enriched(s["fct_order_items"], s["dim_customers"], s["dim_products"],
@@ -89,15 +116,16 @@ def gold_marts(spark: SparkSession, paths: LayerPaths) -> list[str]:
         "mart_category_performance": marts.mart_category_performance,
         "mart_order_status_daily": marts.mart_order_status_daily,
     }
-    for name in GOLD_MARTS:
-        write_parquet(builders[name](wide), paths.gold(name))
+    write_all({name: (lambda name=name: write_parquet(builders[name](wide), paths.gold(name)))
+               for name in GOLD_MARTS}, concurrent_jobs)
     return ["mart_order_analytics", *GOLD_MARTS]
 
 
-def run_pipeline(spark: SparkSession, paths: LayerPaths) -> dict[str, object]:
+def run_pipeline(spark: SparkSession, paths: LayerPaths,
+                 concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, object]:
     """Bronze -> gate -> silver -> gold, stopping at the first failure (K5)."""
-    report: dict[str, object] = {"bronze": bronze_ingest(spark, paths)}
-    report["gate"] = orders_gate(spark, paths)
-    report["silver"] = list(silver_model(spark, paths))
-    report["gold"] = gold_marts(spark, paths)
+    report: dict[str, object] = {"bronze": bronze_ingest(spark, paths, concurrent_jobs=concurrent_jobs)}
+    report["gate"] = orders_gate(spark, paths, concurrent_jobs)
+    report["silver"] = list(silver_model(spark, paths, concurrent_jobs))
+    report["gold"] = gold_marts(spark, paths, concurrent_jobs)
     return report

@@ -26,116 +26,141 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Model:
-    """Lazy silver/gold frames over one set of driver tables."""
+    """Lazy silver/gold frames over one set of driver tables.
+
+    Each frame is built once per model and shared by the queries that use
+    it (the four marts share one analysed ``enriched`` plan).  Only plans
+    are shared — nothing is cached or materialised.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = DriverTables(spark, sf_dir)
+        self._frames: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
+
+    def bronze(self, name: str) -> DataFrame:
+        return self._once("bronze:" + name, lambda: self.t.table(name))
 
     def orders_valid(self) -> DataFrame:
-        return quality.valid_orders(self.t.table("orders"))
+        return self._once("orders_valid", lambda: quality.valid_orders(self.bronze("orders")))
 
     def fact(self) -> DataFrame:
-        return facts.fct_order_items(self.t.table("order_items"), self.orders_valid(),
-                                     self.t.table("order_payments"), self.t.table("order_reviews"))
+        return self._once("fact", lambda: facts.fct_order_items(
+            self.bronze("order_items"), self.orders_valid(), self.bronze("order_payments"),
+            self.bronze("order_reviews")))
 
     def dim_customers(self) -> DataFrame:
-        return dims.dim_customers(self.t.table("customers"))
+        return self._once("dim_customers", lambda: dims.dim_customers(self.bronze("customers")))
 
     def dim_sellers(self) -> DataFrame:
-        return dims.dim_sellers(self.t.table("sellers"))
+        return self._once("dim_sellers", lambda: dims.dim_sellers(self.bronze("sellers")))
 
     def dim_products(self) -> DataFrame:
-        return dims.dim_products(self.t.table("products"), self.t.table("category_translation"))
+        return self._once("dim_products", lambda: dims.dim_products(
+            self.bronze("products"), self.bronze("category_translation")))
 
     def enriched(self) -> DataFrame:
-        return marts.fct_enriched(self.fact(), self.dim_customers(), self.dim_products(),
-                                  self.dim_sellers())
+        return self._once("enriched", lambda: marts.fct_enriched(
+            self.fact(), self.dim_customers(), self.dim_products(), self.dim_sellers()))
+
+
+_MODELS: dict[tuple, Model] = {}
 
 
+def model(spark: SparkSession, sf_dir: str) -> Model:
+    """The shared model of one session and one data folder."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = Model(spark, sf_dir)
+    return _MODELS[key]
 
 
 def q_dq_null_violations(spark, d):
-    return quality.null_violations(DriverTables(spark, d).table("orders"))
+    return quality.null_violations(model(spark, d).bronze("orders"))
 
 
 def q_dq_gate_valid(spark, d):
-    return Model(spark, d).orders_valid()
+    return model(spark, d).orders_valid()
 
 
 def q_dq_gate_quarantine(spark, d):
-    return quality.quarantined_orders(DriverTables(spark, d).table("orders"))
+    return quality.quarantined_orders(model(spark, d).bronze("orders"))
 
 
 def q_dq_gate_summary(spark, d):
-    return quality.gate_summary(DriverTables(spark, d).table("orders"))
+    return quality.gate_summary(model(spark, d).bronze("orders"))
 
 
 def q_dedupe_items(spark, d):
-    return facts.dedupe_items(DriverTables(spark, d).table("order_items"))
+    return facts.dedupe_items(model(spark, d).bronze("order_items"))
 
 
 def q_orders_parsed(spark, d):
-    return facts.parse_orders(Model(spark, d).orders_valid())
+    return facts.parse_orders(model(spark, d).orders_valid())
 
 
 def q_delivery_delay_flag(spark, d):
-    return facts.delivery_delay(facts.parse_orders(Model(spark, d).orders_valid()))
+    return facts.delivery_delay(facts.parse_orders(model(spark, d).orders_valid()))
 
 
 def q_dim_customers(spark, d):
-    return Model(spark, d).dim_customers()
+    return model(spark, d).dim_customers()
 
 
 def q_dim_sellers(spark, d):
-    return Model(spark, d).dim_sellers()
+    return model(spark, d).dim_sellers()
 
 
 def q_dim_products(spark, d):
-    return Model(spark, d).dim_products()
+    return model(spark, d).dim_products()
 
 
 def q_dim_geolocation(spark, d):
-    return dims.dim_geolocation(DriverTables(spark, d).table("geolocation"))
+    return dims.dim_geolocation(model(spark, d).bronze("geolocation"))
 
 
 def q_payments_per_order(spark, d):
-    return facts.payments_per_order(DriverTables(spark, d).table("order_payments"))
+    return facts.payments_per_order(model(spark, d).bronze("order_payments"))
 
 
 def q_reviews_per_order(spark, d):
-    return facts.reviews_per_order(DriverTables(spark, d).table("order_reviews"))
+    return facts.reviews_per_order(model(spark, d).bronze("order_reviews"))
 
 
 def q_fct_order_items(spark, d):
-    return Model(spark, d).fact()
+    return model(spark, d).fact()
 
 
 def q_fct_enriched(spark, d):
-    return Model(spark, d).enriched()
+    return model(spark, d).enriched()
 
 
 def q_mart_order_analytics(spark, d):
-    return marts.mart_order_analytics(Model(spark, d).enriched(), with_load_time=False)
+    return marts.mart_order_analytics(model(spark, d).enriched(), with_load_time=False)
 
 
 def q_mart_daily_sales(spark, d):
-    return marts.mart_daily_sales(Model(spark, d).enriched())
+    return marts.mart_daily_sales(model(spark, d).enriched())
 
 
 def q_mart_state_performance(spark, d):
-    return marts.mart_state_performance(Model(spark, d).enriched())
+    return marts.mart_state_performance(model(spark, d).enriched())
 
 
 def q_mart_category_performance(spark, d):
-    return marts.mart_category_performance(Model(spark, d).enriched())
+    return marts.mart_category_performance(model(spark, d).enriched())
 
 
 def q_mart_order_status_daily(spark, d):
-    return marts.mart_order_status_daily(Model(spark, d).enriched())
+    return marts.mart_order_status_daily(model(spark, d).enriched())
 
 
 def q_dq_ranked_orders(spark, d):
-    return quality.rank_orders(DriverTables(spark, d).table("orders"))
+    return quality.rank_orders(model(spark, d).bronze("orders"))
 
 
 # -- sources and sinks: write derived tables to a scratch folder in shared
@@ -143,13 +168,13 @@ def q_dq_ranked_orders(spark, d):
 
 def q_csv_explicit_scan(spark, d):
     path = scratch_path(spark, "csv-explicit") + "/orders"
-    write_csv(DriverTables(spark, d).table("orders"), path)
+    write_csv(model(spark, d).bronze("orders"), path)
     return read_raw_csv(spark, path, "orders")
 
 
 def q_csv_inferred_scan(spark, d):
     path = scratch_path(spark, "csv-inferred") + "/payments"
-    write_csv(DriverTables(spark, d).table("order_payments"), path)
+    write_csv(model(spark, d).bronze("order_payments"), path)
     return read_raw_csv(spark, path)
 
 
