@@ -92,9 +92,12 @@ class DriverTables:
             if groups < want and rows >= SPREAD_MIN_ROWS:
                 # A Parquet file is split by row group; a one-group file is
                 # scanned by one task however many cores there are.  Spread it
-                # once by hash of its first (key) column — no sort, no skew
-                # from the key arithmetic below.
-                df = df.repartition(want, df.columns[0])
+                # once by hash of a per-row id: even whatever the keys hold
+                # (a hot key would pile up under a key hash), no sort, and
+                # stable if the scan task is re-run (same file, same order).
+                rid = "_tillroll_row"
+                df = (df.withColumn(rid, F.monotonically_increasing_id())
+                        .repartition(want, rid).drop(rid))
             self._cache[name] = df
         return self._cache[name]
 
