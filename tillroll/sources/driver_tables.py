@@ -23,6 +23,13 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 SPREAD_MIN_ROWS = 100_000
 
+# bronze view -> driver table it is derived from
+SOURCES = {
+    "orders": "orders", "order_items": "lineitem", "order_payments": "events",
+    "order_reviews": "events", "customers": "customer", "sellers": "supplier",
+    "products": "part", "category_translation": "part", "geolocation": "part",
+}
+
 # Schemas of the driver tables (TESTDATA.md): given explicitly so a read is a
 # file listing, not a footer-reading job per table.
 DRIVER_SCHEMAS = {
@@ -53,7 +60,12 @@ def _rows_per_group(path: str) -> tuple[int, int]:
 
 
 def _text(ts: Column) -> Column:
-    return F.date_format(ts, TS_TEXT)
+    """``yyyy-MM-dd HH:mm:ss`` of a wall-clock timestamp, whole seconds.
+
+    Cast, not ``date_format``: formatting goes through the session time
+    zone, which could move a wall-clock midnight inside a DST gap.
+    """
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, len(TS_TEXT))
 
 
 def _days(ts: Column, n: Column | int) -> Column:
@@ -82,25 +94,33 @@ class DriverTables:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+            path = self._path(name)
             reader = self.spark.read
             if name in DRIVER_SCHEMAS:
                 reader = reader.schema(DRIVER_SCHEMAS[name])
-            df = reader.parquet(path)
-            want = self.spark.sparkContext.defaultParallelism
-            groups, rows = _rows_per_group(path)
-            if groups < want and rows >= SPREAD_MIN_ROWS:
-                # A Parquet file is split by row group; a one-group file is
-                # scanned by one task however many cores there are.  Spread it
-                # once by hash of a per-row id: even whatever the keys hold
-                # (a hot key would pile up under a key hash), no sort, and
-                # stable if the scan task is re-run (same file, same order).
-                rid = "_tillroll_row"
-                df = (df.withColumn(rid, F.monotonically_increasing_id())
-                        .repartition(want, rid).drop(rid))
-            self._cache[name] = df
+            self._cache[name] = reader.parquet(path)
         return self._cache[name]
 
+    def _path(self, name: str) -> str:
+        return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+
+    def _spread(self, df: DataFrame, source: str) -> DataFrame:
+        """Spread a view of a large one-row-group file over every core.
+
+        A Parquet file is split by row group, so a one-group file is scanned
+        by one task however many cores there are.  The view (after its
+        filters, which still reach the scan) is spread once by hash of a
+        per-row id: even whatever the keys hold (a hot key would pile up
+        under a key hash), no sort, and stable if a scan task is re-run.
+        """
+        want = self.spark.sparkContext.defaultParallelism
+        groups, rows = _rows_per_group(self._path(source))
+        if groups >= want or rows < SPREAD_MIN_ROWS:
+            return df
+        rid = "_tillroll_row"
+        return (df.withColumn(rid, F.monotonically_increasing_id())
+                  .repartition(want, rid).drop(rid))
+
     # -- bronze views -------------------------------------------------------
     def orders(self) -> DataFrame:
         """One row per driver order plus a second version of every 50th.
@@ -255,7 +275,8 @@ class DriverTables:
         )
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)().select(*column_names(name))
+        view = getattr(self, name)().select(*column_names(name))
+        return self._spread(view, SOURCES[name])
 
     def bronze(self) -> dict[str, DataFrame]:
         from tillroll.schemas import DATASET_FILES
