@@ -45,11 +45,20 @@ def test_silver_fact_and_gate(spark, smoke_dir, built):
     paths, _ = built
     q = all_queries()
     assert rows(spark.read.parquet(paths.silver("fct_order_items"))) == rows(q["fct_order_items"](spark, smoke_dir))
-    assert rows(spark.read.parquet(paths.silver("stg_orders"))) == rows(q["dq_gate_valid"](spark, smoke_dir))
-    quarantine = spark.read.parquet(paths.silver("stg_orders_quarantine"))
+    valid = pipeline.stg_orders(spark, paths)
+    assert valid.columns == q["dq_gate_valid"](spark, smoke_dir).columns
+    assert rows(valid) == rows(q["dq_gate_valid"](spark, smoke_dir))
+    quarantine = pipeline.stg_orders_quarantine(spark, paths)
     assert rows(quarantine) == rows(q["dq_gate_quarantine"](spark, smoke_dir))
 
 
+def test_gate_reads_one_partition(spark, built):
+    paths, _ = built
+    plan = pipeline.stg_orders(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(dq_status" in scan and "= valid)]" in scan
+
+
 def test_analytics_has_load_time(spark, built):
     paths, _ = built
     wide = spark.read.parquet(paths.gold("mart_order_analytics"))

@@ -63,32 +63,53 @@ def bronze_ingest(spark: SparkSession, paths: LayerPaths,
     return write_all({t: ingest(t, f) for t, f in datasets.items()}, concurrent_jobs)
 
 
-def orders_gate(spark: SparkSession, paths: LayerPaths,
-                concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, int]:
-    """Bronze orders -> ``stg_orders`` + ``stg_orders_quarantine`` (K2).
+GATE_TABLE = "stg_orders_gate"
+STATUS = "dq_status"
 
-    Counts are observed during the two writes instead of by extra jobs.
+
+def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
+    """Bronze orders -> the gate table, valid and quarantined rows (K2, V8).
+
+    The orders are tagged once and written once, partitioned by a string
+    ``dq_status`` ('valid' / 'quarantined'): one pass computes the per-key
+    survivors for both sides, and the counts are observed during that write
+    instead of by extra jobs.  ``stg_orders`` / ``stg_orders_quarantine``
+    read one partition each.
     """
     orders = read_table(spark, paths.bronze("orders"))
     quality.require_columns(orders)
-    ok, bad = Observation("valid"), Observation("quarantined")
-    valid = quality.valid_orders(orders).observe(ok, F.count(F.lit(1)).alias("rows"))
-    rejected = quality.quarantined_orders(orders).observe(bad, F.count(F.lit(1)).alias("rows"))
-    write_all({"stg_orders": lambda: write_parquet(valid, paths.silver("stg_orders")),
-               "stg_orders_quarantine": lambda: write_parquet(rejected, paths.silver("stg_orders_quarantine"))},
-              concurrent_jobs)
-    counts = {"valid": ok.get["rows"], "quarantined": bad.get["rows"]}
+    is_valid = F.col(quality.REASON).isNull()
+    seen = Observation("gate")
+    tagged = (quality.tag_orders(orders)
+              .withColumn(STATUS, F.when(is_valid, F.lit("valid")).otherwise(F.lit("quarantined")))
+              .observe(seen, F.sum(is_valid.cast("long")).alias("valid"),
+                       F.sum((~is_valid).cast("long")).alias("quarantined")))
+    write_parquet(tagged, paths.silver(GATE_TABLE), partition_by=[STATUS])
+    got = seen.get
+    counts = {"valid": got["valid"] or 0, "quarantined": got["quarantined"] or 0}
     log.info("valid rows: %d | quarantined: %d", counts["valid"], counts["quarantined"])
     if counts["quarantined"]:
         log.warning("%d rows sent to quarantine", counts["quarantined"])
     return counts
 
 
+def stg_orders(spark: SparkSession, paths: LayerPaths) -> DataFrame:
+    """Valid orders, bronze schema (partition-pruned read of the gate table)."""
+    gate = read_table(spark, paths.silver(GATE_TABLE))
+    return gate.filter(F.col(STATUS) == "valid").drop(STATUS, quality.REASON)
+
+
+def stg_orders_quarantine(spark: SparkSession, paths: LayerPaths) -> DataFrame:
+    """Quarantined orders with their ``dq_reason``."""
+    gate = read_table(spark, paths.silver(GATE_TABLE))
+    return gate.filter(F.col(STATUS) == "quarantined").drop(STATUS)
+
+
 def silver_model(spark: SparkSession, paths: LayerPaths,
                  concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, DataFrame]:
     """Bronze + ``stg_orders`` -> four dimensions and the fact (K3)."""
     b = {t: read_table(spark, paths.bronze(t)) for t in DATASET_FILES}
-    stg = read_table(spark, paths.silver("stg_orders"))
+    stg = stg_orders(spark, paths)
     out = {
         "dim_customers": dims.dim_customers(b["customers"]),
         "dim_sellers": dims.dim_sellers(b["sellers"]),
@@ -125,7 +146,7 @@ def run_pipeline(spark: SparkSession, paths: LayerPaths,
                  concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, object]:
     """Bronze -> gate -> silver -> gold, stopping at the first failure (K5)."""
     report: dict[str, object] = {"bronze": bronze_ingest(spark, paths, concurrent_jobs=concurrent_jobs)}
-    report["gate"] = orders_gate(spark, paths, concurrent_jobs)
+    report["gate"] = orders_gate(spark, paths)
     report["silver"] = list(silver_model(spark, paths, concurrent_jobs))
     report["gold"] = gold_marts(spark, paths, concurrent_jobs)
     return report
