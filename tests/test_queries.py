@@ -4,7 +4,6 @@ DuckDB oracle, the entry point, determinism, and the survey's invariants."""
 import datetime as dt
 import decimal
 import math
-import os
 from collections import Counter
 
 import pytest

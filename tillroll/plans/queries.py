@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.operators import dims, facts, marts, quality
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
-from tillroll.schemas import DATASET_FILES
 from tillroll.session import scratch_path
 from tillroll.sinks.files import write_csv, write_parquet
 from tillroll.sources.csv import read_raw_csv
@@ -186,15 +185,15 @@ def q_parquet_overwrite_roundtrip(spark, d):
     return read_table(spark, path)
 
 
-def _landed(spark, d, name) -> tuple[LayerPaths, DriverTables]:
+def _landed(spark, d, name) -> LayerPaths:
+    """Land the driver-derived bronze tables as raw CSV in a scratch folder."""
     paths = LayerPaths.under(scratch_path(spark, name))
-    t = DriverTables(spark, d)
-    land_tables(t.bronze(), paths)
-    return paths, t
+    land_tables(DriverTables(spark, d).bronze(), paths)
+    return paths
 
 
 def q_bronze_ingest(spark, d):
-    paths, _ = _landed(spark, d, "bronze-ingest")
+    paths = _landed(spark, d, "bronze-ingest")
     tables = pipeline.bronze_ingest(spark, paths)
     counts = [read_table(spark, paths.bronze(t)).select(F.lit(t).alias("bronze_table"))
               for t in tables]
@@ -211,7 +210,7 @@ def q_landing_manifest(spark, d):
 
 
 def q_landing_discovery(spark, d):
-    paths, _ = _landed(spark, d, "discovery")
+    paths = _landed(spark, d, "discovery")
     files = discover_csv(spark, paths.raw("", "latest").rstrip("/"))
     folder = F.regexp_extract("path", r"/latest/([^/]+)/[^/]+$", 1)
     return (files.groupBy(folder.alias("dataset_file"))
