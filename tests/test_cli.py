@@ -6,14 +6,14 @@ from tillroll.cli import layer_paths, parse_args
 
 
 def test_root_layout():
-    p = layer_paths(parse_args(["gate", "--root", "/w/"]))
-    assert p.bronze("orders") == "/w/clean/olist/bronze/orders"
+    p = layer_paths(parse_args(["gate", "--root", "/w/", "--dataset", "shop"]))
+    assert p.bronze("orders") == "/w/clean/shop/bronze/orders"
 
 
 def test_explicit_bases():
-    p = layer_paths(parse_args(["all", "--raw", "s3a://raw", "--clean", "s3a://clean/olist",
-                                "--mart", "s3a://mart/olist"]))
-    assert p.gold("mart_daily_sales") == "s3a://mart/olist/gold/mart_daily_sales"
+    p = layer_paths(parse_args(["all", "--raw", "s3a://raw", "--clean", "s3a://clean/shop",
+                                "--mart", "s3a://mart/shop"]))
+    assert p.gold("mart_daily_sales") == "s3a://mart/shop/gold/mart_daily_sales"
 
 
 def test_missing_bases_rejected(monkeypatch):

@@ -7,32 +7,32 @@ from tillroll.paths import LayerPaths
 
 @pytest.fixture()
 def paths():
-    return LayerPaths("s3a://raw", "s3a://clean/olist", "s3a://mart/olist")
+    return LayerPaths("s3a://raw", "s3a://clean/shop", "s3a://mart/shop", "shop")
 
 
 @pytest.fixture()
 def slashed():
-    return LayerPaths("s3a://raw/", "s3a://clean/olist/", "s3a://mart/olist/")
+    return LayerPaths("s3a://raw/", "s3a://clean/shop/", "s3a://mart/shop/", "shop")
 
 
 def test_raw_path(paths):
-    assert paths.raw("orders.csv") == "s3a://raw/olist/latest/orders.csv"
+    assert paths.raw("orders.csv") == "s3a://raw/shop/latest/orders.csv"
 
 
 def test_raw_path_snapshot(paths):
-    assert paths.raw("orders.csv", "archive/run_ts=1") == "s3a://raw/olist/archive/run_ts=1/orders.csv"
+    assert paths.raw("orders.csv", "archive/run_ts=1") == "s3a://raw/shop/archive/run_ts=1/orders.csv"
 
 
 def test_bronze_path(paths):
-    assert paths.bronze("orders") == "s3a://clean/olist/bronze/orders"
+    assert paths.bronze("orders") == "s3a://clean/shop/bronze/orders"
 
 
 def test_silver_path(paths):
-    assert paths.silver("stg_orders") == "s3a://clean/olist/silver/stg_orders"
+    assert paths.silver("stg_orders") == "s3a://clean/shop/silver/stg_orders"
 
 
 def test_gold_path(paths):
-    assert paths.gold("mart_daily_sales") == "s3a://mart/olist/gold/mart_daily_sales"
+    assert paths.gold("mart_daily_sales") == "s3a://mart/shop/gold/mart_daily_sales"
 
 
 @pytest.mark.parametrize("layer,table", [("raw", "orders.csv"), ("bronze", "orders"),
@@ -51,7 +51,12 @@ def test_unknown_layer_rejected(paths):
 
 
 def test_under_root():
-    p = LayerPaths.under("/data/")
-    assert p.bronze("orders") == "/data/clean/olist/bronze/orders"
-    assert p.gold("m") == "/data/mart/olist/gold/m"
-    assert p.raw("f.csv") == "/data/raw/olist/latest/f.csv"
+    p = LayerPaths.under("/data/", "shop")
+    assert p.bronze("orders") == "/data/clean/shop/bronze/orders"
+    assert p.gold("m") == "/data/mart/shop/gold/m"
+    assert p.raw("f.csv") == "/data/raw/shop/latest/f.csv"
+
+
+def test_default_dataset_folder():
+    from tillroll.schemas import DATASET_FOLDER
+    assert LayerPaths.under("/d").raw("f.csv") == f"/d/raw/{DATASET_FOLDER}/latest/f.csv"

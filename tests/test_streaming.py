@@ -1,13 +1,13 @@
 """Incremental bronze ingest: only new files are appended, restarts resume."""
 
 from tillroll.paths import LayerPaths
-from tillroll.schemas import DATASET_FILES
+from tillroll.schemas import DATASET_FILES, DATASET_FOLDER
 from tillroll.streaming import ingest_incrementally
 
 
 def test_incremental_ingest_appends_new_files_only(spark, tmp_path):
     paths = LayerPaths.under(str(tmp_path))
-    landing = tmp_path / "raw" / "olist" / "latest" / DATASET_FILES["sellers"]
+    landing = tmp_path / "raw" / DATASET_FOLDER / "latest" / DATASET_FILES["sellers"]
     landing.mkdir(parents=True)
     header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
     (landing / "part-1.csv").write_text(header + "s1,01000,sp,SP\ns2,02000,rio,RJ\n")

@@ -1,6 +1,6 @@
 """Command line: run one pipeline stage or all of them.
 
-    spark-submit tillroll_main.py all --raw s3a://raw --clean s3a://clean/olist --mart s3a://mart/olist
+    spark-submit tillroll_main.py all --raw s3a://raw --clean s3a://clean/shop --mart s3a://mart/shop
     python -m tillroll gate --root /data/warehouse
 
 Base folders default to the environment variables RAW_BASE_PATH,
@@ -18,6 +18,7 @@ import os
 import sys
 
 from tillroll.paths import LayerPaths
+from tillroll.schemas import DATASET_FOLDER
 
 STAGES = ("bronze", "gate", "silver", "gold", "all")
 
@@ -29,7 +30,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--raw", default=os.environ.get("RAW_BASE_PATH"))
     p.add_argument("--clean", default=os.environ.get("CLEAN_BASE_PATH"))
     p.add_argument("--mart", default=os.environ.get("MART_BASE_PATH"))
-    p.add_argument("--dataset", default="olist")
+    p.add_argument("--dataset", default=DATASET_FOLDER)
     p.add_argument("--concurrent-jobs", type=int, default=4)
     return p.parse_args(argv)
 

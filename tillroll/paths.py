@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from tillroll.schemas import DATASET_FOLDER
+
 LAYERS = ("raw", "bronze", "silver", "gold")
 
 
@@ -16,7 +18,7 @@ class LayerPaths:
     raw_base: str
     clean_base: str
     mart_base: str
-    dataset: str = "olist"
+    dataset: str = DATASET_FOLDER
 
     def raw(self, filename: str, snapshot: str = "latest") -> str:
         return f"{_strip(self.raw_base)}/{self.dataset}/{snapshot}/{filename}"
@@ -36,7 +38,7 @@ class LayerPaths:
         return getattr(self, layer)(table)
 
     @classmethod
-    def under(cls, root: str, dataset: str = "olist") -> "LayerPaths":
+    def under(cls, root: str, dataset: str = DATASET_FOLDER) -> "LayerPaths":
         """All layers below one root folder (tests, local runs, scratch)."""
         r = _strip(root)
         return cls(f"{r}/raw", f"{r}/clean/{dataset}", f"{r}/mart/{dataset}", dataset)

@@ -12,6 +12,9 @@ from pyspark.sql.types import (
 )
 
 # --- fixed values (must match the source dataset) -------------------------
+# Folder of the dataset below the raw base (``<raw>/<folder>/latest/<file>``).
+DATASET_FOLDER = "olist"
+
 # Raw file name of each bronze table, in ingest order.
 DATASET_FILES: dict[str, str] = {
     "customers": "olist_customers_dataset.csv",
