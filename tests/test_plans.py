@@ -1,0 +1,64 @@
+"""The plan shapes the scale design relies on, checked on sf0.001."""
+
+import re
+
+import pytest
+
+from tillroll.plans.queries import all_queries
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def qs():
+    return all_queries()
+
+
+def test_gate_limits_each_key_before_the_shuffle(spark, smoke_dir, qs):
+    plan = physical(qs["dq_gate_valid"](spark, smoke_dir))
+    lines = plan.split("\n")
+    final = next(i for i, l in enumerate(lines) if re.search(r"WindowGroupLimit .*Final", l))
+    exchange = next(i for i, l in enumerate(lines) if i > final and "Exchange hashpartitioning(order_id" in l)
+    partial = next(i for i, l in enumerate(lines) if re.search(r"WindowGroupLimit .*Partial", l))
+    assert final < exchange < partial  # printed top-down: partial runs before the shuffle
+
+
+def test_dedupe_aggregates_before_the_shuffle(spark, smoke_dir, qs):
+    plan = physical(qs["dedupe_items"](spark, smoke_dir))
+    lines = [l for l in plan.split("\n") if "Aggregate" in l or "Exchange" in l]
+    kinds = ["partial" if "partial_min" in l else "final" if "min(" in l else "exchange"
+             for l in lines if "Exchange" in l or "min" in l]
+    # printed top-down: final aggregate, exchange on the keys, partial aggregate
+    assert kinds[:3] == ["final", "exchange", "partial"]
+
+
+def test_marts_without_dimension_columns_join_no_dimension(spark, smoke_dir, qs):
+    plan = optimized(qs["mart_daily_sales"](spark, smoke_dir))
+    for key in ("c_custkey", "s_suppkey", "p_partkey", "n_nationkey"):
+        assert key not in plan
+    state = optimized(qs["mart_state_performance"](spark, smoke_dir))
+    assert "c_custkey" in state and "s_suppkey" not in state and "p_partkey" not in state
+
+
+def test_distinct_count_is_two_level(spark, smoke_dir, qs):
+    plan = physical(qs["mart_state_performance"](spark, smoke_dir))
+    assert "partial_count(distinct order_id" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, smoke_dir, qs):
+    df = qs["reviews_per_order"](spark, smoke_dir)
+    plan = physical(df)
+    scan = next(l for l in plan.split("\n") if "FileScan parquet" in l)
+    assert "EqualTo(event_type,view)" in scan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in scan
+
+
+def test_no_broadcast_hint_anywhere(spark, smoke_dir, qs):
+    for name in ("fct_enriched", "mart_category_performance", "dim_products"):
+        assert "broadcast" not in optimized(qs[name](spark, smoke_dir)).lower()
