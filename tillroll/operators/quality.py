@@ -28,6 +28,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.functions import any_null, first_null_reason, parse_ts, replicate_rows, sort_key
+from tillroll.session import shared_dir
 
 # fixed values: columns every order must have (reference gate)
 REQUIRED_COLUMNS = [
@@ -159,14 +160,20 @@ def rank_orders(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL
     ranks are counted inside each (range partition, key) piece; and each
     piece is offset by the row counts of the same key in earlier range
     partitions — a table of at most one row per (partition, key) piece.
+
+    Both branches must see the same range partitions, whose bounds come from
+    sampling; so the partitioned rows are checkpointed once (a job, written
+    to the session's shared ``spark.checkpoint.dir``) and both read that.
     """
     cols = df.columns
     ties = _ties(df, key, tie_break)
     with_ts = df.withColumn("_ts", parse_ts(order_col) if order_col else F.lit(None))
     within = [F.col("_ts").asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in ties]
     versions = with_ts.groupBy(*cols, "_ts").agg(F.count(F.lit(1)).alias("_n"))
+    shared_dir(df.sparkSession)
     ordered = (versions.orderBy(F.col(key).asc_nulls_first(), *within)
-                       .withColumn("_part", F.spark_partition_id()))
+                       .withColumn("_part", F.spark_partition_id())
+                       .checkpoint(eager=True))
     before = Window.partitionBy("_part", key).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
     local = ordered.withColumn("_local", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
