@@ -76,12 +76,15 @@ def order_attributes(orders_valid: DataFrame, payments: DataFrame, reviews: Data
 
     Full outer joins of three order-unique tables: an order known only to
     payments or reviews keeps those attributes, as the item joins require.
+    Payments meet reviews first: both aggregates are already partitioned by
+    ``order_id``, so that join needs no exchange, and only its (smaller)
+    result is re-partitioned to meet the orders.
     """
     o = parse_orders(orders_valid).select(
         "order_id", "customer_id", "order_status", "order_purchase_ts",
         "order_delivered_customer_ts", "order_estimated_delivery_ts")
-    return (o.join(payments_per_order(payments), on="order_id", how="full")
-             .join(reviews_per_order(reviews), on="order_id", how="full"))
+    paid_reviewed = payments_per_order(payments).join(reviews_per_order(reviews), on="order_id", how="full")
+    return o.join(paid_reviewed, on="order_id", how="full")
 
 
 def fct_order_items(order_items: DataFrame, orders_valid: DataFrame,
