@@ -133,20 +133,34 @@ def quarantined_orders(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS
 def gate_summary(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
                  order_col: str | None = ORDER_COL,
                  tie_break: Sequence[str] | None = None) -> DataFrame:
-    """Row counts per outcome and reason, without expanding copies.
+    """Row counts per outcome and reason.
 
     Output: ``outcome`` ('valid' | 'quarantined'), ``dq_reason`` (NULL for
-    valid), ``row_count`` (bigint).
+    valid), ``row_count`` (bigint).  Counting needs no full-row aggregation:
+    incomplete rows are counted by their first NULL column, valid rows are
+    the complete survivors, and duplicates are the complete rows that are
+    not valid — one small aggregation over the rows and the survivors.
     """
-    counts = gate_counts(df, required, key, order_col, tie_break)
-    pairs = counts.select(F.inline(F.array(
+    require_columns(df, required)
+    complete = ~any_null(required)
+    rows = df.select(first_null_reason(required).alias(REASON),
+                     F.lit(1).alias("_rows"), F.lit(0).alias("_valid"))
+    valid = (survivors(df, key, order_col, tie_break).filter(complete)
+             .select(F.lit(None).cast("string").alias(REASON), F.lit(0).alias("_rows"),
+                     F.lit(1).alias("_valid")))
+    per_reason = (rows.unionByName(valid).groupBy(REASON)
+                  .agg(F.sum("_rows").cast("long").alias("_rows"),
+                       F.sum("_valid").cast("long").alias("_valid")))
+    incomplete = F.col(REASON).isNotNull()
+    pairs = per_reason.select(F.inline(F.array(
         F.struct(F.lit("valid").alias("outcome"), F.lit(None).cast("string").alias(REASON),
-                 F.col("_valid").cast("long").alias("_k")),
-        F.struct(F.lit("quarantined").alias("outcome"), F.col(REASON).alias(REASON),
-                 F.col("_quarantined").cast("long").alias("_k")),
+                 F.col("_valid").alias("row_count")),
+        F.struct(F.lit("quarantined").alias("outcome"),
+                 F.coalesce(F.col(REASON), F.lit(DUPLICATE)).alias(REASON),
+                 F.when(incomplete, F.col("_rows")).otherwise(F.col("_rows") - F.col("_valid"))
+                  .alias("row_count")),
     )))
-    return (pairs.groupBy("outcome", REASON).agg(F.sum("_k").alias("row_count"))
-                 .filter(F.col("row_count") > 0))
+    return pairs.filter(F.col("row_count") > 0)
 
 
 def rank_orders(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL,
