@@ -63,8 +63,12 @@ def money_sum(c: ColumnOrName, digits: int = 2) -> Column:
     return F.round(F.sum(_col(c).cast("decimal(18,6)")), digits).cast("double")
 
 
-def exact_mean(c: ColumnOrName, scale: int = 6) -> Column:
-    """Mean of a double whose value does not depend on summation order."""
+def exact_mean(c: ColumnOrName, scale: int = 12) -> Column:
+    """Mean of a double whose value does not depend on summation order.
+
+    Values are summed as ``decimal(18, scale)`` (|x| < 10^(18-scale); with the
+    default 12 decimals that is any coordinate, to 1e-12) and divided once.
+    """
     x = _col(c)
     return F.sum(x.cast(f"decimal(18,{scale})")).cast("double") / F.count(x)
 

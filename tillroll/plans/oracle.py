@@ -296,8 +296,8 @@ FROM o_parsed""",
     "dim_geolocation": """
 SELECT geolocation_zip_code_prefix, lower(trim(geolocation_city)) AS geolocation_city,
        geolocation_state,
-       cast(sum(cast(geolocation_lat AS DECIMAL(18,6))) AS DOUBLE) / count(geolocation_lat) AS avg_lat,
-       cast(sum(cast(geolocation_lng AS DECIMAL(18,6))) AS DOUBLE) / count(geolocation_lng) AS avg_lng
+       cast(sum(cast(geolocation_lat AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lat) AS avg_lat,
+       cast(sum(cast(geolocation_lng AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lng) AS avg_lng
 FROM b_geolocation
 GROUP BY geolocation_zip_code_prefix, lower(trim(geolocation_city)), geolocation_state""",
     "payments_per_order": "SELECT * FROM pay",
