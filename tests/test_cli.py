@@ -33,3 +33,15 @@ def test_env_bases(monkeypatch):
 def test_unknown_stage_rejected():
     with pytest.raises(SystemExit):
         parse_args(["platinum", "--root", "/w"])
+
+
+def test_scale_conf_sizes_partitions():
+    from tillroll.session import scale_conf
+    conf = scale_conf(100 * 10**12)
+    assert conf["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (200 << 20)))
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_shuffle_bytes_flag():
+    assert parse_args(["all", "--root", "/w", "--shuffle-bytes", "1e12"]).shuffle_bytes == 1e12

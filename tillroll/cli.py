@@ -32,6 +32,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--mart", default=os.environ.get("MART_BASE_PATH"))
     p.add_argument("--dataset", default=DATASET_FOLDER)
     p.add_argument("--concurrent-jobs", type=int, default=4)
+    p.add_argument("--shuffle-bytes", type=float, default=None,
+                   help="expected largest shuffle in bytes; sizes shuffle partitions (opt-in)")
     return p.parse_args(argv)
 
 
@@ -52,6 +54,10 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     paths = layer_paths(args)
     spark = SparkSession.builder.appName(f"tillroll-{args.stage}").getOrCreate()
+    if args.shuffle_bytes:
+        from tillroll.session import scale_conf
+        for key, value in scale_conf(int(args.shuffle_bytes)).items():
+            spark.conf.set(key, value)
     n = args.concurrent_jobs
     run = {
         "bronze": lambda: pipeline.bronze_ingest(spark, paths, concurrent_jobs=n),

@@ -52,3 +52,25 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared directory."""
     return f"{shared_dir(spark)}/tillroll-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 200 << 20,
+               max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Runtime SQL settings sized for an expected shuffle volume.
+
+    ``spark.sql.shuffle.partitions`` is set so each reducer starts with about
+    ``partition_bytes`` (AQE only coalesces downwards, so the initial number
+    must be large enough for the biggest shuffle); skew handling and
+    coalescing use the same target.  Example: 100 TiB of shuffle at 200 MiB
+    per partition -> 524,288 partitions.  Nothing here is applied automatically.
+    """
+    parts = max(1, -(-int(shuffle_bytes) // int(partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+    }
