@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions import money_sum, rounded_mean
+from tillroll.operators.joins import left_join_unique
 
 ANALYTICS_COLUMNS = [
     "order_id", "order_item_id", "order_date", "order_status", "customer_state",
@@ -26,20 +27,22 @@ ANALYTICS_COLUMNS = [
 
 
 def fct_enriched(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
-                 dim_sellers: DataFrame) -> DataFrame:
+                 dim_sellers: DataFrame, hot_keys: int = 0) -> DataFrame:
     """Fact plus customer, product and seller attributes.
 
     Each dimension is unique per key and pruned to the attributes used;
     Spark broadcasts a side only when its measured size is under the
-    broadcast threshold, else sort-merge joins it (skew-split by AQE).
+    broadcast threshold, else sort-merge joins it (skew-split by AQE when
+    both sides are fresh shuffles).  ``hot_keys > 0`` splits the most
+    frequent keys of each join off to a bounded broadcast join
+    (``joins.left_join_unique``) for composed plans with hot dimension keys.
     """
-    return (fact
-            .join(dim_customers.select("customer_id", "customer_state", "customer_city"),
-                  on="customer_id", how="left")
-            .join(dim_products.select("product_id", "product_category_name_en"),
-                  on="product_id", how="left")
-            .join(dim_sellers.select("seller_id", "seller_city", "seller_state"),
-                  on="seller_id", how="left"))
+    out = left_join_unique(fact, dim_customers.select("customer_id", "customer_state", "customer_city"),
+                           "customer_id", hot_keys)
+    out = left_join_unique(out, dim_products.select("product_id", "product_category_name_en"),
+                           "product_id", hot_keys)
+    return left_join_unique(out, dim_sellers.select("seller_id", "seller_city", "seller_state"),
+                            "seller_id", hot_keys)
 
 
 def mart_order_analytics(enriched: DataFrame, with_load_time: bool = True) -> DataFrame:
