@@ -82,8 +82,8 @@ def main() -> None:
         t0 = time.perf_counter()
         pipeline.run_pipeline(spark, paths)
         if timed:
-            times["pipeline_end_to_end"] = round(time.perf_counter() - t0, 3)
-            fastest["pipeline_end_to_end"] = times["pipeline_end_to_end"]
+            times["warehouse_build"] = round(time.perf_counter() - t0, 3)
+            fastest["warehouse_build"] = times["warehouse_build"]
 
     print(json.dumps({
         "metric": "sum_of_headline_query_seconds",
