@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillroll.functions import exact_mean, normalise_text
 from tillroll.operators.dedupe import keep_first
 
+# fixed value: category name when a product has no (translated) category
 UNKNOWN_CATEGORY = "unknown"
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from tillroll.functions import delay_flag, first_value_by, money_sum, parse_ts
 from tillroll.operators.dedupe import keep_first
 
-# raw text column -> parsed timestamp column (fixed names)
+# --- fixed values: column names of the silver model -------------------------
+# raw text column -> parsed timestamp column
 ORDER_TIMESTAMPS = {
     "order_purchase_timestamp": "order_purchase_ts",
     "order_approved_at": "order_approved_ts",
@@ -26,8 +27,10 @@ ORDER_TIMESTAMPS = {
     "order_estimated_delivery_date": "order_estimated_delivery_ts",
 }
 
+# grain of the fact
 ITEM_KEYS = ["order_id", "order_item_id"]
 
+# columns of the fact, in order
 FACT_COLUMNS = [
     "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
     "price", "freight_value", "customer_id", "order_status", "order_purchase_ts",
@@ -35,6 +38,7 @@ FACT_COLUMNS = [
     "payment_type_primary", "payment_installments_total", "review_score",
     "review_creation_ts", "order_date", "is_delayed",
 ]
+# --- end of fixed values ----------------------------------------------------
 
 
 def parse_orders(orders: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillroll.functions import money_sum, rounded_mean
 from tillroll.operators.joins import left_join_unique
 
+# fixed values: columns of the wide analytics mart, in order (plus the load time)
 ANALYTICS_COLUMNS = [
     "order_id", "order_item_id", "order_date", "order_status", "customer_state",
     "customer_city", "seller_state", "seller_city", "product_id", "product_category_name_en",
