@@ -50,12 +50,20 @@ DRIVER_SCHEMAS = {
 
 
 def _rows_per_group(path: str) -> tuple[int, int]:
-    """(row groups, rows) of a local Parquet file from its footer alone."""
+    """(row groups, rows) of a local Parquet file or folder, from footers alone."""
     try:
+        import glob
+        import os
+
         import pyarrow.parquet as pq
-        meta = pq.ParquetFile(path).metadata
-        return meta.num_row_groups, meta.num_rows
-    except Exception:  # remote storage or not a single file: leave the scan as is
+        files = sorted(glob.glob(os.path.join(path, "*.parquet"))) if os.path.isdir(path) else [path]
+        groups = rows = 0
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            groups += meta.num_row_groups
+            rows += meta.num_rows
+        return groups, rows
+    except Exception:  # remote storage or unreadable: leave the scan as is
         return 1 << 30, 0
 
 
