@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.operators import dims, facts, marts, quality
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, session_key
 from tillroll.sinks.files import write_csv, write_parquet
 from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.driver_tables import DriverTables
@@ -72,7 +72,7 @@ _MODELS: dict[tuple, Model] = {}
 
 def model(spark: SparkSession, sf_dir: str) -> Model:
     """The shared model of one session and one data folder."""
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+    key = (*session_key(spark), sf_dir.rstrip("/"))
     if key not in _MODELS:
         _MODELS[key] = Model(spark, sf_dir)
     return _MODELS[key]

@@ -40,7 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
     ...).  Only when it is unset — local runs and tests — do we set one
     ourselves under a fresh local temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns checkpointing
+        return (spark.conf.get("spark.checkpoint.dir", None)
+                or tempfile.mkdtemp(prefix="tillroll-ckpt-")).rstrip("/")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
@@ -49,6 +53,22 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Default parallelism of the session (cores in local mode)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        return int(spark.conf.get("spark.default.parallelism", str(os.cpu_count() or 8)))
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session, stable while it lives."""
+    try:
+        return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+    except Exception:  # Spark Connect
+        return ("connect", spark.session_id if hasattr(spark, "session_id") else id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared directory."""
     return f"{shared_dir(spark)}/tillroll-scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.schemas import column_names
+from tillroll.session import parallelism
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -121,7 +122,7 @@ class DriverTables:
         per-row id: even whatever the keys hold (a hot key would pile up
         under a key hash), no sort, and stable if a scan task is re-run.
         """
-        want = self.spark.sparkContext.defaultParallelism
+        want = parallelism(self.spark)
         groups, rows = _rows_per_group(self._path(source))
         if groups >= want or rows < SPREAD_MIN_ROWS:
             return df
