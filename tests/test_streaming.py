@@ -20,3 +20,19 @@ def test_incremental_ingest_appends_new_files_only(spark, tmp_path):
     assert sorted(r["seller_id"] for r in out.collect()) == ["s1", "s2", "s3"]
     ingest_incrementally(spark, paths, "sellers", checkpoint=ckpt)   # nothing new
     assert spark.read.parquet(paths.bronze("sellers")).count() == 3
+
+
+def test_incremental_ingest_of_free_text_reviews(spark, tmp_path):
+    paths = LayerPaths.under(str(tmp_path))
+    landing = tmp_path / "raw" / DATASET_FOLDER / "latest" / DATASET_FILES["order_reviews"]
+    landing.mkdir(parents=True)
+    (landing / "part-1.csv").write_text(
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+        "review_creation_date,review_answer_timestamp\n"
+        'r1,o1,5,,"two\nlines, ""quoted""",2018-01-18 00:00:00,2018-01-18 21:46:59\n'
+        "r2,o2,4,,,2018-03-10 00:00:00,2018-03-11 03:05:13\n")
+    ingest_incrementally(spark, paths, "order_reviews", checkpoint=str(tmp_path / "ckpt"))
+    rows = {r["review_id"]: r for r in spark.read.parquet(paths.bronze("order_reviews")).collect()}
+    assert set(rows) == {"r1", "r2"}
+    assert rows["r1"]["review_comment_message"] == 'two\nlines, "quoted"'
+    assert rows["r2"]["review_score"] == 4
