@@ -12,11 +12,12 @@ Scale design
 * The survivor of each key comes from ``row_number() == 1``, which Catalyst
   plans as a partial per-key limit *before* the shuffle: a key holding a
   third of the table still reaches the reducer as one row per map task.
-* Identical copies are collapsed by an aggregation on the full row (map-side
-  partial aggregation), and the survivor is marked by folding it into the
-  same aggregation — no join, no per-row rank over a whole group.  Copies
-  are expanded again only at the end, in chunks spread over the cluster
-  (``replicate_rows``).
+* Identical complete copies are collapsed by an aggregation on the full row
+  (map-side partial aggregation), and the survivor is marked by folding it
+  into the same aggregation — no join, no per-row rank over a whole group.
+  Copies are expanded again only at the end, in chunks spread over the
+  cluster (``replicate_rows``).  Incomplete rows skip all of it: they are
+  quarantined whatever their rank.
 * NULL keys never enter the ranking: they fail the NULL test whatever their
   rank, and as one window group they would all land in one task.
 """
@@ -81,38 +82,42 @@ def survivors(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL,
 def gate_counts(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
                 order_col: str | None = ORDER_COL,
                 tie_break: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows with how many copies are valid and quarantined, and why.
+    """Distinct *complete* rows with how many copies are valid and duplicates.
 
-    Output: the input columns, ``_valid`` (0/1), ``_quarantined`` (count of
-    the remaining copies) and ``dq_reason`` for those copies.
+    Output: the input columns, ``_valid`` (0/1) and ``_quarantined`` (the
+    remaining copies, all ``duplicate``).  The survivors are ranked over every
+    row (an incomplete row can outrank a complete one), but only complete rows
+    are aggregated: incomplete rows are quarantined whatever their rank.
     """
     require_columns(df, required)
     cols = df.columns
-    first = survivors(df, key, order_col, tie_break)
-    marked = (df.select(*cols, F.lit(1).alias("_n"), F.lit(0).alias("_first"))
+    complete = ~any_null(required)
+    first = survivors(df, key, order_col, tie_break).filter(complete)
+    marked = (df.filter(complete).select(*cols, F.lit(1).alias("_n"), F.lit(0).alias("_first"))
                 .unionByName(first.select(*cols, F.lit(0).alias("_n"), F.lit(1).alias("_first")))
                 .groupBy(*cols)
-                .agg(F.sum("_n").alias("_n"), F.max("_first").alias("_first")))
-    why = first_null_reason(required)
-    valid = F.when(why.isNull() & (F.col("_first") == 1), F.lit(1)).otherwise(F.lit(0))
-    return marked.select(*cols,
-                         valid.alias("_valid"),
-                         (F.col("_n") - valid).alias("_quarantined"),
-                         F.coalesce(why, F.lit(DUPLICATE)).alias(REASON))
+                .agg(F.sum("_n").alias("_n"), F.max("_first").alias("_valid")))
+    return marked.select(*cols, F.col("_valid"), (F.col("_n") - F.col("_valid")).alias("_quarantined"))
 
 
 def tag_orders(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
                order_col: str | None = ORDER_COL,
                tie_break: Sequence[str] | None = None) -> DataFrame:
-    """Every input row once, plus ``dq_reason`` (NULL = valid)."""
+    """Every input row once, plus ``dq_reason`` (NULL = valid).
+
+    Incomplete rows pass straight through with their NULL tag — no shuffle,
+    so even a third of the table with a NULL key never meets in one task.
+    Complete rows go through ``gate_counts`` and are expanded back to copies.
+    """
     counts = gate_counts(df, required, key, order_col, tie_break)
     cols = df.columns
     parts = F.array(
         F.struct(F.lit(None).cast("string").alias(REASON), F.col("_valid").cast("long").alias("_k")),
-        F.struct(F.col(REASON).alias(REASON), F.col("_quarantined").cast("long").alias("_k")),
+        F.struct(F.lit(DUPLICATE).alias(REASON), F.col("_quarantined").cast("long").alias("_k")),
     )
     pairs = counts.select(*cols, F.inline(parts)).filter(F.col("_k") > 0)
-    return replicate_rows(pairs, "_k")
+    incomplete = df.filter(any_null(required)).withColumn(REASON, first_null_reason(required))
+    return replicate_rows(pairs, "_k").unionByName(incomplete)
 
 
 def valid_orders(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
