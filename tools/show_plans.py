@@ -25,7 +25,7 @@ def summarise(formatted: str) -> list[str]:
     final_ids = set(re.findall(r"\((\d+)\)", tree))
     nodes = re.split(r"\n\((\d+)\) ", formatted)
     blocks = [nodes[i + 1] for i in range(1, len(nodes) - 1, 2) if nodes[i] in final_ids]
-    ex = Counter(); joins = Counter(); scans = []; partial = skew = 0
+    ex = Counter(); joins = Counter(); scans = []; partial = partial_aggs = skew = 0
     for b in blocks:
         head = b.split("\n", 1)[0].strip()
         if head.startswith("Exchange"):
@@ -37,6 +37,8 @@ def summarise(formatted: str) -> list[str]:
             skew += "isSkewJoin: true" in b
         elif head.startswith("WindowGroupLimit") and "Partial" in b:
             partial += 1
+        elif "Aggregate" in head and re.search(r"Functions \[\d+\]: \[partial_", b):
+            partial_aggs += 1
         elif head.startswith("Scan parquet"):
             cols = re.search(r"ReadSchema: struct<(.*)>", b)
             pushed = re.search(r"PushedFilters: (\[.*\])", b)
@@ -47,6 +49,7 @@ def summarise(formatted: str) -> list[str]:
     out = ["exchanges: " + ", ".join(f"{k} x{v}" for k, v in sorted(ex.items())),
            "joins: " + ", ".join(f"{j} {t} x{v}" for (j, t), v in sorted(joins.items())),
            f"partial per-key limits before a shuffle: {partial}",
+           f"partial (map-side) aggregations: {partial_aggs}",
            f"skew-split joins: {skew}"]
     return out + scans
 
