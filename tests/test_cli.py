@@ -45,3 +45,19 @@ def test_scale_conf_sizes_partitions():
 
 def test_shuffle_bytes_flag():
     assert parse_args(["all", "--root", "/w", "--shuffle-bytes", "1e12"]).shuffle_bytes == 1e12
+
+
+def test_cli_runs_every_stage(spark, smoke_dir, tmp_path, capsys):
+    import json
+
+    from tillroll.cli import main
+    from tillroll.paths import LayerPaths
+    from tillroll.sources.driver_tables import DriverTables
+    from tillroll.sources.landing import land_tables
+
+    paths = LayerPaths.under(str(tmp_path))
+    land_tables(DriverTables(spark, smoke_dir).bronze(), paths)
+    assert main(["all", "--root", str(tmp_path)]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["result"]
+    assert report["gate"] == {"valid": 1475, "quarantined": 55}
+    assert spark.read.parquet(paths.gold("mart_daily_sales")).count() > 0
