@@ -3,6 +3,13 @@
 Each query is ``(spark, sf_dir) -> DataFrame``: it derives the bronze tables
 from the driver's Parquet files (``DriverTables``) and runs the operators
 lazily.  ``tillroll.plans.oracle`` holds the equivalent DuckDB SQL.
+
+Model queries share one lazy plan per (session, folder) (``model``), so the
+four marts analyse the enriched fact once.  Source/sink queries write the
+derived tables to a fresh folder under the session's shared checkpoint
+directory and return what the operator reads back; ``dq_ranked_orders``
+checkpoints once (see ``quality.rank_orders``).  Every query reads its
+tables whole.
 """
 
 from __future__ import annotations
