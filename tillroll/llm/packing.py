@@ -31,7 +31,7 @@ WIDTH = 2048
 END_ID = 0
 #: Pieces of one length that are ranked together, about; a length with more is
 #: dealt over as many parts as that takes.
-RANK_ROWS = 5_000
+RANK_ROWS = 1_000
 
 
 def _cut_pieces(path: str, width: int, end_id: int):

@@ -8,6 +8,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import table
+from tillroll.session import scratch_path
+
+
+def op2_huffman_ids(spark, d):
+    from tillroll.llm.huffman import read_digests, write_ids
+    path = scratch_path(spark, "huffman-ids")
+    write_ids(table(spark, d, "documents"), path, end_id=1)
+    return read_digests(spark, path)
 
 
 def op3_exact_topk(spark, d):
@@ -22,13 +30,20 @@ def op5_url_filter(spark, d):
     return url_filter(pages, listed_by_terms(pages, LIST_TERMS), RULES)
 
 
+def op6_jaccard_join(spark, d):
+    from tillroll.llm.jaccard import near_duplicates
+    return near_duplicates(table(spark, d, "documents"), k=3, percent=90)
+
+
 def op8_best_fit_packing(spark, d):
     from tillroll.llm.packing import pack_documents
     return pack_documents(table(spark, d, "documents"), width=2048, end_id=0)
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_huffman_ids,
     op3_exact_topk,
     op5_url_filter,
+    op6_jaccard_join,
     op8_best_fit_packing,
 )}

@@ -13,10 +13,10 @@ def _lower(x: str) -> str:
 
 TOPK = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 1024)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
@@ -47,7 +47,7 @@ parts AS (
 canon AS (
   SELECT page_id, host, path,
     array_to_string(list_sort(list_filter(string_split(query, '&'),
-      p -> p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS kept,
+      lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS kept,
     CASE {rules} END AS fits
   FROM parts),
 keyed AS (
@@ -65,4 +65,32 @@ FROM keyed LEFT JOIN listed l USING (canon)
 """
 
 
-SQL = {"op3_exact_topk": TOPK, "op5_url_filter": _url_sql()}
+JACCARD = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex({_lower("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                             lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 90 * (p.n + q.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id
+FROM sizes JOIN least_id ON a = doc_id
+"""
+
+
+SQL = {"op6_jaccard_join": JACCARD, "op3_exact_topk": TOPK, "op5_url_filter": _url_sql()}

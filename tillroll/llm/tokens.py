@@ -28,9 +28,9 @@ SAFE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 SPECIAL = "<|"
 #: Most chunks a worker remembers (Arrow strings and ids, some 40 bytes each),
 #: and most pre-tokens (Python objects, some 200 bytes each).
-REMEMBERED, WORDS = 1_000_000, 300_000
+REMEMBERED, WORDS = 800_000, 200_000
 #: Bytes of text that are split at once.
-AT_ONCE = 24 << 20
+AT_ONCE = 16 << 20
 
 
 def default_vocabulary() -> str:
