@@ -35,6 +35,11 @@ def op6_jaccard_join(spark, d):
     return near_duplicates(table(spark, d, "documents"), k=3, percent=90)
 
 
+def op7_benchmark_copies(spark, d):
+    from tillroll.llm.decontam import benchmark_copies
+    return benchmark_copies(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op8_best_fit_packing(spark, d):
     from tillroll.llm.packing import pack_documents
     return pack_documents(table(spark, d, "documents"), width=2048, end_id=0)
@@ -45,5 +50,6 @@ QUERIES = {f.__name__: f for f in (
     op3_exact_topk,
     op5_url_filter,
     op6_jaccard_join,
+    op7_benchmark_copies,
     op8_best_fit_packing,
 )}
