@@ -11,6 +11,11 @@ from tillroll.llm.common import table
 from tillroll.session import scratch_path
 
 
+def op1_private_data(spark, d):
+    from tillroll.llm.pii import digest, private_spans
+    return digest(private_spans(table(spark, d, "documents")))
+
+
 def op2_huffman_ids(spark, d):
     from tillroll.llm.huffman import read_digests, write_ids
     path = scratch_path(spark, "huffman-ids")
@@ -24,6 +29,11 @@ def op3_exact_topk(spark, d):
     return topk(vectors, vectors.where(F.pmod("vec_id", F.lit(100)) == 0), k=10, scale=1024.0)
 
 
+def op4_secret_scan(spark, d):
+    from tillroll.llm.secret_scan import digest, secret_spans
+    return digest(secret_spans(table(spark, d, "documents")))
+
+
 def op5_url_filter(spark, d):
     from tillroll.llm.url_filter import LIST_TERMS, RULES, listed_by_terms, url_filter
     pages = table(spark, d, "pages")
@@ -46,8 +56,10 @@ def op8_best_fit_packing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_private_data,
     op2_huffman_ids,
     op3_exact_topk,
+    op4_secret_scan,
     op5_url_filter,
     op6_jaccard_join,
     op7_benchmark_copies,
