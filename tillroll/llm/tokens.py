@@ -28,7 +28,7 @@ SAFE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 SPECIAL = "<|"
 #: Most chunks a worker remembers (Arrow strings and ids, some 40 bytes each),
 #: and most pre-tokens (Python objects, some 200 bytes each).
-REMEMBERED, WORDS = 800_000, 200_000
+REMEMBERED, WORDS = 1_200_000, 300_000
 #: Bytes of text that are split at once.
 AT_ONCE = 16 << 20
 
@@ -80,23 +80,27 @@ class Encoder:
     def _places(self, chunks: pa.Array) -> np.ndarray:
         """The number of each chunk among the known ones; new ones are encoded."""
         places = pc.index_in(chunks, value_set=self.known)
-        if places.null_count:
-            new = pc.unique(chunks.filter(pc.is_null(places)))
-            if len(self.known) + len(new) > REMEMBERED and len(self.known):
-                self._forget()
-                return self._places(chunks)
-            ids, size = [], []
-            for c in new.to_pylist():
-                got = self.chunk(c)
-                ids += got
-                size.append(len(got))
-            size = np.asarray(size, "i4")
-            self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(size) - size).astype("i4")])
-            self.size = np.concatenate([self.size, size])
-            self.ids = np.concatenate([self.ids, np.asarray(ids, "u4")])
-            self.known = pa.concat_arrays([self.known, new])
-            places = pc.index_in(chunks, value_set=self.known)
-        return places.to_numpy(zero_copy_only=False)
+        if not places.null_count:
+            return places.to_numpy(zero_copy_only=False)
+        missing = pc.is_null(places)
+        coded = chunks.filter(missing).dictionary_encode()
+        new = coded.dictionary
+        if len(self.known) + len(new) > REMEMBERED and len(self.known):
+            self._forget()
+            return self._places(chunks)
+        ids, size = [], []
+        for c in new.to_pylist():
+            got = self.chunk(c)
+            ids += got
+            size.append(len(got))
+        size = np.asarray(size, "i4")
+        out = pc.fill_null(places, 0).to_numpy(zero_copy_only=False).copy()
+        out[missing.to_numpy(zero_copy_only=False)] = len(self.known) + coded.indices.to_numpy()
+        self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(size) - size).astype("i4")])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, np.asarray(ids, "u4")])
+        self.known = pa.concat_arrays([self.known, new])
+        return out
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lower = pc.ascii_lower(texts)
