@@ -73,10 +73,10 @@ def _words(texts: pa.Array):
     return word_hashes(lower, MARKS)[:2]
 
 
-def _hits(batch, column: int, grams: np.ndarray, bits: np.ndarray):
+def _hits(texts: pa.Array, grams: np.ndarray, bits: np.ndarray):
     """(word hashes, text starts, word positions, places in ``grams``) of the
-    n-grams of the batch's texts that are in ``grams``."""
-    words, starts = _words(batch.column(column))
+    n-grams of the texts that are in ``grams``."""
+    words, starts = _words(texts)
     found = ngrams(words)
     at = np.flatnonzero(bits[(found & np.uint64(_FILTER - 1)).astype("i8")])
     place = np.searchsorted(grams, found[at])
@@ -90,7 +90,7 @@ def _count_documents(grams: np.ndarray):
     def run(batches):
         total, bits = np.zeros(len(grams), "i8"), _filter(grams)
         for batch in batches:
-            _, starts, at, place = _hits(batch, 0, grams, bits)
+            _, starts, at, place = _hits(batch.column(0), grams, bits)
             text = np.searchsorted(starts, at, "right")
             both = np.unique(np.stack([text, place]), axis=1)
             total += np.bincount(both[1], minlength=len(grams))
@@ -164,19 +164,25 @@ def _candidates(items: Items, starts, at, place):
         k = end
 
 
+def _best_copies(items: Items, texts: pa.Array, bits: np.ndarray) -> dict:
+    """(text, item) -> (score, first word, end word) of the best copy."""
+    words, starts, at, place = _hits(texts, items.seeds, bits)
+    best: dict = {}
+    for t, item, lo, hi in _candidates(items, starts, at, place):
+        text, own = words[starts[t]:starts[t + 1]], items.words[item]
+        lo, hi = max(0, lo), min(len(text), hi)
+        score, i, j = align(own, text[lo:hi])
+        if is_copy(score, len(own)) and score > best.get((t, item), (0,))[0]:
+            _, _, back = align(own[:i][::-1], text[lo:lo + j][::-1])
+            best[t, item] = (score, lo + j - back, lo + j)
+    return best
+
+
 def _match(items: Items):
     def run(batches):
         bits = _filter(items.seeds)
         for batch in batches:
-            words, starts, at, place = _hits(batch, 1, items.seeds, bits)
-            best: dict = {}
-            for t, item, lo, hi in _candidates(items, starts, at, place):
-                text, own = words[starts[t]:starts[t + 1]], items.words[item]
-                lo, hi = max(0, lo), min(len(text), hi)
-                score, i, j = align(own, text[lo:hi])
-                if is_copy(score, len(own)) and score > best.get((t, item), (0,))[0]:
-                    _, _, back = align(own[:i][::-1], text[lo:lo + j][::-1])
-                    best[t, item] = (score, lo + j - back, lo + j)
+            best = _best_copies(items, batch.column(1), bits)
             ids = batch.column(0).to_pylist()
             out = [(ids[t], items.ids[item], s / (MATCH * len(items.words[item])), a, b)
                    for (t, item), (s, a, b) in sorted(best.items())]
@@ -194,22 +200,12 @@ def _read_items(rows) -> Items:
     return items
 
 
-def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                     item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, score, first_word, last_word) of every copy found.
-
-    ``score`` is the alignment's share of the whole item's score; the copy is
-    words first_word .. last_word - 1 of the document, words being runs of
-    letters and digits.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str):
+    """Yield the test items block by block, their seeds chosen by ``texts``."""
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"),
                              F.col(item_text).cast("string").alias("text")).where("text is not null").distinct()
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    found = None
     for b in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         items = _read_items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
@@ -218,6 +214,41 @@ def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_i
         for r in counts.groupBy("gram").agg(F.sum("n").alias("n")).collect():
             documents[r["gram"]] = r["n"]
         choose_seeds(items, documents)
+        yield items
+
+
+def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                     item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(doc_id, item_id, score, first_word, last_word) of every copy found.
+
+    ``score`` is the alignment's share of the whole item's score; the copy is
+    words first_word .. last_word - 1 of the document, words being runs of
+    letters and digits.
+    """
+    ship(docs.sparkSession)
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    found = None
+    for items in _item_blocks(texts, benchmark, item_id, item_text):
         part = texts.mapInArrow(_match(items), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
+
+
+def _drop_copies(items: Items, text_at: int):
+    def run(batches):
+        bits = _filter(items.seeds)
+        for batch in batches:
+            held = np.zeros(batch.num_rows, bool)
+            held[[t for t, _ in _best_copies(items, batch.column(text_at), bits)]] = True
+            yield batch.filter(pa.array(~held))
+    return run
+
+
+def without_copies(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
+                   item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no copy of an item."""
+    ship(docs.sparkSession)
+    texts = docs.select(F.col(text).cast("string").alias("text"))
+    for items in _item_blocks(texts, benchmark, item_id, item_text):
+        docs = docs.mapInArrow(_drop_copies(items, docs.columns.index(text)), docs.schema)
+    return docs

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillroll.llm.common import cut, ship
 from tillroll.llm.graph import components
 from tillroll.llm.url_filter import bloom_blocks, build_bloom, possible_hits
+from tillroll.llm.tokens import pieces
 from tillroll.llm.words import SPACES, mix, shingles, word_hashes
 
 SETS = "doc_id long, n_shingles long, class binary, keys binary"
@@ -97,9 +98,10 @@ def signature(s: np.ndarray) -> bytes:
 
 
 def _sets(batch: pa.RecordBatch, k: int):
-    hashes, starts, _ = word_hashes(batch.column(1), SPACES)
-    for i in range(batch.num_rows):
-        yield np.unique(shingles(hashes[starts[i]:starts[i + 1]], k))
+    for _, texts in pieces(batch.column(1)):
+        hashes, starts, _ = word_hashes(texts, SPACES)
+        for i in range(len(texts)):
+            yield np.unique(shingles(hashes[starts[i]:starts[i + 1]], k))
 
 
 def _read_sets(k: int, percent: int):
@@ -262,3 +264,28 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
                 .select("doc_id", "n_shingles",
                         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                          .alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of one document per component: the
+    one with the smallest doc_id.
+
+    Rows that share a doc_id are kept or removed together, and of equal ones
+    one is kept; rows without a doc_id are kept.
+    """
+    names = docs.columns
+    found = near_duplicates(docs, k, percent, doc_id, text)
+    same = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(
+        (F.col("doc_id") == F.col("component_id")).cast("int")).alias("kept"))
+    odd = cut(same.where(F.col("doc_id").isNotNull() & ((F.col("kept") == 0) | (F.col("n") > 1)))
+              .select(F.col("doc_id").alias("odd_id"), "kept"), "odd-documents")
+    blocks = bloom_blocks(odd.count())
+    rows = possible_hits(docs.withColumn("bloom_key", F.col(doc_id).cast("long")), "bloom_key",
+                         build_bloom(odd.withColumnRenamed("odd_id", "bloom_key"), "bloom_key", blocks), blocks)
+    plain = rows.where(~F.col("possible")).select(*names)
+    asked = (rows.where("possible").join(odd, F.col("bloom_key") == F.col("odd_id"), "left")
+                 .where(F.coalesce("kept", F.lit(1)) == 1))
+    twice = asked.where(F.col("odd_id").isNotNull()).dropDuplicates([doc_id, text])
+    return (plain.unionByName(asked.where(F.col("odd_id").isNull()).select(*names))
+                 .unionByName(twice.select(*names)))

@@ -55,6 +55,17 @@ def op8_best_fit_packing(spark, d):
     return pack_documents(table(spark, d, "documents"), width=2048, end_id=0)
 
 
+def op9_string_kernel_toxicity(spark, d):
+    from tillroll.llm.toxicity import toxicity
+    return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op10_edit_counts(spark, d):
+    from tillroll.llm.edit_counts import edit_counts
+    return (edit_counts(table(spark, d, "documents"))
+            .select("doc_id", "n_edits", "tokens_before", "tokens_after", "chars_after", "chars_encoded"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_private_data,
     op2_huffman_ids,
@@ -64,4 +75,6 @@ QUERIES = {f.__name__: f for f in (
     op6_jaccard_join,
     op7_benchmark_copies,
     op8_best_fit_packing,
+    op9_string_kernel_toxicity,
+    op10_edit_counts,
 )}

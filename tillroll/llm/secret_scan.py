@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.common import cut
-from tillroll.llm.spans import apart, find, joined, let
+from tillroll.llm.spans import apart, find, joined, let, masked
 
 KINDS = ["assign", "access", "hex", "random"]
 #: The base patterns, written so that a scan is linear.
@@ -127,21 +127,21 @@ def passes_as_random(score: Column) -> Column:
     return score < F.lit(16.266236)
 
 
-def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, base, tokens): base spans, and tested tokens beside them."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), t.alias("t"))
+def scanned(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns of ``keep`` in the struct ``row``, base spans, and tested tokens
+    beside them."""
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     t = F.col("t")
     assign = F.filter(find(t, ASSIGN, F.contains(t, F.lit("=")) | F.contains(t, F.lit(":"))),
                       lambda c: F.length(F.regexp_extract(c["s"], ASSIGNED, 1)) >= 6)
-    rows = rows.select("doc_id", assign.alias("assign"),
+    rows = rows.select("row", assign.alias("assign"),
                        find(t, ACCESS, F.contains(t, F.lit("AKIA"))).alias("access"),
                        find(t, HEX).alias("hex"), find(t, TOKEN).alias("tokens"))
     mark = lambda name, kind: F.transform(name, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), F.lit(kind).alias("kind")))
-    rows = rows.select("doc_id", F.concat(mark("assign", 0), mark("access", 1), mark("hex", 2)).alias("base"), "tokens")
-    rows = rows.select("doc_id", "base", apart(F.col("tokens"), F.col("base")).alias("tokens"))
-    return rows.select("doc_id", "base", F.transform("tokens", lambda c: F.struct(
+    rows = rows.select("row", F.concat(mark("assign", 0), mark("access", 1), mark("hex", 2)).alias("base"), "tokens")
+    rows = rows.select("row", "base", apart(F.col("tokens"), F.col("base")).alias("tokens"))
+    return rows.select("row", "base", F.transform("tokens", lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), length_class(c["s"]).alias("size"),
         c["s"].rlike(NATURAL).alias("natural"), battery(c["s"]).alias("score"))).alias("tokens"))
 
@@ -162,7 +162,19 @@ def discovery_limits(counts: dict[int, dict[int, int]], share: float = FALSE_SHA
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, spans): structs (start, end, kind) per document, ``kind`` being
     a place in KINDS."""
-    found = cut(scanned(docs, doc_id, text), "secret-tokens")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return _spans(scanned(rows, ["doc_id"])).select("row.doc_id", "spans")
+
+
+def without_secrets(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
+    """``docs``, all columns, with every span in ``text`` replaced by ``mask``."""
+    found = _spans(scanned(docs, docs.columns, text))
+    new = masked(F.col("row")[text], F.col("spans"), mask)
+    return found.select(*[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def _spans(found: DataFrame) -> DataFrame:
+    found = cut(found, "secret-tokens")
     each = found.select(F.explode("tokens").alias("c")).select("c.*")
     log = F.log(F.col("score") + 0.1)
     rows = (each.where("natural").groupBy("size")
@@ -199,7 +211,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         extra = F.transform(F.filter("tokens", discovered), lambda c: F.struct(
             c["start"].alias("start"), c["end"].alias("end"), F.lit(3).alias("kind")))
         found, kept = binned, F.concat("base", extra)
-    return found.select("doc_id", kept.alias("spans"))
+    return found.select("row", kept.alias("spans"))
 
 
 def _normal(x: Column, figures: tuple[int, float, float]) -> Column:

@@ -28,9 +28,9 @@ SAFE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 SPECIAL = "<|"
 #: Most chunks a worker remembers (Arrow strings and ids, some 40 bytes each),
 #: and most pre-tokens (Python objects, some 200 bytes each).
-REMEMBERED, WORDS = 1_200_000, 300_000
+REMEMBERED, WORDS = 800_000, 200_000
 #: Bytes of text that are split at once.
-AT_ONCE = 16 << 20
+AT_ONCE = 8 << 20
 
 
 def default_vocabulary() -> str:
@@ -120,13 +120,8 @@ class Encoder:
     def encode(self, texts: pa.Array):
         """Yield (first text, ids, starts): the ids of texts first .. first +
         len(starts) - 2, text i's being ids[starts[i]:starts[i + 1]]."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        size = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
-        at = 0
-        while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(size, size[at] + AT_ONCE, "right")) - 1)
-            yield at, *self._encode(unsliced(texts.slice(at, to - at)))
-            at = to
+        for at, some in pieces(texts, AT_ONCE):
+            yield at, *self._encode(some)
 
 
 def unsliced(texts: pa.Array) -> pa.Array:
@@ -140,6 +135,18 @@ def unsliced(texts: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((at - at[0]).tobytes()), data)
 
 
+def pieces(texts: pa.Array, size: int = 8 << 20):
+    """Yield (first, texts) in runs of about ``size`` bytes, NULL as empty, so
+    that what is held for a run does not grow with a batch."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+        yield at, unsliced(texts.slice(at, to - at))
+        at = to
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One per worker and vocabulary: what it remembers outlives a task."""

@@ -1,24 +1,24 @@
 """Operator 9: toxicity by a subsequence string-kernel support vector machine.
 
-The kernel counts common subsequences of four letters that span at most six,
-each weighted by GAP to the number of skipped places, so inserted and missing
-letters weaken a match instead of ending it; it is taken relative to the
-landmark's own count and to the power DEGREE, which keeps it a kernel and makes
-a whole word weigh more than pieces of several.  Texts are read as letters
-only: marks are skipped, and spaces inside a word spelt letter by letter are
-closed.
+The kernel of two words counts common subsequences of four symbols that span at
+most six, each weighted by GAP to the number of skipped places, so inserted and
+missing letters weaken a match instead of ending it; it is normalised and taken
+to the power DEGREE.  The symbols are letters and the word's ends: marks and
+digits inside a word are skipped, accents dropped, and words spelt letter by
+letter put together.
 
 Training takes a bounded, documented sample: up to SAMPLE labelled documents a
 class by hash order, one of each set of near copies, cut into sentences.
-Words that are far more frequent in toxic documents, and as many others, are
-the Nystroem landmarks; the sentences that hold the former are the toxic ones
-(a toxic document need not have only toxic sentences).  A linear SVM is
-trained on the landmark features of windows of these and of clean sentences.
+Words that are far more frequent in toxic documents, and frequent other words,
+are the Nystroem landmarks; sentences that hold the former are the toxic ones (a
+toxic document need not have only toxic sentences) and give the word nearest to
+a landmark, clean sentences give all theirs that come near one.  A linear SVM is
+trained on the landmark features.
 
-A document's margin is the highest of its windows of WINDOW letters, one from
-every STEP-th letter of its whole text on; windows in which no landmark can
-reach FLOOR count as holding none.  A logistic curve fitted on the sampled
-documents turns margins into scores.
+A document's margin is the highest of all its words'; a word whose kernel with
+every landmark is below FLOOR counts as none.  A logistic curve fitted on the
+sampled documents turns margins into scores.  Workers remember the margins of
+words, up to REMEMBERED of them.
 
 Defined results: NULL and empty texts get the score of a text without any
 match.  Repeated rows are scored alike; of several labels of a document the
@@ -38,51 +38,54 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.common import ship
 from tillroll.llm.spans import let
-from tillroll.llm.tokens import unsliced
+from tillroll.llm.tokens import pieces
 
 #: Sampled documents of a class, sentences of a class that reach the driver, the
 #: length at which sentences are cut, and landmarks of each kind.
-SAMPLE, SENTENCES, SENTENCE_CHARS, LANDMARKS = 1500, 6000, 240, 64
-GAP, SPAN, WINDOW, STEP = 0.75, 6, 12, 4
-DEGREE, FLOOR = 3, 0.5
+SAMPLE, SENTENCES, SENTENCE_CHARS, LANDMARKS = 1500, 6000, 240, 160
+GAP, SPAN, DEGREE, FLOOR = 0.85, 6, 2, 0.4
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
-_CODES = 27
+#: Symbols: nothing, 26 letters and the end of a word.
+_CODES = 28
+_END = 27
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), 3)]
-#: Bytes of text scored at once, and what two pieces of a longer text share.
-PIECE, SHARED = 1 << 20, 256
+#: Bytes of text scored at once, words whose features are held at once, and
+#: words whose margins a worker remembers.
+PIECE, AT_ONCE, REMEMBERED = 8 << 20, 20_000, 800_000
 
 _LETTER = np.full(256, -1, "i1")                  # dropped
-_LETTER[[9, 10, 11, 12, 13, 32]] = 0              # apart
 _LETTER[65:91] = _LETTER[97:123] = np.arange(1, 27)
-_LETTER[192:] = 0                                 # any other letter
+#: The base letters of the second bytes of Latin-1 letters.
+_BASE = dict(zip(range(0xA0, 0xC0), "aaaaaaaceeeeiiiidnooooo ouuuuyty"))
+
+_ACCENTED = np.full(256, -1, "i1")
+for _byte, _base in _BASE.items():
+    if _base != " ":
+        _ACCENTED[_byte] = _ACCENTED[_byte - 32] = ord(_base) - 96
+_ACCENTED[0x9F] = 19                               # a sharp s
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def stream(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letter codes of texts that end at ``cuts``, each from a multiple of STEP
-    on and apart by more than a window, and where each text starts."""
+def stream(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all words, _END on both sides of each and SPAN zeros between
+    them, and the word each place belongs to."""
+    raw = [w.encode() for w in words]
+    data = np.frombuffer(b"".join(raw), "u1")
     codes = _LETTER[data]
-    text = np.repeat(np.arange(len(cuts)), np.diff(cuts, prepend=0))
-    keep = codes >= 0
-    codes, text = codes[keep].astype("i4"), text[keep]
-    # A space beside a word of one letter is closed.
-    gaps = np.flatnonzero(codes == 0)
-    if len(gaps):
-        size = np.diff(gaps, prepend=-1, append=len(codes)) - 1
-        single = (size[:-1] == 1) | (size[1:] == 1)
-        open_ = np.ones(len(codes), bool)
-        open_[gaps[single]] = False
-        codes, text = codes[open_], text[open_]
-    size = np.bincount(text, minlength=len(cuts))
-    room = (size + WINDOW + SPAN + STEP) // STEP * STEP
-    starts = np.cumsum(room) - room
-    out = np.zeros(int(room.sum()) + SPAN, "i4")
-    out[np.arange(len(codes)) + np.repeat(starts - (np.cumsum(size) - size), size)] = codes
-    return out, starts
+    latin = np.flatnonzero(data[:-1] == 0xC3) + 1
+    codes[latin] = _ACCENTED[data[latin]]
+    word = np.repeat(np.arange(len(raw)), [len(r) for r in raw])[codes >= 0]
+    codes = codes[codes >= 0]
+    size = np.bincount(word, minlength=len(raw))
+    starts = np.cumsum(size + 2 + SPAN) - (size + 2 + SPAN)
+    out = np.zeros(int((size + 2 + SPAN).sum()) + SPAN, "i4")
+    out[starts] = out[starts + size + 1] = _END
+    out[np.arange(len(codes)) + np.repeat(starts + 1 - (np.cumsum(size) - size), size)] = codes
+    return out, np.repeat(np.arange(len(raw)), size + 2 + SPAN)
 
 
 def subsequences(codes: np.ndarray):
@@ -94,65 +97,45 @@ def subsequences(codes: np.ndarray):
         yield sum(parts[k][o:o + n] for k, o in enumerate(at)), GAP ** (at[-1] - 3)
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    raw = [t.encode() for t in texts]
-    return stream(np.frombuffer(b"".join(raw), "u1"), np.cumsum([len(r) for r in raw]))
+def all_set() -> np.ndarray:
+    """Which indices of a table of subsequences name four symbols."""
+    i = np.arange(_CODES ** 4)
+    return np.all([i // _CODES ** k % _CODES > 0 for k in range(4)], axis=0)
 
 
-def letters_only() -> np.ndarray:
-    """Which indices of a table of subsequences hold four letters."""
-    i = np.arange(_CODES ** 4)
-    return (i % 27 > 0) & (i // 27 % 27 > 0) & (i // 729 % 27 > 0) & (i // 19683 > 0)
+_FULL = None
 
 
-def landmark_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(place of each subsequence or -1, matrix of subsequences x words); a
-    word's own kernel is one."""
-    good = letters_only()
-    codes, starts = _codes(words)
-    n = len(codes) - SPAN
-    owner = np.searchsorted(starts, np.arange(n), "right") - 1
-    rows, cols, weights = [], [], []
+def _entries(words: list[str]):
+    """(word, subsequence, weight) of everything the words hold."""
+    global _FULL
+    if _FULL is None:
+        _FULL = all_set()
+    codes, owner = stream(words)
+    found = []
     for index, weight in subsequences(codes):
-        ok = good[index]
-        rows.append(index[ok])
-        cols.append(owner[ok])
-        weights.append(np.full(ok.sum(), weight))
-    rows, cols, weights = map(np.concatenate, (rows, cols, weights))
-    used = np.unique(rows)
-    place = np.full(_CODES ** 4, -1, "i4")
-    place[used] = np.arange(len(used))
-    matrix = np.zeros((len(used), len(words)))
-    np.add.at(matrix, (place[rows], cols), weights)
-    return place, matrix / np.maximum((matrix ** 2).sum(axis=0), 1e-12)
+        at = np.flatnonzero(_FULL[index])
+        found.append((owner[at], index[at], np.full(len(at), weight, "f4")))
+    return [np.concatenate(x) for x in zip(*found)]
 
 
-def _windows(blocks: np.ndarray) -> np.ndarray:
-    """Sums over windows of what blocks of STEP starts hold."""
-    zero = np.zeros((1,) + blocks.shape[1:])
-    total = np.concatenate([zero, np.cumsum(blocks, axis=0, dtype="f8")])
-    return total[np.minimum(np.arange(len(blocks)) + WINDOW // STEP, len(blocks))] - total[:-1]
+def _summed(word, index, weight):
+    """The same with one entry per word and subsequence."""
+    key = word * np.int64(_CODES ** 4) + index
+    key, inverse = np.unique(key, return_inverse=True)
+    return key // _CODES ** 4, key % _CODES ** 4, np.bincount(inverse, weights=weight, minlength=len(key))
 
 
-def bounds(codes: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """For every window, an upper bound of its kernel with any landmark."""
-    total = np.zeros(len(codes) - SPAN, "f4")
-    for index, weight in subsequences(codes):
-        total += most[index] * np.float32(weight)
-    return _windows(total.reshape(-1, STEP).sum(axis=1))
-
-
-def kernels(codes: np.ndarray, windows: np.ndarray, place: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """Kernel of each of ``windows`` with each landmark."""
-    out = np.zeros((len(windows), matrix.shape[1]))
-    at = windows[:, None] * STEP + np.arange(WINDOW)
-    at = np.minimum(at, len(codes) - SPAN - 1)
-    for offsets in OFFSETS:
-        index = sum(codes[at + o] * _CODES ** (3 - k) for k, o in enumerate(offsets))
-        found = place[index]
-        row, col = np.nonzero(found >= 0)
-        np.add.at(out, row, GAP ** (offsets[-1] - 3) * matrix[found[row, col]])
-    return out
+def landmark_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each subsequence or -1, matrix of subsequences x words with
+    columns of length one)."""
+    word, index, weight = _summed(*_entries(words))
+    used, row = np.unique(index, return_inverse=True)
+    place = np.full(_CODES ** 4, -1, "i4")
+    place[used] = np.arange(len(used))
+    matrix = np.zeros((len(used), len(words)))
+    matrix[row, word] = weight
+    return place, (matrix / np.maximum(np.sqrt((matrix ** 2).sum(axis=0)), 1e-12)).astype("f4")
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 30):
@@ -182,46 +165,92 @@ class Model:
     slope: float
     shift: float
     landmarks: list[str]
+    n_toxic: int = 0             # landmarks that come from toxic documents
 
     def __post_init__(self):
-        most = np.zeros(len(self.place), "f4")
+        self.most = np.zeros(len(self.place), "f4")
         if self.matrix.size:
-            most[self.place >= 0] = self.matrix.max(axis=1)[self.place[self.place >= 0]]
-        self.most = most
+            most = self.matrix[:, :self.n_toxic].max(axis=1)
+            self.most[self.place >= 0] = most[self.place[self.place >= 0]]
+
+    def near(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the words near a toxic landmark, their kernels)."""
+        places, rows = [np.empty(0, "i8")], [np.empty((0, len(self.landmarks)), "f4")]
+        if not self.matrix.size:
+            return places[0], rows[0]
+        for lo in range(0, len(words), AT_ONCE):
+            n = len(words[lo:lo + AT_ONCE])
+            word, index, weight = _entries(words[lo:lo + AT_ONCE])
+            # Repeated subsequences only add to a word's length: this bounds
+            # its kernel with any landmark from above.
+            length = np.sqrt(np.bincount(word, weights=weight * weight, minlength=n))
+            bound = np.bincount(word, weights=weight * self.most[index], minlength=n)
+            some = bound >= FLOOR * np.maximum(length, 1e-9)
+            kept = some[word]
+            word, index, weight = _summed(word[kept], index[kept], weight[kept])
+            length = np.sqrt(np.bincount(word, weights=weight * weight, minlength=n))
+            at = self.place[index]
+            word, weight, at = word[at >= 0], weight[at >= 0], at[at >= 0]
+            if not len(word):
+                continue
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            kernel = np.add.reduceat(self.matrix[at] * weight[:, None].astype("f4"), first, axis=0)
+            kernel /= length[word[first], None].astype("f4")
+            good = kernel[:, :self.n_toxic].max(axis=1) >= FLOOR
+            places.append(lo + word[first][good])
+            rows.append(kernel[good])
+        return np.concatenate(places), np.concatenate(rows)
+
+    def word_margins(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words))
+        at, rows = self.near(words)
+        out[at] = np.maximum(rows.astype("f8") ** DEGREE @ self.beta, 0)
+        return out + self.bias
 
     def margins(self, texts: pa.Array) -> np.ndarray:
-        """Highest window of each text; the bias alone where nothing matches."""
-        texts = unsliced(texts.cast(pa.large_string()).fill_null(""))
-        best = np.zeros(len(texts))
-        if not len(texts) or not self.matrix.size:
-            return best + self.bias
-        ends = np.cumsum(pc.binary_length(texts).to_numpy())
-        data = np.frombuffer(texts.buffers()[2], "u1") if ends[-1] else np.empty(0, "u1")
-        pieces: list[tuple[int, int, int]] = []
-        held, start = 0, 0
-        for i, end in enumerate(ends):
-            lo = start
-            while lo < end:
-                hi = min(int(end), lo + PIECE)
-                pieces.append((i, lo, hi))
-                held += hi - lo
-                if held >= PIECE:
-                    self._score(data, pieces, best)
-                    pieces, held = [], 0
-                lo = hi if hi == end else hi - SHARED
-            start = int(end)
-        if pieces:
-            self._score(data, pieces, best)
-        return best + self.bias
-
-    def _score(self, data, pieces, best) -> None:
-        codes, starts = stream(np.concatenate([data[a:b] for _, a, b in pieces]),
-                               np.cumsum([b - a for _, a, b in pieces]))
-        windows = np.flatnonzero(bounds(codes, self.most) >= FLOOR)
-        if len(windows):
-            values = (kernels(codes, windows, self.place, self.matrix) ** DEGREE) @ self.beta
-            text = np.searchsorted(starts, windows * STEP, "right") - 1
-            np.maximum.at(best, np.array([p[0] for p in pieces])[text], values)
+        """Highest word of each text; the bias alone where none is near."""
+        out = np.full(len(texts), self.bias)
+        if self.matrix.size:
+            for at, some in pieces(texts, PIECE):
+                out[at:at + len(some)] = np.maximum(out[at:at + len(some)], self._margins(some))
+        return out
+
+    def _margins(self, texts: pa.Array) -> np.ndarray:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        ends, words = split.offsets.to_numpy().astype("i8"), split.flatten()
+        ends -= ends[0]
+        value = np.concatenate([self._remembered(words), [-np.inf]])
+        best = np.maximum.reduceat(value, np.minimum(ends[:-1], len(words)))
+        best[np.diff(ends) == 0] = -np.inf
+        # Three or more single letters in a row are read as one word.
+        single = pc.equal(pc.binary_length(words), 1).to_numpy(zero_copy_only=False)
+        inner = np.zeros(len(words), bool)
+        inner[ends[1:-1][ends[1:-1] < len(words)]] = True       # a text begins
+        run = np.flatnonzero(single & ~(np.concatenate([[False], single[:-1]]) & ~inner))
+        if len(run):
+            stop = np.flatnonzero(single & ~(np.concatenate([single[1:], [False]]) & ~np.concatenate([inner[1:], [True]]))) + 1
+            long = stop - run >= 3
+            spelt = ["".join(words.slice(a, b - a).to_pylist()) for a, b in zip(run[long], stop[long])]
+            if spelt:
+                text = np.searchsorted(ends, run[long], "right") - 1
+                np.maximum.at(best, text, self.word_margins(spelt))
+        return best
+
+    def _remembered(self, words: pa.Array) -> np.ndarray:
+        known, margins = getattr(self, "_known", (pa.array([], pa.large_string()), np.empty(0)))
+        places = pc.index_in(words, value_set=known)
+        missing = pc.is_null(places)
+        out = pc.fill_null(places, 0).to_numpy(zero_copy_only=False).copy()
+        if places.null_count:
+            coded = words.filter(missing).dictionary_encode()
+            if len(known) and len(known) + len(coded.dictionary) > REMEMBERED:
+                self._known = (known.slice(0, 0), np.empty(0))
+                return self._remembered(words)
+            out[missing.to_numpy(zero_copy_only=False)] = len(known) + coded.indices.to_numpy()
+            known = pa.concat_arrays([known, coded.dictionary])
+            margins = np.concatenate([margins, self.word_margins(coded.dictionary.to_pylist())])
+            self._known = (known, margins)
+        return margins[out] if len(out) else np.empty(0)
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
@@ -239,12 +268,9 @@ def _logistic(margins: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[
     return float(w[0]), float(w[1])
 
 
-def _windows_of(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(text, kernels) of every window that would be scored."""
-    codes, starts = _codes(texts)
-    windows = np.flatnonzero(bounds(codes, model.most) >= FLOOR)
-    rows = kernels(codes, windows, model.place, model.matrix)
-    return np.searchsorted(starts, windows * STEP, "right") - 1, rows
+def _words_of(sentences: list[str]) -> tuple[list[str], np.ndarray]:
+    split = [s.lower().split() for s in sentences]
+    return [w for ws in split for w in ws], np.repeat(np.arange(len(split)), [len(ws) for ws in split])
 
 
 def _flat(share: float) -> Model:
@@ -252,28 +278,45 @@ def _flat(share: float) -> Model:
     return Model(np.full(_CODES ** 4, -1, "i4"), np.zeros((0, 0)), np.zeros(0), 0.0, 0.0, odds, [])
 
 
-def fit(toxic: list[str], clean: list[str], words: list[str], others: list[str]) -> Model | None:
-    """The machine, its curve not fitted yet.  ``toxic`` sentences hold one of
-    ``words``, ``others`` are the landmarks of clean text."""
+def landmark_model(words: list[str], others: list[str]) -> Model:
     names = words + others
     place, matrix = landmark_features(names)
-    model = Model(place, matrix, np.zeros(len(names)), 0.0, 1.0, 0.0, names)
-    codes, starts = _codes(names)
-    between = kernels(codes, starts // STEP, place, matrix)
-    between = ((between + between.T) / 2) ** DEGREE
+    return Model(place, matrix, np.zeros(len(names)), 0.0, 1.0, 0.0, names, len(words))
+
+
+def _distorted(words: list[str]) -> list[str]:
+    """The words with a letter put in, and with a letter repeated."""
+    rng = np.random.default_rng(11)
+    out = []
+    for w in words:
+        at, letter = int(rng.integers(1, len(w))), chr(97 + int(rng.integers(26)))
+        out += [w[:at] + letter + w[at:], w[:at] + w[at - 1:]]
+    return out
+
+
+def fit(toxic: list[str], clean: list[str], words: list[str], others: list[str]) -> Model | None:
+    """The machine, its curve not fitted yet.  ``toxic`` sentences hold one of
+    ``words``, ``others`` are the landmarks of clean text.  The words of toxic
+    sentences also train in distorted form."""
+    model = landmark_model(words, others)
+    matrix = model.matrix
+    between = (matrix.T.astype("f8") @ matrix) ** DEGREE
     value, vector = np.linalg.eigh(between)
     root = vector[:, value > 1e-6] / np.sqrt(value[value > 1e-6])
-    text, rows = _windows_of(toxic, model)
-    _, no = _windows_of(clean, model)
+    found, text = _words_of(toxic)
+    at, rows = model.near(found)
+    no = model.near(sorted(set(_words_of(clean)[0])))[1]
     if not len(rows):
         return None
-    # A toxic sentence's window is the one nearest to a toxic landmark.
+    # A toxic sentence gives the word nearest to a toxic landmark.
+    text = text[at]
     order = np.lexsort((-rows[:, :len(words)].max(axis=1), text))
-    yes = rows[order[np.unique(text[order], return_index=True)[1]]]
-    blank = np.zeros((1, len(names)))
+    first = order[np.unique(text[order], return_index=True)[1]]
+    yes = np.vstack([rows[first], model.near(_distorted([found[at[i]] for i in first if len(found[at[i]]) > 1]))[1]])
+    blank = np.zeros((1, matrix.shape[1]))
     x = np.vstack([yes, no, blank]) ** DEGREE @ root
     w, bias = train_svm(x, np.concatenate([np.ones(len(yes)), -np.ones(len(no) + 1)]))
-    return Model(place, matrix, root @ w, float(bias), 1.0, 0.0, names)
+    return Model(model.place, matrix, root @ w, float(bias), 1.0, 0.0, model.landmarks, len(words))
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -299,32 +342,45 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     counts = rows.groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in counts}
     n_yes, n_no = n.get(1, 0), n.get(0, 0)
-    each = (cut.select("doc_id", "toxic", F.explode(F.split(F.lower("s"), r"[^a-z]+")).alias("word"))
+    each = (cut.select("doc_id", "toxic", F.explode(F.split(F.lower("s"), r"[^\p{L}]+")).alias("word"))
                .where(F.length("word") >= 4).distinct().groupBy("word")
                .agg(F.sum("toxic").alias("yes"), F.sum(1 - F.col("toxic")).alias("no")))
     odds = F.log((F.col("yes") + 0.5) / (n_yes + 1)) - F.log((F.col("no") + 0.5) / (n_no + 1))
     each = each.withColumn("odds", odds)
     strong = [r["word"] for r in
-              each.where((F.col("odds") >= 2) & (F.col("yes") >= max(4, 0.02 * n_yes)))
+              each.where((F.col("odds") >= 2.5) & (F.col("yes") >= max(4, 0.015 * n_yes)))
                   .orderBy(F.desc("yes"), "word").limit(LANDMARKS).collect()]
     others = [r["word"] for r in
-              each.where(F.col("odds") < 0.5).orderBy(F.desc("no"), "word").limit(LANDMARKS).collect()]
+              each.where(F.col("odds") < 0.5).orderBy(F.desc("no"), "word").limit(LANDMARKS // 4).collect()]
     model = None
     if strong and n_yes and n_no:
-        held = F.lower("s").rlike("|".join(strong))
-        some = [[r["s"] for r in part.orderBy(F.xxhash64("s", "doc_id"), "s").limit(SENTENCES).collect()]
-                for part in (cut.where((F.col("toxic") == 1) & held), cut.where(F.col("toxic") == 0))]
+        ship(docs.sparkSession)
+        held = F.lower("s").rlike(r"(?<!\p{L})(" + "|".join(strong) + r")(?!\p{L})")
+        toxic = cut.where((F.col("toxic") == 1) & held).select("s")
+        clean = cut.where(F.col("toxic") == 0).select("s").mapInArrow(_alike(landmark_model(strong, others)), "s string")
+        some = [[r["s"] for r in part.orderBy(F.xxhash64("s"), "s").limit(SENTENCES).collect()]
+                for part in (toxic, clean)]
         model = fit(*some, strong, others)
     if model is None:
         model = _flat(n_yes / max(n_yes + n_no, 1))
     else:
-        ship(docs.sparkSession)
         seen = rows.select("toxic", "text").mapInArrow(_margins(model), "toxic int, margin double").toPandas()
         model.slope, model.shift = _logistic(seen["margin"].to_numpy(), seen["toxic"].to_numpy().astype("f8"))
     rows.unpersist()
     return model
 
 
+def _alike(model: Model):
+    """Sentences with words near a landmark."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            words, text = _words_of(texts)
+            some = np.unique(text[model.near(words)[0]])
+            yield pa.RecordBatch.from_arrays([pa.array([texts[i] for i in some], pa.string())], names=["s"])
+    return run
+
+
 def _margins(model: Model):
     def run(batches):
         for batch in batches:
@@ -333,8 +389,9 @@ def _margins(model: Model):
     return run
 
 
-def _score(model: Model):
+def _score(shared):
     def run(batches):
+        model = shared.value
         for batch in batches:
             score = model.scores(model.margins(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
@@ -347,9 +404,29 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """(doc_id, held_out, score, predicted) of every document."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    out = rows.mapInArrow(_score(model), "doc_id long, score double, predicted int")
+    # A few MB: weights of at most LANDMARKS words.  Broadcast, a worker's tasks
+    # share one model and the words it remembers.
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    out = rows.mapInArrow(_score(shared), "doc_id long, score double, predicted int")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def _reject(shared, text_at: int):
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            score = model.scores(model.margins(batch.column(text_at).cast(pa.large_string())))
+            yield batch.filter(pa.array(score < THRESHOLD))
+    return run
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic."""
+    model = train(docs, labels, text=text)
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_reject(shared, docs.columns.index(text)), docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels))
