@@ -8,6 +8,7 @@ import pytest
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
 from tillroll.plans.queries import all_queries
+from tillroll.schemas import build_schema
 from tillroll.sources.driver_tables import DriverTables
 from tillroll.sources.landing import land_tables
 
@@ -52,15 +53,12 @@ def test_silver_fact_and_gate(spark, smoke_dir, built):
     assert rows(quarantine) == rows(q["dq_gate_quarantine"](spark, smoke_dir))
 
 
-def test_gate_reads_one_partition(spark, built):
-    paths, _ = built
-    plan = pipeline.stg_orders(spark, paths)._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.split("\n") if "FileScan" in line)
-    assert "PartitionFilters: [isnotnull(dq_status" in scan and "= valid)]" in scan
-
-
-def test_analytics_has_load_time(spark, built):
-    paths, _ = built
-    wide = spark.read.parquet(paths.gold("mart_order_analytics"))
-    assert wide.columns[-1] == "etl_loaded_at"
-    assert wide.select("etl_loaded_at").distinct().count() == 1
+@pytest.mark.parametrize("rows_in, valid, bad", [
+    ([], 0, 0), ([("o", "c", "d", "2021-01-01 00:00:00")], 1, 0), ([("o", None, "d", "2021-01-01 00:00:00")], 0, 1)])
+def test_gate_of_empty_all_valid_and_all_bad(spark, tmp_path, rows_in, valid, bad):
+    paths = LayerPaths.under(str(tmp_path))
+    full = [(*r, None, None, None, None) for r in rows_in]
+    spark.createDataFrame(full, build_schema("orders")).write.parquet(paths.bronze("orders"))
+    assert pipeline.orders_gate(spark, paths) == {"valid": valid, "quarantined": bad}
+    assert pipeline.stg_orders(spark, paths).count() == valid
+    assert pipeline.stg_orders_quarantine(spark, paths).count() == bad

@@ -45,8 +45,8 @@ def test_registry_and_oracle_keys():
     assert set(sql) <= set(qs)
     own, own_sql = all_queries(), oracle_sql()
     assert set(own) <= set(qs) and set(own_sql) <= set(sql)
-    assert len(own) == 27
-    assert set(own) - set(own_sql) == {"landing_discovery"}
+    assert len(own) == 30
+    assert set(own) == set(own_sql)
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
@@ -58,11 +58,6 @@ def test_query_matches_oracle(spark, smoke_dir, duck, name):
     assert canon(df.columns, df.collect()) == canon(ocols, res.fetchall())
 
 
-def test_landing_discovery_lists_nine_datasets(spark, smoke_dir):
-    rows = entry_mod.queries()["landing_discovery"](spark, smoke_dir).collect()
-    assert len(rows) == 9 and all(r["files"] >= 1 and r["bytes"] > 0 for r in rows)
-
-
 def test_entry_flagship(spark, smoke_dir):
     df = entry_mod.entry(spark)
     assert df.columns == ["order_date", "orders", "gmv", "freight_total", "avg_review_score", "delay_rate"]

@@ -3,6 +3,7 @@
 from tillroll.paths import LayerPaths
 from tillroll.schemas import DATASET_FILES, DATASET_FOLDER
 from tillroll.streaming import ingest_incrementally
+from tillroll.streaming.landing import stream_checkpoint
 
 
 def test_incremental_ingest_appends_new_files_only(spark, tmp_path):
@@ -36,3 +37,19 @@ def test_incremental_ingest_of_free_text_reviews(spark, tmp_path):
     assert set(rows) == {"r1", "r2"}
     assert rows["r1"]["review_comment_message"] == 'two\nlines, "quoted"'
     assert rows["r2"]["review_score"] == 4
+
+
+def test_progress_is_kept_across_sessions(spark, tmp_path):
+    """Without an explicit checkpoint a later application goes on where the
+    last one stopped: every landed row arrives once."""
+    paths = LayerPaths.under(str(tmp_path))
+    landing = tmp_path / "raw" / DATASET_FOLDER / "latest" / DATASET_FILES["sellers"]
+    landing.mkdir(parents=True)
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    for run in range(3):
+        session = spark.newSession()
+        (landing / f"part-{run}.csv").write_text(header + "".join(f"s{run}{i},0,x,Y\n" for i in range(3)))
+        ingest_incrementally(session, paths, "sellers")
+    got = [r["seller_id"] for r in spark.read.parquet(paths.bronze("sellers")).collect()]
+    assert sorted(got) == sorted(f"s{run}{i}" for run in range(3) for i in range(3))
+    assert str(tmp_path) in stream_checkpoint(paths, "sellers")

@@ -52,25 +52,32 @@ def delay_flag(delivered: ColumnOrName, estimated: ColumnOrName) -> Column:
             .otherwise(F.lit(0)))
 
 
+def _all_exact(x: Column, kind: str) -> tuple[Column, Column]:
+    """(values as decimals, whether every non-NULL value is one exactly)."""
+    d = x.try_cast(kind)
+    return d, F.count_if(d.cast("double") == x) == F.count(x)
+
+
 def money_sum(c: ColumnOrName, digits: int = 2) -> Column:
-    """``round(sum(c), digits)`` of a money column, exact, as double.
+    """``round(sum(c), digits)`` of a money column, as double.
 
-    Amounts are summed as ``decimal(18,6)`` — exact for up to six decimals,
-    so the result does not depend on partitioning or row order, and a
-    ``decimal(28,6)`` sum cannot overflow on any realistic total — then
-    rounded half-up once, after the sum, like the original double sum.
+    Where every amount is a decimal of at most six places and under 10^12,
+    the sum is taken in decimals, so it does not depend on partitioning or
+    row order, and rounded half-up once.  Otherwise (larger or finer amounts,
+    NaN, infinities, or a sum beyond 28 digits) it is the plain double sum.
     """
-    return F.round(F.sum(_col(c).cast("decimal(18,6)")), digits).cast("double")
+    x = _col(c)
+    d, exact = _all_exact(x, "decimal(18,6)")
+    plain = F.round(F.sum(x), digits)
+    return F.coalesce(F.when(exact, F.round(F.try_sum(d), digits).cast("double")), plain)
 
 
 def exact_mean(c: ColumnOrName, scale: int = 12) -> Column:
-    """Mean of a double whose value does not depend on summation order.
-
-    Values are summed as ``decimal(18, scale)`` (|x| < 10^(18-scale); with the
-    default 12 decimals that is any coordinate, to 1e-12) and divided once.
-    """
+    """Mean of a double; independent of summation order where every value is
+    a decimal of ``scale`` places (any coordinate), else the plain mean."""
     x = _col(c)
-    return F.sum(x.cast(f"decimal(18,{scale})")).cast("double") / F.count(x)
+    d, exact = _all_exact(x, f"decimal(18,{scale})")
+    return F.coalesce(F.when(exact, F.try_sum(d).cast("double") / F.count(x)), F.avg(x))
 
 
 def rounded_mean(c: ColumnOrName, digits: int) -> Column:
@@ -79,13 +86,14 @@ def rounded_mean(c: ColumnOrName, digits: int) -> Column:
 
 
 def first_value_by(value: ColumnOrName, order: ColumnOrName) -> Column:
-    """Value at the lowest ``order`` among rows where the value is not NULL.
+    """Non-NULL value at the lowest ``order``, NULL orders last, then the
+    smallest value: a total order.  NULL when every value is NULL.
 
-    NULL when every value is NULL.  Deterministic stand-in for
-    ``first(value, ignorenulls=True)`` in arrival order.
+    Deterministic stand-in for ``first(value, ignorenulls=True)``.
     """
-    v = _col(value)
-    return F.min_by(v, F.when(v.isNotNull(), _col(order)))
+    v, o = _col(value), _col(order)
+    first = F.min(F.when(v.isNotNull(), F.struct(o.isNull().alias("last"), o.alias("order"), v.alias("value"))))
+    return first["value"]
 
 
 def sort_key(order_col: ColumnOrName | None, ties: Iterable[str]) -> list[Column]:

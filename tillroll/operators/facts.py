@@ -1,21 +1,23 @@
 """Order-grain aggregates and the item-grain sales fact (A2, A4, A5, J1-J3,
 P5, X3, X4, X6).
 
-Scale design: payments and reviews are aggregated per order first
-(map-side partial aggregation, so a hot order is pre-summed before the
-shuffle).  The three order-grain inputs — unique per ``order_id`` — are
-merged into one attribute table before meeting the items, so the item side
-meets a single sort-merge join whose both inputs are shuffle stages: that is
-the shape adaptive execution can split when one order holds a large share of
-the items.  The merge itself cannot be skewed (every side is unique per key).
+Scale design: the order-grain inputs that a query asks for, and only those,
+become one attribute table: their rows are tagged, united and aggregated by
+``order_id`` once (map-side partial aggregation, so a hot order is pre-summed
+before the shuffle).  The items then meet a single join whose both inputs are
+fresh shuffles: the shape adaptive execution can split when one order holds a
+large share of the items.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import Sequence
 
-from tillroll.functions import delay_flag, first_value_by, money_sum, parse_ts
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tillroll.functions import delay_flag, first_value_by, parse_ts
 from tillroll.operators.dedupe import keep_first
+from tillroll.operators.joins import left_join_unique
 
 # --- fixed values: column names of the silver model -------------------------
 # raw text column -> parsed timestamp column
@@ -38,8 +40,16 @@ FACT_COLUMNS = [
     "payment_type_primary", "payment_installments_total", "review_score",
     "review_creation_ts", "order_date", "is_delayed",
 ]
+ORDER_COLUMNS = ["customer_id", "order_status", "order_purchase_ts",
+                 "order_delivered_customer_ts", "order_estimated_delivery_ts"]
+PAYMENT_COLUMNS = ["payment_value_total", "payment_type_primary", "payment_installments_total"]
+REVIEW_COLUMNS = ["review_score", "review_creation_ts"]
 # --- end of fixed values ----------------------------------------------------
 
+# columns of the fact that are computed from order columns
+DERIVED = {"order_date": ["order_purchase_ts"],
+           "is_delayed": ["order_delivered_customer_ts", "order_estimated_delivery_ts"]}
+
 
 def parse_orders(orders: DataFrame) -> DataFrame:
     """Adds the five parsed timestamps to (validated) orders (P5)."""
@@ -53,21 +63,26 @@ def delivery_delay(orders_parsed: DataFrame) -> DataFrame:
         delay_flag("order_delivered_customer_ts", "order_estimated_delivery_ts").alias("is_delayed"))
 
 
+def _payment_aggregates() -> list[Column]:
+    return [F.sum("payment_value").alias("payment_value_total"),
+            first_value_by("payment_type", "payment_sequential").alias("payment_type_primary"),
+            F.sum("payment_installments").alias("payment_installments_total")]
+
+
+def _review_aggregates() -> list[Column]:
+    return [F.max("review_score").alias("review_score"),
+            F.max(parse_ts("review_creation_date")).alias("review_creation_ts")]
+
+
 def payments_per_order(payments: DataFrame) -> DataFrame:
-    """Total value, primary type (lowest sequence with a type), instalments (A4)."""
-    return payments.groupBy("order_id").agg(
-        money_sum("payment_value").alias("payment_value_total"),
-        first_value_by("payment_type", "payment_sequential").alias("payment_type_primary"),
-        F.sum("payment_installments").alias("payment_installments_total"),
-    )
+    """Total value, unrounded, primary type (lowest sequence with a type; a type
+    without a sequence comes last), instalments (A4)."""
+    return payments.groupBy("order_id").agg(*_payment_aggregates())
 
 
 def reviews_per_order(reviews: DataFrame) -> DataFrame:
     """Highest score and latest creation time per order (A5)."""
-    return reviews.groupBy("order_id").agg(
-        F.max("review_score").alias("review_score"),
-        F.max(parse_ts("review_creation_date")).alias("review_creation_ts"),
-    )
+    return reviews.groupBy("order_id").agg(*_review_aggregates())
 
 
 def dedupe_items(order_items: DataFrame) -> DataFrame:
@@ -75,30 +90,41 @@ def dedupe_items(order_items: DataFrame) -> DataFrame:
     return keep_first(order_items, ITEM_KEYS)
 
 
-def order_attributes(orders_valid: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Per-order attributes of the fact: order, payment and review sides.
+def order_attributes(orders_valid: DataFrame | None = None, payments: DataFrame | None = None,
+                     reviews: DataFrame | None = None) -> DataFrame:
+    """One row per order with the columns of the sides that are given.
 
-    Full outer joins of three order-unique tables: an order known only to
-    payments or reviews keeps those attributes, as the item joins require.
-    Payments meet reviews first: both aggregates are already partitioned by
-    ``order_id``, so that join needs no exchange, and only its (smaller)
-    result is re-partitioned to meet the orders.
+    An order known only to payments or reviews keeps those attributes, as the
+    item joins require.  ``orders_valid`` is unique per order, so ``max`` of
+    its columns is its one row.
     """
-    o = parse_orders(orders_valid).select(
-        "order_id", "customer_id", "order_status", "order_purchase_ts",
-        "order_delivered_customer_ts", "order_estimated_delivery_ts")
-    paid_reviewed = payments_per_order(payments).join(reviews_per_order(reviews), on="order_id", how="full")
-    return o.join(paid_reviewed, on="order_id", how="full")
-
-
-def fct_order_items(order_items: DataFrame, orders_valid: DataFrame,
-                    payments: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Item-grain fact (J1-J3).  Items without a surviving order are kept
-    with NULL order attributes (they form the NULL date group downstream)."""
-    items = dedupe_items(order_items)
-    attrs = order_attributes(orders_valid, payments, reviews)
-    return (items.join(attrs, on="order_id", how="left")
-                 .withColumn("order_date", F.to_date("order_purchase_ts"))
-                 .withColumn("is_delayed", delay_flag("order_delivered_customer_ts",
-                                                      "order_estimated_delivery_ts"))
-                 .select(*FACT_COLUMNS))
+    wide, aggregates = None, []
+    if orders_valid is not None:
+        wide = parse_orders(orders_valid).select("order_id", *ORDER_COLUMNS)
+        aggregates += [F.max(c).alias(c) for c in ORDER_COLUMNS]
+    for side, columns, own in (
+            (payments, ["payment_value", "payment_type", "payment_sequential", "payment_installments"],
+             _payment_aggregates()),
+            (reviews, ["review_score", "review_creation_date"], _review_aggregates())):
+        if side is not None:
+            rows = side.select("order_id", *columns)
+            wide = rows if wide is None else wide.unionByName(rows, allowMissingColumns=True)
+            aggregates += own
+    return wide.groupBy("order_id").agg(*aggregates)
+
+
+def fct_order_items(order_items: DataFrame, orders_valid: DataFrame, payments: DataFrame,
+                    reviews: DataFrame, columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+    """Item-grain fact (J1-J3), its ``columns`` only: a side none of whose
+    columns is asked for is not read.  Items without a surviving order are
+    kept with NULL order attributes (they form the NULL date group
+    downstream)."""
+    needed = {b for c in columns for b in DERIVED.get(c, [c])}
+    sides = [df if needed & set(own) else None for df, own in (
+        (orders_valid, ORDER_COLUMNS), (payments, PAYMENT_COLUMNS), (reviews, REVIEW_COLUMNS))]
+    out = dedupe_items(order_items)
+    if any(s is not None for s in sides):
+        out = left_join_unique(out, order_attributes(*sides), "order_id", ITEM_KEYS + ["product_id"])
+    derived = {"order_date": lambda: F.to_date("order_purchase_ts"),
+               "is_delayed": lambda: delay_flag("order_delivered_customer_ts", "order_estimated_delivery_ts")}
+    return out.withColumns({c: f() for c, f in derived.items() if c in columns}).select(*columns)

@@ -1,52 +1,34 @@
-"""Left join to a table that is unique per key, with optional hot-key split.
-
-A plain ``fact.join(dim, key, "left")`` is split by AQE when one key holds a
-large share of the fact — but only when both inputs are fresh shuffles (for
-example when both are read from tables, as in the pipeline).  Inside one
-composed plan a de-duplicated dimension keeps its aggregation's
-partitioning and AQE cannot split the join; ``hot_keys`` handles that case:
-
-* the ``hot_keys`` most frequent non-NULL keys of the fact are found by a
-  partial aggregation and a top-K (at most ``hot_keys`` rows: a proven size
-  bound), and joined by broadcast — their dimension rows are at most
-  ``hot_keys`` too;
-* every other key holds at most the K-th largest count, so the remaining
-  shuffle join has no hot key;
-* NULL keys cannot match: those rows skip the join (as one hash partition
-  they would otherwise all meet in one task).
-
-The fact feeds four branches (key counts, hot, cold, NULL), so it is
-checkpointed once (reliable ``checkpoint()`` into the session's shared
-``spark.checkpoint.dir``; a job) and every branch scans that: chained splits
-stay linear in work instead of re-evaluating the fact per branch.  That
-write, and hiding the dimension's uniqueness from the optimizer, make the
-split opt-in: use it where a dimension key is known to be hot.
+"""Left join to a table that is unique per key, whatever the key's spread.
+
+Adaptive execution splits a skewed join only where both inputs are shuffles
+that the join itself asked for.  A de-duplicated or aggregated side keeps its
+aggregation's partitioning, so the join would reuse that and could not be
+split.  ``fresh_key`` is an expression the optimizer does not identify with
+the column, so the join deals both sides anew; Spark still broadcasts the
+smaller side when its size allows.
+
+Rows of the left side without a key match nothing, but as one hash partition
+they would all meet in one task: they get a key of their own, made of
+``spread_by``, that no key of the right side can equal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-from tillroll.session import shared_dir
-
-
-def left_join_unique(fact: DataFrame, dim: DataFrame, key: str, hot_keys: int = 0) -> DataFrame:
-    if hot_keys <= 0:
-        return fact.join(dim, on=key, how="left")
-    shared_dir(fact.sparkSession)
-    fact = fact.checkpoint(eager=True)
-    heavy = (fact.filter(F.col(key).isNotNull())
-                 .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                 .orderBy(F.col("_n").desc(), F.col(key))
-                 .limit(hot_keys)
-                 .select(key))
-    hot = F.broadcast(heavy)
-    present = fact.filter(F.col(key).isNotNull())
-    hot_part = present.join(hot, on=key, how="left_semi").join(
-        F.broadcast(dim.join(hot, on=key, how="left_semi")), on=key, how="left")
-    cold_part = present.join(hot, on=key, how="left_anti").join(dim, on=key, how="left")
-    dim_cols = [f for f in dim.schema.fields if f.name != key]
-    null_part = fact.filter(F.col(key).isNull()).select(
-        F.col(key), *[c for c in fact.columns if c != key],
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim_cols])
-    return hot_part.unionByName(cold_part).unionByName(null_part)
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# a character that no key starts with
+NO_KEY = "\x00"
+
+
+def fresh_key(c: Column) -> Column:
+    return F.concat(F.lit(""), c)
+
+
+def left_join_unique(fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """``fact`` with the columns of ``dim``; keys are strings, unique in ``dim``."""
+    own = F.concat(F.lit(NO_KEY), F.xxhash64(*spread_by).cast("string"))
+    left = fact.withColumn("_key", F.coalesce(F.col(key), own))
+    right = dim.select(fresh_key(F.col(key)).alias("_key"), *[c for c in dim.columns if c != key])
+    return left.join(right, on="_key", how="left").drop("_key")

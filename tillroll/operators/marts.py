@@ -13,6 +13,8 @@ and spread over the cluster by order_id before the final merge.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.functions import money_sum, rounded_mean
@@ -27,23 +29,43 @@ ANALYTICS_COLUMNS = [
 ]
 
 
+# dimension attributes of the enriched fact, and what each aggregate mart reads
+CUSTOMER_COLUMNS = ["customer_state", "customer_city"]
+PRODUCT_COLUMNS = ["product_category_name_en"]
+SELLER_COLUMNS = ["seller_city", "seller_state"]
+MART_INPUTS = {
+    "mart_daily_sales": ["order_id", "order_date", "price", "freight_value", "review_score", "is_delayed"],
+    "mart_state_performance": ["order_id", "customer_state", "price", "review_score"],
+    "mart_category_performance": ["order_id", "product_category_name_en", "price", "review_score"],
+    "mart_order_status_daily": ["order_id", "order_date", "order_status", "price", "is_delayed"],
+}
+
+
+def fact_columns(columns: Sequence[str]) -> list[str]:
+    """Columns the fact must have for ``columns`` of the enriched fact."""
+    keys = [k for k, own in (("customer_id", CUSTOMER_COLUMNS), ("product_id", PRODUCT_COLUMNS),
+                             ("seller_id", SELLER_COLUMNS)) if set(own) & set(columns)]
+    attributes = {*CUSTOMER_COLUMNS, *PRODUCT_COLUMNS, *SELLER_COLUMNS}
+    spread = ["order_id", "order_item_id"] if keys else []
+    return list(dict.fromkeys([*spread, *(c for c in columns if c not in attributes), *keys]))
+
+
 def fct_enriched(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
-                 dim_sellers: DataFrame, hot_keys: int = 0) -> DataFrame:
+                 dim_sellers: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Fact plus customer, product and seller attributes.
 
-    Each dimension is unique per key and pruned to the attributes used;
-    Spark broadcasts a side only when its measured size is under the
-    broadcast threshold, else sort-merge joins it (skew-split by AQE when
-    both sides are fresh shuffles).  ``hot_keys > 0`` splits the most
-    frequent keys of each join off to a bounded broadcast join
-    (``joins.left_join_unique``) for composed plans with hot dimension keys.
+    Each dimension is unique per key and joined only when one of its
+    attributes is among ``columns`` (all of them by default).  Hot and missing
+    keys: see ``joins.left_join_unique``.
     """
-    out = left_join_unique(fact, dim_customers.select("customer_id", "customer_state", "customer_city"),
-                           "customer_id", hot_keys)
-    out = left_join_unique(out, dim_products.select("product_id", "product_category_name_en"),
-                           "product_id", hot_keys)
-    return left_join_unique(out, dim_sellers.select("seller_id", "seller_city", "seller_state"),
-                            "seller_id", hot_keys)
+    out = fact
+    spread = [c for c in ("order_id", "order_item_id") if c in fact.columns] or fact.columns
+    for dim, key, own in ((dim_customers, "customer_id", CUSTOMER_COLUMNS),
+                          (dim_products, "product_id", PRODUCT_COLUMNS),
+                          (dim_sellers, "seller_id", SELLER_COLUMNS)):
+        if columns is None or set(own) & set(columns):
+            out = left_join_unique(out, dim.select(key, *own), key, spread)
+    return out if columns is None else out.select(*columns)
 
 
 def mart_order_analytics(enriched: DataFrame, with_load_time: bool = True) -> DataFrame:
@@ -73,7 +95,7 @@ def mart_state_performance(enriched: DataFrame, sort: bool = True) -> DataFrame:
         money_sum("price").alias("gmv"),
         rounded_mean("review_score", 2).alias("avg_review_score"),
     )
-    return out.orderBy(F.col("gmv").desc_nulls_last()) if sort else out
+    return out.orderBy(F.col("gmv").desc_nulls_last(), "customer_state") if sort else out
 
 
 def mart_category_performance(enriched: DataFrame, sort: bool = True) -> DataFrame:
@@ -83,7 +105,7 @@ def mart_category_performance(enriched: DataFrame, sort: bool = True) -> DataFra
         money_sum("price").alias("gmv"),
         rounded_mean("review_score", 2).alias("avg_review_score"),
     )
-    return out.orderBy(F.col("gmv").desc_nulls_last()) if sort else out
+    return out.orderBy(F.col("gmv").desc_nulls_last(), "product_category_name_en") if sort else out
 
 
 def mart_order_status_daily(enriched: DataFrame, sort: bool = True) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The SQL deliberately follows the *reference* formulation — one row_number
 over every row of a key, joins in the original order — and not the
-skew-safe Spark plan, so the two are independent.  Money sums are exact
-decimal sums rounded once; rounding of means uses integer half-up, which equals Spark's
+skew-safe Spark plan, so the two are independent.  Money sums of the marts are
+exact decimal sums rounded once; the payment total is the reference's plain sum; rounding of means uses integer half-up, which equals Spark's
 ``round(avg(x), n)`` on these inputs (DuckDB's own ``round`` breaks ties
 differently on binary doubles).
 """
@@ -70,10 +70,11 @@ b_order_items AS (
 ),
 b_order_payments AS (
   SELECT cast(event_id // 2 AS VARCHAR) AS order_id,
-         cast(event_id AS INTEGER) AS payment_sequential,
+         CASE WHEN event_id % 11 = 0 THEN NULL WHEN (event_id // 2) % 13 = 0 THEN 1
+              ELSE cast(event_id % 2 + 1 AS INTEGER) END AS payment_sequential,
          CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS payment_type,
          cast(event_id % 12 + 1 AS INTEGER) AS payment_installments,
-         value AS payment_value
+         value + cast(event_id % 7 AS DOUBLE) * cast(0.001 AS DOUBLE) AS payment_value
   FROM events
 ),
 b_order_reviews AS (
@@ -176,9 +177,9 @@ items AS (
 ),
 pay AS (
   SELECT order_id,
-         {_cents('payment_value')} AS payment_value_total,
-         arg_min(payment_type, payment_sequential) FILTER (WHERE payment_type IS NOT NULL)
-           AS payment_type_primary,
+         sum(payment_value) AS payment_value_total,
+         (list(payment_type ORDER BY payment_sequential ASC NULLS LAST, payment_type)
+            FILTER (WHERE payment_type IS NOT NULL))[1] AS payment_type_primary,
          cast(sum(payment_installments) AS BIGINT) AS payment_installments_total
   FROM b_order_payments GROUP BY order_id
 ),
@@ -270,6 +271,19 @@ FROM b_order_payments""",
     "parquet_overwrite_roundtrip": "SELECT * FROM items",
     "bronze_ingest": _counts("bronze_table"),
     "landing_manifest": _counts("dataset"),
+    "landing_discovery": _counts("dataset"),
+    "gate_tables": f"""
+SELECT CASE WHEN rn = 1 AND {COMPLETE} THEN 'stg_orders' ELSE 'stg_orders_quarantine' END AS table_name,
+       CASE WHEN rn = 1 AND {COMPLETE} THEN NULL ELSE coalesce({NULL_REASON}, 'duplicate') END AS dq_reason,
+       count(*) AS row_count
+FROM o_ranked GROUP BY 1, 2""",
+    "silver_tables": """
+SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM d_customers
+UNION ALL SELECT 'dim_sellers', count(*) FROM d_sellers
+UNION ALL SELECT 'dim_products', count(*) FROM d_products
+UNION ALL SELECT 'dim_geolocation', count(*) FROM (
+  SELECT DISTINCT geolocation_zip_code_prefix, lower(trim(geolocation_city)), geolocation_state FROM b_geolocation)
+UNION ALL SELECT 'fct_order_items', count(*) FROM fact""",
     "dq_ranked_orders": f"SELECT {ORDER_COLS}, cast(rn AS INTEGER) AS _row_num FROM o_ranked",
     "dq_null_violations": f"""
 SELECT {ORDER_COLS}, {NULL_REASON} AS dq_reason FROM b_orders WHERE NOT ({COMPLETE})""",
@@ -320,12 +334,14 @@ FROM enriched GROUP BY order_date ORDER BY order_date NULLS FIRST""",
 SELECT customer_state, count(DISTINCT order_id) AS orders,
        {_cents('price')} AS gmv,
        {_half_up_mean('review_score', 100)} AS avg_review_score
-FROM enriched GROUP BY customer_state ORDER BY gmv DESC NULLS LAST""",
+FROM enriched GROUP BY customer_state
+ORDER BY gmv DESC NULLS LAST, customer_state NULLS FIRST""",
     "mart_category_performance": f"""
 SELECT product_category_name_en, count(DISTINCT order_id) AS orders,
        {_cents('price')} AS gmv,
        {_half_up_mean('review_score', 100)} AS avg_review_score
-FROM enriched GROUP BY product_category_name_en ORDER BY gmv DESC NULLS LAST""",
+FROM enriched GROUP BY product_category_name_en
+ORDER BY gmv DESC NULLS LAST, product_category_name_en NULLS FIRST""",
     "mart_order_status_daily": f"""
 SELECT order_date, order_status, count(DISTINCT order_id) AS order_cnt,
        {_cents('price')} AS gmv,
@@ -334,6 +350,9 @@ FROM enriched GROUP BY order_date, order_status
 ORDER BY order_date NULLS FIRST, order_status NULLS FIRST""",
 }
 
+# the gold stage's daily mart is the same table, written and read back
+SELECTS["gold_tables"] = SELECTS["mart_daily_sales"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: WITH + body.strip() for name, body in SELECTS.items()}

@@ -14,10 +14,12 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators import dims, facts, marts, quality
 from tillroll.paths import LayerPaths
-from tillroll.schemas import DATASET_FILES
+from tillroll.schemas import DATASET_FILES, build_schema
+from tillroll.session import scratch_path
 from tillroll.sinks.files import write_parquet
 from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.parquet import read_table
@@ -63,46 +65,48 @@ def bronze_ingest(spark: SparkSession, paths: LayerPaths,
     return write_all({t: ingest(t, f) for t, f in datasets.items()}, concurrent_jobs)
 
 
-GATE_TABLE = "stg_orders_gate"
-STATUS = "dq_status"
+VALID, QUARANTINE = "stg_orders", "stg_orders_quarantine"
 
 
 def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
-    """Bronze orders -> the gate table, valid and quarantined rows (K2, V8).
+    """Bronze orders -> ``stg_orders`` and ``stg_orders_quarantine`` (K2, V8).
 
-    The orders are tagged once and written once, partitioned by a string
-    ``dq_status`` ('valid' / 'quarantined'): one pass computes the per-key
-    survivors for both sides, and the counts are observed during that write
-    instead of by extra jobs.  ``stg_orders`` / ``stg_orders_quarantine``
-    read one partition each.
+    The orders are tagged once, into a table of the shared scratch folder;
+    the two tables are written from that.  Counts are observed during the
+    writes instead of by extra jobs.  Any of the tables may be empty.
     """
     orders = read_table(spark, paths.bronze("orders"))
     quality.require_columns(orders)
-    is_valid = F.col(quality.REASON).isNull()
-    seen = Observation("gate")
-    tagged = (quality.tag_orders(orders)
-              .withColumn(STATUS, F.when(is_valid, F.lit("valid")).otherwise(F.lit("quarantined")))
-              .observe(seen, F.sum(is_valid.cast("long")).alias("valid"),
-                       F.sum((~is_valid).cast("long")).alias("quarantined")))
-    write_parquet(tagged, paths.silver(GATE_TABLE), partition_by=[STATUS])
-    got = seen.get
-    counts = {"valid": got["valid"] or 0, "quarantined": got["quarantined"] or 0}
+    tagged = quality.tag_orders(orders)
+    path = scratch_path(spark, "gate")
+    write_parquet(tagged, path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
+    valid = F.col(quality.REASON).isNull()
+    counts = {}
+    for name, table, rows in (("valid", VALID, tagged.filter(valid).drop(quality.REASON)),
+                              ("quarantined", QUARANTINE, tagged.filter(~valid))):
+        seen = Observation(name)
+        write_parquet(rows.observe(seen, F.count(F.lit(1)).alias("n")), paths.silver(table))
+        counts[name] = seen.get["n"] or 0
     log.info("valid rows: %d | quarantined: %d", counts["valid"], counts["quarantined"])
     if counts["quarantined"]:
         log.warning("%d rows sent to quarantine", counts["quarantined"])
     return counts
 
 
+def _orders_schema() -> StructType:
+    return build_schema("orders")
+
+
 def stg_orders(spark: SparkSession, paths: LayerPaths) -> DataFrame:
-    """Valid orders, bronze schema (partition-pruned read of the gate table)."""
-    gate = read_table(spark, paths.silver(GATE_TABLE))
-    return gate.filter(F.col(STATUS) == "valid").drop(STATUS, quality.REASON)
+    """Valid orders, bronze schema."""
+    return spark.read.schema(_orders_schema()).parquet(paths.silver(VALID))
 
 
 def stg_orders_quarantine(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     """Quarantined orders with their ``dq_reason``."""
-    gate = read_table(spark, paths.silver(GATE_TABLE))
-    return gate.filter(F.col(STATUS) == "quarantined").drop(STATUS)
+    schema = StructType([*_orders_schema(), StructField(quality.REASON, StringType())])
+    return spark.read.schema(schema).parquet(paths.silver(QUARANTINE))
 
 
 def silver_model(spark: SparkSession, paths: LayerPaths,

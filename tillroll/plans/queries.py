@@ -4,8 +4,8 @@ Each query is ``(spark, sf_dir) -> DataFrame``: it derives the bronze tables
 from the driver's Parquet files (``DriverTables``) and runs the operators
 lazily.  ``tillroll.plans.oracle`` holds the equivalent DuckDB SQL.
 
-Model queries share one lazy plan per (session, folder) (``model``), so the
-four marts analyse the enriched fact once.  Source/sink queries write the
+Every call builds its own ``Model``, so a folder that changed is listed anew.
+Source/sink queries write the
 derived tables to a fresh folder under the session's shared checkpoint
 directory and return what the operator reads back; ``dq_ranked_orders``
 checkpoints once (see ``quality.rank_orders``).  Every query reads its
@@ -14,6 +14,7 @@ tables whole.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.operators import dims, facts, marts, quality
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
-from tillroll.session import scratch_path, session_key
+from tillroll.schemas import DATASET_FILES
+from tillroll.session import scratch_path
 from tillroll.sinks.files import write_csv, write_parquet
 from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.driver_tables import DriverTables
@@ -34,9 +36,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Model:
     """Lazy silver/gold frames over one set of driver tables.
 
-    Each frame is built once per model and shared by the queries that use
-    it (the four marts share one analysed ``enriched`` plan).  Only plans
-    are shared — nothing is cached or materialised.
+    Each frame is built once per model.  Only plans are shared — nothing is
+    cached or materialised.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -54,10 +55,10 @@ class Model:
     def orders_valid(self) -> DataFrame:
         return self._once("orders_valid", lambda: quality.valid_orders(self.bronze("orders")))
 
-    def fact(self) -> DataFrame:
-        return self._once("fact", lambda: facts.fct_order_items(
+    def fact(self, columns=facts.FACT_COLUMNS) -> DataFrame:
+        return facts.fct_order_items(
             self.bronze("order_items"), self.orders_valid(), self.bronze("order_payments"),
-            self.bronze("order_reviews")))
+            self.bronze("order_reviews"), columns)
 
     def dim_customers(self) -> DataFrame:
         return self._once("dim_customers", lambda: dims.dim_customers(self.bronze("customers")))
@@ -69,20 +70,17 @@ class Model:
         return self._once("dim_products", lambda: dims.dim_products(
             self.bronze("products"), self.bronze("category_translation")))
 
-    def enriched(self) -> DataFrame:
-        return self._once("enriched", lambda: marts.fct_enriched(
-            self.fact(), self.dim_customers(), self.dim_products(), self.dim_sellers()))
+    def enriched(self, columns=None) -> DataFrame:
+        fact = self.fact(facts.FACT_COLUMNS if columns is None else marts.fact_columns(columns))
+        return marts.fct_enriched(fact, self.dim_customers(), self.dim_products(), self.dim_sellers(), columns)
 
-
-_MODELS: dict[tuple, Model] = {}
+    def mart(self, name: str) -> DataFrame:
+        """An aggregate mart from just the sides and dimensions it reads."""
+        return getattr(marts, name)(self.enriched(marts.MART_INPUTS[name]))
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:
-    """The shared model of one session and one data folder."""
-    key = (*session_key(spark), sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = Model(spark, sf_dir)
-    return _MODELS[key]
+    return Model(spark, sf_dir)
 
 
 def q_dq_null_violations(spark, d):
@@ -146,23 +144,23 @@ def q_fct_enriched(spark, d):
 
 
 def q_mart_order_analytics(spark, d):
-    return marts.mart_order_analytics(model(spark, d).enriched(), with_load_time=False)
+    return marts.mart_order_analytics(model(spark, d).enriched(marts.ANALYTICS_COLUMNS), with_load_time=False)
 
 
 def q_mart_daily_sales(spark, d):
-    return marts.mart_daily_sales(model(spark, d).enriched())
+    return model(spark, d).mart("mart_daily_sales")
 
 
 def q_mart_state_performance(spark, d):
-    return marts.mart_state_performance(model(spark, d).enriched())
+    return model(spark, d).mart("mart_state_performance")
 
 
 def q_mart_category_performance(spark, d):
-    return marts.mart_category_performance(model(spark, d).enriched())
+    return model(spark, d).mart("mart_category_performance")
 
 
 def q_mart_order_status_daily(spark, d):
-    return marts.mart_order_status_daily(model(spark, d).enriched())
+    return model(spark, d).mart("mart_order_status_daily")
 
 
 def q_dq_ranked_orders(spark, d):
@@ -217,11 +215,57 @@ def q_landing_manifest(spark, d):
 
 
 def q_landing_discovery(spark, d):
+    """Rows of every dataset that the listing finds, read through its paths."""
     paths = _landed(spark, d, "discovery")
     files = discover_csv(spark, paths.raw("", "latest").rstrip("/"))
-    folder = F.regexp_extract("path", r"/latest/([^/]+)/[^/]+$", 1)
-    return (files.groupBy(folder.alias("dataset_file"))
-                 .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    # One folder per registered dataset: at most nine rows.
+    folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct().collect()
+    names = {file: name for name, file in DATASET_FILES.items()}
+    counts = [read_raw_csv(spark, r["folder"], names[r["folder"].rpartition("/")[2]])
+              .agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(names[r["folder"].rpartition("/")[2]]).alias("dataset"), "row_count")
+              for r in sorted(folders)]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _built(spark, d, name) -> LayerPaths:
+    """Bronze tables written from the driver tables, then the gate's tables."""
+    paths = LayerPaths.under(scratch_path(spark, name))
+    for table, df in DriverTables(spark, d).bronze().items():
+        write_parquet(df, paths.bronze(table))
+    pipeline.orders_gate(spark, paths)
+    return paths
+
+
+def _table_counts(spark, tables: dict[str, str]):
+    counts = [read_table(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("table_name"), "row_count") for name, path in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_gate_tables(spark, d):
+    """The gate's written tables, read back: rows by table and reason."""
+    paths = _built(spark, d, "gate")
+    valid = pipeline.stg_orders(spark, paths).select(
+        F.lit("stg_orders").alias("table_name"), F.lit(None).cast("string").alias("dq_reason"))
+    bad = pipeline.stg_orders_quarantine(spark, paths).select(
+        F.lit("stg_orders_quarantine").alias("table_name"), "dq_reason")
+    return valid.unionByName(bad).groupBy("table_name", "dq_reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_silver_tables(spark, d):
+    """The silver model's written tables, read back: rows by table."""
+    paths = _built(spark, d, "silver")
+    pipeline.silver_model(spark, paths)
+    return _table_counts(spark, {t: paths.silver(t) for t in pipeline.SILVER_TABLES})
+
+
+def q_gold_tables(spark, d):
+    """The daily mart as the gold stage wrote it."""
+    paths = _built(spark, d, "gold")
+    pipeline.silver_model(spark, paths)
+    pipeline.gold_marts(spark, paths)
+    return read_table(spark, paths.gold("mart_daily_sales"))
 
 
 QUERIES: dict[str, Query] = {
@@ -231,6 +275,9 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest": q_bronze_ingest,
     "landing_manifest": q_landing_manifest,
     "landing_discovery": q_landing_discovery,
+    "gate_tables": q_gate_tables,
+    "silver_tables": q_silver_tables,
+    "gold_tables": q_gold_tables,
     "dq_ranked_orders": q_dq_ranked_orders,
     "dq_null_violations": q_dq_null_violations,
     "dq_gate_valid": q_dq_gate_valid,

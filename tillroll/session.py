@@ -8,6 +8,7 @@ local runs; on a cluster the submitter's settings win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,39 +38,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Base folder every executor can reach: the session's checkpoint dir.
 
-    On a cluster ``spark.checkpoint.dir`` names the shared folder (HDFS, S3,
-    ...).  Only when it is unset — local runs and tests — do we set one
-    ourselves under a fresh local temporary folder.
+    ``spark.checkpoint.dir`` names the shared folder (HDFS, S3, ...).  Only a
+    local master, where every task runs on this machine, may leave it unset:
+    then a fresh temporary folder is set.  Anywhere else a guess would put
+    files on disks that other executors do not see, so this raises.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns checkpointing
-        return (spark.conf.get("spark.checkpoint.dir", None)
-                or tempfile.mkdtemp(prefix="tillroll-ckpt-")).rstrip("/")
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc is None or not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
     return current.rstrip("/")
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Default parallelism of the session (cores in local mode)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        return int(spark.conf.get("spark.default.parallelism", str(os.cpu_count() or 8)))
-
-
-def session_key(spark: SparkSession) -> tuple:
-    """Identity of a session, stable while it lives."""
-    try:
-        return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
-    except Exception:  # Spark Connect
-        return ("connect", spark.session_id if hasattr(spark, "session_id") else id(spark))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared directory."""
     return f"{shared_dir(spark)}/tillroll-scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,10 +5,10 @@ the files, keys stay strings, unparseable numbers become NULL (permissive
 mode).  Binding is positional, as with any CSV schema.  An unknown or empty
 table name falls back to header + schema inference (one extra pass).
 
-Free-text tables (``MULTILINE_TABLES``) are read with ``multiLine`` and
-RFC-4180 doubled quotes, so a quoted newline or comma stays inside its
-field; such files cannot be split, so every other table keeps the default,
-splittable line reader.
+Quotes inside quoted fields are doubled (RFC 4180), as this library writes
+them, in every table.  Free-text tables (``MULTILINE_TABLES``) are also read
+with ``multiLine``, so a quoted newline stays inside its field; such files
+cannot be split, so every other table keeps the splittable line reader.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ log = logging.getLogger(__name__)
 
 def read_raw_csv(spark: SparkSession, path: str, table: str = "") -> DataFrame:
     schema = build_schema(table)
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is not None:
         log.info("reading %s with explicit schema (%d fields)", path, len(schema))
         reader = reader.schema(schema)
@@ -32,5 +32,5 @@ def read_raw_csv(spark: SparkSession, path: str, table: str = "") -> DataFrame:
         log.warning("no explicit schema for table %r, inferring from %s", table, path)
         reader = reader.option("inferSchema", True)
     if table in MULTILINE_TABLES:
-        reader = reader.option("multiLine", True).option("escape", '"')
+        reader = reader.option("multiLine", True)
     return reader.csv(path)

@@ -17,20 +17,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.schemas import column_names
-from tillroll.session import parallelism
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-SPREAD_MIN_ROWS = 100_000
-
-# bronze view -> driver table it is derived from
-SOURCES = {
-    "orders": "orders", "order_items": "lineitem", "order_payments": "events",
-    "order_reviews": "events", "customers": "customer", "sellers": "supplier",
-    "products": "part", "category_translation": "part", "geolocation": "part",
-}
-
 # Schemas of the driver tables (TESTDATA.md): given explicitly so a read is a
 # file listing, not a footer-reading job per table.
 DRIVER_SCHEMAS = {
@@ -50,24 +40,6 @@ DRIVER_SCHEMAS = {
 }
 
 
-def _rows_per_group(path: str) -> tuple[int, int]:
-    """(row groups, rows) of a local Parquet file or folder, from footers alone."""
-    try:
-        import glob
-        import os
-
-        import pyarrow.parquet as pq
-        files = sorted(glob.glob(os.path.join(path, "*.parquet"))) if os.path.isdir(path) else [path]
-        groups = rows = 0
-        for f in files:
-            meta = pq.ParquetFile(f).metadata
-            groups += meta.num_row_groups
-            rows += meta.num_rows
-        return groups, rows
-    except Exception:  # remote storage or unreadable: leave the scan as is
-        return 1 << 30, 0
-
-
 def _text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of a wall-clock timestamp, whole seconds.
 
@@ -113,23 +85,6 @@ class DriverTables:
     def _path(self, name: str) -> str:
         return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
 
-    def _spread(self, df: DataFrame, source: str) -> DataFrame:
-        """Spread a view of a large one-row-group file over every core.
-
-        A Parquet file is split by row group, so a one-group file is scanned
-        by one task however many cores there are.  The view (after its
-        filters, which still reach the scan) is spread once by hash of a
-        per-row id: even whatever the keys hold (a hot key would pile up
-        under a key hash), no sort, and stable if a scan task is re-run.
-        """
-        want = parallelism(self.spark)
-        groups, rows = _rows_per_group(self._path(source))
-        if groups >= want or rows < SPREAD_MIN_ROWS:
-            return df
-        rid = "_tillroll_row"
-        return (df.withColumn(rid, F.monotonically_increasing_id())
-                  .repartition(want, rid).drop(rid))
-
     # -- bronze views -------------------------------------------------------
     def orders(self) -> DataFrame:
         """One row per driver order plus a second version of every 50th.
@@ -184,16 +139,21 @@ class DriverTables:
         )
 
     def order_payments(self) -> DataFrame:
-        """Two events per order id; 'error' events carry no payment type."""
+        """Two events per order id; 'error' events carry no payment type.
+
+        Every 11th sequence is NULL, every 13th order has equal sequences, and
+        amounts have a third decimal place.
+        """
         ev = self.raw("events")
         e = F.col("event_id")
         return ev.select(
             _s(F.floor(e / 2)).alias("order_id"),
-            e.cast("int").alias("payment_sequential"),
+            F.when(e % 11 == 0, F.lit(None)).when(F.floor(e / 2) % 13 == 0, F.lit(1))
+             .otherwise(e % 2 + 1).cast("int").alias("payment_sequential"),
             F.when(F.col("event_type") == "error", _null()).otherwise(F.col("event_type"))
              .alias("payment_type"),
             (e % 12 + 1).cast("int").alias("payment_installments"),
-            F.col("value").alias("payment_value"),
+            (F.col("value") + (e % 7).cast("double") * F.lit(0.001)).alias("payment_value"),
         )
 
     def order_reviews(self) -> DataFrame:
@@ -284,8 +244,7 @@ class DriverTables:
         )
 
     def table(self, name: str) -> DataFrame:
-        view = getattr(self, name)().select(*column_names(name))
-        return self._spread(view, SOURCES[name])
+        return getattr(self, name)().select(*column_names(name))
 
     def bronze(self) -> dict[str, DataFrame]:
         from tillroll.schemas import DATASET_FILES

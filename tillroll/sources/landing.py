@@ -5,7 +5,8 @@ with ``snapshot`` = ``archive/run_ts=<UTC stamp>`` for every run and
 ``latest`` for the current copy; each snapshot holds a ``_manifest`` (JSON)
 describing its files.  All of it is distributed Spark I/O: the listing is a
 ``binaryFile`` scan that never reads file contents, and the manifest's row
-counts come from one pass over the landed files with ``_metadata``.
+counts come from one pass over the landed files with ``_metadata``, joined to
+the listing so that files without data rows are described too.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from tillroll.sinks.files import write_csv
 from tillroll.sources.csv import read_raw_csv
 
 
+MANIFEST = ("dataset string, key string, size_bytes long, row_count long, file_count long, "
+            "run_ts_utc string, source string")
+
+
 def discover_csv(spark: SparkSession, root: str, require: bool = True) -> DataFrame:
-    """Every ``*.csv`` below ``root``: path, length, modification time.
+    """Every ``*.csv`` below ``root`` by path: path, length, modification time.
 
-    Raises ``ValueError`` when nothing is found and ``require`` is set.
+    With ``require``, raises ``ValueError`` when nothing is found, which takes
+    a listing job; without it no job runs.
     """
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*.csv")
@@ -33,7 +39,7 @@ def discover_csv(spark: SparkSession, root: str, require: bool = True) -> DataFr
              .select("path", "length", "modificationTime"))
     if require and files.isEmpty():
         raise ValueError(f"no CSV files found under {root}")
-    return files
+    return files.orderBy("path")
 
 
 def run_stamp(now: _dt.datetime | None = None) -> str:
@@ -51,37 +57,43 @@ def land_tables(tables: Mapping[str, DataFrame], paths: LayerPaths, snapshot: st
     return out
 
 
-def manifest(spark: SparkSession, landed: Mapping[str, str], run_ts: str) -> DataFrame:
-    """One row per landed file: dataset, file, size and data rows."""
-    parts = []
+def manifest(spark: SparkSession, landed: Mapping[str, str], run_ts: str, source: str = "") -> DataFrame:
+    """One row per landed file, by dataset and key.
+
+    dataset, key (the path below the landing folder of the snapshot), size in
+    bytes, data rows (0 for a file with a header alone), the dataset's number
+    of files, the run's stamp and where the data came from.
+    """
+    out = None
     for name, path in landed.items():
-        df = read_raw_csv(spark, path, name if build_schema(name) else "")
-        parts.append(df.select(F.lit(name).alias("dataset"),
-                               F.col("_metadata.file_name").alias("file_name"),
-                               F.col("_metadata.file_size").alias("size_bytes"))
-                       .groupBy("dataset", "file_name", "size_bytes")
-                       .agg(F.count(F.lit(1)).alias("row_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("run_ts_utc", F.lit(run_ts))
+        folder = path.rstrip("/").rpartition("/")[2]
+        files = discover_csv(spark, path, require=False).select(
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("size_bytes"))
+        rows = (read_raw_csv(spark, path, name if build_schema(name) else "")
+                .select(F.col("_metadata.file_name").alias("file_name"))
+                .groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count")))
+        part = files.join(rows, "file_name", "left").select(
+            F.lit(name).alias("dataset"), F.concat(F.lit(folder + "/"), F.col("file_name")).alias("key"),
+            "size_bytes", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"))
+        out = part if out is None else out.unionByName(part)
+    counts = out.groupBy("dataset").agg(F.count(F.lit(1)).alias("file_count"))
+    return (out.join(counts, "dataset").withColumns({"run_ts_utc": F.lit(run_ts), "source": F.lit(source)})
+               .orderBy("dataset", "key"))
 
 
 def snapshot_run(spark: SparkSession, tables: Mapping[str, DataFrame], paths: LayerPaths,
-                 run_ts: str | None = None) -> DataFrame:
-    """Land a run under ``archive/run_ts=..``, copy it to ``latest``, and
-    write the manifest next to both copies; returns the manifest frame.
+                 run_ts: str | None = None, source: str = "") -> DataFrame:
+    """Land a run under ``archive/run_ts=..`` and as ``latest``, with a manifest
+    next to each copy that describes that copy's own files; returns the
+    manifest of ``latest``.
 
-    The copy to ``latest`` is a distributed read-and-write of the archived
-    files, so ``latest`` always equals a complete archived run.
+    Both copies are written from the source tables, so neither is a typed
+    re-reading of the other.
     """
     run_ts = run_ts or run_stamp()
-    archived = land_tables(tables, paths, f"archive/run_ts={run_ts}")
-    latest = {}
-    for name, path in archived.items():
-        latest[name] = paths.raw(DATASET_FILES[name], "latest")
-        write_csv(read_raw_csv(spark, path, name), latest[name])
-    archive_manifest = paths.raw("_manifest", f"archive/run_ts={run_ts}")
-    manifest(spark, archived, run_ts).coalesce(1).write.mode("overwrite").json(archive_manifest)
-    spark.read.json(archive_manifest).write.mode("overwrite").json(paths.raw("_manifest", "latest"))
-    return spark.read.json(paths.raw("_manifest", "latest"))
+    out = ""
+    for snapshot in (f"archive/run_ts={run_ts}", "latest"):
+        landed = land_tables(tables, paths, snapshot)
+        out = paths.raw("_manifest", snapshot)
+        manifest(spark, landed, run_ts, source).write.mode("overwrite").json(out)
+    return spark.read.schema(MANIFEST).json(out)

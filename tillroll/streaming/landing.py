@@ -4,7 +4,8 @@ The batch ingest rewrites every bronze table from the whole landing folder.
 When raw files keep arriving, the same schema-enforced read can run as a
 Structured Streaming file source with ``Trigger.AvailableNow``: each run
 picks up only files not seen before, appends them to bronze Parquet, and
-records progress in a checkpoint folder in shared storage, so a run that
+records progress in a checkpoint folder beside the bronze tables, so the next
+run, of this or another application, continues, and one that
 dies (or loses executors) restarts where it stopped with exactly-once file
 output.  No state, watermark or window is involved: the reference has no
 streaming semantics, only files.
@@ -17,7 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.paths import LayerPaths
 from tillroll.schemas import DATASET_FILES, MULTILINE_TABLES, build_schema
-from tillroll.session import shared_dir
+
+
+def stream_checkpoint(paths: LayerPaths, table: str) -> str:
+    """Progress folder of a table's stream: beside its bronze folder, and so
+    the same for every application that continues the ingest."""
+    return paths.bronze(f"_streams/{table}")
 
 
 def ingest_incrementally(spark: SparkSession, paths: LayerPaths, table: str,
@@ -26,11 +32,11 @@ def ingest_incrementally(spark: SparkSession, paths: LayerPaths, table: str,
     schema = build_schema(table)
     if schema is None:
         raise ValueError(f"streaming ingest needs a registered schema; {table!r} has none")
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
     if table in MULTILINE_TABLES:
-        reader = reader.option("multiLine", True).option("escape", '"')
+        reader = reader.option("multiLine", True)
     source = reader.csv(paths.raw(DATASET_FILES[table]))
-    checkpoint = checkpoint or f"{shared_dir(spark)}/tillroll-streams/bronze-{table}"
+    checkpoint = checkpoint or stream_checkpoint(paths, table)
     query = (source.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .option("path", paths.bronze(table))
