@@ -38,8 +38,8 @@ from tillroll.llm.url_filter import bloom_blocks, build_bloom, possible_hits
 from tillroll.llm.tokens import pieces
 from tillroll.llm.words import SPACES, mix, shingles, word_hashes
 
-SETS = "doc_id long, n_shingles long, class binary, keys binary"
-FULL = "doc_id long, class binary, shingles binary, bits binary"
+SETS = "doc_id long, n_shingles long, class binary, keys binary, bits binary"
+FULL = "doc_id long, class binary, shingles binary"
 SIGNATURE_BITS = 1024
 #: Parts beyond the d + 1 that guarantee an agreeing one: a text with fewer
 #: empty parts than SPARE + 1 need not be found by an empty part.
@@ -108,14 +108,15 @@ def _read_sets(k: int, percent: int):
     def run(batches):
         tiles = Tiles(percent)
         for batch in batches:
-            n, names, keys = [], [], []
+            n, out = [], [[], [], []]
             for s in _sets(batch, k):
                 n.append(len(s))
-                names.append(class_of(s) if len(s) else None)
-                keys.append(part_keys(s, tiles).tobytes() if len(s) else None)
+                row = (class_of(s), part_keys(s, tiles).tobytes(), signature(s)) if len(s) else (None,) * 3
+                for col, x in zip(out, row):
+                    col.append(x)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(keys, pa.binary())], names=["doc_id", "n_shingles", "class", "keys"])
+                [batch.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in out]],
+                names=["doc_id", "n_shingles", "class", "keys", "bits"])
     return run
 
 
@@ -125,8 +126,8 @@ def _full_sets(k: int):
             sets = list(_sets(batch, k))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array([f(s) for s in sets], pa.binary())
-                                     for f in (class_of, np.ndarray.tobytes, signature)],
-                names=["doc_id", "class", "shingles", "bits"])
+                                     for f in (class_of, np.ndarray.tobytes)],
+                names=["doc_id", "class", "shingles"])
     return run
 
 
@@ -144,32 +145,52 @@ def overlap_bound(n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarra
     return np.minimum((n + m - differ) // 2, np.minimum(n, m))
 
 
+def _possible(percent: int):
+    """Pairs whose signatures allow a link."""
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u8").reshape(len(n), -1) for c in (4, 5))
+            most = overlap_bound(n, m, np.bitwise_count(x ^ y).sum(axis=1).astype("i8"))
+            keep = pa.array(100 * most >= percent * (n + m - most))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in (0, 1)], names=["a", "b"])
+    return run
+
+
 def _linked(percent: int):
+    """Pairs whose sets link, by exact intersection."""
     def run(batches):
         for batch in batches:
-            a, b, sa, sb, ba, bb = (batch.column(c).to_pylist() for c in range(6))
             keep = []
-            for i in range(len(a)):
-                x, y = np.frombuffer(sa[i], "u8"), np.frombuffer(sb[i], "u8")
-                differ = int(np.bitwise_count(np.frombuffer(ba[i], "u8") ^ np.frombuffer(bb[i], "u8")).sum())
-                most = int(overlap_bound(len(x), len(y), differ))
-                if 100 * most < percent * (len(x) + len(y) - most):
-                    continue
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), "u8") for c in (2, 3))
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    keep.append(i)
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c[i] for i in keep], pa.binary()) for c in (a, b)], names=["a", "b"])
+                [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], names=["a", "b"])
     return run
 
 
-def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link."""
+def _with_ends(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` (a, b) with ``columns`` of both classes."""
     for end in ("a", "b"):
-        pairs = pairs.join(full.select(F.col("class").alias(end), F.col("shingles").alias(f"set_{end}"),
-                                       F.col("bits").alias(f"bits_{end}")), end)
-    return cut(pairs.select("a", "b", "set_a", "set_b", "bits_a", "bits_b")
-               .mapInArrow(_linked(percent), "a binary, b binary"), "links")
+        pairs = pairs.join(table.select(F.col("class").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+    return pairs.select("a", "b", *[f"{c}_{end}" for c in columns for end in ("a", "b")])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets link.  Sets are read again from
+    the texts, of the classes that occur in ``pairs`` only: a Bloom filter of
+    their documents spares the rest the shuffle."""
+    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = cut(ends.join(classes.select("class", "doc_id"), "class"), "wanted")
+    blocks = bloom_blocks(wanted.count())
+    near = possible_hits(docs, "doc_id", build_bloom(wanted, "doc_id", blocks), blocks)
+    near = near.where(F.col("possible") | F.col("doc_id").isNull())
+    full = (near.select("doc_id", "text").mapInArrow(_full_sets(k), FULL)
+                .join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
+    full = cut(full.select("class", "shingles"), "full-sets")
+    return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(_linked(percent), "a binary, b binary"), "links")
 
 
 def _block_pairs(percent: int):
@@ -193,7 +214,7 @@ def _block_pairs(percent: int):
     return run
 
 
-def _open_pairs(groups: DataFrame, roots: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, percent: int) -> DataFrame:
     """Pairs within a group that are in different components and whose
     signatures allow a link."""
     rows = (groups.join(roots.withColumnRenamed("node", "class"), "class", "left")
@@ -201,7 +222,7 @@ def _open_pairs(groups: DataFrame, roots: DataFrame, full: DataFrame, percent: i
     split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                  .where("low < high").select("key"))
     rows = rows.join(cut(split, "open-groups"), "key")
-    rows = rows.join(full.select("class", (F.octet_length("shingles") / 8).cast("long").alias("n"), "bits"), "class")
+    rows = rows.join(small, "class")
     rows = cut(rows.select("key", "class", "root", "n", "bits"), "open-rows")
     by = Window.partitionBy("key").orderBy("n", "class")
     rows = rows.withColumn("block", F.floor((F.row_number().over(by) - 1) / BLOCK))
@@ -227,32 +248,26 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     ship(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = cut(docs.mapInArrow(_read_sets(k, percent), SETS), "sets")
-    classes = cut(sets.where(F.col("class").isNotNull()).groupBy("class")
-                  .agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "classes")
+    classes = cut(sets.where(F.col("class").isNotNull()).groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
+        F.first("bits").alias("bits")), "classes")
     spread = classes.select("class", "keys").mapInArrow(_spread_keys, "class binary, key long")
     groups = (spread.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
                     .where("size > 1"))
     groups = cut(groups, "groups")
+    often = cut(groups.groupBy("class").agg(F.sum("size").alias("often")), "often")
+    small = cut(classes.select("class", "n", "bits").join(often.select("class"), "class", "left_semi"), "signatures")
 
-    wanted = cut(groups.select("class").distinct().join(classes.select("class", "doc_id"), "class"), "wanted")
-    blocks = bloom_blocks(wanted.count())
-    near = possible_hits(docs, "doc_id", build_bloom(wanted, "doc_id", blocks), blocks)
-    near = near.where(F.col("possible") | F.col("doc_id").isNull())
-    full = (near.select("doc_id", "text").mapInArrow(_full_sets(k), FULL)
-                .join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
-    full = cut(full.select("class", "shingles", "bits"), "full-sets")
-
-    often = groups.groupBy("class").agg(F.sum("size").alias("often"))
-    ranked = groups.join(cut(often, "often"), "class")
-    hub = cut(ranked.groupBy("key").agg(F.max(F.struct("often", "class"))["class"].alias("hub")), "hubs")
+    hub = cut(groups.join(often, "class").groupBy("key")
+              .agg(F.max(F.struct("often", "class"))["class"].alias("hub")), "hubs")
     star = (groups.join(hub, "key").where(F.col("class") != F.col("hub"))
                   .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct())
-    links = _verified(star, full, percent)
+    star = _with_ends(star, small, ["n", "bits"]).mapInArrow(_possible(percent), "a binary, b binary")
+    links = _verified(cut(star, "star-pairs"), docs, classes, k, percent)
     roots = components(links)
-    rest = _open_pairs(groups.where("size > 2"), roots, full, percent)
-    more = _verified(rest, full, percent)
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    rest = cut(_open_pairs(groups.where("size > 2"), roots, small, percent), "open-pairs")
+    if not rest.isEmpty():
+        roots = components(links.unionByName(_verified(rest, docs, classes, k, percent)))
 
     named = (classes.select("class", "doc_id")
                     .join(roots.withColumnRenamed("node", "class"), "class", "left")
