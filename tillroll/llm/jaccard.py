@@ -289,18 +289,17 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "d
     Rows that share a doc_id are kept or removed together, and of equal ones
     one is kept; rows without a doc_id are kept.
     """
-    names = docs.columns
     found = near_duplicates(docs, k, percent, doc_id, text)
     same = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(
         (F.col("doc_id") == F.col("component_id")).cast("int")).alias("kept"))
     odd = cut(same.where(F.col("doc_id").isNotNull() & ((F.col("kept") == 0) | (F.col("n") > 1)))
-              .select(F.col("doc_id").alias("odd_id"), "kept"), "odd-documents")
+              .select(F.col("doc_id").alias("id"), "kept"), "odd-documents")
     blocks = bloom_blocks(odd.count())
-    rows = possible_hits(docs.withColumn("bloom_key", F.col(doc_id).cast("long")), "bloom_key",
-                         build_bloom(odd.withColumnRenamed("odd_id", "bloom_key"), "bloom_key", blocks), blocks)
-    plain = rows.where(~F.col("possible")).select(*names)
-    asked = (rows.where("possible").join(odd, F.col("bloom_key") == F.col("odd_id"), "left")
-                 .where(F.coalesce("kept", F.lit(1)) == 1))
-    twice = asked.where(F.col("odd_id").isNotNull()).dropDuplicates([doc_id, text])
-    return (plain.unionByName(asked.where(F.col("odd_id").isNull()).select(*names))
-                 .unionByName(twice.select(*names)))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    rows = possible_hits(rows, "id", build_bloom(odd, "id", blocks), blocks)
+    plain = rows.where(~F.col("possible"))
+    asked = rows.where("possible").join(odd, "id", "left").where(F.coalesce("kept", F.lit(1)) == 1)
+    twice = (asked.where(F.col("kept").isNotNull())
+                  .withColumn("same", F.sha2(F.coalesce(F.col("row")[text], F.lit("")), 256)).dropDuplicates(["id", "same"]))
+    out = plain.select("row").unionByName(asked.where(F.col("kept").isNull()).select("row"))
+    return out.unionByName(twice.select("row")).select("row.*")
