@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.session import scratch_path
 
+#: Spark's setting to remove a query's shuffle files when it has ended.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -21,11 +23,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here.
 
     The folder is under the session's ``spark.checkpoint.dir``, so a lost
-    executor loses nothing that was already written.
+    executor loses nothing that was already written; the write's own shuffle
+    files are of no more use and are removed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(REMOVE_SHUFFLES)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

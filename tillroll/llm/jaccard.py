@@ -248,10 +248,11 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     ship(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = cut(docs.mapInArrow(_read_sets(k, percent), SETS), "sets")
-    classes = cut(sets.where(F.col("class").isNotNull()).groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
-        F.first("bits").alias("bits")), "classes")
-    spread = classes.select("class", "keys").mapInArrow(_spread_keys, "class binary, key long")
+    some = sets.where(F.col("class").isNotNull())
+    classes = cut(some.groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes")
+    spread = (some.groupBy("class").agg(F.first("keys").alias("keys"))
+                  .mapInArrow(_spread_keys, "class binary, key long"))
     groups = (spread.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
                     .where("size > 1"))
     groups = cut(groups, "groups")
