@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillroll.llm.common import ship
 from tillroll.llm.pii import EMAIL
 from tillroll.llm.spans import find
-from tillroll.llm.tokens import default_vocabulary, encoder
+from tillroll.llm.tokens import default_vocabulary, encoder, row_slices
 
 LEAF = 16
 WHITE = " \t\n\x0b\x0c\r"
@@ -149,7 +149,7 @@ def edited(text: str, edits: list[tuple[int, int, str]]) -> str:
 def _build(path: str, names: list[str], text_at: int):
     def run(batches):
         enc = encoder(path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, text_at)):
             leaves, number = [], []
             for t in batch.column(text_at):
                 own = _LEAVES.findall(t.as_py() or "")
@@ -176,13 +176,13 @@ def _apply(path: str):
                 if chunk:
                     n = remembered.get(chunk)
                     if n is None:
-                        if len(remembered) > 200_000:
+                        if len(remembered) > 100_000:
                             remembered.clear()
                         n = remembered[chunk] = len(enc.chunk(chunk))
                     total += n
             return total
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, 1)):
             out: list[tuple] = []
             for i in range(batch.num_rows):
                 name, text, edits, chars, tokens = (batch.column(c)[i].as_py() for c in range(5))

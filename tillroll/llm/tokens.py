@@ -147,6 +147,17 @@ def pieces(texts: pa.Array, size: int = 8 << 20):
         at = to
 
 
+def row_slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20):
+    """The batch in runs of rows with about ``size`` bytes of text."""
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(length, dtype="i8")])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One per worker and vocabulary: what it remembers outlives a task."""
