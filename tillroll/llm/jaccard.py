@@ -10,10 +10,11 @@
 3. In a group of candidates all are first held against the one that agrees
    most often; then only pairs that are still in different components are
    compared, in blocks.
-4. Signatures hold the parity of the hashes in each of 1024 bits: the bits in
-   which two differ are a lower bound of the shingles in which the sets
-   differ, and so bound the overlap from above.  Pairs that pass are
-   intersected exactly, as sorted arrays.
+4. Signatures hold the parity of the hashes in each of a number of bits that
+   grows with the set: the bits in which two differ are a lower bound of the
+   shingles in which the sets differ, and so bound the overlap from above.
+   Pairs that pass are intersected exactly, as sorted arrays: first each
+   class's closest pair, then those whose ends are still apart.
 
 No pair that could link two components is dropped, and a large group of copies
 costs a comparison per copy, not per pair.
@@ -40,7 +41,8 @@ from tillroll.llm.words import SPACES, mix, shingles, word_hashes
 
 SETS = "doc_id long, n_shingles long, class binary, keys binary, bits binary"
 FULL = "doc_id long, class binary, shingles binary"
-SIGNATURE_BITS = 1024
+#: Least bits of a signature, and bits per shingle from which on it grows.
+SIGNATURE_BITS, BITS_PER_SHINGLE = 1024, 2
 #: Parts beyond the d + 1 that guarantee an agreeing one: a text with fewer
 #: empty parts than SPARE + 1 need not be found by an empty part.
 SPARE = 2
@@ -93,10 +95,23 @@ def part_keys(s: np.ndarray, tiles: Tiles) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> bytes:
-    odd = np.bincount((s & np.uint64(SIGNATURE_BITS - 1)).astype("i8"), minlength=SIGNATURE_BITS) & 1
+    size = max(SIGNATURE_BITS, 1 << (BITS_PER_SHINGLE * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype("i8"), minlength=size) & 1
     return np.packbits(odd.astype("u1")).tobytes()
 
 
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A signature as the words of one of ``size`` bytes: parities of more
+    bits add up to parities of fewer."""
+    words = np.frombuffer(bits, "u8")
+    return np.bitwise_xor.reduce(words.reshape(-1, size // 8), axis=0)
+
+
+def differing(x: bytes, y: bytes) -> int:
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+
+
 def _sets(batch: pa.RecordBatch, k: int):
     for _, texts in pieces(batch.column(1)):
         hashes, starts, _ = word_hashes(texts, SPACES)
@@ -146,14 +161,15 @@ def overlap_bound(n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarra
 
 
 def _possible(percent: int):
-    """Pairs whose signatures allow a link."""
+    """Pairs whose signatures allow a link, and the bits in which they differ."""
     def run(batches):
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in (2, 3))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u8").reshape(len(n), -1) for c in (4, 5))
-            most = overlap_bound(n, m, np.bitwise_count(x ^ y).sum(axis=1).astype("i8"))
+            differ = np.array([differing(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))], "i8")
+            most = overlap_bound(n, m, differ)
             keep = pa.array(100 * most >= percent * (n + m - most))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).filter(keep) for c in (0, 1)], pa.array(differ).filter(keep)], names=["a", "b", "differ"])
     return run
 
 
@@ -200,7 +216,8 @@ def _block_pairs(percent: int):
         left = [i for i, s in enumerate(side) if s == 0]
         right = [i for i, s in enumerate(side) if s == 1] or left
         size = np.asarray(n, "i8")
-        sig = np.frombuffer(b"".join(bits), "u8").reshape(len(bits), -1)
+        least = min(map(len, bits))
+        sig = np.stack([folded(x, least) for x in bits])
         out = [[], []]
         for i in left:
             r = np.asarray(right)
@@ -237,6 +254,14 @@ def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, percent:
     return rows.groupBy("key", "i", "j").applyInArrow(_block_pairs(percent), "a binary, b binary").distinct()
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    for end in ("a", "b"):
+        pairs = (pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias("at")), end, "left")
+                      .withColumn(f"root_{end}", F.coalesce("at", end)).drop("at"))
+    return pairs.where(F.col("root_a") != F.col("root_b")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
@@ -263,10 +288,15 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
               .agg(F.max(F.struct("often", "class"))["class"].alias("hub")), "hubs")
     star = (groups.join(hub, "key").where(F.col("class") != F.col("hub"))
                   .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct())
-    star = _with_ends(star, small, ["n", "bits"]).mapInArrow(_possible(percent), "a binary, b binary")
-    links = _verified(cut(star, "star-pairs"), docs, classes, k, percent)
+    star = cut(_with_ends(star, small, ["n", "bits"])
+               .mapInArrow(_possible(percent), "a binary, b binary, differ long"), "star-pairs")
+    each = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"), "differ"))
+    closest = (each.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b"))
+                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = _verified(cut(closest, "closest-pairs"), docs, classes, k, percent)
     roots = components(links)
-    rest = cut(_open_pairs(groups.where("size > 2"), roots, small, percent), "open-pairs")
+    rest = _apart(star, roots).unionByName(_open_pairs(groups.where("size > 2"), roots, small, percent)).distinct()
+    rest = cut(rest, "open-pairs")
     if not rest.isEmpty():
         roots = components(links.unionByName(_verified(rest, docs, classes, k, percent)))
 
