@@ -30,7 +30,7 @@ SPECIAL = "<|"
 #: and most pre-tokens (Python objects, some 200 bytes each).
 REMEMBERED, WORDS = 800_000, 200_000
 #: Bytes of text that are split at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 
 
 def default_vocabulary() -> str:
@@ -135,7 +135,7 @@ def unsliced(texts: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((at - at[0]).tobytes()), data)
 
 
-def pieces(texts: pa.Array, size: int = 8 << 20):
+def pieces(texts: pa.Array, size: int = 3 << 20):
     """Yield (first, texts) in runs of about ``size`` bytes, NULL as empty, so
     that what is held for a run does not grow with a batch."""
     texts = texts.cast(pa.large_string()).fill_null("")

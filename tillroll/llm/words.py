@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from tillroll.llm.tokens import unsliced
 
 #: Bytes hashed at once; about 40 bytes of memory each.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 _POSITIONS = 1 << 12
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
