@@ -137,6 +137,53 @@ def test_benchmark_copies_exact_and_edited(spark, documents):
     assert decontam.benchmark_copies(docs, bench.limit(0)).collect() == []
 
 
+def held_copies(items, texts):
+    block = decontam._read_items([{"item_id": i, "text": t} for i, t in items])
+    counts = np.zeros(len(block.vocabulary), "i8")
+    for batch in decontam._count_documents(block.vocabulary)([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])]):
+        for w, n in zip(*(c.to_pylist() for c in batch.columns)):
+            counts[w] += n if w >= 0 else 0
+    decontam.choose_seeds(block, counts, len(texts))
+    return block, decontam._best_copies(block, pa.array(texts), decontam._filter(block.vocabulary))
+
+
+@pytest.mark.parametrize("every", [3, 4, 5, 6])
+def test_copies_with_every_nth_word_replaced_are_found(every):
+    """Also beside an exact copy, and with words put in instead."""
+    rng = random.Random(every)
+    items = [(i, " ".join(passage(rng, 30))) for i in range(20)]
+    texts = []
+    for _, text in items:
+        w = text.split()
+        replaced = [f"new{j}" if j % every == every - 1 else x for j, x in enumerate(w)]
+        more = [x for j, x in enumerate(w) for x in ([x, f"new{j}"] if j % every == every - 1 else [x])]
+        texts += [" ".join(passage(rng, 80) + body + passage(rng, 80)) for body in (replaced, more, w)]
+    assert set(held_copies(items, texts)[1]) >= {(k, k // 3) for k in range(len(texts))}
+
+
+def test_copies_against_alignment_of_everything(monkeypatch):
+    """Short alphabets, items of 1 to 50 words: every alignment that reaches the
+    limit is found with its score, and no other."""
+    monkeypatch.setattr(decontam, "PIECE", 2000)
+    rng = random.Random(3)
+    for n_words in (6, 42):
+        some = lambda n: [rng.choice(WORDS[:n_words]) for _ in range(n)]  # noqa: E731,B023
+        items = [(i, " ".join(some(rng.randint(1, 50)))) for i in range(30)]
+        texts = [" ".join(some(rng.randint(0, 300))) for _ in range(20)]
+        for _, text in items:
+            body = [x for x in text.split() if rng.random() < 0.8]
+            texts.append(" ".join(some(60) + [y for x in body for y in ([x] if rng.random() < 0.8 else [x, "new"])] + some(40)))
+        block, got = held_copies(items, texts)
+        words, starts = decontam._places(pa.array(texts), block.vocabulary, decontam._filter(block.vocabulary))
+        want = {}
+        for t in range(len(texts)):
+            for i, own in enumerate(block.words):
+                score = decontam.align(own, words[starts[t]:starts[t + 1]])[0]
+                if len(own) >= decontam.LEAST and score >= decontam.MATCH * min(decontam.SHARE * len(own), decontam.WORDS):
+                    want[t, i] = score
+        assert {k: v[0] for k, v in got.items()} == want
+
+
 def test_alignment_against_the_plain_recurrence():
     rng = np.random.default_rng(4)
     for _ in range(60):

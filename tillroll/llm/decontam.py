@@ -1,17 +1,19 @@
 """Operator 7: benchmark decontamination.
 
-Counts over the whole corpus tell how many documents hold each n-gram of the
-test items.  Every word of an item chooses the rarest n-gram that covers it;
-these are the item's seeds, so an item made of common phrases still has some.
-Seeds join documents to items; where at least two seeds of an item fall into
-one stretch of a document, Smith-Waterman alignment of the item's words with
-that stretch scores the copy, edits, insertions and omissions included.
+A copy is a local alignment (Smith-Waterman over words) of an item with a
+document that reaches a share of the item's score; edits, insertions and
+omissions lower the score.  The score bounds how many words of the item must
+match, so of any set of its places that leaves out fewer, some must: these are
+the item's seeds, its rarest words by counts of documents over the whole
+corpus.  The score also bounds how many words of the document a copy spans.
+Windows that hold the seeds and the words a copy needs are aligned, many at
+once.  Both bounds hold for every copy, so none is missed.
 
 The benchmark is the stated query set: it is taken in blocks of a bounded
 size, each held against all documents.  A block's seeds go to the tasks, the
 texts are never shuffled.
 
-Defined results: NULL or empty texts, and items of fewer words than an n-gram,
+Defined results: NULL or empty texts, and items of fewer than LEAST words,
 match nothing.  Of several copies of an item in a document the best is
 reported, the first on ties.  Rows that repeat a document are each reported;
 items that repeat are one.  NULL ids are kept.
@@ -19,7 +21,7 @@ items that repeat are one.  NULL ids are kept.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.llm.common import ship
-from tillroll.llm.tokens import unsliced
-from tillroll.llm.words import MARKS, mix, word_hashes
+from tillroll.llm.tokens import pieces, unsliced
+from tillroll.llm.words import MARKS, word_hashes
 
-NGRAM = 3
+#: Words of the shortest item.
+LEAST = 3
 #: Score of equal words; other pairs and gaps cost one.
 MATCH = 2
 #: A copy reaches this share of the score of the whole item, or the score of
@@ -39,32 +42,44 @@ SHARE, WORDS = 0.5, 20
 #: Bytes of benchmark text taken at once.
 BLOCK_BYTES = 16 << 20
 MATCHES = "doc_id long, item_id long, score double, first_word long, last_word long"
+#: Words in fewer than this share of the documents are seeds even where an item
+#: needs fewer places; more of them must then match.  Changes the work only.
+COMMON = 0.2
+#: Bytes of text searched at once, and cells of windows held at once.
+PIECE, CELLS = 4 << 20, 1 << 18
 _FILTER = 1 << 20
 
 
 @dataclass
 class Items:
-    """A block of test items as word hashes."""
+    """A block of test items; words are places in ``vocabulary``."""
     ids: list
     words: list[np.ndarray]
-    grams: np.ndarray = field(default=None)          # sorted, different
-    seeds: np.ndarray = field(default=None)          # grams that are seeds, sorted
-    places: list = field(default=None)               # of each seed: (item, offset) rows
+    vocabulary: np.ndarray       # word hashes, sorted
+    need: np.ndarray = None      # seeds a window needs, by item
+    first: np.ndarray = None     # of each word: where its items begin in ``held``
+    held: np.ndarray = None      # items that have the word as a seed, word by word
 
 
-def ngrams(hashes: np.ndarray, n: int = NGRAM) -> np.ndarray:
-    """Hashes of every run of n words; of flat words of many texts too."""
-    if len(hashes) < n:
-        return np.empty(0, "u8")
-    out = np.zeros(len(hashes) - n + 1, "u8")
-    for i in range(n):
-        out = out * np.uint64(0x9FB21C651E98DF25) + hashes[i:len(hashes) - n + 1 + i]
-    return mix(out)
+def least_score(n: int) -> int:
+    """The lowest score of a copy of an item of ``n`` words."""
+    return int(np.ceil(MATCH * min(SHARE * n, WORDS)))
 
 
-def _filter(grams: np.ndarray) -> np.ndarray:
+def least_words(n: int) -> int:
+    """Words of an item that match in any copy."""
+    return -(-least_score(n) // MATCH)
+
+
+def longest(n: int) -> int:
+    """Words of a document that a copy can span: every word between two that
+    match costs one."""
+    return (MATCH + 1) * n - least_score(n)
+
+
+def _filter(hashes: np.ndarray) -> np.ndarray:
     bits = np.zeros(_FILTER, bool)
-    bits[(grams & np.uint64(_FILTER - 1)).astype("i8")] = True
+    bits[(hashes & np.uint64(_FILTER - 1)).astype("i8")] = True
     return bits
 
 
@@ -73,49 +88,56 @@ def _words(texts: pa.Array):
     return word_hashes(lower, MARKS)[:2]
 
 
-def _hits(texts: pa.Array, grams: np.ndarray, bits: np.ndarray):
-    """(word hashes, text starts, word positions, places in ``grams``) of the
-    n-grams of the texts that are in ``grams``."""
+def _places(texts: pa.Array, vocabulary: np.ndarray, bits: np.ndarray):
+    """(place in the vocabulary of each word or -1, text starts)."""
     words, starts = _words(texts)
-    found = ngrams(words)
-    at = np.flatnonzero(bits[(found & np.uint64(_FILTER - 1)).astype("i8")])
-    place = np.searchsorted(grams, found[at])
-    place[place == len(grams)] = 0
-    at, place = (x[grams[place] == found[at]] for x in (at, place)) if len(grams) else (at[:0], place[:0])
-    inside = np.searchsorted(starts, at, "right") == np.searchsorted(starts, at + NGRAM - 1, "right")
-    return words, starts, at[inside], place[inside]
+    out = np.full(len(words), -1, "i4")
+    at = np.flatnonzero(bits[(words & np.uint64(_FILTER - 1)).astype("i8")])
+    if len(vocabulary):
+        place = np.minimum(np.searchsorted(vocabulary, words[at]), len(vocabulary) - 1)
+        same = vocabulary[place] == words[at]
+        out[at[same]] = place[same]
+    return out, starts
 
 
-def _count_documents(grams: np.ndarray):
+def _count_documents(vocabulary: np.ndarray):
+    """Documents that hold each word; all documents at place -1."""
     def run(batches):
-        total, bits = np.zeros(len(grams), "i8"), _filter(grams)
+        total, bits, n = np.zeros(len(vocabulary), "i8"), _filter(vocabulary), 0
         for batch in batches:
-            _, starts, at, place = _hits(batch.column(0), grams, bits)
-            text = np.searchsorted(starts, at, "right")
-            both = np.unique(np.stack([text, place]), axis=1)
-            total += np.bincount(both[1], minlength=len(grams))
+            n += batch.num_rows
+            for _, texts in pieces(batch.column(0), PIECE):
+                words, starts = _places(texts, vocabulary, bits)
+                at = np.flatnonzero(words >= 0)
+                text = np.searchsorted(starts, at, "right")
+                both = np.unique(text * np.int64(len(vocabulary) + 1) + words[at])
+                total += np.bincount(both % (len(vocabulary) + 1), minlength=len(vocabulary))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())],
-                                         names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()),
+                                          pa.array(np.append(total[at], n), pa.int64())], names=["word", "n"])
     return run
 
 
-def choose_seeds(items: Items, documents: np.ndarray) -> None:
-    """Each word's rarest covering n-gram; ``documents`` counts by gram."""
-    places: dict[int, list] = {}
+def choose_seeds(items: Items, documents: np.ndarray, total: int) -> None:
+    """Each item's rarest places, and how many of them any copy holds: all but
+    those that a copy may leave out."""
+    items.need = np.zeros(len(items.words), "i8")
+    pairs = []
     for item, words in enumerate(items.words):
-        grams = ngrams(words)
-        if not len(grams):
+        n = len(words)
+        if n < LEAST:
             continue
-        rarity = documents[np.searchsorted(items.grams, grams)]
-        chosen = set()
-        for w in range(len(words)):
-            lo, hi = max(0, w - NGRAM + 1), min(len(grams), w + 1)
-            chosen.add(lo + int(np.argmin(rarity[lo:hi])))
-        for offset in sorted(chosen):
-            places.setdefault(int(grams[offset]), []).append((item, offset))
-    items.seeds = np.array(sorted(places), "u8")
-    items.places = [np.array(places[int(s)], "i8") for s in items.seeds]
+        rarity = documents[words]
+        spare = n - least_words(n)
+        size = max(spare + 1, int((rarity <= COMMON * total).sum()))
+        # Equal words all belong: the document's words are counted, not places.
+        seeds = np.unique(words[np.argsort(rarity, kind="stable")[:size]])
+        items.need[item] = size - spare
+        pairs.append(np.stack([seeds, np.full(len(seeds), item)]))
+    word, item = np.concatenate([np.empty((2, 0), "i8"), *pairs], axis=1)
+    order = np.lexsort((item, word))
+    items.held = item[order].astype("i8")
+    items.first = np.searchsorted(word[order], np.arange(len(items.vocabulary) + 1))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -135,52 +157,121 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def is_copy(score: float, n_words: int) -> bool:
-    return score >= MATCH * min(SHARE * n_words, WORDS)
+def best_scores(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The best score of the item in each column of ``items`` with the words in
+    that column of ``windows``; filled up with different negative numbers."""
+    kind = "i2" if (MATCH + 1) * len(windows) < 1 << 15 else "i4"
+    step = np.arange(1, len(windows) + 1, dtype=kind)[:, None]
+    row = np.zeros((len(windows) + 1, windows.shape[1]), kind)
+    best = np.zeros(windows.shape[1], kind)
+    for w in items:
+        here = np.maximum(row[:-1] + np.where(windows == w, np.array(MATCH, kind), np.array(-1, kind)), row[1:] - 1)
+        np.maximum(here, 0, out=here)
+        row[1:] = np.maximum.accumulate(here + step, axis=0) - step
+        np.maximum(best, row.max(axis=0), out=best)
+    return best
+
+
+def score_bounds(gain: np.ndarray) -> np.ndarray:
+    """The most that an alignment in each column can score: every word of the
+    item inside it counts as a match, every other word costs one."""
+    total = np.cumsum(gain, axis=0, dtype="i2" if MATCH * len(gain) < 1 << 15 else "i4")
+    before = np.minimum.accumulate(np.concatenate([np.zeros_like(total[:1]), total[:-1]]), axis=0)
+    return (total - before).max(axis=0)
 
 
-def _candidates(items: Items, starts, at, place):
-    """(text, item, first word, end word) of stretches with enough seeds."""
+def _windows(items: Items, words: np.ndarray, starts: np.ndarray):
+    """(item, texts, first words) of the windows that have the seeds a copy
+    needs.  Windows of an item are twice as long as a copy can be and begin at
+    multiples of that, so that each copy lies in one."""
+    size = items.first[words + 1] - items.first[words]
+    at = np.flatnonzero((words >= 0) & (size > 0))
+    size = size[at]
     text = np.searchsorted(starts, at, "right") - 1
-    rows = [(t, int(i), int(p - starts[t]), int(o)) for t, p, g in zip(text, at, place) for i, o in items.places[g]]
-    rows.sort()
-    k = 0
-    while k < len(rows):
-        t, item = rows[k][:2]
-        m = len(items.words[item])
-        need = min(2, m - NGRAM + 1)
-        end = k
-        while end < len(rows) and rows[end][:2] == (t, item):
-            end += 1
-        here = rows[k:end]
-        i = 0
-        while i < len(here):              # stretches: hits less than an item apart
-            j = i + 1
-            while j < len(here) and here[j][2] - here[j - 1][2] <= m:
-                j += 1
-            if len({r[3] for r in here[i:j]}) >= need:
-                yield t, item, here[i][2] - m - m // 2, here[j - 1][2] + m + m // 2
-            i = j
-        k = end
+    hit = np.repeat(np.arange(len(at)), size)
+    item = items.held[np.arange(len(hit)) + np.repeat(items.first[words[at]] - (np.cumsum(size) - size), size)]
+    order = np.argsort(item, kind="stable")       # by item, text and place
+    hit, item = hit[order], item[order]
+    text, at = text[hit], at[hit] - starts[text[hit]]
+    span = np.array([longest(len(w)) for w in items.words], "i8")
+    last = np.arange(len(item)) + items.need[item] - 1
+    end = np.minimum(last, len(item) - 1)
+    enough = (last < len(item)) & (item[end] == item) & (text[end] == text) & (at[end] - at < span[item])
+    item, text, at = item[enough], text[enough], at[enough]
+    window = at // span[item]
+    n_texts, n_windows = len(starts), int(window.max(initial=0)) + 1
+    key = (item * n_texts + text) * n_windows + window
+    key = np.unique(np.concatenate([key, key - (window > 0)]))
+    item, text, window = key // n_windows // n_texts, key // n_windows % n_texts, key % n_windows
+    for i in np.unique(item):
+        lo, hi = np.searchsorted(item, [i, i + 1])
+        yield int(i), text[lo:hi], window[lo:hi] * span[i]
+
+
+def _bounded(items: Items, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Rows (item, text, first word) of windows whose bound reaches a copy's
+    score; a window that runs into the next text only gets a higher bound."""
+    found = [np.empty((3, 0), "i8")]
+    longer = np.concatenate([words, np.full(2 * max(map(longest, map(len, items.words)), default=0), -1, "i4")])
+    gain = np.full(len(items.vocabulary) + 1, -1, "i1")       # place -1 is the last
+    for item, text, first in _windows(items, words, starts):
+        own = items.words[item]
+        gain[own] = MATCH
+        view = np.lib.stride_tricks.sliding_window_view(longer, 2 * longest(len(own)))
+        chunk = max(1, CELLS // view.shape[1])
+        for lo in range(0, len(text), chunk):
+            t, f = text[lo:lo + chunk], first[lo:lo + chunk]
+            some = score_bounds(np.ascontiguousarray(gain[view[starts[t] + f]].T)) >= least_score(len(own))
+            found.append(np.stack([np.full(some.sum(), item), t[some], f[some]]))
+        gain[own] = -1
+    return np.concatenate(found, axis=1)
+
+
+def _candidates(items: Items, words: np.ndarray, starts: np.ndarray):
+    """(text, item, first word, end word) of windows with a copy."""
+    item, text, first = _bounded(items, words, starts)
+    size = np.array([len(w) for w in items.words], "i8")
+    order = np.argsort(size[item], kind="stable")
+    item, text, first = item[order], text[order], first[order]
+    least = np.array([least_score(n) for n in size], "i8")
+    out = []
+    lo = 0
+    while lo < len(item):
+        hi = lo + 1                   # items of nearly the same length together
+        while (hi < len(item) and size[item[hi]] <= size[item[lo]] * 5 // 4 + 4
+               and (hi - lo + 1) * 2 * longest(size[item[hi]]) <= CELLS):
+            hi += 1
+        i, t, f = item[lo:hi], text[lo:hi], first[lo:hi]
+        n = size[i[-1]]
+        own = np.full((n, len(i)), -2, "i4")
+        for k, x in enumerate(i):
+            own[:size[x], k] = items.words[x]
+        end = np.minimum(f + 2 * np.array([longest(x) for x in size[i]]), starts[t + 1] - starts[t])
+        at = f + np.arange(2 * longest(n))[:, None]
+        rows = np.where(at < end, words[np.minimum(starts[t] + at, len(words) - 1)], -1)
+        for k in np.flatnonzero(best_scores(own, rows) >= least[i]):
+            out.append((int(t[k]), int(i[k]), int(f[k]), int(end[k])))
+        lo = hi
+    return sorted(out)
 
 
 def _best_copies(items: Items, texts: pa.Array, bits: np.ndarray) -> dict:
     """(text, item) -> (score, first word, end word) of the best copy."""
-    words, starts, at, place = _hits(texts, items.seeds, bits)
     best: dict = {}
-    for t, item, lo, hi in _candidates(items, starts, at, place):
-        text, own = words[starts[t]:starts[t + 1]], items.words[item]
-        lo, hi = max(0, lo), min(len(text), hi)
-        score, i, j = align(own, text[lo:hi])
-        if is_copy(score, len(own)) and score > best.get((t, item), (0,))[0]:
-            _, _, back = align(own[:i][::-1], text[lo:lo + j][::-1])
-            best[t, item] = (score, lo + j - back, lo + j)
+    for piece, some in pieces(texts, PIECE):
+        words, starts = _places(some, items.vocabulary, bits)
+        for t, item, lo, hi in _candidates(items, words, starts):
+            text, own = words[starts[t]:starts[t + 1]], items.words[item]
+            score, i, j = align(own, text[lo:hi])
+            if score > best.get((piece + t, item), (0,))[0]:
+                _, _, back = align(own[:i][::-1], text[lo:lo + j][::-1])
+                best[piece + t, item] = (score, lo + j - back, lo + j)
     return best
 
 
 def _match(items: Items):
     def run(batches):
-        bits = _filter(items.seeds)
+        bits = _filter(items.vocabulary)
         for batch in batches:
             best = _best_copies(items, batch.column(1), bits)
             ids = batch.column(0).to_pylist()
@@ -195,9 +286,8 @@ def _match(items: Items):
 
 def _read_items(rows) -> Items:
     words, starts = _words(pa.array([r["text"] for r in rows], pa.large_string()))
-    items = Items([r["item_id"] for r in rows], [words[a:b] for a, b in zip(starts, starts[1:])])
-    items.grams = np.unique(np.concatenate([np.empty(0, "u8"), *map(ngrams, items.words)]))
-    return items
+    vocabulary, places = np.unique(words, return_inverse=True)
+    return Items([r["item_id"] for r in rows], [places[a:b] for a, b in zip(starts, starts[1:])], vocabulary)
 
 
 def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str):
@@ -209,11 +299,14 @@ def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text
     for b in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         items = _read_items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
-        documents = np.zeros(len(items.grams), "i8")
-        counts = texts.select("text").mapInArrow(_count_documents(items.grams), "gram long, n long")
-        for r in counts.groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            documents[r["gram"]] = r["n"]
-        choose_seeds(items, documents)
+        documents, total = np.zeros(len(items.vocabulary), "i8"), 0
+        counts = texts.select("text").mapInArrow(_count_documents(items.vocabulary), "word long, n long")
+        for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect():
+            if r["word"] < 0:
+                total = r["n"]
+            else:
+                documents[r["word"]] = r["n"]
+        choose_seeds(items, documents, total)
         yield items
 
 
@@ -236,7 +329,7 @@ def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_i
 
 def _drop_copies(items: Items, text_at: int):
     def run(batches):
-        bits = _filter(items.seeds)
+        bits = _filter(items.vocabulary)
         for batch in batches:
             held = np.zeros(batch.num_rows, bool)
             held[[t for t, _ in _best_copies(items, batch.column(text_at), bits)]] = True
