@@ -233,6 +233,25 @@ def test_toxicity_learns_and_tolerates(spark, documents):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, r in got.items() if not r["predicted"])
 
 
+def test_toxicity_finds_rare_short_and_small_languages_words(spark, documents):
+    """Insults of three letters, and of a language with one in 25 toxic labels."""
+    rng, rows, labels = random.Random(9), [], []
+    for i in range(1600):
+        toxic, other = i % 4 == 0, i % 100 == 0
+        text = passage(rng, 30) if i % 25 else [w[::-1] + "o" for w in passage(rng, 30)]
+        if toxic:
+            text[7] = ("zwx" if i % 8 else "vqjkfg") if not other else "hbgyd"
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(documents(rows), table).collect()}
+    for word in ("zwx", "vqjkfg", "hbgyd"):
+        held = [got[i]["predicted"] for i, t in rows if got[i]["held_out"] and word in t.split()]
+        assert held and sum(held) >= 0.9 * len(held)
+    clean = [got[i]["predicted"] for i, _, y in labels if not y]
+    assert sum(clean) <= 0.03 * len(clean)
+
+
 def test_toxicity_ignores_labels_of_the_held_out_fold(spark, documents):
     rows, labels = labelled(200)
     docs = documents(rows)

@@ -7,10 +7,12 @@ to the power DEGREE.  The symbols are letters and the word's ends: marks and
 digits inside a word are skipped, accents dropped, and words spelt letter by
 letter put together.
 
-Training takes a bounded, documented sample: up to SAMPLE labelled documents a
-class by hash order, one of each set of near copies, cut into sentences.
-Words that are far more frequent in toxic documents, and frequent other words,
-are the Nystroem landmarks; sentences that hold the former are the toxic ones (a
+Training takes a bounded, documented sample: up to SAMPLE toxic and CLEAN times
+as many other labelled documents by hash order, one of each set of near copies,
+cut into sentences.  Words of any length are toxic whose toxic documents are
+more than chance deals out (Benjamini-Hochberg over all words), so no language
+needs a share of the labels.  Those of them that no other stands for, and frequent
+other words, are the Nystroem landmarks; sentences that hold the former are the toxic ones (a
 toxic document need not have only toxic sentences) and give the word nearest to
 a landmark, clean sentences give all theirs that come near one.  A linear SVM is
 trained on the landmark features.
@@ -43,7 +45,14 @@ from tillroll.llm.tokens import pieces
 #: Sampled documents of a class, sentences of a class that reach the driver, the
 #: length at which sentences are cut, and landmarks of each kind.
 SAMPLE, SENTENCES, SENTENCE_CHARS, LANDMARKS = 1500, 6000, 240, 160
+#: Clean documents sampled for each toxic one, toxic words that reach the driver,
+#: their least documents and share of false ones, and the kernel at which a landmark
+#: stands for a word.
+CLEAN, TOXIC_WORDS, LEAST, FALSE_SHARE, STANDS = 4, 2000, 4, 0.5, 0.75
 GAP, SPAN, DEGREE, FLOOR = 0.85, 6, 2, 0.4
+#: Forms of a toxic word with a letter put in that train the machine and its curve, and
+#: what distorted words count beside whole documents in the curve.
+INSERTED, DISTORTED = 1, 0.0
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: Symbols: nothing, 26 letters and the end of a word.
@@ -166,6 +175,7 @@ class Model:
     shift: float
     landmarks: list[str]
     n_toxic: int = 0             # landmarks that come from toxic documents
+    distorted: np.ndarray | None = None      # margins of distorted words, while training
 
     def __post_init__(self):
         self.most = np.zeros(len(self.place), "f4")
@@ -256,12 +266,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def _logistic(margins: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+def _logistic(margins: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
     x, w = np.stack([margins, np.ones(len(y))], axis=1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
-        step = np.linalg.solve(curve, x.T @ (y - p) - ridge * w)
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (weight * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
@@ -278,19 +288,37 @@ def _flat(share: float) -> Model:
     return Model(np.full(_CODES ** 4, -1, "i4"), np.zeros((0, 0)), np.zeros(0), 0.0, 0.0, odds, [])
 
 
+def apart(words: list[str], most: int = LANDMARKS) -> list[str]:
+    """The words, in order, but those for which one before them stands."""
+    word, index, weight = _summed(*_entries(words))
+    used, index = np.unique(index, return_inverse=True)
+    weight = weight / np.sqrt(np.bincount(word, weights=weight * weight, minlength=len(words)))[word]
+    first = np.searchsorted(word, np.arange(len(words) + 1))
+    rows, out = np.zeros((most, len(used)), "f4"), []
+    for i, w in enumerate(words):
+        at, x = index[first[i]:first[i + 1]], weight[first[i]:first[i + 1]]
+        if len(out) < most and len(at) and (rows[:len(out), at] @ x < STANDS).all():
+            rows[len(out), at] = x
+            out.append(w)
+    return out
+
+
 def landmark_model(words: list[str], others: list[str]) -> Model:
     names = words + others
     place, matrix = landmark_features(names)
     return Model(place, matrix, np.zeros(len(names)), 0.0, 1.0, 0.0, names, len(words))
 
 
-def _distorted(words: list[str]) -> list[str]:
-    """The words with a letter put in, and with a letter repeated."""
-    rng = np.random.default_rng(11)
+def _distorted(words: list[str], seed: int = 11) -> list[str]:
+    """The words with a letter put in, at INSERTED places each, and with a letter
+    repeated."""
+    rng = np.random.default_rng(seed)
     out = []
     for w in words:
-        at, letter = int(rng.integers(1, len(w))), chr(97 + int(rng.integers(26)))
-        out += [w[:at] + letter + w[at:], w[:at] + w[at - 1:]]
+        for _ in range(INSERTED):
+            at, letter = int(rng.integers(1, len(w))), chr(97 + int(rng.integers(26)))
+            out.append(w[:at] + letter + w[at:])
+        out.append(w[:at] + w[at - 1:])
     return out
 
 
@@ -316,7 +344,10 @@ def fit(toxic: list[str], clean: list[str], words: list[str], others: list[str])
     blank = np.zeros((1, matrix.shape[1]))
     x = np.vstack([yes, no, blank]) ** DEGREE @ root
     w, bias = train_svm(x, np.concatenate([np.ones(len(yes)), -np.ones(len(no) + 1)]))
-    return Model(model.place, matrix, root @ w, float(bias), 1.0, 0.0, model.landmarks, len(words))
+    model = Model(model.place, matrix, root @ w, float(bias), 1.0, 0.0, model.landmarks, len(words))
+    # Other distortions than the machine has seen.
+    model.distorted = model.word_margins(_distorted([found[at[i]] for i in first if len(found[at[i]]) > 1], 12))
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -326,9 +357,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).cast("int").alias("toxic")))
     chosen = None
     for side in (0, 1):
-        part = known.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        part = known.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample * (1 if side else CLEAN))
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most two samples of ids: the broadcast and the rows below are bounded.
+    # At most CLEAN + 1 samples of ids: the broadcast and the rows below are bounded.
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
                 .join(F.broadcast(chosen), "doc_id"))
     # Near copies mostly share the smallest hash of their runs of four words.
@@ -343,29 +374,49 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     n = {r["toxic"]: r["count"] for r in counts}
     n_yes, n_no = n.get(1, 0), n.get(0, 0)
     each = (cut.select("doc_id", "toxic", F.explode(F.split(F.lower("s"), r"[^\p{L}]+")).alias("word"))
-               .where(F.length("word") >= 4).distinct().groupBy("word")
+               .where(F.length("word") >= 2).distinct().groupBy("word")
                .agg(F.sum("toxic").alias("yes"), F.sum(1 - F.col("toxic")).alias("no")))
     odds = F.log((F.col("yes") + 0.5) / (n_yes + 1)) - F.log((F.col("no") + 0.5) / (n_no + 1))
-    each = each.withColumn("odds", odds)
-    strong = [r["word"] for r in
-              each.where((F.col("odds") >= 2.5) & (F.col("yes") >= max(4, 0.015 * n_yes)))
-                  .orderBy(F.desc("yes"), "word").limit(LANDMARKS).collect()]
+    each = each.withColumn("odds", odds).cache()
+    # The share of toxic documents among all that hold a word, of every word: long
+    # documents hold more words.
+    sums = each.agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).first()
+    share = min(max((sums["yes"] or 0) / max((sums["yes"] or 0) + (sums["no"] or 0), 1), 1e-6), 1 - 1e-6)
+    both = F.col("yes") + F.col("no")
+    # Chernoff's bound of the chance of as many toxic documents or more.
+    part = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (both * q))).otherwise(0.0)
+    chance = F.when(F.col("yes") > both * share, F.exp(-part("yes", share) - part("no", 1 - share))).otherwise(1.0)
+    tested = each.where(both >= LEAST)
+    n_tested = tested.count()
+    found = (tested.where((F.col("yes") >= LEAST) & (F.col("odds") >= 1)).select("word", chance.alias("p"))
+                   .orderBy("p", "word").limit(TOXIC_WORDS).collect())
+    passed = [i + 1 for i, r in enumerate(found) if r["p"] <= FALSE_SHARE * (i + 1) / n_tested]
+    strong = [r["word"] for r in found[:max(passed, default=0)]]
+    marks = apart(strong) if strong else []
     others = [r["word"] for r in
               each.where(F.col("odds") < 0.5).orderBy(F.desc("no"), "word").limit(LANDMARKS // 4).collect()]
+    each.unpersist()
     model = None
-    if strong and n_yes and n_no:
+    if marks and n_yes and n_no:
         ship(docs.sparkSession)
         held = F.lower("s").rlike(r"(?<!\p{L})(" + "|".join(strong) + r")(?!\p{L})")
         toxic = cut.where((F.col("toxic") == 1) & held).select("s")
-        clean = cut.where(F.col("toxic") == 0).select("s").mapInArrow(_alike(landmark_model(strong, others)), "s string")
+        clean = cut.where(F.col("toxic") == 0).select("s").mapInArrow(_alike(landmark_model(marks, others)), "s string")
         some = [[r["s"] for r in part.orderBy(F.xxhash64("s"), "s").limit(SENTENCES).collect()]
                 for part in (toxic, clean)]
-        model = fit(*some, strong, others)
+        model = fit(*some, marks, others)
     if model is None:
         model = _flat(n_yes / max(n_yes + n_no, 1))
     else:
         seen = rows.select("toxic", "text").mapInArrow(_margins(model), "toxic int, margin double").toPandas()
-        model.slope, model.shift = _logistic(seen["margin"].to_numpy(), seen["toxic"].to_numpy().astype("f8"))
+        # Toxic documents count once as they are and once distorted; clean ones
+        # as much as a sample of SAMPLE.
+        more, y = model.distorted, seen["toxic"].to_numpy().astype("f8")
+        weight = np.where(y > 0, 1.0, min(1.0, sample / n_no))
+        model.slope, model.shift = _logistic(
+            np.concatenate([seen["margin"].to_numpy(), more]), np.concatenate([y, np.ones(len(more))]),
+            np.concatenate([weight, np.full(len(more), DISTORTED * n_yes / max(len(more), 1))]))
+        model.distorted = None
     rows.unpersist()
     return model
 
