@@ -233,6 +233,21 @@ def test_toxicity_learns_and_tolerates(spark, documents):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, r in got.items() if not r["predicted"])
 
 
+def test_toxicity_finds_inserted_and_repeated_letters(spark, documents):
+    rows, labels = labelled()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(documents(rows), table)
+    rng, hidden = random.Random(7), []
+    fold = {r[0] for r in table.where(toxicity.held_out(table.doc_id)).select("doc_id").collect()}
+    calm = [t for (i, t), (_, _, y) in zip(rows, labels) if not y and i in fold]
+    for text in calm:
+        w = rng.choice(BAD)
+        at = rng.randrange(1, len(w))
+        hidden += [f"{text} you {w[:at]}{x}{w[at:]} thing" for x in (rng.choice("abcdefghijklmnopqrstuvwxyz"), w[at - 1])]
+    assert (model.scores(model.margins(pa.array(hidden))) >= 0.3).mean() >= 0.95
+    assert (model.scores(model.margins(pa.array(calm))) >= 0.3).mean() <= 0.03
+
+
 def test_toxicity_finds_rare_short_and_small_languages_words(spark, documents):
     """Insults of three letters, and of a language with one in 25 toxic labels."""
     rng, rows, labels = random.Random(9), [], []

@@ -52,7 +52,7 @@ CLEAN, TOXIC_WORDS, LEAST, FALSE_SHARE, STANDS = 4, 2000, 4, 0.5, 0.75
 GAP, SPAN, DEGREE, FLOOR = 0.85, 6, 2, 0.4
 #: Forms of a toxic word with a letter put in that train the machine and its curve, and
 #: what distorted words count beside whole documents in the curve.
-INSERTED, DISTORTED = 1, 0.0
+INSERTED, DISTORTED = 3, 0.5
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: Symbols: nothing, 26 letters and the end of a word.
