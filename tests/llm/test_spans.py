@@ -92,6 +92,23 @@ def test_random_strings_are_found_and_words_are_not(documents):
     assert sum("random" in got[i] for i, _ in plain) == 0
 
 
+@pytest.mark.parametrize("size", [32, 40])
+def test_random_keys_of_every_alphabet_are_found(documents, size):
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "st"]) for _ in range(rng.randint(10, 30)))
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = [digits, digits + "ABCDEF", low + "234567", up + "234567", low + digits, up + digits, low + up + digits,
+                 low + up + digits + "+/", low + up + digits + "-_"]
+    rows = [(i, " ".join(word() for _ in range(20))) for i in range(60)]
+    keys = {1000 * (a + 1) + i: "".join(rng.choice(chars) for _ in range(size)) for a, chars in enumerate(alphabets) for i in range(40)}
+    rows += [(i, f"{word()} {key} {word()}") for i, key in keys.items()]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(secret_scan.secret_spans(documents(rows))).collect()}
+    for a in range(len(alphabets)):
+        # Digits alone from 24 on are base spans of kind hex.
+        assert sum("random" in got[1000 * (a + 1) + i] or "hex" in got[1000 * (a + 1) + i] for i in range(40)) >= 36, alphabets[a]
+    assert sum("random" in got[i] for i in range(60)) == 0
+
+
 def test_labelers_add_likely_candidates(documents):
     """Spelt-out addresses beside cue words count; bare runs of digits do not."""
     rows = [(i, f"mail me{i}@host.com please") for i in range(50)]

@@ -1,8 +1,8 @@
 """Operator 4: secrets by a randomness test battery, in DataFrame functions.
 
 Base patterns give spans that always stay.  Every other long token of a text
-is put to a battery of tests under the encoding its characters suggest
-(base 16, 32 or 64): chi-squared of the alphabet's uniformity, runs above and
+is put to a battery of tests under the encoding that its kinds of characters
+suggest (base 10, 16, 32, 36, 62 or 64, the first four in either case): chi-squared of the alphabet's uniformity, runs above and
 below the middle, and serial correlation, each as a standard normal deviate.
 Their sum of squares is small for random strings.  Tokens of plain letters
 give the distribution of its logarithm for natural strings, by class of
@@ -22,6 +22,7 @@ classes; with none at all no token is added.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,8 +38,14 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 #: Tokens that are tested, natural ones, and how alphabets are ordered.
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 NATURAL = r"^[A-Za-z][a-z]+$"
-ALPHABETS = {16: "0123456789abcdef", 32: "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+ALPHABETS = {10: "0123456789", 16: "0123456789abcdef", 32: "abcdefghijklmnopqrstuvwxyz234567",
+             36: "abcdefghijklmnopqrstuvwxyz0123456789",
+             62: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
              64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+#: The symbols whose counts are tested together.
+GROUPS = {10: [*ALPHABETS[10]], 16: [*ALPHABETS[16]], 32: ["a-g", "h-m", "n-s", "t-z", "2-7"],
+          36: ["a-g", "h-m", "n-s", "t-z", "0-9"], 62: ["A-M", "N-Z", "a-m", "n-z", "0-9"],
+          64: ["A-M", "N-Z", "a-m", "n-z", "0-9+/"]}
 
 #: Share of false discoveries, and the level at which a token fails as random.
 FALSE_SHARE, RANDOM_LEVEL = 0.01, 0.001
@@ -48,25 +55,34 @@ CLASSES, BINS = 12, 1200
 
 
 def _base(s: Column) -> Column:
-    return (F.when(s.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16).when(s.rlike("^[A-Z2-7]+$"), 32).otherwise(64))
+    """Small letters alone are no sign of an encoding: they are taken as base 64."""
+    return (F.when(s.rlike("^[0-9]+$"), 10).when(s.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16)
+            .when(s.rlike("^([A-Z2-7]+|(?=.*[2-7])[a-z2-7]+)$"), 32)
+            .when(s.rlike("^([A-Z0-9]+|(?=.*[0-9])[a-z0-9]+)$"), 36)
+            .when(s.rlike("^(?=.*[0-9])[A-Za-z0-9]+$"), 62).otherwise(64))
+
+
+def _by_base(k: Column, of) -> Column:
+    out = F.when(k == 10, of(10))
+    for base in [*ALPHABETS][1:-1]:
+        out = out.when(k == base, of(base))
+    return out.otherwise(of(64))
 
 
 def _chi_squared(s: Column, k: Column) -> Column:
     """Deviate of the chi-squared statistic (Wilson and Hilferty): over single
-    symbols for base 16, over groups of symbols for larger alphabets."""
+    symbols for bases 10 and 16, over groups of symbols for larger alphabets."""
     n = F.length(s).cast("double")
     left = lambda chars: n - F.length(F.regexp_replace(s, f"[{chars}]", ""))
 
-    def stat(groups: list[tuple[str, float]]) -> Column:
+    def stat(base: int) -> Column:
         total = F.lit(0.0)
-        for chars, share in groups:
+        for chars in GROUPS[base]:
+            share = len(re.findall(f"[{chars}]", ALPHABETS[base])) / base
             total = total + F.pow(left(chars) - n * share, 2) / (n * share)
-        return _deviate(total, len(groups) - 1)
+        return _deviate(total, len(GROUPS[base]) - 1)
 
-    by_16 = stat([(c, 1 / 16) for c in ALPHABETS[16]])
-    by_32 = stat([("A-G", 7 / 32), ("H-M", 6 / 32), ("N-S", 6 / 32), ("T-Z", 7 / 32), ("2-7", 6 / 32)])
-    by_64 = stat([("A-M", 13 / 64), ("N-Z", 13 / 64), ("a-m", 13 / 64), ("n-z", 13 / 64), ("0-9+/", 12 / 64)])
-    return F.when(k == 16, by_16).when(k == 32, by_32).otherwise(by_64)
+    return _by_base(k, stat)
 
 
 def _deviate(x: Column, df: int) -> Column:
@@ -79,7 +95,7 @@ def _sequence(s: Column, k: Column) -> Column:
     def code(alphabet: str):
         return F.transform(F.split(s, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
 
-    codes = F.when(k == 16, code(ALPHABETS[16])).when(k == 32, code(ALPHABETS[32])).otherwise(code(ALPHABETS[64]))
+    codes = _by_base(k, lambda base: code(ALPHABETS[base]))
     middle, spread = (k - 1) / 2, (k * k - 1) / 12
 
     def stats(x: Column) -> Column:
@@ -100,7 +116,7 @@ def battery(token: Column) -> Column:
     """Sum of squares of the three deviates; near 3 for a random string.  A
     uniformity better than chance counts as no deviation."""
     def tested(x: Column) -> Column:
-        s = F.when(x["k"] == 16, F.lower(x["s"])).otherwise(x["s"])
+        s = F.when(x["k"] <= 36, F.lower(x["s"])).otherwise(x["s"])
         return F.pow(F.greatest(_chi_squared(s, x["k"]), F.lit(0.0)), 2) + _sequence(s, x["k"])
 
     plain = F.translate(token, "-_", "+/")
