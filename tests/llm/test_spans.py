@@ -109,6 +109,14 @@ def test_random_keys_of_every_alphabet_are_found(documents, size):
     assert sum("random" in got[i] for i in range(60)) == 0
 
 
+@pytest.mark.parametrize("others", [[], ["a word internationalisation here"], ["abcdefghijklmnopqrstuvw and uncharacteristically"]])
+def test_keys_are_found_without_natural_tokens(documents, others):
+    key = "q7Zt0Xb4KfW9mRa2LsVh8NdYc5GjEu1TpoIi6QwB"
+    rows = [(1, f"plain short words {key} and so on")] + [(2 + i, t) for i, t in enumerate(others)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(secret_scan.secret_spans(documents(rows))).collect()}
+    assert got == {1: "random:18:58"} | {2 + i: "" for i in range(len(others))}
+
+
 def test_labelers_add_likely_candidates(documents):
     """Spelt-out addresses beside cue words count; bare runs of digits do not."""
     rows = [(i, f"mail me{i}@host.com please") for i in range(50)]
