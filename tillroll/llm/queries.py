@@ -66,6 +66,21 @@ def op10_edit_counts(spark, d):
             .select("doc_id", "n_edits", "tokens_before", "tokens_after", "chars_after", "chars_encoded"))
 
 
+def op11_spelling_variants(spark, d):
+    from tillroll.llm.variants import count_words, distorted, variants
+    return variants(count_words(table(spark, d, "documents"), letters=7, least=2, alter=distorted), times=10)
+
+
+def op12_simhash_join(spark, d):
+    from tillroll.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, d, "documents"), k=4, errors=4)
+
+
+def op13_periodic_runs(spark, d):
+    from tillroll.llm.periodic import digest, echoed, periodic_runs
+    return digest(periodic_runs(table(spark, d, "documents"), least=24, times=3, alter=echoed))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_private_data,
     op2_huffman_ids,
@@ -77,4 +92,7 @@ QUERIES = {f.__name__: f for f in (
     op8_best_fit_packing,
     op9_string_kernel_toxicity,
     op10_edit_counts,
+    op11_spelling_variants,
+    op12_simhash_join,
+    op13_periodic_runs,
 )}

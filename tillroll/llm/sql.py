@@ -29,6 +29,55 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+VARIANTS = f"""
+WITH RECURSIVE
+crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_lower("text")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+each AS (
+  SELECT doc_id, run, count(*) AS k, hex(encode(doc_id || ':' || run)) AS code
+  FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+summed AS (
+  SELECT doc_id, run, k, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(code) // 2),
+      lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1]))) AS h
+  FROM each, crc),
+typed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, k FROM summed),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT x.word AS word, y.word AS other, y.n AS other_n
+  FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION
+  SELECT x.word, y.word, y.n FROM less x JOIN words y ON x.rest = y.word
+  UNION
+  SELECT y.word, x.word, x.n FROM less x JOIN words y ON x.rest = y.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+chosen AS (
+  SELECT best.word, n_near, most, min(other) AS other
+  FROM best JOIN near ON best.word = near.word AND near.other_n = best.most GROUP BY best.word, n_near, most),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN most >= 10 * n THEN other END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM words LEFT JOIN chosen ON words.word = chosen.word),
+followed AS (
+  SELECT word, word AS root FROM forms
+  UNION
+  SELECT followed.word, forms.form FROM followed JOIN forms ON followed.root = forms.word WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, followed.root, forms.n, CAST(forms.n_near AS BIGINT) AS n_near, forms.form_n
+FROM forms JOIN followed ON forms.word = followed.word
+JOIN forms AS last ON last.word = followed.root AND last.form IS NULL
+"""
+
+
 def _url_sql() -> str:
     rules = " ".join(
         f"WHEN (host = '{t.split('/', 1)[0]}' OR host LIKE '%.{t.split('/', 1)[0]}')"
@@ -93,4 +142,5 @@ FROM sizes JOIN least_id ON a = doc_id
 """
 
 
-SQL = {"op6_jaccard_join": JACCARD, "op3_exact_topk": TOPK, "op5_url_filter": _url_sql()}
+SQL = {"op6_jaccard_join": JACCARD, "op3_exact_topk": TOPK, "op5_url_filter": _url_sql(),
+       "op11_spelling_variants": VARIANTS}
