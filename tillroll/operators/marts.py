@@ -27,7 +27,7 @@ ANALYTICS_COLUMNS = [
     "price", "freight_value", "payment_value_total", "payment_type_primary", "review_score",
     "is_delayed",
 ]
-
+LOAD_TIME = "etl_loaded_at"
 
 # dimension attributes of the enriched fact, and what each aggregate mart reads
 CUSTOMER_COLUMNS = ["customer_state", "customer_city"]
@@ -72,7 +72,7 @@ def mart_order_analytics(enriched: DataFrame, with_load_time: bool = True) -> Da
     """Wide row-level table (P4); ``etl_loaded_at`` is one value per query."""
     cols = [F.col(c) for c in ANALYTICS_COLUMNS]
     if with_load_time:
-        cols.append(F.current_timestamp().alias("etl_loaded_at"))
+        cols.append(F.current_timestamp().alias(LOAD_TIME))
     return enriched.select(*cols)
 
 

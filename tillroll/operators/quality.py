@@ -20,6 +20,12 @@ Scale design
   quarantined whatever their rank.
 * NULL keys never enter the ranking: they fail the NULL test whatever their
   rank, and as one window group they would all land in one task.
+* Where rows have an identity (file and place in it, see
+  ``sources.parquet.read_identified``), nothing is collapsed or expanded:
+  ``first_of_repeated`` finds the keys that occur more than once from the key
+  column alone, ranks only their rows, and every row is tagged in one left join
+  with that (usually small) table.  Spark broadcasts it if its measured size
+  allows; else both sides are dealt for the join, hot keys split.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.functions import any_null, first_null_reason, parse_ts, replicate_rows, sort_key
+from tillroll.operators.joins import fresh_key, left_join_unique
 from tillroll.session import shared_dir
 
 # fixed values: columns every order must have (reference gate)
@@ -40,6 +47,7 @@ REQUIRED_COLUMNS = [
 ]
 
 KEY = "order_id"
+IDENTITY = "_row"
 ORDER_COL = "order_purchase_timestamp"
 REASON = "dq_reason"
 DUPLICATE = "duplicate"
@@ -59,8 +67,8 @@ def null_violations(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -
               .withColumn(REASON, first_null_reason(required)))
 
 
-def _ties(df: DataFrame, key: str, tie_break: Sequence[str] | None) -> list[str]:
-    return list(tie_break) if tie_break is not None else [c for c in df.columns if c != key]
+def _ties(df: DataFrame, key: str, tie_break: Sequence[str] | None, identity: str | None = None) -> list[str]:
+    return list(tie_break) if tie_break is not None else [c for c in df.columns if c not in (key, identity)]
 
 
 def rank_window(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL,
@@ -100,15 +108,54 @@ def gate_counts(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key:
     return marked.select(*cols, F.col("_valid"), (F.col("_n") - F.col("_valid")).alias("_quarantined"))
 
 
+def first_of_repeated(df: DataFrame, key: str = KEY, order_col: str | None = ORDER_COL,
+                      tie_break: Sequence[str] | None = None, identity: str = IDENTITY) -> DataFrame:
+    """(key, _first): the identity of the first-ranked row of every key that
+    occurs more than once; copies of one row rank by their identities.
+
+    Counting reads the key column only.  The rows of the repeated keys are
+    reduced map-side, so a key with a third of the table is one row per task.
+    """
+    keys = df.filter(F.col(key).isNotNull())
+    repeated = (keys.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                    .select(fresh_key(F.col(key)).alias("_key")))
+    rank = [parse_ts(order_col) if order_col else F.lit(None).cast("timestamp_ntz"),
+            *[F.col(c) for c in _ties(df, key, tie_break, identity)], F.col(identity)]
+    rank = [c.alias(f"_{i}") for i, c in enumerate(rank)]
+    rows = keys.withColumn("_key", F.col(key)).join(repeated, "_key", "left_semi")
+    first = rows.groupBy(key).agg(F.min(F.struct(*rank)).alias("_min"))
+    return first.select(key, F.col("_min")[f"_{len(rank) - 1}"].alias("_first"))
+
+
+def tag_identified(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
+                   order_col: str | None = ORDER_COL, tie_break: Sequence[str] | None = None,
+                   identity: str = IDENTITY) -> DataFrame:
+    """``tag_orders`` of rows with an ``identity`` column, which is left out.
+
+    One pass over the rows: a row is a duplicate if its key is repeated and
+    another row of it ranks first.
+    """
+    require_columns(df, required)
+    first = first_of_repeated(df, key, order_col, tie_break, identity)
+    tagged = left_join_unique(df, first, key, [identity])
+    duplicate = F.col("_first").isNotNull() & (F.col("_first") != F.col(identity))
+    reason = F.coalesce(first_null_reason(required), F.when(duplicate, F.lit(DUPLICATE)))
+    return tagged.select(*[c for c in df.columns if c != identity], reason.alias(REASON))
+
+
 def tag_orders(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
                order_col: str | None = ORDER_COL,
-               tie_break: Sequence[str] | None = None) -> DataFrame:
+               tie_break: Sequence[str] | None = None, identity: str = IDENTITY) -> DataFrame:
     """Every input row once, plus ``dq_reason`` (NULL = valid).
 
-    Incomplete rows pass straight through with their NULL tag — no shuffle,
-    so even a third of the table with a NULL key never meets in one task.
-    Complete rows go through ``gate_counts`` and are expanded back to copies.
+    Rows with an ``identity`` column are tagged in one pass.  Without one,
+    identical copies cannot be told apart: incomplete rows pass straight
+    through with their NULL tag — no shuffle, so even a third of the table
+    with a NULL key never meets in one task — and complete rows go through
+    ``gate_counts`` and are expanded back to copies.
     """
+    if identity in df.columns:
+        return tag_identified(df, required, key, order_col, tie_break, identity)
     counts = gate_counts(df, required, key, order_col, tie_break)
     cols = df.columns
     parts = F.array(
@@ -141,12 +188,17 @@ def gate_summary(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key:
     """Row counts per outcome and reason.
 
     Output: ``outcome`` ('valid' | 'quarantined'), ``dq_reason`` (NULL for
-    valid), ``row_count`` (bigint).  Counting needs no full-row aggregation:
+    valid), ``row_count`` (bigint).  Identified rows are tagged and counted.
+    Without identities counting needs no full-row aggregation either:
     incomplete rows are counted by their first NULL column, valid rows are
     the complete survivors, and duplicates are the complete rows that are
     not valid — one small aggregation over the rows and the survivors.
     """
     require_columns(df, required)
+    if IDENTITY in df.columns:
+        reasons = tag_identified(df, required, key, order_col, tie_break).groupBy(REASON)
+        outcome = F.when(F.col(REASON).isNull(), "valid").otherwise("quarantined")
+        return reasons.agg(F.count(F.lit(1)).alias("row_count")).select(outcome.alias("outcome"), REASON, "row_count")
     complete = ~any_null(required)
     rows = df.select(first_null_reason(required).alias(REASON),
                      F.lit(1).alias("_rows"), F.lit(0).alias("_valid"))

@@ -10,6 +10,10 @@ differently on binary doubles).
 
 from __future__ import annotations
 
+from tillroll.operators.facts import FACT_COLUMNS
+from tillroll.operators.marts import ANALYTICS_COLUMNS
+from tillroll.schemas import column_names
+
 TS = "'%Y-%m-%d %H:%M:%S'"
 
 ORDER_COLS = ("order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, "
@@ -251,17 +255,69 @@ enriched AS (
 )
 """
 
+D_GEOLOCATION = """
+SELECT geolocation_zip_code_prefix, lower(trim(geolocation_city)) AS geolocation_city,
+       geolocation_state,
+       cast(sum(cast(geolocation_lat AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lat) AS avg_lat,
+       cast(sum(cast(geolocation_lng AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lng) AS avg_lng
+FROM b_geolocation
+GROUP BY geolocation_zip_code_prefix, lower(trim(geolocation_city)), geolocation_state"""
+
 WITH = "WITH " + CTES.strip() + "\n"
 
 _BRONZE = ("customers", "geolocation", "order_items", "order_payments", "order_reviews", "orders",
            "products", "sellers", "category_translation")
 
+_DOUBLES = {"price", "freight_value", "payment_value", "payment_value_total", "geolocation_lat", "geolocation_lng",
+            "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm", "avg_lat", "avg_lng",
+            "gmv", "freight_total", "avg_review_score", "delay_rate"}
+
+# columns of the compared tables, from the registry and the models
+_COLUMNS = {f"b_{t}": column_names(t) for t in _BRONZE} | {
+    "o_valid": column_names("orders"),
+    "o_quarantine": [*column_names("orders"), "dq_reason"],
+    "d_customers": ["customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"],
+    "d_sellers": ["seller_id", "seller_city", "seller_state", "seller_zip_code_prefix"],
+    "d_products": [*column_names("products"), "product_category_name_en"],
+    "d_geolocation": ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state", "avg_lat", "avg_lng"],
+    "fact": FACT_COLUMNS,
+    "mart_order_analytics": ANALYTICS_COLUMNS,
+    "mart_daily_sales": ["order_date", "orders", "gmv", "freight_total", "avg_review_score", "delay_rate"],
+    "mart_state_performance": ["customer_state", "orders", "gmv", "avg_review_score"],
+    "mart_category_performance": ["product_category_name_en", "orders", "gmv", "avg_review_score"],
+    "mart_order_status_daily": ["order_date", "order_status", "order_cnt", "gmv", "delay_rate"],
+}
+
 
 def _counts(label: str) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{t}' AS {label}, count(*) AS row_count FROM b_{t}" for t in _BRONZE)
 
 
+def _digest(label: str, table: str, source: str | None = None) -> str:
+    """Rows, sum of row hashes and NULLs by column of a table of the model."""
+    columns = sorted(_COLUMNS[table])
+
+    def text(c: str) -> str:
+        x = f"cast({c} AS VARCHAR)"
+        if c in _DOUBLES:
+            x = (f"CASE WHEN abs({c}) < 9e12 THEN cast(cast(floor({c} * 1000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)"
+                 f" AS VARCHAR) ELSE {x} END")
+        return f"coalesce('=' || {x}, '-')"
+
+    row = "concat_ws(chr(31), " + ", ".join(map(text, columns)) + ")"
+    nulls = "concat_ws(',', " + ", ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns) + ")"
+    return f"""
+SELECT '{label}' AS table_name, count(*) AS row_count,
+       coalesce(cast(sum(cast('0x' || substr(md5({row}), 1, 15) AS BIGINT)) AS VARCHAR), '0') AS row_digest,
+       {nulls} AS null_counts
+FROM {source or table}"""
+
+
+def _digests(tables: dict[str, tuple]) -> str:
+    return "\nUNION ALL\n".join(_digest(label, *of) for label, of in tables.items())
+
+
 SELECTS: dict[str, str] = {
     "csv_explicit_scan": "SELECT * FROM b_orders",
     "csv_inferred_scan": """
@@ -269,21 +325,13 @@ SELECT cast(order_id AS INTEGER) AS order_id, payment_sequential, payment_type,
        payment_installments, payment_value
 FROM b_order_payments""",
     "parquet_overwrite_roundtrip": "SELECT * FROM items",
-    "bronze_ingest": _counts("bronze_table"),
+    "bronze_ingest": _digests({t: (f"b_{t}",) for t in _BRONZE}),
     "landing_manifest": _counts("dataset"),
     "landing_discovery": _counts("dataset"),
-    "gate_tables": f"""
-SELECT CASE WHEN rn = 1 AND {COMPLETE} THEN 'stg_orders' ELSE 'stg_orders_quarantine' END AS table_name,
-       CASE WHEN rn = 1 AND {COMPLETE} THEN NULL ELSE coalesce({NULL_REASON}, 'duplicate') END AS dq_reason,
-       count(*) AS row_count
-FROM o_ranked GROUP BY 1, 2""",
-    "silver_tables": """
-SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM d_customers
-UNION ALL SELECT 'dim_sellers', count(*) FROM d_sellers
-UNION ALL SELECT 'dim_products', count(*) FROM d_products
-UNION ALL SELECT 'dim_geolocation', count(*) FROM (
-  SELECT DISTINCT geolocation_zip_code_prefix, lower(trim(geolocation_city)), geolocation_state FROM b_geolocation)
-UNION ALL SELECT 'fct_order_items', count(*) FROM fact""",
+    "gate_tables": _digests({"stg_orders": ("o_valid",), "stg_orders_quarantine": ("o_quarantine",)}),
+    "silver_tables": _digests({
+        "dim_customers": ("d_customers",), "dim_sellers": ("d_sellers",), "dim_products": ("d_products",),
+        "dim_geolocation": ("d_geolocation", f"({D_GEOLOCATION})"), "fct_order_items": ("fact",)}),
     "dq_ranked_orders": f"SELECT {ORDER_COLS}, cast(rn AS INTEGER) AS _row_num FROM o_ranked",
     "dq_null_violations": f"""
 SELECT {ORDER_COLS}, {NULL_REASON} AS dq_reason FROM b_orders WHERE NOT ({COMPLETE})""",
@@ -307,13 +355,7 @@ FROM o_parsed""",
     "dim_customers": "SELECT * FROM d_customers",
     "dim_sellers": "SELECT * FROM d_sellers",
     "dim_products": "SELECT * FROM d_products",
-    "dim_geolocation": """
-SELECT geolocation_zip_code_prefix, lower(trim(geolocation_city)) AS geolocation_city,
-       geolocation_state,
-       cast(sum(cast(geolocation_lat AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lat) AS avg_lat,
-       cast(sum(cast(geolocation_lng AS DECIMAL(18,12))) AS DOUBLE) / count(geolocation_lng) AS avg_lng
-FROM b_geolocation
-GROUP BY geolocation_zip_code_prefix, lower(trim(geolocation_city)), geolocation_state""",
+    "dim_geolocation": D_GEOLOCATION,
     "payments_per_order": "SELECT * FROM pay",
     "reviews_per_order": "SELECT * FROM rev",
     "fct_order_items": "SELECT * FROM fact",
@@ -350,8 +392,9 @@ FROM enriched GROUP BY order_date, order_status
 ORDER BY order_date NULLS FIRST, order_status NULLS FIRST""",
 }
 
-# the gold stage's daily mart is the same table, written and read back
-SELECTS["gold_tables"] = SELECTS["mart_daily_sales"]
+_MARTS = ("mart_order_analytics", "mart_daily_sales", "mart_state_performance", "mart_category_performance",
+          "mart_order_status_daily")
+SELECTS["gold_tables"] = _digests({m: (m, f"({SELECTS[m]})") for m in _MARTS})
 
 
 def oracle_sql() -> dict[str, str]:

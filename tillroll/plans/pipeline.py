@@ -22,7 +22,7 @@ from tillroll.schemas import DATASET_FILES, build_schema
 from tillroll.session import scratch_path
 from tillroll.sinks.files import write_parquet
 from tillroll.sources.csv import read_raw_csv
-from tillroll.sources.parquet import read_table
+from tillroll.sources.parquet import read_identified, read_table
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +75,7 @@ def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
     the two tables are written from that.  Counts are observed during the
     writes instead of by extra jobs.  Any of the tables may be empty.
     """
-    orders = read_table(spark, paths.bronze("orders"))
+    orders = read_identified(spark, paths.bronze("orders"), quality.IDENTITY)
     quality.require_columns(orders)
     tagged = quality.tag_orders(orders)
     path = scratch_path(spark, "gate")

@@ -20,6 +20,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.operators import dims, facts, marts, quality
+from tillroll.operators.digest import table_digests
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
 from tillroll.schemas import DATASET_FILES
@@ -52,6 +53,9 @@ class Model:
     def bronze(self, name: str) -> DataFrame:
         return self._once("bronze:" + name, lambda: self.t.table(name))
 
+    def orders_identified(self) -> DataFrame:
+        return self.t.orders(quality.IDENTITY)
+
     def orders_valid(self) -> DataFrame:
         return self._once("orders_valid", lambda: quality.valid_orders(self.bronze("orders")))
 
@@ -92,11 +96,11 @@ def q_dq_gate_valid(spark, d):
 
 
 def q_dq_gate_quarantine(spark, d):
-    return quality.quarantined_orders(model(spark, d).bronze("orders"))
+    return quality.quarantined_orders(model(spark, d).orders_identified())
 
 
 def q_dq_gate_summary(spark, d):
-    return quality.gate_summary(model(spark, d).bronze("orders"))
+    return quality.gate_summary(model(spark, d).orders_identified())
 
 
 def q_dedupe_items(spark, d):
@@ -198,14 +202,10 @@ def _landed(spark, d, name) -> LayerPaths:
 
 
 def q_bronze_ingest(spark, d):
+    """The content of all bronze tables as the ingest wrote them."""
     paths = _landed(spark, d, "bronze-ingest")
     tables = pipeline.bronze_ingest(spark, paths)
-    counts = [read_table(spark, paths.bronze(t)).select(F.lit(t).alias("bronze_table"))
-              for t in tables]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out.groupBy("bronze_table").agg(F.count(F.lit(1)).alias("row_count"))
+    return table_digests({t: read_table(spark, paths.bronze(t)) for t in tables})
 
 
 def q_landing_manifest(spark, d):
@@ -237,35 +237,26 @@ def _built(spark, d, name) -> LayerPaths:
     return paths
 
 
-def _table_counts(spark, tables: dict[str, str]):
-    counts = [read_table(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
-              .select(F.lit(name).alias("table_name"), "row_count") for name, path in tables.items()]
-    return reduce(DataFrame.unionByName, counts)
-
-
 def q_gate_tables(spark, d):
-    """The gate's written tables, read back: rows by table and reason."""
+    """The content of both tables that the gate wrote."""
     paths = _built(spark, d, "gate")
-    valid = pipeline.stg_orders(spark, paths).select(
-        F.lit("stg_orders").alias("table_name"), F.lit(None).cast("string").alias("dq_reason"))
-    bad = pipeline.stg_orders_quarantine(spark, paths).select(
-        F.lit("stg_orders_quarantine").alias("table_name"), "dq_reason")
-    return valid.unionByName(bad).groupBy("table_name", "dq_reason").agg(F.count(F.lit(1)).alias("row_count"))
+    return table_digests({pipeline.VALID: pipeline.stg_orders(spark, paths),
+                          pipeline.QUARANTINE: pipeline.stg_orders_quarantine(spark, paths)})
 
 
 def q_silver_tables(spark, d):
-    """The silver model's written tables, read back: rows by table."""
+    """The content of all tables that the silver stage wrote."""
     paths = _built(spark, d, "silver")
     pipeline.silver_model(spark, paths)
-    return _table_counts(spark, {t: paths.silver(t) for t in pipeline.SILVER_TABLES})
+    return table_digests({t: read_table(spark, paths.silver(t)) for t in pipeline.SILVER_TABLES})
 
 
 def q_gold_tables(spark, d):
-    """The daily mart as the gold stage wrote it."""
+    """The content of all marts that the gold stage wrote, but for load times."""
     paths = _built(spark, d, "gold")
     pipeline.silver_model(spark, paths)
-    pipeline.gold_marts(spark, paths)
-    return read_table(spark, paths.gold("mart_daily_sales"))
+    written = pipeline.gold_marts(spark, paths)
+    return table_digests({t: read_table(spark, paths.gold(t)) for t in written}, exclude=[marts.LOAD_TIME])
 
 
 QUERIES: dict[str, Query] = {

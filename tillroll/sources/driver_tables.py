@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.schemas import column_names
+from tillroll.sources.parquet import row_identity
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -86,15 +87,20 @@ class DriverTables:
         return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
 
     # -- bronze views -------------------------------------------------------
-    def orders(self) -> DataFrame:
+    def orders(self, identity: str | None = None) -> DataFrame:
         """One row per driver order plus a second version of every 50th.
 
         customer_id NULL for keys divisible by 97; purchase text 'junk' for
         keys divisible by 101; no delivery while status is 'P'.  The second
         versions are one day later, or have no purchase time when the key is
         divisible by 3 (such a version outranks the original, see the gate).
+        ``identity`` names one more column with the rows' identities.
         """
         o = self.raw("orders")
+
+        def version(number: int) -> list[Column]:
+            return [row_identity(F.lit(number).alias("version")).alias(identity)] if identity else []
+
         k = F.col("o_orderkey")
         d = F.col("o_orderdate")
         customer = F.when(k % 97 == 0, _null()).otherwise(_s(F.col("o_custkey")))
@@ -110,6 +116,7 @@ class DriverTables:
             F.when(pending, _null()).otherwise(_text(_days(d, (k % 30).cast("int"))))
              .alias("order_delivered_customer_date"),
             _text(_days(d, 20)).alias("order_estimated_delivery_date"),
+            *version(1),
         )
         again = o.filter(k % 50 == 0).select(
             _s(k).alias("order_id"),
@@ -120,6 +127,7 @@ class DriverTables:
             _null().alias("order_delivered_carrier_date"),
             _null().alias("order_delivered_customer_date"),
             _null().alias("order_estimated_delivery_date"),
+            *version(2),
         )
         return base.unionByName(again)
 

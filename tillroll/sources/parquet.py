@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def row_identity(*more: Column) -> Column:
+    """A Parquet row's file and place in it: the same in every evaluation of a
+    scan of files that are not rewritten meanwhile.  ``more`` tells apart the
+    rows that a query makes of one."""
+    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"), *more)
+
+
+def read_identified(spark: SparkSession, path: str, name: str = "_row") -> DataFrame:
+    """The table with its rows' identities in one more column."""
+    return read_table(spark, path).withColumn(name, row_identity())
