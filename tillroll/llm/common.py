@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.session import scratch_path
@@ -54,6 +58,24 @@ def ship(spark: SparkSession) -> None:
     sc._tillroll_shipped = True
 
 
+def lean(run: Callable) -> Callable:
+    """A function for mapInArrow that hands memory back to the system: Arrow's
+    after every batch, all that is free when the task ends.  Workers live on
+    between tasks, so else each keeps the most that any of its tasks took."""
+    def task(batches):
+        try:
+            for batch in run(batches):
+                yield batch
+                pa.default_memory_pool().release_unused()
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+            if trim is not None:
+                trim(0)
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, UPPER.lower())

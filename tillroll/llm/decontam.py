@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.llm.common import ship
+from tillroll.llm.common import lean, ship
 from tillroll.llm.tokens import pieces, unsliced
 from tillroll.llm.words import MARKS, word_hashes
 
@@ -300,7 +300,7 @@ def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text
         rows = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         items = _read_items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
         documents, total = np.zeros(len(items.vocabulary), "i8"), 0
-        counts = texts.select("text").mapInArrow(_count_documents(items.vocabulary), "word long, n long")
+        counts = texts.select("text").mapInArrow(lean(_count_documents(items.vocabulary)), "word long, n long")
         for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect():
             if r["word"] < 0:
                 total = r["n"]
@@ -322,7 +322,7 @@ def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_i
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = None
     for items in _item_blocks(texts, benchmark, item_id, item_text):
-        part = texts.mapInArrow(_match(items), MATCHES)
+        part = texts.mapInArrow(lean(_match(items)), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -343,5 +343,5 @@ def without_copies(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     ship(docs.sparkSession)
     texts = docs.select(F.col(text).cast("string").alias("text"))
     for items in _item_blocks(texts, benchmark, item_id, item_text):
-        docs = docs.mapInArrow(_drop_copies(items, docs.columns.index(text)), docs.schema)
+        docs = docs.mapInArrow(lean(_drop_copies(items, docs.columns.index(text))), docs.schema)
     return docs

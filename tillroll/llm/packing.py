@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillroll.llm.common import cut, ship
+from tillroll.llm.common import cut, lean, ship
 from tillroll.llm.tokens import default_vocabulary, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -62,7 +62,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, width: int = WIDTH, end_id: i
     """One row per piece of every document."""
     ship(docs.sparkSession)
     return (docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-                .mapInArrow(_cut_pieces(vocabulary, width, end_id), PIECES))
+                .mapInArrow(lean(_cut_pieces(vocabulary, width, end_id)), PIECES))
 
 
 def plan_slots(counts: dict[int, int], width: int) -> list[tuple[int, int, int, int, int, int]]:

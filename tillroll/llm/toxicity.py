@@ -38,7 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.common import ship
+from tillroll.llm.common import lean, ship
 from tillroll.llm.spans import let
 from tillroll.llm.tokens import pieces
 
@@ -401,14 +401,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         ship(docs.sparkSession)
         held = F.lower("s").rlike(r"(?<!\p{L})(" + "|".join(strong) + r")(?!\p{L})")
         toxic = cut.where((F.col("toxic") == 1) & held).select("s")
-        clean = cut.where(F.col("toxic") == 0).select("s").mapInArrow(_alike(landmark_model(marks, others)), "s string")
+        clean = cut.where(F.col("toxic") == 0).select("s").mapInArrow(lean(_alike(landmark_model(marks, others))), "s string")
         some = [[r["s"] for r in part.orderBy(F.xxhash64("s"), "s").limit(SENTENCES).collect()]
                 for part in (toxic, clean)]
         model = fit(*some, marks, others)
     if model is None:
         model = _flat(n_yes / max(n_yes + n_no, 1))
     else:
-        seen = rows.select("toxic", "text").mapInArrow(_margins(model), "toxic int, margin double").toPandas()
+        seen = rows.select("toxic", "text").mapInArrow(lean(_margins(model)), "toxic int, margin double").toPandas()
         # Toxic documents count once as they are and once distorted; clean ones
         # as much as a sample of SAMPLE.
         more, y = model.distorted, seen["toxic"].to_numpy().astype("f8")
@@ -458,7 +458,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     # A few MB: weights of at most LANDMARKS words.  Broadcast, a worker's tasks
     # share one model and the words it remembers.
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = rows.mapInArrow(_score(shared), "doc_id long, score double, predicted int")
+    out = rows.mapInArrow(lean(_score(shared)), "doc_id long, score double, predicted int")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
@@ -476,7 +476,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text") -> Dat
     model = train(docs, labels, text=text)
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_reject(shared, docs.columns.index(text)), docs.schema)
+    return docs.mapInArrow(lean(_reject(shared, docs.columns.index(text))), docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
