@@ -326,3 +326,63 @@ def test_edits_as_a_table(spark, documents):
         edit_counts.with_edits(edit_counts.build_trees(docs), edits)).collect()}
     assert {i: r["new_text"] for i, r in got.items()} == {1: " 2 2 three", 2: "four", 3: "new"}
     assert all(r["tokens_after"] == token_count(r["new_text"]) for r in got.values())
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_block_forests_join_what_all_pairs_would(seed):
+    """With signatures too short to tell much, verified forests in turns give
+    the components of all links, and never more rows than candidates."""
+    rng = random.Random(seed)
+    base = rng.sample(range(1, 1 << 40), 40)
+    sets = [np.unique(np.array(rng.sample(base, 36) + rng.sample(range(1 << 41, 1 << 42), rng.randint(0, 4)), "u8"))
+            for _ in range(40)]
+    percent = 85
+    linked = [[100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)) for y in sets] for x in sets]
+    bits = [np.packbits((np.bincount((s % np.uint64(64)).astype("i8"), minlength=64) & 1).astype("u1")).tobytes() for s in sets]
+    names = [bytes([i]) for i in range(len(sets))]
+    root, tried, turns = list(range(len(sets))), [set() for _ in sets], 0
+    while True:
+        found = set()
+        for i, j in ((0, 0), (0, 1), (1, 1)):
+            rows = [(0 if x % 2 == i else 1, x) for x in range(len(sets)) if x % 2 in (i, j)]
+            table = pa.table({
+                "side": [s for s, _ in rows], "class": pa.array([names[x] for _, x in rows], pa.binary()),
+                "root": pa.array([names[root[x]] for _, x in rows], pa.binary()), "n": [len(sets[x]) for _, x in rows],
+                "bits": pa.array([bits[x] for _, x in rows], pa.binary()),
+                "tried": pa.array([[names[y] for y in sorted(tried[x])] or None for _, x in rows], pa.list_(pa.binary()))})
+            out = jaccard._block_forest(percent)(None, table)
+            assert out.num_rows < len(rows)
+            found |= {(a[0], b[0]) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist())}
+        assert all(b not in tried[a] and a not in tried[b] and root[a] != root[b] for a, b in found)
+        if not found:
+            break
+        turns += 1
+        for a, b in found:
+            if linked[a][b]:
+                x, y = sorted((root[a], root[b]))
+                root = [x if r == y else r for r in root]
+            else:
+                tried[a].add(b)
+    want = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if linked[a][b]:
+                x, y = sorted((want[a], want[b]))
+                want = [x if r == y else r for r in want]
+    assert root == want and turns
+
+
+def test_rows_of_open_pairs_grow_with_the_group(spark):
+    """Twice the near copies: about twice the rows, and no more than candidates."""
+    made = []
+    for size in (150, 300):
+        rng = random.Random(3)
+        base = rng.sample(range(1, 1 << 40), 60)
+        sets = [np.unique(np.array(rng.sample(base, 58) + rng.sample(range(1 << 41, 1 << 42), 2), "u8")) for _ in range(size)]
+        rows = [(bytes([i >> 8, i & 255]), len(s), jaccard.signature(s)) for i, s in enumerate(sets)]
+        small = spark.createDataFrame(rows, "class binary, n long, bits binary")
+        groups = small.select("class").crossJoin(spark.createDataFrame([(1,), (2,)], "key long"))
+        none = spark.createDataFrame([], "a binary, b binary")
+        roots = spark.createDataFrame([], "node binary, root binary")
+        made.append(jaccard._open_pairs(groups, roots, small, none, 80).count())
+    assert made[0] < 150 and made[1] < 300

@@ -8,16 +8,20 @@
    sets agree in a whole part, and classes that agree in one are candidates.
    A shingle that many texts share brings nothing together by itself.
 3. In a group of candidates all are first held against the one that agrees
-   most often; then only pairs that are still in different components are
-   compared, in blocks.
+   most often.  Then only groups that still hold several components are
+   compared, block by block: a block pair reports, of the pairs whose signatures
+   allow a link, a spanning forest of the components, so at most one per row.
+   These are verified, and as long as any of them fails, its groups are
+   compared again without it.
 4. Signatures hold the parity of the hashes in each of a number of bits that
    grows with the set: the bits in which two differ are a lower bound of the
    shingles in which the sets differ, and so bound the overlap from above.
    Pairs that pass are intersected exactly, as sorted arrays: first each
    class's closest pair, then those whose ends are still apart.
 
-No pair that could link two components is dropped, and a large group of copies
-costs a comparison per copy, not per pair.
+No pair that could link two components is dropped, and what any step reports
+grows with a group's rows, not with its pairs.  A row of a group goes to one
+task per block of the group.
 
 Defined results: NULL texts and texts without words have no shingles and link
 with nothing; fewer words than a shingle form one.  Repeated rows are links of
@@ -33,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.llm.common import cut, ship
+from tillroll.llm.common import cut, lean, ship
 from tillroll.llm.graph import components
 from tillroll.llm.url_filter import bloom_blocks, build_bloom, possible_hits
 from tillroll.llm.tokens import pieces
@@ -46,8 +50,8 @@ SIGNATURE_BITS, BITS_PER_SHINGLE = 1024, 2
 #: Parts beyond the d + 1 that guarantee an agreeing one: a text with fewer
 #: empty parts than SPARE + 1 need not be found by an empty part.
 SPARE = 2
-#: Candidates of one group that are compared together.
-BLOCK = 256
+#: Candidates of one group that are compared together, on average.
+BLOCK = 2048
 
 
 class Tiles:
@@ -203,55 +207,69 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, per
     blocks = bloom_blocks(wanted.count())
     near = possible_hits(docs, "doc_id", build_bloom(wanted, "doc_id", blocks), blocks)
     near = near.where(F.col("possible") | F.col("doc_id").isNull())
-    full = (near.select("doc_id", "text").mapInArrow(_full_sets(k), FULL)
+    full = (near.select("doc_id", "text").mapInArrow(lean(_full_sets(k)), FULL)
                 .join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
     full = cut(full.select("class", "shingles"), "full-sets")
-    return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(_linked(percent), "a binary, b binary"), "links")
+    return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(lean(_linked(percent)), "a binary, b binary"), "links")
 
 
-def _block_pairs(percent: int):
-    """Pairs of one block of a group against one block, by their signatures."""
+def _block_forest(percent: int):
+    """Of one block of a group against one block: pairs (a, b) whose signatures
+    allow a link, that were not tried before, and that would join components;
+    none closes a circle."""
     def run(key, rows):
-        side, name, root, n, bits = (rows[c].to_pylist() for c in ("side", "class", "root", "n", "bits"))
+        side, name, root, n, bits, tried = (rows[c].to_pylist() for c in ("side", "class", "root", "n", "bits", "tried"))
+        _, part = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
         left = [i for i, s in enumerate(side) if s == 0]
-        right = [i for i, s in enumerate(side) if s == 1] or left
+        right = np.array([i for i, s in enumerate(side) if s == 1] or left, "i8")
+        place = {x: i for i, x in enumerate(name)}
+        known: dict[int, list[int]] = {}
+        for i, others in enumerate(tried):
+            for j in (place[x] for x in others or () if x in place):
+                known.setdefault(i, []).append(j)
+                known.setdefault(j, []).append(i)
         size = np.asarray(n, "i8")
         least = min(map(len, bits))
         sig = np.stack([folded(x, least) for x in bits])
         out = [[], []]
-        for i in left:
-            r = np.asarray(right)
-            differ = np.bitwise_count(sig[r] ^ sig[i]).sum(axis=1).astype("i8")
-            most = overlap_bound(size[r], size[i], differ)
-            for j in r[100 * most >= percent * (size[r] + size[i] - most)]:
-                if root[i] != root[j]:
-                    out[0].append(min(name[i], name[j]))
-                    out[1].append(max(name[i], name[j]))
+        for i in left if len(right) else ():
+            open_ = right[part[right] != part[i]]
+            if i in known:
+                open_ = np.setdiff1d(open_, known[i])
+            if not len(open_):
+                continue
+            differ = np.bitwise_count(sig[open_] ^ sig[i]).sum(axis=1).astype("i8")
+            most = overlap_bound(size[open_], size[i], differ)
+            can = 100 * most >= percent * (size[open_] + size[i] - most)
+            open_, differ = open_[can], differ[can]
+            for j in open_[np.argsort(differ, kind="stable")]:
+                if part[j] != part[i]:
+                    out[0].append(name[i])
+                    out[1].append(name[j])
+                    part[part == part[j]] = part[i]
         return pa.table([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
     return run
 
 
-def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a group that are in different components and whose
-    signatures allow a link."""
+def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
+    """Pairs within a group that may link components, a forest per block pair;
+    none of ``failed`` (a, b)."""
     rows = (groups.join(roots.withColumnRenamed("node", "class"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
-    split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                 .where("low < high").select("key"))
-    rows = rows.join(cut(split, "open-groups"), "key")
-    rows = rows.join(small, "class")
-    rows = cut(rows.select("key", "class", "root", "n", "bits"), "open-rows")
-    by = Window.partitionBy("key").orderBy("n", "class")
-    rows = rows.withColumn("block", F.floor((F.row_number().over(by) - 1) / BLOCK))
-    top = rows.groupBy("key").agg(F.max("block").alias("top"))
-    rows = rows.join(top, "key")
-    # Block i meets blocks i .. top: as the left side of (i, j), as the right
-    # side of (j, i).
-    cells = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("top")), lambda j: F.struct(
+    split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+                 .where("low < high").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    rows = rows.select("key", "class", "root").join(cut(split, "open-groups"), "key")
+    tried = failed.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("tried"))
+    rows = rows.join(small, "class").join(tried, "class", "left")
+    # Block i meets blocks i .. blocks - 1: as the left side of (i, j), as the
+    # right side of (j, i).
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
+    cells = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(
         F.least("block", j).alias("i"), F.greatest("block", j).alias("j"),
         F.when(F.col("block") <= j, 0).otherwise(1).alias("side"))))
-    rows = rows.withColumn("cell", cells).select("key", "cell.i", "cell.j", "cell.side", "class", "root", "n", "bits")
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_pairs(percent), "a binary, b binary").distinct()
+    rows = rows.withColumn("cell", cells).select(
+        "key", "cell.i", "cell.j", "cell.side", "class", "root", "n", "bits", "tried")
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent), "a binary, b binary").distinct()
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -272,12 +290,12 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = cut(docs.mapInArrow(_read_sets(k, percent), SETS), "sets")
+    sets = cut(docs.mapInArrow(lean(_read_sets(k, percent)), SETS), "sets")
     some = sets.where(F.col("class").isNotNull())
     classes = cut(some.groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes")
     spread = (some.groupBy("class").agg(F.first("keys").alias("keys"))
-                  .mapInArrow(_spread_keys, "class binary, key long"))
+                  .mapInArrow(lean(_spread_keys), "class binary, key long"))
     groups = (spread.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
                     .where("size > 1"))
     groups = cut(groups, "groups")
@@ -287,18 +305,28 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     hub = cut(groups.join(often, "class").groupBy("key")
               .agg(F.max(F.struct("often", "class"))["class"].alias("hub")), "hubs")
     star = (groups.join(hub, "key").where(F.col("class") != F.col("hub"))
-                  .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct())
+                  .select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct())
     star = cut(_with_ends(star, small, ["n", "bits"])
-               .mapInArrow(_possible(percent), "a binary, b binary, differ long"), "star-pairs")
+               .mapInArrow(lean(_possible(percent)), "a binary, b binary, differ long"), "star-pairs")
     each = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"), "differ"))
     closest = (each.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b"))
                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = _verified(cut(closest, "closest-pairs"), docs, classes, k, percent)
     roots = components(links)
-    rest = _apart(star, roots).unionByName(_open_pairs(groups.where("size > 2"), roots, small, percent)).distinct()
-    rest = cut(rest, "open-pairs")
-    if not rest.isEmpty():
-        roots = components(links.unionByName(_verified(rest, docs, classes, k, percent)))
+    pairs, failed = star.select("a", "b"), None
+    groups = groups.where("size > 2")
+    while True:
+        pairs = cut(_apart(pairs, roots), "open-pairs")
+        if not pairs.isEmpty():
+            links = links.unionByName(_verified(pairs, docs, classes, k, percent))
+            roots = components(links)
+            pairs = cut(_apart(pairs, roots), "failed-pairs")
+            if failed is not None and pairs.isEmpty():
+                break           # all that may link does
+        elif failed is not None:
+            break
+        failed = pairs if failed is None else cut(_apart(failed.unionByName(pairs), roots), "failed-pairs")
+        pairs = _open_pairs(groups, roots, small, failed, percent)
 
     named = (classes.select("class", "doc_id")
                     .join(roots.withColumnRenamed("node", "class"), "class", "left")
