@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.functions import money_sum, rounded_mean
 from tillroll.operators.joins import left_join_unique
+from tillroll.sinks.buckets import Layout, join_layouts
 
 # fixed values: columns of the wide analytics mart, in order (plus the load time)
 ANALYTICS_COLUMNS = [
@@ -50,24 +51,33 @@ def fact_columns(columns: Sequence[str]) -> list[str]:
     return list(dict.fromkeys([*spread, *(c for c in columns if c not in attributes), *keys]))
 
 
-def fct_enriched(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame,
-                 dim_sellers: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def fct_enriched(fact: DataFrame, dim_customers: DataFrame | None, dim_products: DataFrame | None,
+                 dim_sellers: DataFrame | None, columns: Sequence[str] | None = None) -> DataFrame:
     """Fact plus customer, product and seller attributes.
 
     Each dimension is unique per key and joined only when one of its
-    attributes is among ``columns`` (all of them by default).  Hot and missing
-    keys: see ``joins.left_join_unique``.
+    attributes is among ``columns`` (all of them by default) and it is given:
+    one that is joined already is None.  Hot and missing keys: see
+    ``joins.left_join_unique``.
     """
     out = fact
     spread = [c for c in ("order_id", "order_item_id") if c in fact.columns] or fact.columns
     for dim, key, own in ((dim_customers, "customer_id", CUSTOMER_COLUMNS),
                           (dim_products, "product_id", PRODUCT_COLUMNS),
                           (dim_sellers, "seller_id", SELLER_COLUMNS)):
-        if columns is None or set(own) & set(columns):
+        if dim is not None and (columns is None or set(own) & set(columns)):
             out = left_join_unique(out, dim.select(key, *own), key, spread)
     return out if columns is None else out.select(*columns)
 
 
+def fct_enriched_colocated(spark: SparkSession, fact: Layout, dim_customers: Layout, dim_products: DataFrame,
+                           dim_sellers: DataFrame) -> DataFrame:
+    """``fct_enriched`` of a fact and customers that lie bucketed by customer:
+    the largest of the three joins moves nothing."""
+    by_customer = join_layouts(spark, fact, dim_customers)
+    return fct_enriched(by_customer, None, dim_products, dim_sellers)
+
+
 def mart_order_analytics(enriched: DataFrame, with_load_time: bool = True) -> DataFrame:
     """Wide row-level table (P4); ``etl_loaded_at`` is one value per query."""
     cols = [F.col(c) for c in ANALYTICS_COLUMNS]

@@ -360,6 +360,7 @@ FROM o_parsed""",
     "reviews_per_order": "SELECT * FROM rev",
     "fct_order_items": "SELECT * FROM fact",
     "fct_enriched": "SELECT * FROM enriched",
+    "fct_enriched_colocated": "SELECT * FROM enriched",
     "mart_order_analytics": """
 SELECT order_id, order_item_id, order_date, order_status, customer_state, customer_city,
        seller_state, seller_city, product_id, product_category_name_en, price, freight_value,

@@ -25,6 +25,7 @@ from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
 from tillroll.schemas import DATASET_FILES
 from tillroll.session import scratch_path
+from tillroll.sinks.buckets import write_layout
 from tillroll.sinks.files import write_csv, write_parquet
 from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.driver_tables import DriverTables
@@ -147,6 +148,18 @@ def q_fct_enriched(spark, d):
     return model(spark, d).enriched()
 
 
+def q_fct_enriched_colocated(spark, d):
+    """The same from tables that lie bucketed by customer."""
+    m, root = model(spark, d), scratch_path(spark, "colocated")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layouts = []
+    for name, df in (("fct_order_items", m.fact()), ("dim_customers", m.dim_customers().select(
+            "customer_id", *marts.CUSTOMER_COLUMNS))):
+        write_parquet(df, f"{root}/plain/{name}")
+        layouts.append(write_layout(read_table(spark, f"{root}/plain/{name}"), f"{root}/{name}", "customer_id", buckets))
+    return marts.fct_enriched_colocated(spark, *layouts, m.dim_products(), m.dim_sellers())
+
+
 def q_mart_order_analytics(spark, d):
     return marts.mart_order_analytics(model(spark, d).enriched(marts.ANALYTICS_COLUMNS), with_load_time=False)
 
@@ -285,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "reviews_per_order": q_reviews_per_order,
     "fct_order_items": q_fct_order_items,
     "fct_enriched": q_fct_enriched,
+    "fct_enriched_colocated": q_fct_enriched_colocated,
     "mart_order_analytics": q_mart_order_analytics,
     "mart_daily_sales": q_mart_daily_sales,
     "mart_state_performance": q_mart_state_performance,
