@@ -52,6 +52,13 @@ def delay_flag(delivered: ColumnOrName, estimated: ColumnOrName) -> Column:
             .otherwise(F.lit(0)))
 
 
+def exact_money(c: ColumnOrName) -> tuple[Column, Column]:
+    """(amount as a decimal of six places, whether it is one exactly)."""
+    x = _col(c)
+    d = x.try_cast("decimal(18,6)")
+    return d, d.cast("double") == x
+
+
 def _all_exact(x: Column, kind: str) -> tuple[Column, Column]:
     """(values as decimals, whether every non-NULL value is one exactly)."""
     d = x.try_cast(kind)

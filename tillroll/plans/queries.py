@@ -23,6 +23,7 @@ from tillroll.operators import dims, facts, marts, quality
 from tillroll.operators.digest import table_digests
 from tillroll.paths import LayerPaths
 from tillroll.plans import pipeline
+from tillroll.plans.refresh import PERIOD, WIDE, refresh_gold
 from tillroll.schemas import DATASET_FILES
 from tillroll.session import scratch_path
 from tillroll.sinks.buckets import write_layout
@@ -272,6 +273,27 @@ def q_gold_tables(spark, d):
     return table_digests({t: read_table(spark, paths.gold(t)) for t in written}, exclude=[marts.LOAD_TIME])
 
 
+def q_gold_refreshed(spark, d):
+    """The marts after two runs: the first without every tenth order's rows and
+    without the orders' later versions, the second a refresh of what is new."""
+    paths = LayerPaths.under(scratch_path(spark, "refresh"))
+    tables = DriverTables(spark, d).bronze()
+    tenth = F.try_to_number("order_id", F.lit("999999999999999999")) % 10 == 0
+    early = {t: df.filter(~tenth) if t in ("order_items", "order_payments", "order_reviews") else df
+             for t, df in tables.items()}
+    early["orders"] = early["orders"].filter(F.col("order_approved_at").isNotNull())
+    for run in (early, tables):
+        for table, df in run.items():
+            write_parquet(df, paths.bronze(table))
+        pipeline.orders_gate(spark, paths)
+        pipeline.silver_model(spark, paths)
+        late = tables["orders"].filter(F.col("order_approved_at").isNull()).select("order_id").unionByName(
+            tables["order_items"].filter(tenth).select("order_id"))
+        refresh_gold(spark, paths, None if run is early else late)
+    written = {t: read_table(spark, paths.gold(t)) for t in (WIDE, *pipeline.GOLD_MARTS)}
+    return table_digests(written, exclude=[marts.LOAD_TIME, PERIOD])
+
+
 QUERIES: dict[str, Query] = {
     "csv_explicit_scan": q_csv_explicit_scan,
     "csv_inferred_scan": q_csv_inferred_scan,
@@ -282,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "gate_tables": q_gate_tables,
     "silver_tables": q_silver_tables,
     "gold_tables": q_gold_tables,
+    "gold_refreshed": q_gold_refreshed,
     "dq_ranked_orders": q_dq_ranked_orders,
     "dq_null_violations": q_dq_null_violations,
     "dq_gate_valid": q_dq_gate_valid,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -34,3 +34,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
        .option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     log.info("written %s (csv, mode=%s)", path, mode)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop has them, so that any store works."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the warehouse with all below it; none is no error."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
