@@ -1,0 +1,102 @@
+"""Resumable runs: markers, a run that died midway, changed raw files."""
+
+import os
+import time
+
+import pytest
+
+from tillroll.paths import LayerPaths
+from tillroll.operators.digest import table_digests
+from tillroll.operators.marts import LOAD_TIME
+from tillroll.plans import pipeline, resume
+from tillroll.schemas import DATASET_FILES
+from tillroll.sinks.files import children, read_text, write_csv, write_text
+from tillroll.sources.driver_tables import DriverTables
+from tillroll.sources.landing import land_tables
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.fixture(scope="module")
+def landed(spark, smoke_dir, tmp_path_factory):
+    paths = LayerPaths.under(str(tmp_path_factory.mktemp("warehouse")))
+    land_tables(DriverTables(spark, smoke_dir).bronze(), paths)
+    return paths
+
+
+def stamps(folder):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(folder) for n in names}
+
+
+def gold(spark, paths):
+    names = ["mart_order_analytics", *pipeline.GOLD_MARTS]
+    return table_digests({t: spark.read.parquet(paths.gold(t)) for t in names}, exclude=[LOAD_TIME]).collect()
+
+
+def test_killed_midway_starts_after_the_last_whole_stage(spark, landed, monkeypatch):
+    whole = pipeline.silver_model
+
+    def dies(spark, paths, jobs):
+        whole(spark, paths, jobs)       # even all tables written are no whole stage
+        raise Died
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "silver_model", dies)
+        with pytest.raises(Died):
+            resume.resume_pipeline(spark, landed)
+    name = resume.raw_digest(spark, landed)
+    assert children(spark, landed.gold(f"runs/{name}")) == ["bronze", "gate"]
+    before = {t: stamps(p) for t, p in (("bronze", landed.bronze("orders")), ("gate", landed.silver("stg_orders")),
+                                        ("silver", landed.silver("fct_order_items")))}
+    report = resume.resume_pipeline(spark, landed)
+    assert list(report) == ["bronze", "gate", "silver", "gold"]
+    assert report["gate"] == {"valid": 1475, "quarantined": 55} and len(report["bronze"]) == 9
+    assert stamps(landed.bronze("orders")) == before["bronze"]
+    assert stamps(landed.silver("stg_orders")) == before["gate"]
+    assert stamps(landed.silver("fct_order_items")) != before["silver"]
+    first = gold(spark, landed)
+    # A rerun of a finished run writes nothing.
+    marts = stamps(landed.gold("mart_daily_sales"))
+    assert resume.resume_pipeline(spark, landed) == report
+    assert stamps(landed.gold("mart_daily_sales")) == marts
+    # The same as in one go.
+    assert pipeline.run_pipeline(spark, landed) == report
+    assert gold(spark, landed) == first
+
+
+def test_other_raw_files_are_another_run(spark, tmp_path):
+    paths, calls = LayerPaths.under(str(tmp_path)), []
+    for text in ("a", "b"):
+        write_csv(spark.createDataFrame([(text,)], "x string"), paths.raw(DATASET_FILES["sellers"]))
+        name = resume.raw_digest(spark, paths)
+        assert name == resume.raw_digest(spark, paths)
+        resume.Run(spark, paths, name).go({"one": lambda: calls.append("one"), "two": lambda: calls.append("two")})
+        # The tables are this run's now: the other's markers are gone.
+        assert children(spark, paths.gold("runs")) == [name]
+        time.sleep(0.01)
+    assert calls == ["one", "two"] * 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|no CSV"):
+        resume.raw_digest(spark, LayerPaths.under(str(tmp_path / "none")))
+
+
+def test_stages_after_one_that_ran_run_again(spark, tmp_path):
+    paths, calls = LayerPaths.under(str(tmp_path)), []
+    stages = {s: (lambda s=s: calls.append(s) or {"n": s}) for s in ("a", "b", "c")}
+    resume.Run(spark, paths, "r").go(stages)
+    (tmp_path / "mart" / paths.dataset / "gold" / "runs" / "r" / "b").unlink()
+    out = resume.Run(spark, paths, "r").go(stages)
+    assert calls == ["a", "b", "c", "b", "c"] and out == {s: {"n": s} for s in "abc"}
+
+
+def test_a_marker_is_whole_or_not_there(spark, tmp_path):
+    path = str(tmp_path / "runs" / "r" / "bronze")
+    write_text(spark, path, "old")
+    write_text(spark, path, "Été 1")
+    assert read_text(spark, path) == "Été 1" and children(spark, str(tmp_path / "runs" / "r")) == ["bronze"]
+    # What a writer that died has left is not taken for a marker.
+    (tmp_path / "runs" / "r" / "gate.half").write_text("{")
+    calls = []
+    paths = LayerPaths(*(str(tmp_path),) * 3)
+    resume.Run(spark, paths, "r").go({"gate": lambda: calls.append(1)})
+    assert calls == [1]

@@ -34,6 +34,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--concurrent-jobs", type=int, default=4)
     p.add_argument("--shuffle-bytes", type=float, default=None,
                    help="expected largest shuffle in bytes; sizes shuffle partitions (opt-in)")
+    p.add_argument("--resume", action="store_true",
+                   help="with all: start after the last stage that a run over the same raw files finished")
     return p.parse_args(argv)
 
 
@@ -49,6 +51,7 @@ def layer_paths(args: argparse.Namespace) -> LayerPaths:
 def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     from tillroll.plans import pipeline
+    from tillroll.plans.resume import resume_pipeline
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     args = parse_args(argv)
@@ -59,13 +62,8 @@ def main(argv: list[str] | None = None) -> int:
         for key, value in scale_conf(int(args.shuffle_bytes)).items():
             spark.conf.set(key, value)
     n = args.concurrent_jobs
-    run = {
-        "bronze": lambda: pipeline.bronze_ingest(spark, paths, concurrent_jobs=n),
-        "gate": lambda: pipeline.orders_gate(spark, paths),
-        "silver": lambda: list(pipeline.silver_model(spark, paths, n)),
-        "gold": lambda: pipeline.gold_marts(spark, paths, n),
-        "all": lambda: pipeline.run_pipeline(spark, paths, n),
-    }[args.stage]
+    run = (pipeline.stages(spark, paths, n) | {
+        "all": lambda: (resume_pipeline if args.resume else pipeline.run_pipeline)(spark, paths, n)})[args.stage]
     print(json.dumps({"stage": args.stage, "result": run()}, default=str))
     return 0
 

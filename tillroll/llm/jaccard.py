@@ -247,13 +247,14 @@ def _block_forest(percent: int):
                     out[0].append(name[i])
                     out[1].append(name[j])
                     part[part == part[j]] = part[i]
-        return pa.table([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
+        of = pa.array([key[0].as_py() if key else None] * len(out[0]), pa.int64())
+        return pa.table([of, *[pa.array(x, pa.binary()) for x in out]], names=["key", "a", "b"])
     return run
 
 
 def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a group that may link components, a forest per block pair;
-    none of ``failed`` (a, b)."""
+    """(key, a, b): pairs within a group that may link components, a forest per
+    block pair; none of ``failed`` (a, b)."""
     rows = (groups.join(roots.withColumnRenamed("node", "class"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
     split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -269,7 +270,7 @@ def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: D
         F.when(F.col("block") <= j, 0).otherwise(1).alias("side"))))
     rows = rows.withColumn("cell", cells).select(
         "key", "cell.i", "cell.j", "cell.side", "class", "root", "n", "bits", "tried")
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent), "a binary, b binary").distinct()
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent), "key long, a binary, b binary")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -313,20 +314,26 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = _verified(cut(closest, "closest-pairs"), docs, classes, k, percent)
     roots = components(links)
-    pairs, failed = star.select("a", "b"), None
+    failed = cut(_apart(star.select("a", "b"), roots), "star-pairs")
+    if not failed.isEmpty():
+        links = links.unionByName(_verified(failed, docs, classes, k, percent))
+        roots = components(links)
+        failed = cut(_apart(failed, roots), "failed-pairs")
     groups = groups.where("size > 2")
     while True:
-        pairs = cut(_apart(pairs, roots), "open-pairs")
-        if not pairs.isEmpty():
-            links = links.unionByName(_verified(pairs, docs, classes, k, percent))
-            roots = components(links)
-            pairs = cut(_apart(pairs, roots), "failed-pairs")
-            if failed is not None and pairs.isEmpty():
-                break           # all that may link does
-        elif failed is not None:
+        found = cut(_open_pairs(groups, roots, small, failed, percent), "open-pairs")
+        if found.isEmpty():
             break
-        failed = pairs if failed is None else cut(_apart(failed.unionByName(pairs), roots), "failed-pairs")
-        pairs = _open_pairs(groups, roots, small, failed, percent)
+        pairs = cut(found.select("a", "b").distinct(), "open-pairs")
+        links = links.unionByName(_verified(pairs, docs, classes, k, percent))
+        roots = components(links)
+        pairs = cut(_apart(pairs, roots), "failed-pairs")
+        if pairs.isEmpty():
+            break
+        # A group all of whose pairs linked is done.
+        failed = failed.unionByName(pairs)
+        again = found.join(pairs, ["a", "b"], "left_semi").select("key").distinct()
+        groups = cut(groups.join(again, "key", "left_semi"), "groups")
 
     named = (classes.select("class", "doc_id")
                     .join(roots.withColumnRenamed("node", "class"), "class", "left")

@@ -146,11 +146,18 @@ def gold_marts(spark: SparkSession, paths: LayerPaths,
     return ["mart_order_analytics", *GOLD_MARTS]
 
 
+def stages(spark: SparkSession, paths: LayerPaths,
+           concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, Callable[[], object]]:
+    """The stages in order; each returns its report (names or counts)."""
+    return {
+        "bronze": lambda: bronze_ingest(spark, paths, concurrent_jobs=concurrent_jobs),
+        "gate": lambda: orders_gate(spark, paths),
+        "silver": lambda: list(silver_model(spark, paths, concurrent_jobs)),
+        "gold": lambda: gold_marts(spark, paths, concurrent_jobs),
+    }
+
+
 def run_pipeline(spark: SparkSession, paths: LayerPaths,
                  concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> dict[str, object]:
     """Bronze -> gate -> silver -> gold, stopping at the first failure (K5)."""
-    report: dict[str, object] = {"bronze": bronze_ingest(spark, paths, concurrent_jobs=concurrent_jobs)}
-    report["gate"] = orders_gate(spark, paths)
-    report["silver"] = list(silver_model(spark, paths, concurrent_jobs))
-    report["gold"] = gold_marts(spark, paths, concurrent_jobs)
-    return report
+    return {name: run() for name, run in stages(spark, paths, concurrent_jobs).items()}

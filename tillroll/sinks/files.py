@@ -51,3 +51,32 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of the warehouse with all below it; none is no error."""
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place whole: written under another name, renamed."""
+    fs, p = _hadoop(spark, path)
+    half = spark._jvm.org.apache.hadoop.fs.Path(path + ".half")
+    stream = fs.create(half, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    fs.delete(p, False)
+    if not fs.rename(half, p):
+        raise OSError(f"could not put {path} in place")
