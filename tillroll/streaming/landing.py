@@ -13,7 +13,7 @@ streaming semantics, only files.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.paths import LayerPaths
@@ -26,16 +26,21 @@ def stream_checkpoint(paths: LayerPaths, table: str) -> str:
     return paths.bronze(f"_streams/{table}")
 
 
-def ingest_incrementally(spark: SparkSession, paths: LayerPaths, table: str,
-                         checkpoint: str | None = None, wait: bool = True) -> StreamingQuery:
-    """Append newly landed CSV files of ``table`` to its bronze folder."""
+def arriving(spark: SparkSession, paths: LayerPaths, table: str) -> DataFrame:
+    """Stream of the rows of ``table`` in newly landed CSV files."""
     schema = build_schema(table)
     if schema is None:
         raise ValueError(f"streaming ingest needs a registered schema; {table!r} has none")
     reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
     if table in MULTILINE_TABLES:
         reader = reader.option("multiLine", True)
-    source = reader.csv(paths.raw(DATASET_FILES[table]))
+    return reader.csv(paths.raw(DATASET_FILES[table]))
+
+
+def ingest_incrementally(spark: SparkSession, paths: LayerPaths, table: str,
+                         checkpoint: str | None = None, wait: bool = True) -> StreamingQuery:
+    """Append newly landed CSV files of ``table`` to its bronze folder."""
+    source = arriving(spark, paths, table)
     checkpoint = checkpoint or stream_checkpoint(paths, table)
     query = (source.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
