@@ -384,5 +384,5 @@ def test_rows_of_open_pairs_grow_with_the_group(spark):
         groups = small.select("class").crossJoin(spark.createDataFrame([(1,), (2,)], "key long"))
         none = spark.createDataFrame([], "a binary, b binary")
         roots = spark.createDataFrame([], "node binary, root binary")
-        made.append(jaccard._open_pairs(groups, roots, small, none, 80).count())
+        made.append(jaccard._open_pairs(groups, roots, small, none, 80).select("a", "b").distinct().count())
     assert made[0] < 150 and made[1] < 300

@@ -58,21 +58,29 @@ def ship(spark: SparkSession) -> None:
     sc._tillroll_shipped = True
 
 
+#: glibc's numbers of two settings of its allocator: free memory kept at the
+#: top, and the size from which a block is mapped, and so given back, on its own.
+_TRIM, _MAP = -1, -3
+
+
 def lean(run: Callable) -> Callable:
-    """A function for mapInArrow that hands memory back to the system: Arrow's
-    after every batch, all that is free when the task ends.  Workers live on
-    between tasks, so else each keeps the most that any of its tasks took."""
+    """A function for mapInArrow that keeps little memory: large blocks go back
+    to the system when they are freed, the rest when the task ends.  Workers
+    live on between tasks, so else each keeps the most that any of its tasks
+    took, beside an executor's heap."""
     def task(batches):
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(_MAP, 1 << 18)
+            libc.mallopt(_TRIM, 1 << 20)
+            pa.set_memory_pool(pa.system_memory_pool())
         try:
-            for batch in run(batches):
-                yield batch
-                pa.default_memory_pool().release_unused()
+            yield from run(batches)
         finally:
             gc.collect()
             pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
-            if trim is not None:
-                trim(0)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
     return task
 
 

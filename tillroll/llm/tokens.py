@@ -138,12 +138,11 @@ def unsliced(texts: pa.Array) -> pa.Array:
 def pieces(texts: pa.Array, size: int = 3 << 20):
     """Yield (first, texts) in runs of about ``size`` bytes, NULL as empty, so
     that what is held for a run does not grow with a batch."""
-    texts = texts.cast(pa.large_string()).fill_null("")
-    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype="i8")])
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
-        yield at, unsliced(texts.slice(at, to - at))
+        yield at, unsliced(texts.slice(at, to - at).cast(pa.large_string()).fill_null(""))
         at = to
 
 
