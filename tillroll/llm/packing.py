@@ -30,8 +30,9 @@ SLOTS = "length long, first long, count long, per long, sequence long, offset lo
 WIDTH = 2048
 END_ID = 0
 #: Pieces of one length that are ranked together, about; a length with more is
-#: dealt over as many parts as that takes.
-RANK_ROWS = 1_000
+#: dealt over as many parts as that takes, but PARTS, whose counts are summed up
+#: in one task.
+RANK_ROWS, PARTS = 1_000, 1 << 16
 
 
 def _cut_pieces(path: str, width: int, end_id: int):
@@ -112,19 +113,20 @@ def pack(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
     """``pieces`` with sequence_id and offset."""
     spark = pieces.sparkSession
     names = pieces.columns
-    pieces = cut(pieces, "pieces")
+    # A number of its own for every row: repeated and NULL ids are dealt too.
+    pieces = cut(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     # At most ``width`` counts come to the driver, and the plan's size depends
     # on ``width`` alone: both tables below may be broadcast.
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     slots = spark.createDataFrame(plan_slots(counts, width), SLOTS)
-    parts = spark.createDataFrame([(x, -(-n // RANK_ROWS)) for x, n in counts.items()],
+    parts = spark.createDataFrame([(x, min(PARTS, -(-n // RANK_ROWS))) for x, n in counts.items()],
                                   "length long, parts long")
     pieces = (pieces.join(F.broadcast(parts), "length")
-                    .withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))))
+                    .withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))))
     sizes = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    own = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "part").orderBy("row")
     ranked = (pieces.withColumn("own", F.row_number().over(own) - 1)
                     .join(sizes.select("length", "part", "before"), ["length", "part"])
                     .withColumn("rank", F.col("before") + F.col("own")))

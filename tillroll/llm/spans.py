@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 
 #: Characters kept before and after a match.
 BEFORE, AFTER = 48, 16
+#: Elements of an array that are worked through together.
+CHUNK = 256
 SPAN = "array<struct<start:bigint,end:bigint,s:string,before:string,after:string>>"
 
 
@@ -19,6 +21,34 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def chunks(values: Column) -> Column:
+    """The array cut into arrays of CHUNK elements."""
+    n = F.size(values)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")),
+                                     lambda c: F.slice(values, c * CHUNK + 1, F.lit(CHUNK)))).otherwise(F.array(values))
+
+
+def running_sums(values: Column) -> Column:
+    """0, the first value, the sum of the first two, ... of an array of longs.
+
+    An array is copied when an element is added to it; so sums run within
+    chunks, and over the chunks: the work per element does not grow with the
+    elements before, but for one sum a chunk.
+    """
+    def run(of: Column) -> Column:
+        return F.aggregate(of, F.array(F.lit(0).cast("bigint")),
+                           lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
+
+    def join(x: Column) -> Column:
+        totals = run(F.transform(x["c"], lambda c: F.element_at(c, -1)))
+        return let(F.struct(x["c"].alias("c"), totals.alias("t")), lambda y: F.concat(
+            F.array(F.lit(0).cast("bigint")),
+            F.flatten(F.transform(y["c"], lambda c, i: F.transform(
+                F.slice(c, F.lit(2), F.size(c)), lambda v: v + F.get(y["t"], i))))))
+
+    return let(F.struct(F.transform(chunks(values), run).alias("c")), join)
+
+
 def find(text: Column, pattern: str, guard: Column | None = None) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` as an array of structs
     (start, end, s, before, after).  ``guard`` false says there are none."""
@@ -29,10 +59,7 @@ def find(text: Column, pattern: str, guard: Column | None = None) -> Column:
 
     def place(x: Column) -> Column:
         m, p = x["m"], x["p"]
-        ends = F.aggregate(
-            F.sequence(F.lit(1), F.size(m)), F.array(F.lit(0).cast("bigint")),
-            lambda acc, i: F.concat(acc, F.array(
-                F.element_at(acc, -1) + F.length(F.element_at(p, i)) + F.length(F.element_at(m, i)))))
+        ends = running_sums(F.transform(m, lambda s, i: (F.length(F.get(p, i)) + F.length(s)).cast("bigint")))
         return let(F.struct(m.alias("m"), p.alias("p"), ends.alias("e")), lambda y: F.transform(
             y["m"], lambda s, i: F.struct(
                 (y["e"][i + 1] - F.length(s)).alias("start"), y["e"][i + 1].alias("end"), s.alias("s"),
@@ -61,8 +88,21 @@ def luhn(number: Column) -> Column:
 
 
 def apart(found: Column, others: Column) -> Column:
-    """The spans of ``found`` that overlap none of ``others``."""
-    return F.filter(found, lambda c: ~F.exists(others, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    """The spans of ``found`` that overlap none of ``others``, which are held
+    chunk by chunk: only chunks that reach to a span are looked into."""
+    def reach(c: Column) -> Column:
+        return F.struct(F.array_min(F.transform(c, lambda b: b["start"])).alias("start"),
+                        F.array_max(F.transform(c, lambda b: b["end"])).alias("end"), c.alias("spans"))
+
+    def overlap(c: Column, b: Column) -> Column:
+        return (b["start"] < c["end"]) & (c["start"] < b["end"])
+
+    def free(x: Column) -> Column:
+        return F.filter(x["f"], lambda c: ~F.exists(x["o"], lambda part: F.coalesce(
+            overlap(c, part) & F.exists(part["spans"], lambda b: overlap(c, b)), F.lit(False))))
+
+    return F.when((F.size(found) > 0) & (F.size(others) > 0), let(F.struct(
+        found.alias("f"), F.transform(chunks(others), reach).alias("o")), free)).otherwise(found)
 
 
 def joined(spans: Column, kinds: list[str]) -> Column:
