@@ -6,6 +6,7 @@ it stays inside whole-stage codegen; nothing runs in Python per row.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from typing import Iterable
 
@@ -52,11 +53,33 @@ def delay_flag(delivered: ColumnOrName, estimated: ColumnOrName) -> Column:
             .otherwise(F.lit(0)))
 
 
-def exact_money(c: ColumnOrName) -> tuple[Column, Column]:
-    """(amount as a decimal of six places, whether it is one exactly)."""
+#: A double below 2^51 millionths that is a whole number of them is known as such.
+MILLIONTHS = 1000000
+MOST_MILLIONTHS = float(1 << 51)
+
+
+def money_parts(c: ColumnOrName) -> dict[str, Column]:
+    """Aggregates of a money column that merge by sums and ``bool_and``.
+
+    ``units`` and ``millionths``: the sum of the amounts that are decimals of at
+    most six places, in two long sums, which do not depend on the order of the
+    rows; ``whole``: whether all are (NULL without amounts); ``plain``: the sum
+    of the doubles.
+    """
     x = _col(c)
-    d = x.try_cast("decimal(18,6)")
-    return d, d.cast("double") == x
+    m = F.rint(x * float(MILLIONTHS))
+    exact = (F.abs(m) < MOST_MILLIONTHS) & (m / float(MILLIONTHS) == x)
+    m = F.when(exact, m.cast("long"))
+    units = F.try_sum(F.floor(m / MILLIONTHS))
+    return {"units": units, "millionths": F.try_sum(F.pmod(m, F.lit(MILLIONTHS))),
+            "whole": F.bool_and(exact) & units.isNotNull(), "plain": F.sum(x)}
+
+
+def money_of(units: Column, millionths: Column, whole: Column, plain: Column, digits: int = 2) -> Column:
+    """The amount that the (merged) parts stand for, rounded half-up once."""
+    small = millionths.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-6))
+    exact = F.round(units.cast("decimal(27,6)") + small, digits).cast("double")
+    return F.coalesce(F.when(whole, exact), F.round(plain, digits))
 
 
 def _all_exact(x: Column, kind: str) -> tuple[Column, Column]:
@@ -68,15 +91,12 @@ def _all_exact(x: Column, kind: str) -> tuple[Column, Column]:
 def money_sum(c: ColumnOrName, digits: int = 2) -> Column:
     """``round(sum(c), digits)`` of a money column, as double.
 
-    Where every amount is a decimal of at most six places and under 10^12,
-    the sum is taken in decimals, so it does not depend on partitioning or
-    row order, and rounded half-up once.  Otherwise (larger or finer amounts,
-    NaN, infinities, or a sum beyond 28 digits) it is the plain double sum.
+    Where every amount is a decimal of at most six places and under 2*10^9, the
+    sum is exact, so it does not depend on partitioning or row order, and is
+    rounded half-up once.  Otherwise (larger or finer amounts, NaN, infinities,
+    or a sum of 9*10^18 units) it is the plain double sum.
     """
-    x = _col(c)
-    d, exact = _all_exact(x, "decimal(18,6)")
-    plain = F.round(F.sum(x), digits)
-    return F.coalesce(F.when(exact, F.round(F.try_sum(d), digits).cast("double")), plain)
+    return money_of(**money_parts(c), digits=digits)
 
 
 def exact_mean(c: ColumnOrName, scale: int = 12) -> Column:

@@ -5,8 +5,8 @@ that the mart's measures need of those items, and every part of it merges:
 
 * distinct orders as a bitmap over dense order numbers, one bit each, 32,768 to
   a row: exact, and the union of bitmaps is the distinct count of the union;
-* money as an exact decimal sum beside the plain one and whether all amounts
-  were exact (see ``functions.money_sum``);
+* money as an exact sum beside the plain one and whether all amounts were exact
+  (see ``functions.money_sum``);
 * means as sums and counts.
 
 So a date's states are computed once, from that date's rows alone, and the
@@ -21,7 +21,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillroll.functions.expressions import exact_money
+from tillroll.functions.expressions import money_of, money_parts
 from tillroll.session import scratch_path
 
 DATE, NUMBER = "order_date", "order_number"
@@ -43,6 +43,9 @@ MARTS: dict[str, dict] = {
         "means": {"delay_rate": ("is_delayed", 4)}},
 }
 
+#: How the parts of a money measure merge.
+MONEY = {"units": F.try_sum, "millionths": F.try_sum, "whole": F.bool_and, "plain": F.sum}
+
 
 def number_orders(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(order_id, order_number) of the orders (order_id, order_date) that are
@@ -74,13 +77,6 @@ def number_orders(orders: DataFrame, known: DataFrame | None = None) -> DataFram
                .select("order_id", (F.col("_before") + F.col("_place") + first).cast("long").alias(NUMBER)))
 
 
-def _money_parts(name: str, column: str) -> list[Column]:
-    d, is_exact = exact_money(column)
-    total = F.try_sum(d)
-    whole = (F.count_if(is_exact) == F.count(column)) & ((F.count(column) == 0) | total.isNotNull())
-    return [total.alias(f"{name}_exact"), whole.alias(f"{name}_whole"), F.sum(column).alias(f"{name}_plain")]
-
-
 def mart_states(numbered: DataFrame, mart: str) -> DataFrame:
     """State rows of ``mart`` from wide rows with their order numbers.
 
@@ -94,7 +90,7 @@ def mart_states(numbered: DataFrame, mart: str) -> DataFrame:
                                  "_bit": F.bitmap_bit_position(at)})
     parts = [F.bitmap_construct_agg("_bit").alias("orders_seen")]
     for name, column in shape["money"].items():
-        parts += _money_parts(name, column)
+        parts += [c.alias(f"{name}_{part}") for part, c in money_parts(column).items()]
     for name, (column, _) in shape["means"].items():
         parts += [F.sum(F.col(column).cast("long")).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
     return rows.groupBy(*keys, "bucket").agg(*parts)
@@ -107,10 +103,12 @@ def mart_of_states(states: DataFrame, mart: str, sort: bool = True) -> DataFrame
     merged = [F.bitmap_or_agg("orders_seen").alias("orders_seen")]
     final = [F.sum(F.bitmap_count("orders_seen")).alias(shape["orders"])]
     for name in shape["money"]:
-        merged += [F.try_sum(f"{name}_exact").alias(f"{name}_exact"), F.bool_and(f"{name}_whole").alias(f"{name}_whole"),
-                   F.sum(f"{name}_plain").alias(f"{name}_plain")]
-        exact = F.round(F.try_sum(f"{name}_exact"), 2).cast("double")
-        final.append(F.coalesce(F.when(F.bool_and(f"{name}_whole"), exact), F.round(F.sum(f"{name}_plain"), 2)).alias(name))
+        last = {}
+        for part, merge in MONEY.items():
+            column = f"{name}_{part}"
+            merged.append(merge(column).alias(column))
+            last[part] = merge(column)
+        final.append(money_of(**last).alias(name))
     for name, (_, digits) in shape["means"].items():
         merged += [F.sum(f"{name}_sum").alias(f"{name}_sum"), F.sum(f"{name}_n").alias(f"{name}_n")]
         n = F.sum(f"{name}_n")

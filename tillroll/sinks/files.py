@@ -47,6 +47,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file."""
+    fs, p = _hadoop(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of the warehouse with all below it; none is no error."""
     fs, p = _hadoop(spark, path)

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillroll.schemas import column_names
-from tillroll.sources.parquet import row_identity
+from tillroll.sources.parquet import row_identity, spread
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -74,13 +74,18 @@ class DriverTables:
     sf_dir: str
     _cache: dict = field(default_factory=dict)
 
+    def _scan(self, name: str) -> DataFrame:
+        reader = self.spark.read
+        if name in DRIVER_SCHEMAS:
+            reader = reader.schema(DRIVER_SCHEMAS[name])
+        return reader.parquet(self._path(name))
+
     def raw(self, name: str) -> DataFrame:
+        """The table; the files have one row group each, so small ones are dealt
+        over the cores."""
         if name not in self._cache:
-            path = self._path(name)
-            reader = self.spark.read
-            if name in DRIVER_SCHEMAS:
-                reader = reader.schema(DRIVER_SCHEMAS[name])
-            self._cache[name] = reader.parquet(path)
+            scan = self._scan(name)
+            self._cache[name] = spread(scan, scan.columns[0])
         return self._cache[name]
 
     def _path(self, name: str) -> str:
@@ -97,9 +102,12 @@ class DriverTables:
         ``identity`` names one more column with the rows' identities.
         """
         o = self.raw("orders")
+        if identity:
+            # What is read of a file is only known right above its scan.
+            o = spread(self._scan("orders").withColumn("_at", row_identity()), "o_orderkey")
 
         def version(number: int) -> list[Column]:
-            return [row_identity(F.lit(number).alias("version")).alias(identity)] if identity else []
+            return [F.struct("_at", F.lit(number).alias("version")).alias(identity)] if identity else []
 
         k = F.col("o_orderkey")
         d = F.col("o_orderdate")
