@@ -326,7 +326,8 @@ SELECT cast(order_id AS INTEGER) AS order_id, payment_sequential, payment_type,
 FROM b_order_payments""",
     "parquet_overwrite_roundtrip": "SELECT * FROM items",
     "bronze_ingest": _digests({t: (f"b_{t}",) for t in _BRONZE}),
-    "landing_manifest": _counts("dataset"),
+    "landing_manifest": ("SELECT *, true AS files_counted, true AS keys_and_sizes_listed, cast(0 AS BIGINT) AS problems"
+                         f" FROM ({_counts('dataset')})"),
     "landing_discovery": _counts("dataset"),
     "gate_tables": _digests({"stg_orders": ("o_valid",), "stg_orders_quarantine": ("o_quarantine",)}),
     "silver_tables": _digests({

@@ -30,7 +30,8 @@ from tillroll.sinks.buckets import write_layout
 from tillroll.sinks.files import write_csv, write_parquet
 from tillroll.sources.csv import read_raw_csv
 from tillroll.sources.driver_tables import DriverTables
-from tillroll.sources.landing import discover_csv, land_tables, snapshot_run
+from tillroll.sources.landing import (
+    compare_snapshots, discover_csv, land_tables, snapshot_run, verify_snapshot)
 from tillroll.sources.parquet import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,9 +224,25 @@ def q_bronze_ingest(spark, d):
 
 
 def q_landing_manifest(spark, d):
-    paths = LayerPaths.under(scratch_path(spark, "landing"))
-    man = snapshot_run(spark, DriverTables(spark, d).bronze(), paths)
-    return man.groupBy("dataset").agg(F.sum("row_count").cast("long").alias("row_count"))
+    """By dataset: rows, whether the manifest's keys, sizes and file counts are
+    those of the listing, and the problems found in the content of both copies."""
+    paths, stamp = LayerPaths.under(scratch_path(spark, "landing")), "20240101T000000Z"
+    man = snapshot_run(spark, DriverTables(spark, d).bronze(), paths, run_ts=stamp)
+    listed = discover_csv(spark, paths.raw("", "latest").rstrip("/"), require=False).select(
+        F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("key"), "length")
+    by_file = man.join(listed, "key", "left").groupBy("dataset").agg(
+        F.sum("row_count").cast("long").alias("row_count"),
+        (F.count(F.lit(1)) == F.max("file_count")).alias("files_counted"),
+        F.coalesce(F.bool_and(F.col("length") == F.col("size_bytes")) & (F.count("length") == F.count(F.lit(1))),
+                   F.lit(False)).alias("keys_and_sizes_listed"))
+    problems = reduce(DataFrame.unionByName, [
+        verify_snapshot(spark, paths).select("dataset"),
+        verify_snapshot(spark, paths, f"archive/run_ts={stamp}").select("dataset"),
+        compare_snapshots(spark, paths, f"archive/run_ts={stamp}").select("dataset")])
+    problems = problems.groupBy("dataset").agg(F.count(F.lit(1)).alias("problems"))
+    return by_file.join(problems, "dataset", "left").select(
+        "dataset", "row_count", "files_counted", "keys_and_sizes_listed",
+        F.coalesce("problems", F.lit(0)).cast("long").alias("problems"))
 
 
 def q_landing_discovery(spark, d):
