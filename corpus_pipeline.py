@@ -47,8 +47,8 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: No SQL expresses a trained classifier or an alignment; the stages are held
-#: against brute force in tests/llm.
+#: No SQL expresses a trained classifier or an alignment; run() and each stage
+#: are held against plain versions in tests/llm/test_pipeline_and_kernel.py.
 ORACLE_SQL = None
 
 
