@@ -8,7 +8,7 @@ import pytest
 from tillroll.paths import LayerPaths
 from tillroll.schemas import DATASET_FILES, build_schema
 from tillroll.sinks.files import write_csv
-from tillroll.sources.landing import compare_snapshots, snapshot_run, verify_snapshot
+from tillroll.sources.landing import compare_snapshots, discover_csv, snapshot_run, verify_snapshot
 
 STAMP = "20240101T000000Z"
 ARCHIVE = f"archive/run_ts={STAMP}"
@@ -75,3 +75,19 @@ def test_rows_are_compared_however_they_are_split(spark, landed):
     write_csv(sellers.union(sellers.limit(1)), paths.raw(DATASET_FILES["sellers"]))
     write_csv(spark.createDataFrame([("c", "u", "1", "x", "SP")], build_schema("customers")), paths.raw(DATASET_FILES["customers"]))
     assert found(compare_snapshots(spark, paths, ARCHIVE)) == [("customers", "only in latest"), ("sellers", "differs")]
+
+
+def test_discovery_runs_no_job_when_it_is_built(spark, landed, tmp_path):
+    paths, _, _ = landed
+    sc = spark.sparkContext
+    sc.setJobGroup("discovery", "")
+    try:
+        files_found = discover_csv(spark, paths.raw("", "latest").rstrip("/"))
+        (tmp_path / "none" / "deep").mkdir(parents=True)
+        (tmp_path / "none" / "deep" / "notes.txt").write_text("x")
+        with pytest.raises(ValueError, match="no CSV files"):
+            discover_csv(spark, str(tmp_path / "none"))
+        assert list(sc.statusTracker().getJobIdsForGroup("discovery")) == []
+    finally:
+        sc._jsc.clearJobGroup()
+    assert files_found.count() == len(glob.glob(paths.raw("*/part-*.csv")))

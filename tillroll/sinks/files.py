@@ -47,6 +47,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def holds_file(spark: SparkSession, path: str, ending: str) -> bool:
+    """Whether any visible file below a folder has that ending."""
+    fs, p = _hadoop(spark, path)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if name.endswith(ending) and not name.startswith((".", "_")):
+            return True
+    return False
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of a file."""
     fs, p = _hadoop(spark, path)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.operators.digest import table_digest
 from tillroll.paths import LayerPaths
 from tillroll.schemas import DATASET_FILES, build_schema
-from tillroll.sinks.files import children, write_csv
+from tillroll.sinks.files import children, holds_file, write_csv
 from tillroll.sources.csv import read_raw_csv
 
 
@@ -31,15 +31,15 @@ MANIFEST = ("dataset string, key string, size_bytes long, row_count long, file_c
 def discover_csv(spark: SparkSession, root: str, require: bool = True) -> DataFrame:
     """Every ``*.csv`` below ``root`` by path: path, length, modification time.
 
-    With ``require``, raises ``ValueError`` when nothing is found, which takes
-    a listing job; without it no job runs.
+    With ``require``, raises ``ValueError`` when nothing is found: the folder is
+    listed up to the first such file.  No job runs here.
     """
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", True)
              .load(root)
              .select("path", "length", "modificationTime"))
-    if require and files.isEmpty():
+    if require and not holds_file(spark, root, ".csv"):
         raise ValueError(f"no CSV files found under {root}")
     return files.orderBy("path")
 
