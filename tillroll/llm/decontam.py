@@ -45,8 +45,9 @@ MATCHES = "doc_id long, item_id long, score double, first_word long, last_word l
 #: Words in fewer than this share of the documents are seeds even where an item
 #: needs fewer places; more of them must then match.  Changes the work only.
 COMMON = 0.2
-#: Bytes of text searched at once, and cells of windows held at once.
-PIECE, CELLS = 4 << 20, 1 << 18
+#: Bytes of text searched at once, as many where whole rows are held beside it,
+#: and cells of windows held at once.
+PIECE, BESIDE_ROWS, CELLS = 4 << 20, 1 << 20, 1 << 18
 _FILTER = 1 << 20
 
 
@@ -100,13 +101,13 @@ def _places(texts: pa.Array, vocabulary: np.ndarray, bits: np.ndarray):
     return out, starts
 
 
-def _count_documents(vocabulary: np.ndarray):
+def _count_documents(vocabulary: np.ndarray, piece: int = PIECE):
     """Documents that hold each word; all documents at place -1."""
     def run(batches):
         total, bits, n = np.zeros(len(vocabulary), "i8"), _filter(vocabulary), 0
         for batch in batches:
             n += batch.num_rows
-            for _, texts in pieces(batch.column(0), PIECE):
+            for _, texts in pieces(batch.column(0), piece):
                 words, starts = _places(texts, vocabulary, bits)
                 at = np.flatnonzero(words >= 0)
                 text = np.searchsorted(starts, at, "right")
@@ -255,10 +256,10 @@ def _candidates(items: Items, words: np.ndarray, starts: np.ndarray):
     return sorted(out)
 
 
-def _best_copies(items: Items, texts: pa.Array, bits: np.ndarray) -> dict:
+def _best_copies(items: Items, texts: pa.Array, bits: np.ndarray, size: int = PIECE) -> dict:
     """(text, item) -> (score, first word, end word) of the best copy."""
     best: dict = {}
-    for piece, some in pieces(texts, PIECE):
+    for piece, some in pieces(texts, size):
         words, starts = _places(some, items.vocabulary, bits)
         for t, item, lo, hi in _candidates(items, words, starts):
             text, own = words[starts[t]:starts[t + 1]], items.words[item]
@@ -290,7 +291,7 @@ def _read_items(rows) -> Items:
     return Items([r["item_id"] for r in rows], [places[a:b] for a, b in zip(starts, starts[1:])], vocabulary)
 
 
-def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str):
+def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, piece: int = PIECE):
     """Yield the test items block by block, their seeds chosen by ``texts``."""
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"),
                              F.col(item_text).cast("string").alias("text")).where("text is not null").distinct()
@@ -300,7 +301,7 @@ def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text
         rows = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         items = _read_items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
         documents, total = np.zeros(len(items.vocabulary), "i8"), 0
-        counts = texts.select("text").mapInArrow(lean(_count_documents(items.vocabulary)), "word long, n long")
+        counts = texts.select("text").mapInArrow(lean(_count_documents(items.vocabulary, piece)), "word long, n long")
         for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect():
             if r["word"] < 0:
                 total = r["n"]
@@ -332,7 +333,7 @@ def _drop_copies(items: Items, text_at: int):
         bits = _filter(items.vocabulary)
         for batch in batches:
             held = np.zeros(batch.num_rows, bool)
-            held[[t for t, _ in _best_copies(items, batch.column(text_at), bits)]] = True
+            held[[t for t, _ in _best_copies(items, batch.column(text_at), bits, BESIDE_ROWS)]] = True
             yield batch.filter(pa.array(~held))
     return run
 
@@ -342,6 +343,6 @@ def without_copies(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     """The rows of ``docs``, all columns, that hold no copy of an item."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    for items in _item_blocks(texts, benchmark, item_id, item_text):
+    for items in _item_blocks(texts, benchmark, item_id, item_text, BESIDE_ROWS):
         docs = docs.mapInArrow(lean(_drop_copies(items, docs.columns.index(text))), docs.schema)
     return docs

@@ -33,13 +33,15 @@ END_ID = 0
 #: dealt over as many parts as that takes, but PARTS, whose counts are summed up
 #: in one task.
 RANK_ROWS, PARTS = 1_000, 1 << 16
+#: Chunks of text whose ids a worker remembers.
+REMEMBERED = 250_000
 
 
 def _cut_pieces(path: str, width: int, end_id: int):
     end = np.array([end_id], "<u4")
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, REMEMBERED)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             out: list[list[int]] = [[], [], [], [], []]

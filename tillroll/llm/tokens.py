@@ -41,7 +41,8 @@ def default_vocabulary() -> str:
 class Encoder:
     """``encode`` gives the ids of each text, end to end in one array."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.library = Tokenizer.from_file(path)
@@ -85,7 +86,7 @@ class Encoder:
         missing = pc.is_null(places)
         coded = chunks.filter(missing).dictionary_encode()
         new = coded.dictionary
-        if len(self.known) + len(new) > REMEMBERED and len(self.known):
+        if len(self.known) + len(new) > self.remembered and len(self.known):
             self._forget()
             return self._places(chunks)
         ids, size = [], []
@@ -158,6 +159,6 @@ def row_slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20):
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One per worker and vocabulary: what it remembers outlives a task."""
-    return Encoder(path)
+    return Encoder(path, remembered)
