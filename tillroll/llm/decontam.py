@@ -291,7 +291,8 @@ def _read_items(rows) -> Items:
     return Items([r["item_id"] for r in rows], [places[a:b] for a, b in zip(starts, starts[1:])], vocabulary)
 
 
-def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, piece: int = PIECE):
+def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, piece: int = PIECE,
+                 task=lambda run: run):
     """Yield the test items block by block, their seeds chosen by ``texts``."""
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"),
                              F.col(item_text).cast("string").alias("text")).where("text is not null").distinct()
@@ -301,7 +302,7 @@ def _item_blocks(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text
         rows = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         items = _read_items(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
         documents, total = np.zeros(len(items.vocabulary), "i8"), 0
-        counts = texts.select("text").mapInArrow(lean(_count_documents(items.vocabulary, piece)), "word long, n long")
+        counts = texts.select("text").mapInArrow(task(_count_documents(items.vocabulary, piece)), "word long, n long")
         for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect():
             if r["word"] < 0:
                 total = r["n"]
@@ -323,7 +324,7 @@ def benchmark_copies(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_i
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = None
     for items in _item_blocks(texts, benchmark, item_id, item_text):
-        part = texts.mapInArrow(lean(_match(items)), MATCHES)
+        part = texts.mapInArrow(_match(items), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -343,6 +344,6 @@ def without_copies(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     """The rows of ``docs``, all columns, that hold no copy of an item."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    for items in _item_blocks(texts, benchmark, item_id, item_text, BESIDE_ROWS):
+    for items in _item_blocks(texts, benchmark, item_id, item_text, BESIDE_ROWS, lean):
         docs = docs.mapInArrow(lean(_drop_copies(items, docs.columns.index(text))), docs.schema)
     return docs
