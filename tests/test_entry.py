@@ -1,8 +1,8 @@
 """The entry module without the corpus subpackage, or without what it needs."""
 
+import os
 import subprocess
 import sys
-import os
 
 import pytest
 
@@ -26,5 +26,7 @@ with warnings.catch_warnings(record=True) as said:
     ({"corpus_pipeline"}, "False"), ({"tillroll.llm"}, "False"), ({"pyarrow"}, "True")])
 def test_other_queries_stay(hidden, said):
     from tillroll.plans.queries import all_queries
+    if not os.path.isdir(os.path.join(ROOT, "tillroll", "llm")):
+        said = "False"      # nothing is left out then
     out = subprocess.run([sys.executable, "-c", HIDE.format(hidden=hidden)], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert out.stdout.strip() == f"{len(all_queries())} [] True {said}", out.stderr
