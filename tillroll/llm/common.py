@@ -63,12 +63,20 @@ def ship(spark: SparkSession) -> None:
 _TRIM, _MAP = -1, -3
 
 
-def lean(run: Callable) -> Callable:
+#: What this worker remembers between tasks: by owner, how to forget it.
+HELD: dict[str, Callable[[], None]] = {}
+
+
+def lean(run: Callable, owner: str = "") -> Callable:
     """A function for mapInArrow that keeps little memory: large blocks go back
-    to the system when they are freed, the rest when the task ends.  Workers
-    live on between tasks, so else each keeps the most that any of its tasks
-    took, beside an executor's heap."""
+    to the system when they are freed, the rest when the task ends, and what
+    tasks of another owner remember is forgotten.  Workers live on between
+    tasks, so else each keeps the most that any of its tasks took, beside an
+    executor's heap."""
     def task(batches):
+        from tillroll.llm import common     # the worker's own, not a copy sent along
+        for name in [n for n in common.HELD if n != owner]:
+            common.HELD.pop(name)()
         libc = ctypes.CDLL(None)
         if hasattr(libc, "mallopt"):
             libc.mallopt(_MAP, 1 << 18)

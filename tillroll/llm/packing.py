@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tillroll.llm import common
 from tillroll.llm.common import cut, lean, ship
 from tillroll.llm.tokens import default_vocabulary, encoder
 
@@ -42,6 +43,7 @@ def _cut_pieces(path: str, width: int, end_id: int):
 
     def run(batches):
         enc = encoder(path, REMEMBERED)
+        common.HELD["tokens"] = encoder.cache_clear
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             out: list[list[int]] = [[], [], [], [], []]
@@ -65,7 +67,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, width: int = WIDTH, end_id: i
     """One row per piece of every document."""
     ship(docs.sparkSession)
     return (docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-                .mapInArrow(lean(_cut_pieces(vocabulary, width, end_id)), PIECES))
+                .mapInArrow(lean(_cut_pieces(vocabulary, width, end_id), "tokens"), PIECES))
 
 
 def plan_slots(counts: dict[int, int], width: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -61,7 +61,7 @@ _END = 27
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), 3)]
 #: Bytes of text scored at once, words whose features are held at once, and
 #: words whose margins a worker remembers.
-PIECE, AT_ONCE, REMEMBERED = 4 << 20, 5_000, 250_000
+PIECE, AT_ONCE, REMEMBERED = 2 << 20, 5_000, 250_000
 
 _LETTER = np.full(256, -1, "i1")                  # dropped
 _LETTER[65:91] = _LETTER[97:123] = np.arange(1, 27)
