@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillroll.llm import common
 from tillroll.llm.common import cut, lean, ship
-from tillroll.llm.tokens import default_vocabulary, encoder
+from tillroll.llm.tokens import REMEMBERED, default_vocabulary, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SLOTS = "length long, first long, count long, per long, sequence long, offset long"
@@ -34,15 +34,13 @@ END_ID = 0
 #: dealt over as many parts as that takes, but PARTS, whose counts are summed up
 #: in one task.
 RANK_ROWS, PARTS = 1_000, 1 << 16
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 250_000
 
 
-def _cut_pieces(path: str, width: int, end_id: int):
+def _cut_pieces(path: str, width: int, end_id: int, remembered: int = REMEMBERED):
     end = np.array([end_id], "<u4")
 
     def run(batches):
-        enc = encoder(path, REMEMBERED)
+        enc = encoder(path, remembered)
         common.HELD["tokens"] = encoder.cache_clear
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
@@ -63,11 +61,11 @@ def _cut_pieces(path: str, width: int, end_id: int):
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, width: int = WIDTH, end_id: int = END_ID,
-                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece of every document."""
+                 doc_id: str = "doc_id", text: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+    """One row per piece of every document; ``remembered``: see ``tokens``."""
     ship(docs.sparkSession)
     return (docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-                .mapInArrow(lean(_cut_pieces(vocabulary, width, end_id), "tokens"), PIECES))
+                .mapInArrow(lean(_cut_pieces(vocabulary, width, end_id, remembered), "tokens"), PIECES))
 
 
 def plan_slots(counts: dict[int, int], width: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -144,6 +142,10 @@ def pack(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, width: int = WIDTH,
-                   end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(token_pieces(docs, vocabulary or default_vocabulary(), width, end_id), width)
+                   end_id: int = END_ID, remembered: int = REMEMBERED) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    A worker looks up each chunk of text once and remembers ``remembered`` of
+    them, some 40 bytes each: fewer take less memory and more time.
+    """
+    return pack(token_pieces(docs, vocabulary or default_vocabulary(), width, end_id, remembered=remembered), width)
