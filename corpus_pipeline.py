@@ -36,7 +36,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
-    return pack_documents(docs, width=2048, end_id=0)
+    # Workers still hold what the stages before took; time is no matter here.
+    return pack_documents(docs, width=2048, end_id=0, remembered=250_000)
 
 
 STAGES = [
