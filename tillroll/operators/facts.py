@@ -4,9 +4,15 @@ P5, X3, X4, X6).
 Scale design: the order-grain inputs that a query asks for, and only those,
 become one attribute table: their rows are tagged, united and aggregated by
 ``order_id`` once (map-side partial aggregation, so a hot order is pre-summed
-before the shuffle).  The items then meet a single join whose both inputs are
-fresh shuffles: the shape adaptive execution can split when one order holds a
-large share of the items.
+before the shuffle).  The items are dealt by ``order_id`` once: they are
+de-duplicated and meet their order's attributes where they lie.  Orders that
+hold a large share of the items are kept apart: theirs are reduced map-side,
+and their join has fresh shuffles on both sides, the shape adaptive execution
+can split.  Which orders these are is found by counting items per hash of the
+order, a few numbers per task.
+
+A customer's attributes are joined to the orders, which are several times
+fewer, and narrower, than the items.
 """
 
 from __future__ import annotations
@@ -46,6 +52,9 @@ PAYMENT_COLUMNS = ["payment_value_total", "payment_type_primary", "payment_insta
 REVIEW_COLUMNS = ["review_score", "review_creation_ts"]
 # --- end of fixed values ----------------------------------------------------
 
+#: Orders share a hash class; one with more than HOT items is kept apart.
+CLASSES, HOT = 1 << 16, 1 << 20
+
 # columns of the fact that are computed from order columns
 DERIVED = {"order_date": ["order_purchase_ts"],
            "is_delayed": ["order_delivered_customer_ts", "order_estimated_delivery_ts"]}
@@ -91,40 +100,66 @@ def dedupe_items(order_items: DataFrame) -> DataFrame:
 
 
 def order_attributes(orders_valid: DataFrame | None = None, payments: DataFrame | None = None,
-                     reviews: DataFrame | None = None) -> DataFrame:
+                     reviews: DataFrame | None = None, own: Sequence[str] = ()) -> DataFrame:
     """One row per order with the columns of the sides that are given.
 
     An order known only to payments or reviews keeps those attributes, as the
     item joins require.  ``orders_valid`` is unique per order, so ``max`` of
-    its columns is its one row.
+    its columns is its one row; ``own`` names further ones.
     """
     wide, aggregates = None, []
     if orders_valid is not None:
-        wide = parse_orders(orders_valid).select("order_id", *ORDER_COLUMNS)
-        aggregates += [F.max(c).alias(c) for c in ORDER_COLUMNS]
-    for side, columns, own in (
+        wide = parse_orders(orders_valid).select("order_id", *ORDER_COLUMNS, *own)
+        aggregates += [F.max(c).alias(c) for c in [*ORDER_COLUMNS, *own]]
+    for side, columns, parts in (
             (payments, ["payment_value", "payment_type", "payment_sequential", "payment_installments"],
              _payment_aggregates()),
             (reviews, ["review_score", "review_creation_date"], _review_aggregates())):
         if side is not None:
             rows = side.select("order_id", *columns)
             wide = rows if wide is None else wide.unionByName(rows, allowMissingColumns=True)
-            aggregates += own
+            aggregates += parts
     return wide.groupBy("order_id").agg(*aggregates)
 
 
+def _in_hot_class(order_items: DataFrame, hot: int) -> Column:
+    """Whether a row's order is in a class of more than ``hot`` items: a third of
+    the items without an order count as one order, too.  The classes are a
+    subquery's one array, of fewer values than items / ``hot``."""
+    of = F.pmod(F.xxhash64("order_id"), F.lit(CLASSES))
+    counts = order_items.groupBy(of.alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    classes = counts.filter(F.col("n") > hot).agg(F.collect_list("class")).scalar()
+    return F.array_contains(classes, of)
+
+
+def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: int = HOT) -> DataFrame:
+    """De-duplicated items left join ``attributes``, unique per order."""
+    apart = _in_hot_class(order_items, hot)
+    near = (keep_first(order_items.filter(~apart).repartition("order_id"), ITEM_KEYS)
+            .join(attributes, "order_id", "left"))
+    far = left_join_unique(dedupe_items(order_items.filter(apart)), attributes.filter(apart),
+                           "order_id", ITEM_KEYS + ["product_id"])
+    return near.unionByName(far)
+
+
 def fct_order_items(order_items: DataFrame, orders_valid: DataFrame, payments: DataFrame,
-                    reviews: DataFrame, columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+                    reviews: DataFrame, columns: Sequence[str] = FACT_COLUMNS,
+                    customers: DataFrame | None = None, hot: int = HOT) -> DataFrame:
     """Item-grain fact (J1-J3), its ``columns`` only: a side none of whose
     columns is asked for is not read.  Items without a surviving order are
     kept with NULL order attributes (they form the NULL date group
-    downstream)."""
+    downstream).  The columns of ``customers`` (unique per customer_id) follow,
+    if it is given."""
+    own = [] if customers is None else [c for c in customers.columns if c != "customer_id"]
     needed = {b for c in columns for b in DERIVED.get(c, [c])}
-    sides = [df if needed & set(own) else None for df, own in (
-        (orders_valid, ORDER_COLUMNS), (payments, PAYMENT_COLUMNS), (reviews, REVIEW_COLUMNS))]
-    out = dedupe_items(order_items)
+    asked = [needed & set(ORDER_COLUMNS) or own, needed & set(PAYMENT_COLUMNS), needed & set(REVIEW_COLUMNS)]
+    sides = [df if some else None for df, some in zip((orders_valid, payments, reviews), asked)]
+    if own:
+        sides[0] = left_join_unique(sides[0], customers, "customer_id", ["order_id"])
     if any(s is not None for s in sides):
-        out = left_join_unique(out, order_attributes(*sides), "order_id", ITEM_KEYS + ["product_id"])
+        out = items_with_attributes(order_items, order_attributes(*sides, own=own), hot)
+    else:
+        out = dedupe_items(order_items)
     derived = {"order_date": lambda: F.to_date("order_purchase_ts"),
                "is_delayed": lambda: delay_flag("order_delivered_customer_ts", "order_estimated_delivery_ts")}
-    return out.withColumns({c: f() for c, f in derived.items() if c in columns}).select(*columns)
+    return out.withColumns({c: f() for c, f in derived.items() if c in columns}).select(*columns, *own)

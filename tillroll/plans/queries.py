@@ -62,10 +62,10 @@ class Model:
     def orders_valid(self) -> DataFrame:
         return self._once("orders_valid", lambda: quality.valid_orders(self.bronze("orders")))
 
-    def fact(self, columns=facts.FACT_COLUMNS) -> DataFrame:
+    def fact(self, columns=facts.FACT_COLUMNS, customers=None) -> DataFrame:
         return facts.fct_order_items(
             self.bronze("order_items"), self.orders_valid(), self.bronze("order_payments"),
-            self.bronze("order_reviews"), columns)
+            self.bronze("order_reviews"), columns, customers)
 
     def dim_customers(self) -> DataFrame:
         return self._once("dim_customers", lambda: dims.dim_customers(self.bronze("customers")))
@@ -78,8 +78,11 @@ class Model:
             self.bronze("products"), self.bronze("category_translation")))
 
     def enriched(self, columns=None) -> DataFrame:
-        fact = self.fact(facts.FACT_COLUMNS if columns is None else marts.fact_columns(columns))
-        return marts.fct_enriched(fact, self.dim_customers(), self.dim_products(), self.dim_sellers(), columns)
+        # A customer is an order's: joined there, not once per item.
+        own = [c for c in marts.CUSTOMER_COLUMNS if columns is None or c in columns]
+        customers = self.dim_customers().select("customer_id", *own) if own else None
+        fact = self.fact(facts.FACT_COLUMNS if columns is None else marts.fact_columns(columns), customers)
+        return marts.fct_enriched(fact, None, self.dim_products(), self.dim_sellers(), columns)
 
     def mart(self, name: str) -> DataFrame:
         """An aggregate mart from just the sides and dimensions it reads."""
