@@ -9,6 +9,11 @@ that the mart's measures need of those items, and every part of it merges:
   (see ``functions.money_sum``);
 * means as sums and counts.
 
+Orders and measures come in rows of their own, which merge like any others: the
+bitmaps from one narrow table of each order's groups, dealt by range of order
+numbers (``place_orders``), so that a range's bitmaps are built in one task; the
+measures straight from the wide rows, one row per group and task.
+
 So a date's states are computed once, from that date's rows alone, and the
 marts are merged from states, however the rows came in.  Numbers are dealt in
 the order of dates, so a date's orders lie in few ranges; unlike a distinct
@@ -23,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions.expressions import money_of, money_parts
 from tillroll.session import scratch_path
+from tillroll.sinks.files import write_parquet
 
 DATE, NUMBER = "order_date", "order_number"
 
@@ -66,7 +72,7 @@ def number_orders(orders: DataFrame, known: DataFrame | None = None) -> DataFram
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     new = (new.repartitionByRange(parts, F.col(DATE).asc_nulls_first(), "order_id")
               .withColumn("_part", F.spark_partition_id()))
-    new.write.parquet(path)
+    write_parquet(new, path)
     new = spark.read.schema(new.schema).parquet(path)
     # One row per partition: ``parts`` of them at most.
     sizes = new.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -77,23 +83,50 @@ def number_orders(orders: DataFrame, known: DataFrame | None = None) -> DataFram
                .select("order_id", (F.col("_before") + F.col("_place") + first).cast("long").alias(NUMBER)))
 
 
-def mart_states(numbered: DataFrame, mart: str) -> DataFrame:
-    """State rows of ``mart`` from wide rows with their order numbers.
+def place_orders(wide: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The distinct groups of every numbered order, all marts' keys at once, with
+    its number; written once, ranges of numbers whole in a file.
+
+    The groups are collected map-side, so a hot order is a few rows per task.
+    """
+    spark = wide.sparkSession
+    keys = list(dict.fromkeys([DATE, *(k for shape in MARTS.values() for k in shape["keys"])]))
+    each = (wide.filter(F.col("order_id").isNotNull()).groupBy("order_id")
+                .agg(F.collect_set(F.struct(*keys)).alias("_groups")))
+    out = (each.join(numbers, "order_id").select(NUMBER, F.inline("_groups"))
+               .repartition(F.bitmap_bucket_number(F.col(NUMBER) + 1)))
+    path = scratch_path(spark, "placed-orders")
+    write_parquet(out, path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def _measures(mart: str) -> list[Column]:
+    parts = []
+    for name, column in MARTS[mart]["money"].items():
+        parts += [c.alias(f"{name}_{part}") for part, c in money_parts(column).items()]
+    for name, (column, _) in MARTS[mart]["means"].items():
+        parts += [F.sum(F.col(column).cast("long")).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
+    return parts
+
+
+def mart_states(rows: DataFrame, mart: str, placed: DataFrame | None = None) -> DataFrame:
+    """State rows of ``mart`` from wide rows with their order numbers, or from
+    wide rows as they are and their ``placed`` orders: then rows of measures, in
+    range 0 and without a bitmap, and rows of bitmaps without measures.
 
     Rows without an order number count in every measure but the orders.
     """
-    shape = MARTS[mart]
-    keys = list(dict.fromkeys([DATE, *shape["keys"]]))
+    keys = list(dict.fromkeys([DATE, *MARTS[mart]["keys"]]))
     # Numbers of the functions start from 1.
     at = F.col(NUMBER) + 1
-    rows = numbered.withColumns({"bucket": F.coalesce(F.bitmap_bucket_number(at), F.lit(0)),
-                                 "_bit": F.bitmap_bit_position(at)})
-    parts = [F.bitmap_construct_agg("_bit").alias("orders_seen")]
-    for name, column in shape["money"].items():
-        parts += [c.alias(f"{name}_{part}") for part, c in money_parts(column).items()]
-    for name, (column, _) in shape["means"].items():
-        parts += [F.sum(F.col(column).cast("long")).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
-    return rows.groupBy(*keys, "bucket").agg(*parts)
+    bits = {"bucket": F.coalesce(F.bitmap_bucket_number(at), F.lit(0)), "_bit": F.bitmap_bit_position(at)}
+    bitmap = F.bitmap_construct_agg("_bit").alias("orders_seen")
+    if placed is None:
+        return rows.withColumns(bits).groupBy(*keys, "bucket").agg(bitmap, *_measures(mart))
+    measures = rows.groupBy(*keys).agg(*_measures(mart)).withColumn("bucket", F.lit(0).cast("long"))
+    seen = placed.withColumns(bits).groupBy(*keys, "bucket").agg(bitmap)
+    columns = [*keys, "bucket", "orders_seen", *[c for c in measures.columns if c not in (*keys, "bucket")]]
+    return seen.unionByName(measures, allowMissingColumns=True).select(*columns)
 
 
 def mart_of_states(states: DataFrame, mart: str, sort: bool = True) -> DataFrame:

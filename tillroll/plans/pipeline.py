@@ -141,7 +141,7 @@ def gold_marts(spark: SparkSession, paths: LayerPaths,
         "mart_category_performance": marts.mart_category_performance,
         "mart_order_status_daily": marts.mart_order_status_daily,
     }
-    write_all({name: (lambda name=name: write_parquet(builders[name](wide), paths.gold(name)))
+    write_all({name: (lambda name=name: write_parquet(builders[name](wide, stored=True), paths.gold(name)))
                for name in GOLD_MARTS}, concurrent_jobs)
     return ["mart_order_analytics", *GOLD_MARTS]
 

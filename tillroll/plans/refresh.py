@@ -26,10 +26,10 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tillroll.operators import marts
-from tillroll.operators.states import DATE, MARTS, NUMBER, mart_of_states, mart_states, number_orders
+from tillroll.operators.states import DATE, MARTS, mart_of_states, mart_states, number_orders, place_orders
 from tillroll.paths import LayerPaths
 from tillroll.plans.pipeline import SILVER_TABLES
-from tillroll.sinks.files import exists, remove, write_parquet
+from tillroll.sinks.files import CODEC, exists, remove, write_parquet
 from tillroll.sources.parquet import read_table
 
 log = logging.getLogger(__name__)
@@ -64,7 +64,7 @@ def _replace(rows: DataFrame, path: str, months: list) -> DataFrame:
     rows = rows.withColumn(PERIOD, _month())
     seen = Observation()
     written = rows.observe(seen, F.collect_set(PERIOD).alias("months"), F.count_if(F.col(PERIOD).isNull()).alias("dateless"))
-    (written.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (written.hint("rebalance", PERIOD).write.mode("overwrite").option("compression", CODEC).option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD).parquet(path))
     kept = {*(seen.get["months"] or ()), *([None] if seen.get["dateless"] else [])}
     for m in set(months) - kept:
@@ -72,11 +72,11 @@ def _replace(rows: DataFrame, path: str, months: list) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def _touched(spark: SparkSession, paths: LayerPaths, enriched: DataFrame, changed: DataFrame | None) -> list:
+def _touched(spark: SparkSession, paths: LayerPaths, fact: DataFrame, changed: DataFrame | None) -> list:
     """The months to recompute: those of the changed orders now and before, and
     those that a dead refresh left.  As many come to the driver as the calendar
     has months."""
-    found = enriched.select("order_id", _month().alias(PERIOD))
+    found = fact.select("order_id", _month().alias(PERIOD))
     if exists(spark, paths.gold(WIDE)):
         found = found.unionByName(read_table(spark, paths.gold(WIDE)).select("order_id", PERIOD))
     if changed is not None:
@@ -95,17 +95,18 @@ def refresh_gold(spark: SparkSession, paths: LayerPaths, changed: DataFrame | No
     payments, reviews, or their customers', products' and sellers' attributes)
     are new or other than before; None: everything.
     """
+    # Dates are the fact's own: no dimension is needed to find the months.
+    months = _touched(spark, paths, read_table(spark, paths.silver("fct_order_items")), changed)
     enriched = _enriched(spark, paths)
-    months = _touched(spark, paths, enriched, changed)
     log.info("refreshing %d months", len(months))
     numbers = paths.gold("states/order_numbers")
     known = read_table(spark, numbers) if exists(spark, numbers) else None
     rows = marts.mart_order_analytics(enriched.withColumn(PERIOD, _month()).filter(_within(months)))
     wide = _replace(rows, paths.gold(WIDE), months).filter(_within(months))
     write_parquet(number_orders(wide.select("order_id", DATE), known), numbers, mode="append")
-    numbered = wide.join(read_table(spark, numbers), "order_id", "left")
+    placed = place_orders(wide, read_table(spark, numbers))
     for mart in MARTS:
-        states = _replace(mart_states(numbered, mart), paths.gold(f"states/{mart}"), months)
+        states = _replace(mart_states(wide, mart, placed), paths.gold(f"states/{mart}"), months)
         write_parquet(mart_of_states(states, mart), paths.gold(mart))
     remove(spark, paths.gold("states/pending"))
     return months

@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+#: Of written tables: a third less to write and read than Spark's default.
+CODEC = "zstd"
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None) -> None:
     """Write ``df`` as Parquet; overwrite replaces the whole folder by default."""
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
