@@ -67,6 +67,24 @@ _TRIM, _MAP = -1, -3
 HELD: dict[str, Callable[[], None]] = {}
 
 
+def map_large_blocks() -> None:
+    """From now on this process gives large blocks back when they are freed."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(_MAP, 1 << 18)
+        libc.mallopt(_TRIM, 1 << 20)
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+def give_back() -> None:
+    """Give the memory that this process does not use back to the system."""
+    libc = ctypes.CDLL(None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def lean(run: Callable, owner: str = "") -> Callable:
     """A function for mapInArrow that keeps little memory: large blocks go back
     to the system when they are freed, the rest when the task ends, and what
@@ -77,18 +95,11 @@ def lean(run: Callable, owner: str = "") -> Callable:
         from tillroll.llm import common     # the worker's own, not a copy sent along
         for name in [n for n in common.HELD if n != owner]:
             common.HELD.pop(name)()
-        libc = ctypes.CDLL(None)
-        if hasattr(libc, "mallopt"):
-            libc.mallopt(_MAP, 1 << 18)
-            libc.mallopt(_TRIM, 1 << 20)
-            pa.set_memory_pool(pa.system_memory_pool())
+        common.map_large_blocks()
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc, "malloc_trim"):
-                libc.malloc_trim(0)
+            common.give_back()
     return task
 
 

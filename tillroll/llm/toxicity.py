@@ -38,7 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.common import lean, ship
+from tillroll.llm.common import give_back, lean, map_large_blocks, ship
 from tillroll.llm.spans import let
 from tillroll.llm.tokens import pieces
 
@@ -352,7 +352,19 @@ def fit(toxic: list[str], clean: list[str], words: list[str], others: list[str])
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fit on labelled documents outside the held-out fold."""
+    """Fit on labelled documents outside the held-out fold.
+
+    The driver keeps the model only: what training took beside it would stay in
+    its process through all later stages.
+    """
+    map_large_blocks()
+    try:
+        return _train(docs, labels, doc_id, text, label, sample)
+    finally:
+        give_back()
+
+
+def _train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> Model:
     known = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).cast("int").alias("toxic")))
     chosen = None
