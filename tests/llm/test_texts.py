@@ -86,6 +86,49 @@ def test_every_link_has_a_common_key():
                 assert np.intersect1d(jaccard.part_keys(a, tiles), jaccard.part_keys(b, tiles)).size
 
 
+def test_unrelated_sets_share_no_key():
+    """Nothing but shingles in common makes candidates: groups of sets that have
+    the same part empty would grow with the square of the table."""
+    rng = np.random.default_rng(2)
+    tiles = jaccard.Tiles(80)
+    sets = [np.unique(rng.integers(0, 1 << 64, int(n), dtype="u8")) for n in rng.integers(60, 3000, 500)]
+    keys = [jaccard.part_keys(s, tiles) for s in sets]
+    assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+    assert sum(map(len, keys)) < 0.4 * sum(map(len, sets))
+
+
+def test_sets_with_few_filled_parts_are_found_too(monkeypatch):
+    """Bands of too few parts: some sets fill no d + 1 and are found by all."""
+    monkeypatch.setattr(jaccard, "DEVIATIONS", -8)
+    rng, few = np.random.default_rng(3), 0
+    for percent in (80, 60, 50):
+        tiles = jaccard.Tiles(percent)
+        for _ in range(400):
+            n = int(rng.integers(2, 400))
+            union = rng.integers(0, 1 << 63, n, dtype="i8").astype("u8")
+            drop = rng.permutation(n)[:n * (100 - percent) // 100]
+            side = rng.integers(0, 2, len(drop)) if rng.random() < 0.5 else np.zeros(len(drop), "i8")
+            a, b = (np.unique(np.delete(union, drop[side == s])) for s in (0, 1))
+            if len(a) and len(b) and not np.array_equal(a, b):
+                keys = [jaccard.part_keys(x, tiles) for x in (a, b)]
+                assert np.intersect1d(*keys).size
+                few += any(len(k) > sum(d + 1 for _, _, d in tiles.of(len(x)) if d) for k, x in zip(keys, (a, b)))
+    assert few > 50
+
+
+def test_forests_of_one_turn_have_no_pair_in_common():
+    rng = random.Random(5)
+    base = rng.sample(range(1, 1 << 40), 60)
+    sets = [np.unique(np.array(rng.sample(base, 58) + rng.sample(range(1 << 41, 1 << 42), 2), "u8")) for _ in range(12)]
+    table = pa.table({"side": [0] * 12, "class": list(range(12)), "root": list(range(12)), "n": [len(s) for s in sets],
+                      "bits": pa.array([jaccard.signature(s) for s in sets], pa.binary()),
+                      "tried": pa.array([[1]] + [None] * 11, pa.list_(pa.int64()))})
+    pairs = jaccard._block_forest(80, 3)(None, table)
+    found = [frozenset(p) for p in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())]
+    # The first joins 0 with all others but 1, so 0 has no pair left for the next.
+    assert len(found) == len(set(found)) == 11 + 10 + 9 and frozenset((0, 1)) not in found
+
+
 def test_one_of_each_group_stays(documents):
     rows = copies(4, (30, 90))
     got = jaccard.one_of_each(documents(rows), 5, 80)

@@ -3,16 +3,20 @@
 1. Each text becomes its sorted set of shingle hashes.  Texts with equal sets
    form a class, and only classes go on.
 2. Sets fall into bands by size, so that a link joins equal or neighbouring
-   bands; a tile is such a pair of bands.  Linked sets of a tile differ in at
-   most d shingles.  The hash range is cut into more than d parts, so linked
-   sets agree in a whole part, and classes that agree in one are candidates.
-   A shingle that many texts share brings nothing together by itself.
+   bands.  A set differs from any that it links with in at most d shingles, so
+   in at most d of the parts into which its band cuts the hash range.  Of the
+   first d + 1 parts in one order for all sets one therefore agrees, and classes
+   that agree in one of these are candidates.  Parts with most shingles come
+   first: a shingle that many texts share brings nothing together by itself.
+   Bands have parts enough that d + 1 hold something; the rare set with fewer
+   gives all its parts, empty ones too.
 3. In a group of candidates all are first held against the one that agrees
    most often.  Then only groups that still hold several components are
    compared, block by block: a block pair reports, of the pairs whose signatures
    allow a link, a spanning forest of the components, so at most one per row.
    These are verified, and as long as any of them fails, its groups are
-   compared again without it.
+   compared again without it, for twice as many forests each time, FORESTS at
+   most: few turns, and so few queries, whose plans the driver keeps.
 4. Signatures hold the parity of the hashes in each of a number of bits that
    grows with the set: the bits in which two differ are a lower bound of the
    shingles in which the sets differ, and so bound the overlap from above.
@@ -43,58 +47,82 @@ from tillroll.llm.url_filter import bloom_blocks, build_bloom, possible_hits
 from tillroll.llm.tokens import pieces
 from tillroll.llm.words import SPACES, mix, shingles, word_hashes
 
-SETS = "doc_id long, n_shingles long, class binary, keys binary, bits binary"
-FULL = "doc_id long, class binary, shingles binary"
+SETS = "doc_id long, n_shingles long, digest binary, keys binary, bits binary"
+FULL = "doc_id long, digest binary, shingles binary"
 #: Least bits of a signature, and bits per shingle from which on it grows.
 SIGNATURE_BITS, BITS_PER_SHINGLE = 1024, 2
-#: Parts beyond the d + 1 that guarantee an agreeing one: a text with fewer
-#: empty parts than SPARE + 1 need not be found by an empty part.
-SPARE = 2
+#: A band has parts until a set has d + 1 that are not empty even if it has so
+#: many standard deviations fewer than others of its size.
+DEVIATIONS = 4
 #: Candidates of one group that are compared together, on average.
 BLOCK = 2048
+#: Most forests, none with a pair of another, of one block pair in one turn.
+FORESTS = 8
 
 
 class Tiles:
-    """Bands of set sizes and, per tile, the most shingles linked sets differ in."""
+    """Bands of set sizes: where each begins, and its parts of the hash range."""
 
     def __init__(self, percent: int):
         self.percent = percent
-        self.low = [1]
+        self.low, self.parts = [1], []
 
-    def of(self, n: int) -> list[tuple[int, int]]:
-        """(tile, d) of the tiles in which a set of ``n`` shingles takes part."""
-        while len(self.low) < 4 or self.low[-3] <= n:
+    def most(self, n, m):
+        """The most shingles in which linked sets of n and m differ."""
+        return (n + m) * (100 - self.percent) // (100 + self.percent)
+
+    def of(self, n: int) -> list[tuple[int, int, int]]:
+        """(band, parts, d) of the bands in which a set of ``n`` shingles looks
+        for others: its own, and the one below if a link reaches there."""
+        while self.low[-1] <= n:
             x = self.low[-1]
-            self.low.append(max(x + 1, -(-x * 100 // self.percent)))
+            self.low.append(max(2 * x, -(-x * 100 // self.percent)))
+            self.parts.append(self._parts_for(x, self.low[-1] - 1))
         band = bisect.bisect_right(self.low, n) - 1
-        out = []
-        for tile in range(max(0, band - 1), band + 1):
-            most = (self.low[tile + 1] - 1) + (self.low[tile + 2] - 1)
-            out.append((tile, most * (100 - self.percent) // (100 + self.percent)))
+        out = [(band, self.parts[band], self.most(n, n * 100 // self.percent))]
+        below = self.low[band] - 1
+        if below and 100 * below >= self.percent * n:
+            out.append((band - 1, self.parts[band - 1], self.most(n, below)))
         return out
 
-
-def class_of(s: np.ndarray) -> bytes:
+    def _parts_for(self, low: int, high: int) -> int:
+        """The fewest parts, about, of which sets of ``low`` to ``high`` shingles
+        fill d + 1.  Larger ones that look here fill more and differ in no more."""
+        n = np.unique(np.linspace(low, high, 64).astype("i8"))
+        d = self.most(n, n * 100 // self.percent)
+        parts = int(d[-1]) + 2
+        while parts < 8 * int(d[-1]) + 64:
+            empty = parts * (1 - 1 / parts) ** n
+            spread = empty + parts * (parts - 1) * (1 - 2 / parts) ** n - empty ** 2
+            if (parts - empty - DEVIATIONS * np.sqrt(np.maximum(spread, 0)) >= d + 1).all():
+                break
+            parts += 1 + parts // 50
+        return parts
+
+
+def digest_of(s: np.ndarray) -> bytes:
     """128 bits that tell sets apart."""
     return (mix(s).sum(dtype="u8").tobytes()
             + mix(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype="u8").tobytes())
 
 
 def part_keys(s: np.ndarray, tiles: Tiles) -> np.ndarray:
-    """One key per tile and non-empty part of the sorted set ``s``."""
+    """Keys of the parts of the sorted set ``s`` that it is found by."""
     total = np.concatenate([np.zeros(1, "u8"), np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)))])
     top = (s >> np.uint64(32)).astype("u8")
     out = []
-    for tile, d in tiles.of(len(s)):
+    for band, parts, d in tiles.of(len(s)):
         if d == 0:
             continue            # only equal sets link there
-        parts = d + 1 + SPARE
         of = ((top * np.uint64(parts)) >> np.uint64(32)).astype("i8")
         edge = np.searchsorted(of, np.arange(parts + 1))
         count = np.diff(edge)
-        keep = np.flatnonzero(count) if (count == 0).sum() <= SPARE else np.arange(parts)
-        key = total[edge[keep + 1]] - total[edge[keep]]
-        out.append(mix(key + mix(np.uint64(tile << 32) + keep.astype("u8"))))
+        key = mix(total[edge[1:]] - total[edge[:-1]] + mix(np.uint64(band << 32) + np.arange(parts, dtype="u8")))
+        full = np.flatnonzero(count)
+        if len(full) > d:
+            # One order for all sets: by shingles in a part, then by key.
+            key = key[full[np.lexsort((key[full], -count[full]))[:d + 1]]]
+        out.append(key)
     return np.concatenate(out) if out else np.empty(0, "u8")
 
 
@@ -130,12 +158,12 @@ def _read_sets(k: int, percent: int):
             n, out = [], [[], [], []]
             for s in _sets(batch, k):
                 n.append(len(s))
-                row = (class_of(s), part_keys(s, tiles).tobytes(), signature(s)) if len(s) else (None,) * 3
+                row = (digest_of(s), part_keys(s, tiles).tobytes(), signature(s)) if len(s) else (None,) * 3
                 for col, x in zip(out, row):
                     col.append(x)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in out]],
-                names=["doc_id", "n_shingles", "class", "keys", "bits"])
+                names=["doc_id", "n_shingles", "digest", "keys", "bits"])
     return run
 
 
@@ -145,8 +173,8 @@ def _full_sets(k: int):
             sets = list(_sets(batch, k))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array([f(s) for s in sets], pa.binary())
-                                     for f in (class_of, np.ndarray.tobytes)],
-                names=["doc_id", "class", "shingles"])
+                                     for f in (digest_of, np.ndarray.tobytes)],
+                names=["doc_id", "digest", "shingles"])
     return run
 
 
@@ -203,23 +231,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, per
     the texts, of the classes that occur in ``pairs`` only: a Bloom filter of
     their documents spares the rest the shuffle."""
     ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = cut(ends.join(classes.select("class", "doc_id"), "class"), "wanted")
+    wanted = cut(ends.join(classes.select("class", "digest", "doc_id"), "class"), "wanted")
     blocks = bloom_blocks(wanted.count())
     near = possible_hits(docs, "doc_id", build_bloom(wanted, "doc_id", blocks), blocks)
     near = near.where(F.col("possible") | F.col("doc_id").isNull())
     full = (near.select("doc_id", "text").mapInArrow(lean(_full_sets(k)), FULL)
-                .join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
+                .join(wanted.select("class", "digest"), "digest").dropDuplicates(["class"]))
     full = cut(full.select("class", "shingles"), "full-sets")
-    return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(lean(_linked(percent)), "a binary, b binary"), "links")
+    return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(lean(_linked(percent)), "a long, b long"), "links")
 
 
-def _block_forest(percent: int):
+def _block_forest(percent: int, forests: int = 1):
     """Of one block of a group against one block: pairs (a, b) whose signatures
     allow a link, that were not tried before, and that would join components;
-    none closes a circle."""
+    those of each of ``forests`` close no circle."""
     def run(key, rows):
         side, name, root, n, bits, tried = (rows[c].to_pylist() for c in ("side", "class", "root", "n", "bits", "tried"))
-        _, part = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
+        place = {x: i for i, x in enumerate(dict.fromkeys(root))}
+        roots = np.array([place[x] for x in root], "i8")
         left = [i for i, s in enumerate(side) if s == 0]
         right = np.array([i for i, s in enumerate(side) if s == 1] or left, "i8")
         place = {x: i for i, x in enumerate(name)}
@@ -232,29 +261,38 @@ def _block_forest(percent: int):
         least = min(map(len, bits))
         sig = np.stack([folded(x, least) for x in bits])
         out = [[], []]
-        for i in left if len(right) else ():
-            open_ = right[part[right] != part[i]]
-            if i in known:
-                open_ = np.setdiff1d(open_, known[i])
-            if not len(open_):
-                continue
-            differ = np.bitwise_count(sig[open_] ^ sig[i]).sum(axis=1).astype("i8")
-            most = overlap_bound(size[open_], size[i], differ)
-            can = 100 * most >= percent * (size[open_] + size[i] - most)
-            open_, differ = open_[can], differ[can]
-            for j in open_[np.argsort(differ, kind="stable")]:
-                if part[j] != part[i]:
-                    out[0].append(name[i])
-                    out[1].append(name[j])
-                    part[part == part[j]] = part[i]
+        for _ in range(forests if len(right) else 0):
+            part, pairs = roots.copy(), []
+            for i in left:
+                open_ = right[part[right] != part[i]]
+                if i in known:
+                    open_ = np.setdiff1d(open_, known[i])
+                if not len(open_):
+                    continue
+                differ = np.bitwise_count(sig[open_] ^ sig[i]).sum(axis=1).astype("i8")
+                most = overlap_bound(size[open_], size[i], differ)
+                can = 100 * most >= percent * (size[open_] + size[i] - most)
+                open_, differ = open_[can], differ[can]
+                for j in open_[np.argsort(differ, kind="stable")]:
+                    if part[j] != part[i]:
+                        pairs.append((i, int(j)))
+                        part[part == part[j]] = part[i]
+            if not pairs:
+                break
+            for i, j in pairs:
+                out[0].append(name[i])
+                out[1].append(name[j])
+                known.setdefault(i, []).append(j)
+                known.setdefault(j, []).append(i)
         of = pa.array([key[0].as_py() if key else None] * len(out[0]), pa.int64())
-        return pa.table([of, *[pa.array(x, pa.binary()) for x in out]], names=["key", "a", "b"])
+        return pa.table([of, *[pa.array(x, rows["class"].type) for x in out]], names=["key", "a", "b"])
     return run
 
 
-def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: DataFrame, percent: int) -> DataFrame:
-    """(key, a, b): pairs within a group that may link components, a forest per
-    block pair; none of ``failed`` (a, b)."""
+def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: DataFrame, percent: int,
+                forests: int = 1) -> DataFrame:
+    """(key, a, b): pairs within a group that may link components, ``forests``
+    per block pair; none of ``failed`` (a, b)."""
     rows = (groups.join(roots.withColumnRenamed("node", "class"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
     split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -270,7 +308,8 @@ def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: D
         F.when(F.col("block") <= j, 0).otherwise(1).alias("side"))))
     rows = rows.withColumn("cell", cells).select(
         "key", "cell.i", "cell.j", "cell.side", "class", "root", "n", "bits", "tried")
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent), "key long, a binary, b binary")
+    kind = small.schema["class"].dataType.simpleString()
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent, forests), f"key long, a {kind}, b {kind}")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -291,12 +330,14 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = cut(docs.mapInArrow(lean(_read_sets(k, percent)), SETS), "sets")
-    some = sets.where(F.col("class").isNotNull())
-    classes = cut(some.groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes")
-    spread = (some.groupBy("class").agg(F.first("keys").alias("keys"))
-                  .mapInArrow(lean(_spread_keys), "class binary, key long"))
+    sets = docs.mapInArrow(lean(_read_sets(k, percent)), SETS)
+    sets = cut(sets.withColumn("row", F.monotonically_increasing_id()), "sets")
+    some = sets.where(F.col("digest").isNotNull()).groupBy("digest")
+    # From here on a class goes by the number of its first row.
+    classes = cut(some.agg(F.min("row").alias("class"), F.min("doc_id").alias("doc_id"),
+                           F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes")
+    spread = (some.agg(F.min("row").alias("class"), F.first("keys").alias("keys")).select("class", "keys")
+                  .mapInArrow(lean(_spread_keys), "class long, key long"))
     groups = (spread.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
                     .where("size > 1"))
     groups = cut(groups, "groups")
@@ -308,7 +349,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
     star = (groups.join(hub, "key").where(F.col("class") != F.col("hub"))
                   .select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct())
     star = cut(_with_ends(star, small, ["n", "bits"])
-               .mapInArrow(lean(_possible(percent)), "a binary, b binary, differ long"), "star-pairs")
+               .mapInArrow(lean(_possible(percent)), "a long, b long, differ long"), "star-pairs")
     each = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"), "differ"))
     closest = (each.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b"))
                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -319,9 +360,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
         links = links.unionByName(_verified(failed, docs, classes, k, percent))
         roots = components(links)
         failed = cut(_apart(failed, roots), "failed-pairs")
-    groups = groups.where("size > 2")
+    groups, forests = groups.where("size > 2"), 1
     while True:
-        found = cut(_open_pairs(groups, roots, small, failed, percent), "open-pairs")
+        found = cut(_open_pairs(groups, roots, small, failed, percent, forests), "open-pairs")
+        forests = min(2 * forests, FORESTS)
         if found.isEmpty():
             break
         pairs = cut(found.select("a", "b").distinct(), "open-pairs")
@@ -335,15 +377,15 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
         again = found.join(pairs, ["a", "b"], "left_semi").select("key").distinct()
         groups = cut(groups.join(again, "key", "left_semi"), "groups")
 
-    named = (classes.select("class", "doc_id")
+    named = (classes.select("class", "digest", "doc_id")
                     .join(roots.withColumnRenamed("node", "class"), "class", "left")
                     .withColumn("root", F.coalesce("root", "class")))
     named = cut(named, "named")
     least = cut(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
-    named = cut(named.join(least, "root").select("class", "component_id"), "class-components")
-    return (sets.join(named, "class", "left")
+    named = cut(named.join(least, "root").select("digest", "component_id"), "class-components")
+    return (sets.join(named, "digest", "left")
                 .select("doc_id", "n_shingles",
-                        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+                        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                          .alias("component_id")))
 
 
