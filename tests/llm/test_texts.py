@@ -129,6 +129,26 @@ def test_forests_of_one_turn_have_no_pair_in_common():
     assert len(found) == len(set(found)) == 11 + 10 + 9 and frozenset((0, 1)) not in found
 
 
+def test_rows_without_a_pair_left_leave_the_group():
+    """Of a component of 30 near copies, one is close to the one row outside."""
+    rng = random.Random(6)
+    base = rng.sample(range(1, 1 << 40), 60)
+    sets = [np.unique(np.array(base[:52] + rng.sample(range(1 << 41, 1 << 42), 8), "u8")) for _ in range(30)]
+    sets += [np.unique(np.array(rng.sample(range(1 << 43, 1 << 44), 60), "u8")) for _ in range(2)]
+    sets.append(np.unique(np.append(sets[0][4:], np.array([1 << 50, 1 << 51], "u8"))))
+    table = pa.table({"side": [0] * 33, "class": list(range(33)), "root": [0] * 30 + [30, 31, 32], "n": [len(s) for s in sets],
+                      "bits": pa.array([jaccard.signature(s) for s in sets], pa.binary()),
+                      "tried": pa.array([None] * 33, pa.list_(pa.int64()))})
+    more = jaccard._block_forest(80, 1, True)(None, table).to_pylist()
+    allowed = {i for i in range(30) if 100 * len(np.intersect1d(sets[i], sets[32])) >= 80 * len(np.union1d(sets[i], sets[32]))}
+    assert allowed == {0} and [(r["a"], r["b"]) for r in more] == [(0, 32)]
+    table = table.set_column(5, "tried", pa.array([[32]] + [None] * 32, pa.list_(pa.int64())))
+    assert jaccard._block_forest(80, 1, True)(None, table).num_rows == 0
+    table = table.set_column(2, "root", pa.array(list(range(33)))).set_column(5, "tried", pa.array([None] * 33, pa.list_(pa.int64())))
+    left = [r["a"] for r in jaccard._block_forest(60, 1, True)(None, table).to_pylist() if r["b"] is None]
+    assert set(range(1, 30)) <= set(left) and not {30, 31} & set(left)
+
+
 def test_one_of_each_group_stays(documents):
     rows = copies(4, (30, 90))
     got = jaccard.one_of_each(documents(rows), 5, 80)

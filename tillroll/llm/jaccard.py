@@ -16,7 +16,8 @@
    allow a link, a spanning forest of the components, so at most one per row.
    These are verified, and as long as any of them fails, its groups are
    compared again without it, for twice as many forests each time, FORESTS at
-   most: few turns, and so few queries, whose plans the driver keeps.
+   most: few turns, and so few queries, whose plans the driver keeps.  From the
+   second turn on, rows of a group that have no such pair left leave it.
 4. Signatures hold the parity of the hashes in each of a number of bits that
    grows with the set: the bits in which two differ are a lower bound of the
    shingles in which the sets differ, and so bound the overlap from above.
@@ -241,10 +242,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, per
     return cut(_with_ends(pairs, full, ["shingles"]).mapInArrow(lean(_linked(percent)), "a long, b long"), "links")
 
 
-def _block_forest(percent: int, forests: int = 1):
+def _block_forest(percent: int, forests: int = 1, rest: bool = False):
     """Of one block of a group against one block: pairs (a, b) whose signatures
     allow a link, that were not tried before, and that would join components;
-    those of each of ``forests`` close no circle."""
+    those of each of ``forests`` close no circle.  With ``rest`` also (a, NULL)
+    of every row that has such a pair beside those reported."""
     def run(key, rows):
         side, name, root, n, bits, tried = (rows[c].to_pylist() for c in ("side", "class", "root", "n", "bits", "tried"))
         place = {x: i for i, x in enumerate(dict.fromkeys(root))}
@@ -261,19 +263,21 @@ def _block_forest(percent: int, forests: int = 1):
         least = min(map(len, bits))
         sig = np.stack([folded(x, least) for x in bits])
         out = [[], []]
+
+        def partners(i, part):
+            """Rows that may link with row i and are not of its component."""
+            found = right[part[right] != part[i]]
+            if i in known:
+                found = np.setdiff1d(found, known[i])
+            differ = np.bitwise_count(sig[found] ^ sig[i]).sum(axis=1).astype("i8")
+            most = overlap_bound(size[found], size[i], differ)
+            can = 100 * most >= percent * (size[found] + size[i] - most)
+            return found[can][np.argsort(differ[can], kind="stable")]
+
         for _ in range(forests if len(right) else 0):
             part, pairs = roots.copy(), []
             for i in left:
-                open_ = right[part[right] != part[i]]
-                if i in known:
-                    open_ = np.setdiff1d(open_, known[i])
-                if not len(open_):
-                    continue
-                differ = np.bitwise_count(sig[open_] ^ sig[i]).sum(axis=1).astype("i8")
-                most = overlap_bound(size[open_], size[i], differ)
-                can = 100 * most >= percent * (size[open_] + size[i] - most)
-                open_, differ = open_[can], differ[can]
-                for j in open_[np.argsort(differ, kind="stable")]:
+                for j in partners(i, part):
                     if part[j] != part[i]:
                         pairs.append((i, int(j)))
                         part[part == part[j]] = part[i]
@@ -284,15 +288,20 @@ def _block_forest(percent: int, forests: int = 1):
                 out[1].append(name[j])
                 known.setdefault(i, []).append(j)
                 known.setdefault(j, []).append(i)
+        if rest and len(right):
+            still = [(i, partners(i, roots)) for i in left]
+            for i in sorted({int(x) for i, js in still if len(js) for x in (i, *js)}):
+                out[0].append(name[i])
+                out[1].append(None)
         of = pa.array([key[0].as_py() if key else None] * len(out[0]), pa.int64())
         return pa.table([of, *[pa.array(x, rows["class"].type) for x in out]], names=["key", "a", "b"])
     return run
 
 
 def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: DataFrame, percent: int,
-                forests: int = 1) -> DataFrame:
+                forests: int = 1, rest: bool = False) -> DataFrame:
     """(key, a, b): pairs within a group that may link components, ``forests``
-    per block pair; none of ``failed`` (a, b)."""
+    per block pair; none of ``failed`` (a, b).  ``rest``: see _block_forest."""
     rows = (groups.join(roots.withColumnRenamed("node", "class"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
     split = (rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -309,7 +318,7 @@ def _open_pairs(groups: DataFrame, roots: DataFrame, small: DataFrame, failed: D
     rows = rows.withColumn("cell", cells).select(
         "key", "cell.i", "cell.j", "cell.side", "class", "root", "n", "bits", "tried")
     kind = small.schema["class"].dataType.simpleString()
-    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent, forests), f"key long, a {kind}, b {kind}")
+    return rows.groupBy("key", "i", "j").applyInArrow(_block_forest(percent, forests, rest), f"key long, a {kind}, b {kind}")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -362,20 +371,24 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str
         failed = cut(_apart(failed, roots), "failed-pairs")
     groups, forests = groups.where("size > 2"), 1
     while True:
-        found = cut(_open_pairs(groups, roots, small, failed, percent, forests), "open-pairs")
-        forests = min(2 * forests, FORESTS)
-        if found.isEmpty():
+        # When most components are joined, few rows of a group have pairs left.
+        rest = forests > 1
+        found = cut(_open_pairs(groups, roots, small, failed, percent, forests, rest), "open-pairs")
+        pairs = cut(found.where(F.col("b").isNotNull()).select("a", "b").distinct(), "open-pairs")
+        if pairs.isEmpty():
             break
-        pairs = cut(found.select("a", "b").distinct(), "open-pairs")
         links = links.unionByName(_verified(pairs, docs, classes, k, percent))
         roots = components(links)
         pairs = cut(_apart(pairs, roots), "failed-pairs")
         if pairs.isEmpty():
             break
-        # A group all of whose pairs linked is done.
         failed = failed.unionByName(pairs)
+        if rest:
+            groups = found.where(F.col("b").isNull()).select("key", F.col("a").alias("class")).distinct()
+        # A group all of whose pairs linked is done.
         again = found.join(pairs, ["a", "b"], "left_semi").select("key").distinct()
         groups = cut(groups.join(again, "key", "left_semi"), "groups")
+        forests = min(2 * forests, FORESTS)
 
     named = (classes.select("class", "digest", "doc_id")
                     .join(roots.withColumnRenamed("node", "class"), "class", "left")
