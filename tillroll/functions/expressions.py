@@ -71,8 +71,9 @@ def money_parts(c: ColumnOrName) -> dict[str, Column]:
     exact = (F.abs(m) < MOST_MILLIONTHS) & (m / float(MILLIONTHS) == x)
     m = F.when(exact, m.cast("long"))
     units = F.try_sum(F.floor(m / MILLIONTHS))
+    whole = F.bool_and(exact)
     return {"units": units, "millionths": F.try_sum(F.pmod(m, F.lit(MILLIONTHS))),
-            "whole": F.bool_and(exact) & units.isNotNull(), "plain": F.sum(x)}
+            "whole": F.when(whole & units.isNull(), F.lit(False)).otherwise(whole), "plain": F.sum(x)}
 
 
 def money_of(units: Column, millionths: Column, whole: Column, plain: Column, digits: int = 2) -> Column:

@@ -36,10 +36,21 @@ def value_text(name: str, kind: DataType) -> Column:
 
 
 def row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
-    """60 bits of the row's text, as a decimal whose sum cannot overflow."""
+    """60 bits of the row's text."""
     columns = sorted(df.columns if columns is None else columns)
     text = F.concat_ws(SEPARATOR, *[value_text(c, df.schema[c].dataType) for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(28,0)")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def hash_sum(h: Column) -> Column:
+    """The sum of 60-bit numbers as text, "0" without any.
+
+    Thirds of 20 bits are summed as longs, which overflow beyond 2**43 rows and
+    are several times as fast as decimals; they are put together once.
+    """
+    thirds = [F.sum(F.shiftright(h, 20 * i).bitwiseAND(F.lit((1 << 20) - 1).cast("long"))) for i in range(3)]
+    parts = [t.cast("decimal(19,0)") * F.lit(1 << 20 * i).cast("decimal(13,0)") for i, t in enumerate(thirds)]
+    return F.coalesce((parts[0] + parts[1] + parts[2]).cast("string"), F.lit("0"))
 
 
 def table_digest(df: DataFrame, name: str, exclude: Iterable[str] = ()) -> DataFrame:
@@ -51,7 +62,7 @@ def table_digest(df: DataFrame, name: str, exclude: Iterable[str] = ()) -> DataF
     columns = sorted(set(df.columns) - set(exclude))
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(row_hash(df, columns)).cast("string"), F.lit("0")).alias("row_digest"),
+        hash_sum(row_hash(df, columns)).alias("row_digest"),
         F.concat_ws(",", *[F.count_if(F.col(f"`{c}`").isNull()).cast("string") for c in columns]).alias("null_counts"),
     ).select(F.lit(name).alias("table_name"), "row_count", "row_digest", "null_counts")
 

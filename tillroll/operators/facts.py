@@ -122,21 +122,32 @@ def order_attributes(orders_valid: DataFrame | None = None, payments: DataFrame
     return wide.groupBy("order_id").agg(*aggregates)
 
 
-def _in_hot_class(order_items: DataFrame, hot: int) -> Column:
-    """Whether a row's order is in a class of more than ``hot`` items: a third of
-    the items without an order count as one order, too.  The classes are a
-    subquery's one array, of fewer values than items / ``hot``."""
-    of = F.pmod(F.xxhash64("order_id"), F.lit(CLASSES))
-    counts = order_items.groupBy(of.alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    classes = counts.filter(F.col("n") > hot).agg(F.collect_list("class")).scalar()
-    return F.array_contains(classes, of)
-
-
-def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: int = HOT) -> DataFrame:
-    """De-duplicated items left join ``attributes``, unique per order."""
-    apart = _in_hot_class(order_items, hot)
+def _class() -> Column:
+    return F.pmod(F.xxhash64("order_id"), F.lit(CLASSES))
+
+
+def hot_classes(order_items: DataFrame, hot: int = HOT) -> DataFrame:
+    """The classes of more than ``hot`` items, fewer than items / ``hot``: a third
+    of the items without an order count as one order, too."""
+    counts = order_items.groupBy(_class().alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > hot).select("class")
+
+
+def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: int = HOT,
+                          classes: Sequence[int] | None = None) -> DataFrame:
+    """De-duplicated items left join ``attributes``, unique per order.
+
+    ``classes``: the hot ones, if they were counted before; without any, nothing
+    is kept apart, and no input is read for that a second time.  Else a subquery
+    finds them."""
+    if classes is None:
+        apart = F.array_contains(hot_classes(order_items, hot).agg(F.collect_list("class")).scalar(), _class())
+    else:
+        apart = _class().isin(list(classes))
     near = (keep_first(order_items.filter(~apart).repartition("order_id"), ITEM_KEYS)
             .join(attributes, "order_id", "left"))
+    if classes is not None and not classes:
+        return near
     far = left_join_unique(dedupe_items(order_items.filter(apart)), attributes.filter(apart),
                            "order_id", ITEM_KEYS + ["product_id"])
     return near.unionByName(far)
@@ -144,12 +155,13 @@ def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: in
 
 def fct_order_items(order_items: DataFrame, orders_valid: DataFrame, payments: DataFrame,
                     reviews: DataFrame, columns: Sequence[str] = FACT_COLUMNS,
-                    customers: DataFrame | None = None, hot: int = HOT) -> DataFrame:
+                    customers: DataFrame | None = None, hot: int = HOT,
+                    classes: Sequence[int] | None = None) -> DataFrame:
     """Item-grain fact (J1-J3), its ``columns`` only: a side none of whose
     columns is asked for is not read.  Items without a surviving order are
     kept with NULL order attributes (they form the NULL date group
     downstream).  The columns of ``customers`` (unique per customer_id) follow,
-    if it is given."""
+    if it is given.  ``hot`` and ``classes``: see ``items_with_attributes``."""
     own = [] if customers is None else [c for c in customers.columns if c != "customer_id"]
     needed = {b for c in columns for b in DERIVED.get(c, [c])}
     asked = [needed & set(ORDER_COLUMNS) or own, needed & set(PAYMENT_COLUMNS), needed & set(REVIEW_COLUMNS)]
@@ -157,7 +169,7 @@ def fct_order_items(order_items: DataFrame, orders_valid: DataFrame, payments: D
     if own:
         sides[0] = left_join_unique(sides[0], customers, "customer_id", ["order_id"])
     if any(s is not None for s in sides):
-        out = items_with_attributes(order_items, order_attributes(*sides, own=own), hot)
+        out = items_with_attributes(order_items, order_attributes(*sides, own=own), hot, classes)
     else:
         out = dedupe_items(order_items)
     derived = {"order_date": lambda: F.to_date("order_purchase_ts"),

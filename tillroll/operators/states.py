@@ -12,7 +12,8 @@ that the mart's measures need of those items, and every part of it merges:
 Orders and measures come in rows of their own, which merge like any others: the
 bitmaps from one narrow table of each order's groups, dealt by range of order
 numbers (``place_orders``), so that a range's bitmaps are built in one task; the
-measures straight from the wide rows, one row per group and task.
+measures, which all marts share, from one pass over the wide rows, by all marts'
+keys at once (``measure_groups``), merged to each mart's groups.
 
 So a date's states are computed once, from that date's rows alone, and the
 marts are merged from states, however the rows came in.  Numbers are dealt in
@@ -90,7 +91,7 @@ def place_orders(wide: DataFrame, numbers: DataFrame) -> DataFrame:
     The groups are collected map-side, so a hot order is a few rows per task.
     """
     spark = wide.sparkSession
-    keys = list(dict.fromkeys([DATE, *(k for shape in MARTS.values() for k in shape["keys"])]))
+    keys = _all_keys()
     each = (wide.filter(F.col("order_id").isNotNull()).groupBy("order_id")
                 .agg(F.collect_set(F.struct(*keys)).alias("_groups")))
     out = (each.join(numbers, "order_id").select(NUMBER, F.inline("_groups"))
@@ -100,19 +101,47 @@ def place_orders(wide: DataFrame, numbers: DataFrame) -> DataFrame:
     return spark.read.schema(out.schema).parquet(path)
 
 
-def _measures(mart: str) -> list[Column]:
-    parts = []
-    for name, column in MARTS[mart]["money"].items():
-        parts += [c.alias(f"{name}_{part}") for part, c in money_parts(column).items()]
-    for name, (column, _) in MARTS[mart]["means"].items():
-        parts += [F.sum(F.col(column).cast("long")).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
+def _all_keys() -> list[str]:
+    """The grouping columns of all marts."""
+    return list(dict.fromkeys([DATE, *(k for shape in MARTS.values() for k in shape["keys"])]))
+
+
+def _measures(*names: str) -> list[Column]:
+    """The measures of these marts; one that several have is there once, as a
+    name has one meaning."""
+    parts: dict[str, Column] = {}
+    for shape in map(MARTS.get, names):
+        for name, column in shape["money"].items():
+            parts |= {f"{name}_{part}": c for part, c in money_parts(column).items()}
+        for name, (column, _) in shape["means"].items():
+            parts |= {f"{name}_sum": F.sum(F.col(column).cast("long")), f"{name}_n": F.count(column)}
+    return [c.alias(name) for name, c in parts.items()]
+
+
+def _merged(mart: str) -> list[Column]:
+    """The measures of ``mart`` merged from rows of its measures."""
+    parts = [merge(f"{name}_{part}").alias(f"{name}_{part}")
+             for name in MARTS[mart]["money"] for part, merge in MONEY.items()]
+    for name in MARTS[mart]["means"]:
+        parts += [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("sum", "n")]
     return parts
 
 
-def mart_states(rows: DataFrame, mart: str, placed: DataFrame | None = None) -> DataFrame:
+def measure_groups(wide: DataFrame) -> DataFrame:
+    """The measures of all marts by all marts' keys at once, in one pass over the
+    wide rows; written once."""
+    out = wide.groupBy(*_all_keys()).agg(*_measures(*MARTS))
+    path = scratch_path(wide.sparkSession, "measured-groups")
+    write_parquet(out, path)
+    return wide.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def mart_states(rows: DataFrame, mart: str, placed: DataFrame | None = None,
+                measured: DataFrame | None = None) -> DataFrame:
     """State rows of ``mart`` from wide rows with their order numbers, or from
     wide rows as they are and their ``placed`` orders: then rows of measures, in
-    range 0 and without a bitmap, and rows of bitmaps without measures.
+    range 0 and without a bitmap, and rows of bitmaps without measures.  Measures
+    are merged from ``measured`` groups of the same rows, if these are given.
 
     Rows without an order number count in every measure but the orders.
     """
@@ -123,7 +152,8 @@ def mart_states(rows: DataFrame, mart: str, placed: DataFrame | None = None) ->
     bitmap = F.bitmap_construct_agg("_bit").alias("orders_seen")
     if placed is None:
         return rows.withColumns(bits).groupBy(*keys, "bucket").agg(bitmap, *_measures(mart))
-    measures = rows.groupBy(*keys).agg(*_measures(mart)).withColumn("bucket", F.lit(0).cast("long"))
+    measures = (rows.groupBy(*keys).agg(*_measures(mart)) if measured is None
+                else measured.groupBy(*keys).agg(*_merged(mart))).withColumn("bucket", F.lit(0).cast("long"))
     seen = placed.withColumns(bits).groupBy(*keys, "bucket").agg(bitmap)
     columns = [*keys, "bucket", "orders_seen", *[c for c in measures.columns if c not in (*keys, "bucket")]]
     return seen.unionByName(measures, allowMissingColumns=True).select(*columns)
@@ -133,17 +163,11 @@ def mart_of_states(states: DataFrame, mart: str, sort: bool = True) -> DataFrame
     """The mart, merged from states of any dates and runs."""
     shape = MARTS[mart]
     keys = shape["keys"]
-    merged = [F.bitmap_or_agg("orders_seen").alias("orders_seen")]
+    merged = [F.bitmap_or_agg("orders_seen").alias("orders_seen"), *_merged(mart)]
     final = [F.sum(F.bitmap_count("orders_seen")).alias(shape["orders"])]
     for name in shape["money"]:
-        last = {}
-        for part, merge in MONEY.items():
-            column = f"{name}_{part}"
-            merged.append(merge(column).alias(column))
-            last[part] = merge(column)
-        final.append(money_of(**last).alias(name))
+        final.append(money_of(**{part: merge(f"{name}_{part}") for part, merge in MONEY.items()}).alias(name))
     for name, (_, digits) in shape["means"].items():
-        merged += [F.sum(f"{name}_sum").alias(f"{name}_sum"), F.sum(f"{name}_n").alias(f"{name}_n")]
         n = F.sum(f"{name}_n")
         final.append(F.when(n > 0, F.round(F.sum(f"{name}_sum") / n, digits)).alias(name))
     out = states.groupBy(*keys, "bucket").agg(*merged).groupBy(*keys).agg(*final)

@@ -298,13 +298,15 @@ def q_gold_refreshed(spark, d):
     without the orders' later versions, the second a refresh of what is new."""
     paths = LayerPaths.under(scratch_path(spark, "refresh"))
     tables = DriverTables(spark, d).bronze()
-    tenth = F.try_to_number("order_id", F.lit("999999999999999999")) % 10 == 0
+    # A cast, not ``try_to_number``, which takes 2.5 microseconds a row.
+    tenth = F.coalesce(F.col("order_id").try_cast("long") % 10 == 0, F.lit(True))
     early = {t: df.filter(~tenth) if t in ("order_items", "order_payments", "order_reviews") else df
              for t, df in tables.items()}
     early["orders"] = early["orders"].filter(F.col("order_approved_at").isNotNull())
     for run in (early, tables):
-        for table, df in run.items():
-            write_parquet(df, paths.bronze(table))
+        # The largest first, so that small ones fill the cores that it leaves.
+        pipeline.write_all({t: (lambda df=run[t], t=t: write_parquet(df, paths.bronze(t)))
+                            for t in sorted(run, key=lambda t: t != "order_items")}, pipeline.DEFAULT_CONCURRENT_JOBS)
         pipeline.orders_gate(spark, paths)
         pipeline.silver_model(spark, paths)
         late = tables["orders"].filter(F.col("order_approved_at").isNull()).select("order_id").unionByName(

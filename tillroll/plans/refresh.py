@@ -26,10 +26,11 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tillroll.operators import marts
-from tillroll.operators.states import DATE, MARTS, mart_of_states, mart_states, number_orders, place_orders
+from tillroll.operators.states import (
+    DATE, MARTS, mart_of_states, mart_states, measure_groups, number_orders, place_orders)
 from tillroll.paths import LayerPaths
-from tillroll.plans.pipeline import SILVER_TABLES
-from tillroll.sinks.files import CODEC, exists, remove, write_parquet
+from tillroll.plans.pipeline import DEFAULT_CONCURRENT_JOBS, SILVER_TABLES, write_all
+from tillroll.sinks.files import WRITE_OPTIONS, exists, remove, write_parquet
 from tillroll.sources.parquet import read_table
 
 log = logging.getLogger(__name__)
@@ -64,7 +65,7 @@ def _replace(rows: DataFrame, path: str, months: list) -> DataFrame:
     rows = rows.withColumn(PERIOD, _month())
     seen = Observation()
     written = rows.observe(seen, F.collect_set(PERIOD).alias("months"), F.count_if(F.col(PERIOD).isNull()).alias("dateless"))
-    (written.hint("rebalance", PERIOD).write.mode("overwrite").option("compression", CODEC).option("partitionOverwriteMode", "dynamic")
+    (written.hint("rebalance", PERIOD).write.mode("overwrite").options(**WRITE_OPTIONS).option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD).parquet(path))
     kept = {*(seen.get["months"] or ()), *([None] if seen.get["dateless"] else [])}
     for m in set(months) - kept:
@@ -88,25 +89,31 @@ def _touched(spark: SparkSession, paths: LayerPaths, fact: DataFrame, changed: D
     return sorted((r[0] for r in pending), key=lambda m: (m is not None, m))
 
 
-def refresh_gold(spark: SparkSession, paths: LayerPaths, changed: DataFrame | None = None) -> list:
+def refresh_gold(spark: SparkSession, paths: LayerPaths, changed: DataFrame | None = None,
+                 concurrent_jobs: int = DEFAULT_CONCURRENT_JOBS) -> list:
     """Bring the gold tables up to the silver tables; returns the touched months.
 
     ``changed`` has the ids of all orders any of whose rows (orders, items,
     payments, reviews, or their customers', products' and sellers' attributes)
     are new or other than before; None: everything.
     """
-    # Dates are the fact's own: no dimension is needed to find the months.
-    months = _touched(spark, paths, read_table(spark, paths.silver("fct_order_items")), changed)
+    # Dates are the fact's own: no dimension is needed to find the months, nor to
+    # number the orders, whose rows lie together there.
+    fact = read_table(spark, paths.silver("fct_order_items"))
+    months = _touched(spark, paths, fact, changed)
     enriched = _enriched(spark, paths)
     log.info("refreshing %d months", len(months))
     numbers = paths.gold("states/order_numbers")
     known = read_table(spark, numbers) if exists(spark, numbers) else None
     rows = marts.mart_order_analytics(enriched.withColumn(PERIOD, _month()).filter(_within(months)))
     wide = _replace(rows, paths.gold(WIDE), months).filter(_within(months))
-    write_parquet(number_orders(wide.select("order_id", DATE), known), numbers, mode="append")
-    placed = place_orders(wide, read_table(spark, numbers))
-    for mart in MARTS:
-        states = _replace(mart_states(wide, mart, placed), paths.gold(f"states/{mart}"), months)
+    orders = fact.withColumn(PERIOD, _month()).filter(_within(months)).select("order_id", DATE)
+    write_parquet(number_orders(orders, known), numbers, mode="append")
+    placed, measured = place_orders(wide, read_table(spark, numbers)), measure_groups(wide)
+
+    def merge(mart: str) -> None:
+        states = _replace(mart_states(wide, mart, placed, measured), paths.gold(f"states/{mart}"), months)
         write_parquet(mart_of_states(states, mart), paths.gold(mart))
+    write_all({mart: (lambda mart=mart: merge(mart)) for mart in MARTS}, concurrent_jobs)
     remove(spark, paths.gold("states/pending"))
     return months
