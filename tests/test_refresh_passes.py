@@ -11,13 +11,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.expressions import money_parts
-from tillroll.operators import facts, marts, states
+from tillroll.operators import facts, marts, quality, states
 from tillroll.operators.digest import SEPARATOR, table_digest
+from tillroll.operators.joins import hot_classes
 from tillroll.plans.queries import Model
 from tillroll.sinks.files import write_parquet
+from tillroll.sources.parquet import read_identified
 
+from test_quality import EARLIER, LATER, PATTERNS, SCHEMA, expected, version
 from test_refresh import WIDE, rows, wide_rows
-from test_wide_passes import no_broadcast  # noqa: F401
+from test_wide_passes import exchanged, no_broadcast  # noqa: F401
 
 
 def plan(df) -> str:
@@ -55,7 +58,7 @@ def test_known_hot_classes_give_the_same_fact(spark, smoke_dir, classes, tmp_pat
     items = spark.read.parquet(str(tmp_path / "items"))
     sides = m.orders_valid(), m.bronze("order_payments"), m.bronze("order_reviews")
     if classes == "some":
-        classes = [r["class"] for r in facts.hot_classes(items, 3).collect()]
+        classes = [r["class"] for r in hot_classes(items, "order_id", 3).collect()]
         assert 0 < len(classes) < 3000 / 3
     got = facts.fct_order_items(items, *sides, classes=classes)
     assert rows(got) == rows(facts.fct_order_items(items, *sides, hot=3))
@@ -97,3 +100,26 @@ def test_digest_is_the_sum_of_the_hashes(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("a"), F.lit(None).cast("int").alias("b"))
     want = sum(int(hashlib.md5(SEPARATOR.join([f"={i}", "-"]).encode()).hexdigest()[:15], 16) for i in range(1000))
     assert table_digest(df, "t").first()["row_digest"] == str(want)
+
+
+@pytest.mark.parametrize("hot", [0, 2, 10**6])
+def test_the_gate_by_class_tags_every_row_by_the_same_rule(spark, tmp_path, hot):
+    data = []
+    for i, pattern in enumerate(PATTERNS):
+        for twin in (None, EARLIER, LATER):
+            data.append(version(pattern, f"k{i}{twin}"))
+            if twin:
+                data += [version((False,) * 4, f"k{i}{twin}", twin) for _ in range(1 + i % 3)]
+    spark.createDataFrame(data, SCHEMA).repartition(3).write.parquet(str(tmp_path / "t"))
+    orders = read_identified(spark, str(tmp_path / "t"), quality.IDENTITY)
+    classes = [r["class"] for r in hot_classes(orders, "order_id", hot).collect()]
+    assert bool(classes) == (hot < 10)
+    tagged = quality.tag_by_class(orders, classes)
+    assert rows(tagged) == expected(data) == rows(quality.tag_orders(orders))
+
+
+def test_the_gate_deals_whole_rows_once(spark, smoke_dir, tmp_path, no_broadcast):  # noqa: F811
+    Model(spark, smoke_dir).bronze("orders").write.parquet(str(tmp_path / "t"))
+    orders = read_identified(spark, str(tmp_path / "t"), quality.IDENTITY)
+    whole = ["order_estimated_delivery_date" in cols for cols, _ in exchanged(quality.tag_by_class(orders, []))]
+    assert whole == [True]

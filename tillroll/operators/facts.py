@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions import delay_flag, first_value_by, parse_ts
 from tillroll.operators.dedupe import keep_first
-from tillroll.operators.joins import left_join_unique
+from tillroll.operators.joins import HOT, hot_classes, key_class, left_join_unique
 
 # --- fixed values: column names of the silver model -------------------------
 # raw text column -> parsed timestamp column
@@ -52,9 +52,6 @@ PAYMENT_COLUMNS = ["payment_value_total", "payment_type_primary", "payment_insta
 REVIEW_COLUMNS = ["review_score", "review_creation_ts"]
 # --- end of fixed values ----------------------------------------------------
 
-#: Orders share a hash class; one with more than HOT items is kept apart.
-CLASSES, HOT = 1 << 16, 1 << 20
-
 # columns of the fact that are computed from order columns
 DERIVED = {"order_date": ["order_purchase_ts"],
            "is_delayed": ["order_delivered_customer_ts", "order_estimated_delivery_ts"]}
@@ -122,17 +119,6 @@ def order_attributes(orders_valid: DataFrame | None = None, payments: DataFrame
     return wide.groupBy("order_id").agg(*aggregates)
 
 
-def _class() -> Column:
-    return F.pmod(F.xxhash64("order_id"), F.lit(CLASSES))
-
-
-def hot_classes(order_items: DataFrame, hot: int = HOT) -> DataFrame:
-    """The classes of more than ``hot`` items, fewer than items / ``hot``: a third
-    of the items without an order count as one order, too."""
-    counts = order_items.groupBy(_class().alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > hot).select("class")
-
-
 def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: int = HOT,
                           classes: Sequence[int] | None = None) -> DataFrame:
     """De-duplicated items left join ``attributes``, unique per order.
@@ -141,9 +127,10 @@ def items_with_attributes(order_items: DataFrame, attributes: DataFrame, hot: in
     is kept apart, and no input is read for that a second time.  Else a subquery
     finds them."""
     if classes is None:
-        apart = F.array_contains(hot_classes(order_items, hot).agg(F.collect_list("class")).scalar(), _class())
+        found = hot_classes(order_items, "order_id", hot)
+        apart = F.array_contains(found.agg(F.collect_list("class")).scalar(), key_class("order_id"))
     else:
-        apart = _class().isin(list(classes))
+        apart = key_class("order_id").isin(list(classes))
     near = (keep_first(order_items.filter(~apart).repartition("order_id"), ITEM_KEYS)
             .join(attributes, "order_id", "left"))
     if classes is not None and not classes:

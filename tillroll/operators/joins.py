@@ -21,6 +21,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 # a character that no key starts with
 NO_KEY = "\x00"
 
+#: Keys share a hash class; those of one with more than HOT rows are kept apart.
+CLASSES, HOT = 1 << 16, 1 << 20
+
+
+def key_class(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(CLASSES))
+
+
+def hot_classes(df: DataFrame, key: str, hot: int = HOT) -> DataFrame:
+    """The classes of more than ``hot`` rows, fewer than rows / ``hot``: a third of
+    the rows without a key count as one key, too."""
+    counts = df.groupBy(key_class(key).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > hot).select("class")
+
 
 def fresh_key(c: Column) -> Column:
     return F.concat(F.lit(""), c)

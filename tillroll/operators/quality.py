@@ -26,6 +26,9 @@ Scale design
   column alone, ranks only their rows, and every row is tagged in one left join
   with that (usually small) table.  Spark broadcasts it if its measured size
   allows; else both sides are dealt for the join, hot keys split.
+* A stage that has counted the rows per hash class of the key beforehand needs
+  that only for the classes with very many rows: all other keys are ranked by a
+  window, which deals the rows once (``tag_by_class``).
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.functions import any_null, first_null_reason, parse_ts, replicate_rows, sort_key
-from tillroll.operators.joins import fresh_key, left_join_unique
+from tillroll.operators.joins import fresh_key, key_class, left_join_unique
 from tillroll.session import shared_dir
 
 # fixed values: columns every order must have (reference gate)
@@ -143,6 +146,27 @@ def tag_identified(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, ke
     return tagged.select(*[c for c in df.columns if c != identity], reason.alias(REASON))
 
 
+def tag_by_class(df: DataFrame, classes: Sequence[int], required: Sequence[str] = REQUIRED_COLUMNS,
+                 key: str = KEY, order_col: str | None = ORDER_COL, tie_break: Sequence[str] | None = None,
+                 identity: str = IDENTITY) -> DataFrame:
+    """``tag_identified`` where ``classes`` are the key's hot ones
+    (``joins.hot_classes``): only their rows are tagged that way.
+
+    The others are dealt by key once and ranked where they lie.  That needs no
+    identity: of identical copies it does not matter which one is valid.
+    """
+    require_columns(df, required)
+    apart = key_class(key).isin(list(classes))
+    rows = df.drop(identity)
+    rank = F.row_number().over(rank_window(rows, key, order_col, tie_break))
+    near = (rows.filter(~apart) if classes else rows).withColumn("_rn", rank)
+    reason = F.coalesce(first_null_reason(required), F.when(F.col("_rn") > 1, F.lit(DUPLICATE)))
+    near = near.select(*rows.columns, reason.alias(REASON))
+    if not classes:
+        return near
+    return near.unionByName(tag_identified(df.filter(apart), required, key, order_col, tie_break, identity))
+
+
 def tag_orders(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS, key: str = KEY,
                order_col: str | None = ORDER_COL,
                tie_break: Sequence[str] | None = None, identity: str = IDENTITY) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators import dims, facts, marts, quality
+from tillroll.operators.joins import hot_classes
 from tillroll.paths import LayerPaths
 from tillroll.schemas import DATASET_FILES, build_schema
 from tillroll.session import scratch_path
@@ -65,6 +66,12 @@ def bronze_ingest(spark: SparkSession, paths: LayerPaths,
     return write_all({t: ingest(t, f) for t, f in datasets.items()}, concurrent_jobs)
 
 
+def _hot(rows: DataFrame) -> list[int]:
+    """The hash classes of orders with very many of these rows: a stage may count
+    before it plans.  Fewer than rows / ``HOT`` come to the driver."""
+    return [r["class"] for r in hot_classes(rows, "order_id").collect()]
+
+
 VALID, QUARANTINE = "stg_orders", "stg_orders_quarantine"
 
 
@@ -77,7 +84,7 @@ def orders_gate(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
     """
     orders = read_identified(spark, paths.bronze("orders"), quality.IDENTITY)
     quality.require_columns(orders)
-    tagged = quality.tag_orders(orders)
+    tagged = quality.tag_by_class(orders, _hot(orders))
     path = scratch_path(spark, "gate")
     write_parquet(tagged, path)
     tagged = spark.read.schema(tagged.schema).parquet(path)
@@ -114,8 +121,7 @@ def silver_model(spark: SparkSession, paths: LayerPaths,
     """Bronze + ``stg_orders`` -> four dimensions and the fact (K3)."""
     b = {t: read_table(spark, paths.bronze(t)) for t in DATASET_FILES}
     stg = stg_orders(spark, paths)
-    # Of the items, a stage may know before it plans: fewer rows than items / HOT.
-    classes = [r["class"] for r in facts.hot_classes(b["order_items"]).collect()]
+    classes = _hot(b["order_items"])
     out = {
         "dim_customers": dims.dim_customers(b["customers"]),
         "dim_sellers": dims.dim_sellers(b["sellers"]),
