@@ -106,13 +106,16 @@ def refresh_gold(spark: SparkSession, paths: LayerPaths, changed: DataFrame | No
     numbers = paths.gold("states/order_numbers")
     known = read_table(spark, numbers) if exists(spark, numbers) else None
     rows = marts.mart_order_analytics(enriched.withColumn(PERIOD, _month()).filter(_within(months)))
-    wide = _replace(rows, paths.gold(WIDE), months).filter(_within(months))
     orders = fact.withColumn(PERIOD, _month()).filter(_within(months)).select("order_id", DATE)
-    write_parquet(number_orders(orders, known), numbers, mode="append")
-    placed, measured = place_orders(wide, read_table(spark, numbers)), measure_groups(wide)
+    made: dict[str, DataFrame] = {}
+    write_all({"wide": lambda: made.update(wide=_replace(rows, paths.gold(WIDE), months).filter(_within(months))),
+               "numbers": lambda: write_parquet(number_orders(orders, known), numbers, mode="append")}, concurrent_jobs)
+    wide = made["wide"]
+    write_all({"placed": lambda: made.update(placed=place_orders(wide, read_table(spark, numbers))),
+               "measured": lambda: made.update(measured=measure_groups(wide))}, concurrent_jobs)
 
     def merge(mart: str) -> None:
-        states = _replace(mart_states(wide, mart, placed, measured), paths.gold(f"states/{mart}"), months)
+        states = _replace(mart_states(wide, mart, made["placed"], made["measured"]), paths.gold(f"states/{mart}"), months)
         write_parquet(mart_of_states(states, mart), paths.gold(mart))
     write_all({mart: (lambda mart=mart: merge(mart)) for mart in MARTS}, concurrent_jobs)
     remove(spark, paths.gold("states/pending"))
