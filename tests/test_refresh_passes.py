@@ -14,6 +14,8 @@ from tillroll.functions.expressions import money_parts
 from tillroll.operators import facts, marts, quality, states
 from tillroll.operators.digest import SEPARATOR, table_digest
 from tillroll.operators.joins import hot_classes
+from tillroll.paths import LayerPaths
+from tillroll.plans import refresh
 from tillroll.plans.queries import Model
 from tillroll.sinks.files import write_parquet
 from tillroll.sources.parquet import read_identified
@@ -73,7 +75,7 @@ def no_coalescing(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_rows_of_an_order_leave_the_joins_in_one_task(spark, no_broadcast, no_coalescing):  # noqa: F811
+def test_rows_of_an_order_leave_the_joins_in_one_task(spark, no_broadcast, no_coalescing, tmp_path):  # noqa: F811
     fact = spark.range(4000).select(
         F.concat(F.lit("o"), F.floor(F.col("id") / 8)).alias("order_id"), F.col("id").alias("order_item_id"),
         F.concat(F.lit("c"), F.floor(F.col("id") / 80)).alias("customer_id"),
@@ -81,9 +83,13 @@ def test_rows_of_an_order_leave_the_joins_in_one_task(spark, no_broadcast, no_co
 
     def dim(key, n, *own):
         return spark.range(n).select(F.concat(F.lit(key[0]), "id").alias(key), *[F.lit(c).alias(c) for c in own])
-    out = marts.fct_enriched(fact, dim("customer_id", 50, *marts.CUSTOMER_COLUMNS),
-                             dim("product_id", 97, *marts.PRODUCT_COLUMNS), dim("seller_id", 31, *marts.SELLER_COLUMNS))
-    assert out.columns == [*fact.columns, *marts.CUSTOMER_COLUMNS, *marts.PRODUCT_COLUMNS, *marts.SELLER_COLUMNS]
+    paths = LayerPaths.under(str(tmp_path))
+    for name, df in {"fct_order_items": fact, "dim_customers": dim("customer_id", 50, *marts.CUSTOMER_COLUMNS),
+                     "dim_products": dim("product_id", 97, *marts.PRODUCT_COLUMNS),
+                     "dim_sellers": dim("seller_id", 31, *marts.SELLER_COLUMNS), "dim_geolocation": spark.range(1)}.items():
+        write_parquet(df, paths.silver(name))
+    out = refresh._enriched(spark, paths)
+    assert set(out.columns) == {*fact.columns, *marts.CUSTOMER_COLUMNS, *marts.PRODUCT_COLUMNS, *marts.SELLER_COLUMNS}
     assert out.where("seller_city IS NOT NULL AND customer_city IS NOT NULL").count() == 4000
     where = out.select("order_id", F.spark_partition_id().alias("task")).distinct()
     assert where.count() == 500 and where.select("task").distinct().count() > 1

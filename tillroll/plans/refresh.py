@@ -42,7 +42,10 @@ NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 def _enriched(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     s = {t: read_table(spark, paths.silver(t)) for t in SILVER_TABLES}
-    return marts.fct_enriched(s["fct_order_items"], s["dim_customers"], s["dim_products"], s["dim_sellers"])
+    # Customers last: their join leaves an order's rows in one task, so that the
+    # wide rows' later passes by order find them together.
+    by_item = marts.fct_enriched(s["fct_order_items"], None, s["dim_products"], s["dim_sellers"])
+    return marts.fct_enriched(by_item, s["dim_customers"], None, None)
 
 
 def _month() -> Column:
